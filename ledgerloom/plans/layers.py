@@ -75,3 +75,84 @@ class Silver:
     @cached_property
     def customer_360(self) -> DataFrame:
         return marts.customer_360(self.users, self.account_summary, self.goals)
+
+
+@dataclass
+class Star:
+    """Kimball star over a :class:`Silver`: calendar, SCD2 dimensions (first load), facts."""
+
+    silver: Silver
+
+    @cached_property
+    def bounds(self) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        from ..operators.calendar import date_bounds
+
+        s = self.silver
+        return date_bounds(
+            s.transactions.select(F.to_date("transaction_ts")),
+            s.accounts.select("opened_date"),
+            s.users.select("signup_date"),
+        )
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        from ..operators.calendar import date_dim
+
+        return date_dim(self.bounds)
+
+    @cached_property
+    def dim_transaction_type(self) -> DataFrame:
+        from ..operators.calendar import type_dim
+
+        return type_dim(self.silver.transaction_types)
+
+    @cached_property
+    def account_input(self) -> DataFrame:
+        from ..operators.scd2 import account_dim_input
+
+        return account_dim_input(self.silver.accounts, self.silver.account_types)
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        from ..operators.scd2 import CUSTOMER_SPEC, apply_scd2
+
+        incoming = self.silver.users.select("user_id", "age_band", "signup_date")
+        return apply_scd2(incoming, None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
+
+    @cached_property
+    def dim_account(self) -> DataFrame:
+        from ..operators.scd2 import ACCOUNT_SPEC, apply_scd2
+
+        return apply_scd2(self.account_input, None, ACCOUNT_SPEC, fx.SCD2_RUN_DATE)
+
+    @cached_property
+    def fct_transaction(self) -> DataFrame:
+        from ..operators.facts import transaction_fact
+
+        s = self.silver
+        return transaction_fact(s.transactions, s.transaction_types, self.dim_customer, self.dim_account)
+
+    @cached_property
+    def fct_unresolved(self) -> DataFrame:
+        from ..operators.facts import unresolved_transactions
+
+        s = self.silver
+        return unresolved_transactions(s.transactions, s.transaction_types, self.dim_customer, self.dim_account)
+
+    @cached_property
+    def monthly_snapshot(self) -> DataFrame:
+        from ..operators.facts import monthly_snapshot
+
+        s = self.silver
+        return monthly_snapshot(s.transactions, s.accounts, s.transaction_types, self.dim_customer, self.dim_account)
+
+
+def scd2_customer_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two-load SCD2 scenario on customers: (state after load 1, state after load 2)."""
+    from ..operators.scd2 import CUSTOMER_SPEC, apply_scd2
+
+    first = apply_scd2(fx.user_scd2_load(spark, sf_dir, 1), None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
+    second = apply_scd2(fx.user_scd2_load(spark, sf_dir, 2), first, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
+    return first, second

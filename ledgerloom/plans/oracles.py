@@ -194,3 +194,209 @@ LEFT JOIN (SELECT user_id, count(*) AS num_savings_goals, sum(target_amount) AS
                   sum(current_amount) AS total_saved_toward_goals
            FROM s_goals GROUP BY user_id) g ON u.user_id = g.user_id""",
 )
+
+# --- calendar and star ------------------------------------------------------
+STAR = {
+    "bounds": """
+  SELECT CAST(date_trunc('month', min(d)) AS DATE) AS "start", last_day(max(d)) AS "end"
+  FROM (SELECT CAST(transaction_ts AS DATE) AS d FROM s_transactions
+        UNION ALL SELECT opened_date FROM s_accounts
+        UNION ALL SELECT signup_date FROM s_users)""",
+    "days": """
+  SELECT CAST(g.d AS DATE) AS d
+  FROM bounds, unnest(generate_series(CAST(bounds."start" AS TIMESTAMP), CAST(bounds."end" AS TIMESTAMP),
+                                      INTERVAL 1 DAY)) AS g(d)""",
+    "acct_input": """
+  SELECT a.account_id, a.user_id, a.account_number_masked, a.opened_date,
+         aty.type_name AS account_type, aty.category AS account_type_category
+  FROM s_accounts a JOIN account_types aty ON a.account_type_id = aty.account_type_id""",
+    "dim_customer": f"""
+  SELECT row_number() OVER (ORDER BY user_id) AS customer_key, user_id, age_band, signup_date,
+         {{hash_cust}} AS row_hash, signup_date AS valid_from, DATE '9999-12-31' AS valid_to, true AS is_current
+  FROM s_users""",
+    "dim_account": """
+  SELECT row_number() OVER (ORDER BY account_id) AS account_key, account_id, user_id, account_number_masked,
+         opened_date, account_type, account_type_category, {hash_acct} AS row_hash,
+         opened_date AS valid_from, DATE '9999-12-31' AS valid_to, true AS is_current
+  FROM acct_input""",
+    "txd": """
+  SELECT t.*, tty.direction, CAST(t.transaction_ts AS DATE) AS d
+  FROM s_transactions t JOIN transaction_types tty ON t.transaction_type_id = tty.transaction_type_id""",
+    "resolved": """
+  SELECT x.*, da.account_key, da.user_id AS owner, dc.customer_key
+  FROM txd x
+  LEFT JOIN dim_account da ON x.account_id = da.account_id AND x.d >= da.valid_from AND x.d < da.valid_to
+  LEFT JOIN dim_customer dc ON da.user_id = dc.user_id AND x.d >= dc.valid_from AND x.d < dc.valid_to""",
+    "mm": "SELECT CAST(date_trunc('month', max(CAST(transaction_ts AS DATE))) AS DATE) AS m FROM s_transactions",
+    "spine": """
+  SELECT a.account_id, a.user_id, CAST(g.m AS DATE) AS month, last_day(CAST(g.m AS DATE)) AS month_end
+  FROM s_accounts a, mm,
+       unnest(CASE WHEN CAST(date_trunc('month', a.opened_date) AS DATE) <= mm.m
+                   THEN generate_series(CAST(date_trunc('month', a.opened_date) AS TIMESTAMP),
+                                        CAST(mm.m AS TIMESTAMP), INTERVAL 1 MONTH)
+                   ELSE [CAST(date_trunc('month', a.opened_date) AS TIMESTAMP)] END) AS g(m)""",
+    "activity": """
+  SELECT account_id, CAST(date_trunc('month', d) AS DATE) AS month,
+         CAST(coalesce(sum(CASE WHEN direction = 'inflow' THEN amount END), 0) AS DECIMAL(12,2)) AS month_inflow,
+         CAST(coalesce(sum(CASE WHEN direction = 'outflow' THEN amount END), 0) AS DECIMAL(12,2)) AS month_outflow,
+         count(*) AS transaction_count
+  FROM txd GROUP BY 1, 2""",
+    "closing": """
+  SELECT s.account_id, s.user_id, s.month, s.month_end,
+         CAST(coalesce(sum(CASE WHEN x.direction = 'inflow' THEN x.amount ELSE -x.amount END), 0)
+              AS DECIMAL(12,2)) AS closing_balance
+  FROM spine s LEFT JOIN txd x ON s.account_id = x.account_id AND x.d <= s.month_end
+  GROUP BY 1, 2, 3, 4""",
+    "snap": """
+  SELECT c.account_id, c.user_id, c.month_end,
+         CAST(strftime(c.month_end, '%Y%m%d') AS INTEGER) AS date_key,
+         coalesce(a.month_inflow, CAST(0 AS DECIMAL(12,2))) AS month_inflow,
+         coalesce(a.month_outflow, CAST(0 AS DECIMAL(12,2))) AS month_outflow,
+         CAST(coalesce(a.month_inflow, 0) - coalesce(a.month_outflow, 0) AS DECIMAL(12,2)) AS month_net,
+         c.closing_balance,
+         CAST(coalesce(a.transaction_count, 0) AS BIGINT) AS transaction_count
+  FROM closing c LEFT JOIN activity a ON c.account_id = a.account_id AND c.month = a.month""",
+}
+
+
+def _hash_sql(cols: list[str], trim: bool = False, sort: bool = True) -> str:
+    names = sorted(cols) if sort else cols
+    parts = []
+    for c in names:
+        v = f"CAST({c} AS VARCHAR)"
+        if trim:
+            v = f"trim({v})"
+        parts.append(f"coalesce({v}, '∅')")
+    return f"sha256(concat_ws('||', {', '.join(parts)}))"
+
+
+HASH_CUST = _hash_sql(["age_band", "signup_date"])
+HASH_ACCT = _hash_sql(["account_number_masked", "opened_date", "account_type", "account_type_category"])
+STAR = {k: v.replace("{hash_cust}", HASH_CUST).replace("{hash_acct}", HASH_ACCT) for k, v in STAR.items()}
+
+SCD2_LOAD = """
+  SELECT 'U' || CAST(c_custkey AS VARCHAR) AS user_id, {band} AS age_band,
+         DATE '1990-01-01' + CAST(c_custkey % 1500 AS INTEGER) AS signup_date
+  FROM (SELECT *, DATE '1945-01-01' + CAST((c_custkey * 7919) % 20000 AS INTEGER) AS dob,
+               {as_of} AS as_of FROM customer) c {where}"""
+
+SCD2 = {
+    "l1": SCD2_LOAD.format(band=band_sql("dob", "as_of"), as_of="DATE '2026-01-01'", where="WHERE c_custkey % 7 <> 0"),
+    "l2": SCD2_LOAD.format(
+        band=band_sql("dob", "as_of"),
+        as_of="CASE WHEN c_custkey % 10 = 0 THEN DATE '2036-01-01' ELSE DATE '2026-01-01' END",
+        where="",
+    ),
+    "scd1": f"""
+  SELECT row_number() OVER (ORDER BY user_id) AS customer_key, user_id, age_band, signup_date,
+         {HASH_CUST} AS row_hash, signup_date AS valid_from, DATE '9999-12-31' AS valid_to, true AS is_current
+  FROM l1""",
+}
+
+
+def _scd2_next(prev: str, load: str, run: str = "DATE '2026-02-01'") -> dict[str, str]:
+    p = f"{prev}_{load}"
+    return {
+        f"{p}_cur": f"""
+  SELECT user_id, max(CASE WHEN is_current THEN row_hash END) AS open_hash
+  FROM {prev} GROUP BY user_id""",
+        f"{p}_tag": f"""
+  SELECT h.*, c.user_id IS NOT NULL AS ex, c.open_hash
+  FROM (SELECT *, {HASH_CUST} AS row_hash FROM {load}) h LEFT JOIN {p}_cur c ON h.user_id = c.user_id""",
+        f"{p}_ins": f"""
+  SELECT (SELECT coalesce(max(customer_key), 0) FROM {prev})
+           + row_number() OVER (ORDER BY user_id, vf) AS customer_key,
+         user_id, age_band, signup_date, row_hash, vf AS valid_from,
+         DATE '9999-12-31' AS valid_to, true AS is_current
+  FROM (SELECT *, CASE WHEN NOT ex THEN signup_date ELSE {run} END AS vf
+        FROM {p}_tag WHERE NOT ex OR open_hash IS NULL OR row_hash <> open_hash)""",
+        f"{p}_exp": f"SELECT user_id FROM {p}_tag WHERE ex AND open_hash IS NOT NULL AND row_hash <> open_hash",
+        f"{p}": f"""
+  SELECT customer_key, user_id, age_band, signup_date, row_hash, valid_from,
+         CASE WHEN is_current AND user_id IN (SELECT user_id FROM {p}_exp) THEN {run} ELSE valid_to END AS valid_to,
+         CASE WHEN is_current AND user_id IN (SELECT user_id FROM {p}_exp) THEN false ELSE is_current END
+           AS is_current
+  FROM {prev}
+  UNION ALL SELECT * FROM {p}_ins""",
+    }
+
+
+SCD2.update(_scd2_next("scd1", "l2"))
+SCD2.update(_scd2_next("scd1_l2", "l2"))
+STAR.update(SCD2)
+
+oracle("union_date_bounds", 'SELECT * FROM bounds', STAR)
+oracle(
+    "dim_date",
+    """
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date,
+       CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+       monthname(d) AS month_name, CAST(day(d) AS INTEGER) AS day_of_month,
+       CAST(isodow(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name,
+       CAST(weekofyear(d) AS INTEGER) AS week_of_year, isodow(d) >= 6 AS is_weekend, d = last_day(d) AS is_month_end
+FROM days""",
+    STAR,
+)
+oracle("dim_account_input", "SELECT * FROM acct_input", STAR)
+oracle("row_hash", f"SELECT user_id, {HASH_CUST} AS row_hash FROM s_users", STAR)
+oracle(
+    "surrogate_keys",
+    "SELECT row_number() OVER (ORDER BY transaction_id) AS transaction_key, transaction_id, account_id "
+    "FROM s_transactions",
+    STAR,
+)
+oracle("scd2_first_load", "SELECT * FROM scd1", STAR)
+oracle("scd2_second_load", "SELECT * FROM scd1_l2", STAR)
+oracle("scd2_noop", "SELECT * FROM scd1_l2_l2", STAR)
+oracle("scd2_current", "SELECT * FROM scd1_l2 WHERE is_current", STAR)
+oracle("dim_customer", "SELECT * FROM dim_customer", STAR)
+oracle("dim_account", "SELECT * FROM dim_account", STAR)
+oracle(
+    "fct_transaction",
+    """
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, customer_key, account_key,
+       transaction_type_id AS transaction_type_key, transaction_id,
+       CAST(amount AS DECIMAL(12,2)) AS amount,
+       CAST(CASE WHEN direction = 'inflow' THEN amount ELSE -amount END AS DECIMAL(12,2)) AS signed_amount,
+       currency
+FROM resolved WHERE account_key IS NOT NULL AND customer_key IS NOT NULL""",
+    STAR,
+)
+oracle(
+    "fct_unresolved",
+    """
+SELECT transaction_id, account_id, d AS transaction_date,
+       CASE WHEN account_key IS NULL THEN 'no_account_version' ELSE 'no_customer_version' END AS reason
+FROM resolved WHERE account_key IS NULL OR customer_key IS NULL""",
+    STAR,
+)
+oracle(
+    "pit_join",
+    """
+SELECT x.account_id, x.transaction_id, x.txn_date, x.user_id, v.customer_key, v.age_band
+FROM (SELECT t.account_id, t.transaction_id, CAST(t.transaction_ts AS DATE) AS txn_date, a.user_id
+      FROM s_transactions t JOIN s_accounts a ON t.account_id = a.account_id) x
+JOIN scd1_l2 v ON x.user_id = v.user_id AND x.txn_date >= v.valid_from AND x.txn_date < v.valid_to""",
+    STAR,
+)
+oracle(
+    "month_spine",
+    "SELECT account_id, month, month_end, CAST(strftime(month_end, '%Y%m%d') AS INTEGER) AS date_key FROM spine",
+    STAR,
+)
+oracle("month_activity", "SELECT * FROM activity", STAR)
+oracle(
+    "running_balance",
+    "SELECT account_id, date_key, closing_balance, month_net, transaction_count FROM snap",
+    STAR,
+)
+oracle(
+    "monthly_snapshot",
+    """
+SELECT s.date_key, dc.customer_key, da.account_key, s.month_inflow, s.month_outflow, s.month_net,
+       s.closing_balance, s.transaction_count
+FROM snap s
+JOIN dim_account da ON s.account_id = da.account_id AND s.month_end >= da.valid_from AND s.month_end < da.valid_to
+JOIN dim_customer dc ON s.user_id = dc.user_id AND s.month_end >= dc.valid_from AND s.month_end < dc.valid_to""",
+    STAR,
+)

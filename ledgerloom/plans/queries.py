@@ -72,3 +72,159 @@ def q_account_summary(spark, sf_dir):
 @query("customer_360")
 def q_customer_360(spark, sf_dir):
     return Silver(spark, sf_dir).customer_360
+
+
+# --- calendar and star ------------------------------------------------------
+def _star(spark, sf_dir):
+    from .layers import Star
+
+    return Star(Silver(spark, sf_dir))
+
+
+@query("union_date_bounds")
+def q_union_date_bounds(spark, sf_dir):
+    """S1 + E7: month-snapped bounds over three date columns."""
+    return _star(spark, sf_dir).bounds
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    return _star(spark, sf_dir).dim_date
+
+
+@query("dim_account_input")
+def q_dim_account_input(spark, sf_dir):
+    return _star(spark, sf_dir).account_input
+
+
+@query("row_hash")
+def q_row_hash(spark, sf_dir):
+    """J9b over silver users' tracked columns."""
+    from ..functions.scalars import row_hash
+
+    users = Silver(spark, sf_dir).users
+    return users.select("user_id", row_hash(["age_band", "signup_date"]).alias("row_hash"))
+
+
+@query("surrogate_keys")
+def q_surrogate_keys(spark, sf_dir):
+    """Dense keys in transaction-id order over all silver transactions."""
+    from ..operators.scd2 import assign_keys
+
+    txns = Silver(spark, sf_dir).transactions.select("transaction_id", "account_id")
+    return assign_keys(txns, ["transaction_id"], "transaction_key")
+
+
+@query("scd2_first_load")
+def q_scd2_first_load(spark, sf_dir):
+    from .layers import scd2_customer_states
+
+    return scd2_customer_states(spark, sf_dir)[0]
+
+
+@query("scd2_second_load")
+def q_scd2_second_load(spark, sf_dir):
+    from .layers import scd2_customer_states
+
+    return scd2_customer_states(spark, sf_dir)[1]
+
+
+@query("scd2_noop")
+def q_scd2_noop(spark, sf_dir):
+    """Re-applying load 2 to the state after load 2 changes nothing."""
+    from ..operators.scd2 import CUSTOMER_SPEC, apply_scd2
+    from ..sources import fixtures as fx
+    from .layers import scd2_customer_states
+
+    second = scd2_customer_states(spark, sf_dir)[1]
+    return apply_scd2(fx.user_scd2_load(spark, sf_dir, 2), second, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
+
+
+@query("scd2_current")
+def q_scd2_current(spark, sf_dir):
+    from ..operators.scd2 import current_rows
+    from .layers import scd2_customer_states
+
+    return current_rows(scd2_customer_states(spark, sf_dir)[1])
+
+
+@query("dim_customer")
+def q_dim_customer(spark, sf_dir):
+    return _star(spark, sf_dir).dim_customer
+
+
+@query("dim_account")
+def q_dim_account(spark, sf_dir):
+    return _star(spark, sf_dir).dim_account
+
+
+@query("fct_transaction")
+def q_fct_transaction(spark, sf_dir):
+    return _star(spark, sf_dir).fct_transaction
+
+
+@query("fct_unresolved")
+def q_fct_unresolved(spark, sf_dir):
+    return _star(spark, sf_dir).fct_unresolved
+
+
+@query("pit_join")
+def q_pit_join(spark, sf_dir):
+    """D7 against the two-version customer dimension of the SCD2 scenario."""
+    from pyspark.sql import functions as F
+
+    from ..operators.facts import pit_join
+    from .layers import scd2_customer_states
+
+    dim = scd2_customer_states(spark, sf_dir)[1]
+    s = Silver(spark, sf_dir)
+    accts = s.accounts.select("account_id", "user_id")
+    txns = s.transactions.select("transaction_id", "account_id", F.to_date("transaction_ts").alias("txn_date"))
+    facts = txns.join(accts, "account_id", "inner")
+    return pit_join(facts, dim, "user_id", "user_id", "txn_date", {"customer_key": "customer_key", "age_band": "age_band"})
+
+
+@query("month_spine")
+def q_month_spine(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ..operators.calendar import month_spine, through_month
+
+    s = Silver(spark, sf_dir)
+    through = through_month(s.transactions, F.to_date("transaction_ts"))
+    spine = month_spine(s.accounts.select("account_id", "opened_date"), "opened_date", through)
+    return spine.select("account_id", F.col("_month").alias("month"), F.col("_month_end").alias("month_end"), "date_key")
+
+
+@query("month_activity")
+def q_month_activity(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ..operators.facts import month_activity
+
+    s = Silver(spark, sf_dir)
+    return month_activity(s.transactions, s.transaction_types).select(
+        "account_id", F.col("_month").alias("month"), "month_inflow", "month_outflow", "transaction_count"
+    )
+
+
+@query("running_balance")
+def q_running_balance(spark, sf_dir):
+    """F8: closing balance per account and month (before the dimension joins)."""
+    from pyspark.sql import functions as F
+
+    from ..operators.calendar import month_spine, through_month
+    from ..operators.facts import month_activity, running_balance
+
+    s = Silver(spark, sf_dir)
+    through = through_month(s.transactions, F.to_date("transaction_ts"))
+    spine = month_spine(s.accounts.select("account_id", "opened_date"), "opened_date", through).select(
+        "account_id", "_month", "date_key"
+    )
+    out = running_balance(spine, month_activity(s.transactions, s.transaction_types))
+    return out.select("account_id", "date_key", "closing_balance", "month_net", "transaction_count")
+
+
+@query("monthly_snapshot")
+def q_monthly_snapshot(spark, sf_dir):
+    return _star(spark, sf_dir).monthly_snapshot
