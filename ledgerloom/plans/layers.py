@@ -156,3 +156,109 @@ def scd2_customer_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
     first = apply_scd2(fx.user_scd2_load(spark, sf_dir, 1), None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
     second = apply_scd2(fx.user_scd2_load(spark, sf_dir, 2), first, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
     return first, second
+
+
+@dataclass
+class Vault:
+    """Data Vault raw layer over the bronze fixtures of one sf folder."""
+
+    spark: SparkSession
+    sf_dir: str
+
+    def bronze(self, source: str) -> DataFrame:
+        return {
+            "users": fx.users,
+            "accounts": fx.accounts,
+            "transactions": fx.transactions,
+            "savings_goals": fx.savings_goals,
+        }[source](self.spark, self.sf_dir)
+
+    @staticmethod
+    def tie_break(source: str) -> tuple[str, ...]:
+        return fx.TRANSACTION_TIE_BREAK if source == "transactions" else ()
+
+    def first_load(self, name: str) -> DataFrame:
+        """The table after one load of everything (hub, link or satellite by name)."""
+        from ..operators import vault as v
+
+        load = fx.LOAD_DATES[0]
+        if name in v.HUB:
+            spec = v.HUB[name]
+            return v.load_hub(spec, self.bronze(spec.source), None, load, self.tie_break(spec.source))
+        if name in v.LINK:
+            spec = v.LINK[name]
+            return v.load_link(spec, self.bronze(spec.source), None, load, self.tie_break(spec.source))
+        spec = v.SAT[name]
+        return v.load_sat(spec, self.bronze(spec.source), None, load, self.tie_break(spec.source))
+
+    def hub_link_loads(self, name: str) -> tuple[DataFrame, DataFrame]:
+        """Hub/link scenario on accounts: load 1 = opened before 2000, load 2 = all.
+        Returns (table after load 1, rows appended by load 2)."""
+        from pyspark.sql import functions as F
+
+        from ..operators import vault as v
+
+        all_rows = fx.accounts(self.spark, self.sf_dir)
+        early = all_rows.where(F.col("opened_date") < F.lit(fx.HUB_LOAD1_BEFORE))
+        if name in v.HUB:
+            spec, load = v.HUB[name], v.load_hub
+        else:
+            spec, load = v.LINK[name], v.load_link
+        first = load(spec, early, None, fx.LOAD_DATES[0])
+        return first, load(spec, all_rows, first, fx.LOAD_DATES[1])
+
+    def sat_loads(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Satellite scenario on accounts: priority A -> B (key % 10 = 0) -> A.
+        Returns (table after load 1, load-2 delta, load-3 delta)."""
+        from ..operators import vault as v
+
+        spec = v.SAT["sat_account_details"]
+        original = fx.accounts(self.spark, self.sf_dir)
+        changed = fx.accounts(self.spark, self.sf_dir, fx.changed_priority())
+        s1 = v.load_sat(spec, original, None, fx.LOAD_DATES[0])
+        d2 = v.load_sat(spec, changed, s1, fx.LOAD_DATES[1])
+        d3 = v.load_sat(spec, original, s1.unionByName(d2), fx.LOAD_DATES[2])
+        return s1, d2, d3
+
+    def reconstruct_accounts(self) -> DataFrame:
+        from ..operators import vault as v
+
+        silver = Silver(self.spark, self.sf_dir)
+        return v.reconstruct_accounts(
+            self.first_load("hub_account"),
+            self.first_load("sat_account_details"),
+            self.first_load("link_account_user"),
+            self.first_load("hub_user"),
+            silver.account_types,
+            silver.users,
+        )
+
+    def reconstruct_transactions(self) -> DataFrame:
+        from ..operators import vault as v
+
+        silver = Silver(self.spark, self.sf_dir)
+        return v.reconstruct_transactions(
+            self.first_load("hub_transaction"),
+            self.first_load("sat_transaction_details"),
+            self.first_load("link_transaction_account"),
+            self.first_load("hub_account"),
+            silver.transaction_types,
+            silver.accounts,
+        )
+
+    def reconstruct_users(self) -> DataFrame:
+        from ..operators import vault as v
+
+        return v.reconstruct_users(self.first_load("hub_user"), self.first_load("sat_user_details"), fx.AS_OF)
+
+    def reconstruct_goals(self) -> DataFrame:
+        from ..operators import vault as v
+
+        silver = Silver(self.spark, self.sf_dir)
+        return v.reconstruct_goals(
+            self.first_load("hub_savings_goal"),
+            self.first_load("sat_savings_goal_details"),
+            self.first_load("link_savings_goal_user"),
+            self.first_load("hub_user"),
+            silver.users,
+        )

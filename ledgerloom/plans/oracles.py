@@ -400,3 +400,102 @@ JOIN dim_account da ON s.account_id = da.account_id AND s.month_end >= da.valid_
 JOIN dim_customer dc ON s.user_id = dc.user_id AND s.month_end >= dc.valid_from AND s.month_end < dc.valid_to""",
     STAR,
 )
+
+# --- data vault ---------------------------------------------------------------
+L1, L2, L3 = (f"TIMESTAMP '2026-0{m}-01 00:00:00'" for m in (1, 2, 3))
+HK_ACCOUNT = _hash_sql(["account_id"], trim=True, sort=False)
+HK_USER = _hash_sql(["user_id"], trim=True, sort=False)
+HK_TXN = _hash_sql(["transaction_id"], trim=True, sort=False)
+HK_ACCOUNT_USER = _hash_sql(["account_id", "user_id"], trim=True, sort=False)
+HD_ACCOUNT = _hash_sql(["account_type", "account_number", "opened_date"])
+HD_TXN = _hash_sql(["transaction_type", "amount", "currency", "transaction_ts"])
+
+
+def _sat_account(src: str, load: str) -> str:
+    return (
+        f"SELECT {HK_ACCOUNT} AS account_hk, {load} AS load_date, {HD_ACCOUNT} AS hash_diff, "
+        f"'bronze.accounts' AS record_source, account_type, account_number, opened_date FROM {src}"
+    )
+
+
+def _latest(src: str, key: str) -> str:
+    return (
+        f"SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY {key} "
+        "ORDER BY load_date DESC, hash_diff DESC) = 1"
+    )
+
+
+VAULT = {
+    "acc_early": "SELECT * FROM d_accounts WHERE opened_date < DATE '2000-01-01'",
+    "hub1": f"SELECT {HK_ACCOUNT} AS account_hk, account_id, {L1} AS load_date, 'bronze.accounts' AS record_source "
+    "FROM acc_early",
+    "hub2_delta": f"""
+  SELECT {HK_ACCOUNT} AS account_hk, account_id, {L2} AS load_date, 'bronze.accounts' AS record_source
+  FROM d_accounts WHERE {HK_ACCOUNT} NOT IN (SELECT account_hk FROM hub1)""",
+    "link1": f"""
+  SELECT {HK_ACCOUNT_USER} AS account_user_hk, {HK_ACCOUNT} AS account_hk, {HK_USER} AS user_hk,
+         {L1} AS load_date, 'bronze.accounts' AS record_source FROM acc_early""",
+    "link2_delta": f"""
+  SELECT {HK_ACCOUNT_USER} AS account_user_hk, {HK_ACCOUNT} AS account_hk, {HK_USER} AS user_hk,
+         {L2} AS load_date, 'bronze.accounts' AS record_source
+  FROM d_accounts WHERE {HK_ACCOUNT_USER} NOT IN (SELECT account_user_hk FROM link1)""",
+    "b_accounts_v2": f"SELECT {_ACCOUNT_COLS.format(priority=CHANGED_PRIORITY)} FROM orders WHERE o_custkey % 13 <> 0",
+    "sat1": _sat_account("d_accounts", L1),
+    "sat2_in": _sat_account("b_accounts_v2", L2),
+    "sat1_latest": _latest("sat1", "account_hk"),
+    "sat2_delta": """
+  SELECT i.* FROM sat2_in i LEFT JOIN sat1_latest l ON i.account_hk = l.account_hk
+  WHERE l.hash_diff IS NULL OR i.hash_diff <> l.hash_diff""",
+    "sat12_latest": _latest("(SELECT * FROM sat1 UNION ALL SELECT * FROM sat2_delta)", "account_hk"),
+    "sat3_in": _sat_account("d_accounts", L3),
+    "sat3_delta": """
+  SELECT i.* FROM sat3_in i LEFT JOIN sat12_latest l ON i.account_hk = l.account_hk
+  WHERE l.hash_diff IS NULL OR i.hash_diff <> l.hash_diff""",
+    "hub_user_all": f"SELECT {HK_USER} AS user_hk, user_id FROM d_users",
+    "hub_account_all": f"SELECT {HK_ACCOUNT} AS account_hk, account_id FROM d_accounts",
+    "link_account_user_all": f"SELECT {HK_ACCOUNT} AS account_hk, {HK_USER} AS user_hk FROM d_accounts",
+    "sat_txn1": f"""
+  SELECT {HK_TXN} AS transaction_hk, {L1} AS load_date, {HD_TXN} AS hash_diff,
+         'bronze.transactions' AS record_source, transaction_type, amount, currency, transaction_ts
+  FROM d_transactions""",
+}
+
+oracle("hub_load", "SELECT * FROM hub1", VAULT)
+oracle("hub_delta", "SELECT * FROM hub2_delta", VAULT)
+oracle("link_load", "SELECT * FROM link1", VAULT)
+oracle("link_delta", "SELECT * FROM link2_delta", VAULT)
+oracle("sat_load", "SELECT * FROM sat1", VAULT)
+oracle("sat_delta", "SELECT * FROM sat2_delta", VAULT)
+oracle("sat_delta_revert", "SELECT * FROM sat3_delta", VAULT)
+oracle(
+    "sat_current",
+    _latest("(SELECT * FROM sat1 UNION ALL SELECT * FROM sat2_delta UNION ALL SELECT * FROM sat3_delta)", "account_hk"),
+    VAULT,
+)
+oracle("sat_transaction_load", "SELECT * FROM sat_txn1", VAULT)
+oracle(
+    "vault_reconstruct",
+    f"""
+SELECT h.account_id, hu.user_id, aty.account_type_id, {_mask('s.account_number')} AS account_number_masked,
+       s.opened_date
+FROM sat1 s
+JOIN hub_account_all h ON s.account_hk = h.account_hk
+JOIN account_types aty ON s.account_type = aty.type_name
+JOIN link_account_user_all l ON s.account_hk = l.account_hk
+JOIN hub_user_all hu ON l.user_hk = hu.user_hk
+WHERE hu.user_id IN (SELECT user_id FROM s_users)""",
+    VAULT,
+)
+oracle(
+    "vault_reconstruct_transactions",
+    f"""
+SELECT h.transaction_id, ha.account_id, tty.transaction_type_id, s.amount, s.currency, s.transaction_ts
+FROM sat_txn1 s
+JOIN (SELECT {HK_TXN} AS transaction_hk, transaction_id FROM d_transactions) h ON s.transaction_hk = h.transaction_hk
+JOIN transaction_types tty ON s.transaction_type = tty.type_name
+JOIN (SELECT {HK_TXN} AS transaction_hk, {HK_ACCOUNT} AS account_hk FROM d_transactions) l
+  ON s.transaction_hk = l.transaction_hk
+JOIN (SELECT {HK_ACCOUNT} AS account_hk, account_id FROM b_transactions GROUP BY ALL) ha ON l.account_hk = ha.account_hk
+WHERE ha.account_id IN (SELECT account_id FROM s_accounts)""",
+    VAULT,
+)

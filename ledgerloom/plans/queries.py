@@ -228,3 +228,75 @@ def q_running_balance(spark, sf_dir):
 @query("monthly_snapshot")
 def q_monthly_snapshot(spark, sf_dir):
     return _star(spark, sf_dir).monthly_snapshot
+
+
+# --- data vault ---------------------------------------------------------------
+def _vault(spark, sf_dir):
+    from .layers import Vault
+
+    return Vault(spark, sf_dir)
+
+
+@query("hub_load")
+def q_hub_load(spark, sf_dir):
+    """hub_account after load 1 (accounts opened before 2000)."""
+    return _vault(spark, sf_dir).hub_link_loads("hub_account")[0]
+
+
+@query("hub_delta")
+def q_hub_delta(spark, sf_dir):
+    """Keys load 2 appends to hub_account."""
+    return _vault(spark, sf_dir).hub_link_loads("hub_account")[1]
+
+
+@query("link_load")
+def q_link_load(spark, sf_dir):
+    return _vault(spark, sf_dir).hub_link_loads("link_account_user")[0]
+
+
+@query("link_delta")
+def q_link_delta(spark, sf_dir):
+    return _vault(spark, sf_dir).hub_link_loads("link_account_user")[1]
+
+
+@query("sat_load")
+def q_sat_load(spark, sf_dir):
+    return _vault(spark, sf_dir).sat_loads()[0]
+
+
+@query("sat_delta")
+def q_sat_delta(spark, sf_dir):
+    """Load 2 changes the priority of every tenth order."""
+    return _vault(spark, sf_dir).sat_loads()[1]
+
+
+@query("sat_delta_revert")
+def q_sat_delta_revert(spark, sf_dir):
+    """Load 3 changes it back (A -> B -> A re-emits A)."""
+    return _vault(spark, sf_dir).sat_loads()[2]
+
+
+@query("sat_current")
+def q_sat_current(spark, sf_dir):
+    """F7 over the three-load history."""
+    from ..operators.vault import current
+
+    s1, d2, d3 = _vault(spark, sf_dir).sat_loads()
+    return current(s1.unionByName(d2).unionByName(d3), "account_hk")
+
+
+@query("sat_transaction_load")
+def q_sat_transaction_load(spark, sf_dir):
+    """J16/J17e: transaction satellite first load (decimal and timestamp attributes hashed)."""
+    return _vault(spark, sf_dir).first_load("sat_transaction_details")
+
+
+@query("vault_reconstruct")
+def q_vault_reconstruct(spark, sf_dir):
+    """Silver accounts rebuilt from hub, current satellite, newest link and reference."""
+    return _vault(spark, sf_dir).reconstruct_accounts()
+
+
+@query("vault_reconstruct_transactions")
+def q_vault_reconstruct_transactions(spark, sf_dir):
+    return _vault(spark, sf_dir).reconstruct_transactions()
