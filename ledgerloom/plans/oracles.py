@@ -173,9 +173,7 @@ oracle("conform_goals", "SELECT * FROM s_goals")
 
 # --- marts ----------------------------------------------------------------
 oracle("account_summary", "SELECT * FROM account_summary")
-oracle(
-    "customer_360",
-    f"""
+C360_SQL = f"""
 SELECT u.user_id, u.age_band, u.signup_date,
        CAST(coalesce(a.num_accounts, 0) AS BIGINT) AS num_accounts,
        CAST(coalesce(a.total_balance, 0) AS DECIMAL(20,2)) AS total_balance,
@@ -192,8 +190,8 @@ LEFT JOIN (SELECT user_id, count(*) AS num_accounts, sum(balance) AS total_balan
            FROM account_summary GROUP BY user_id) a ON u.user_id = a.user_id
 LEFT JOIN (SELECT user_id, count(*) AS num_savings_goals, sum(target_amount) AS total_target_amount,
                   sum(current_amount) AS total_saved_toward_goals
-           FROM s_goals GROUP BY user_id) g ON u.user_id = g.user_id""",
-)
+           FROM s_goals GROUP BY user_id) g ON u.user_id = g.user_id"""
+oracle("customer_360", C360_SQL)
 
 # --- calendar and star ------------------------------------------------------
 STAR = {
@@ -473,9 +471,7 @@ oracle(
     VAULT,
 )
 oracle("sat_transaction_load", "SELECT * FROM sat_txn1", VAULT)
-oracle(
-    "vault_reconstruct",
-    f"""
+RECON_SQL = f"""
 SELECT h.account_id, hu.user_id, aty.account_type_id, {_mask('s.account_number')} AS account_number_masked,
        s.opened_date
 FROM sat1 s
@@ -483,9 +479,8 @@ JOIN hub_account_all h ON s.account_hk = h.account_hk
 JOIN account_types aty ON s.account_type = aty.type_name
 JOIN link_account_user_all l ON s.account_hk = l.account_hk
 JOIN hub_user_all hu ON l.user_hk = hu.user_hk
-WHERE hu.user_id IN (SELECT user_id FROM s_users)""",
-    VAULT,
-)
+WHERE hu.user_id IN (SELECT user_id FROM s_users)"""
+oracle("vault_reconstruct", RECON_SQL, VAULT)
 oracle(
     "vault_reconstruct_transactions",
     f"""
@@ -499,3 +494,232 @@ JOIN (SELECT {HK_ACCOUNT} AS account_hk, account_id FROM b_transactions GROUP BY
 WHERE ha.account_id IN (SELECT account_id FROM s_accounts)""",
     VAULT,
 )
+
+# --- checks -------------------------------------------------------------------
+def _chk(name: str, failing_sql: str) -> str:
+    f = "coalesce(CAST(t.f AS BIGINT), CAST(0 AS BIGINT))"
+    return f"SELECT '{name}' AS \"check\", {f} = 0 AS ok, {f} AS failing FROM ({failing_sql}) AS t(f)"
+
+
+def _checks(*parts: str) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def unique_sql(src: str, keys: str) -> str:
+    return f"SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM {src} GROUP BY {keys})"
+
+
+def fk_sql(child: str, parent: str, c: str, p: str | None = None) -> str:
+    return f"SELECT count(*) FROM {child} x WHERE NOT EXISTS (SELECT 1 FROM {parent} y WHERE y.{p or c} = x.{c})"
+
+
+def fanout_sql(fact: str, dim: str, k: str) -> str:
+    return (
+        f"SELECT count(*) FROM {fact} x LEFT JOIN (SELECT {k} AS dk, count(*) AS m FROM {dim} GROUP BY 1) d "
+        f"ON x.{k} = d.dk WHERE d.m IS NULL OR d.m <> 1"
+    )
+
+
+def counts_sql(a: str, b: str) -> str:
+    return f"SELECT abs((SELECT count(*) FROM {a}) - (SELECT count(*) FROM {b}))"
+
+
+def nonempty_sql(src: str) -> str:
+    return f"SELECT 1 - count(*) FROM (SELECT 1 FROM {src} LIMIT 1)"
+
+
+def measure_sql(left: str, key: str, lm: str, right: str, rm: str) -> str:
+    return (
+        f"SELECT count(*) FROM (SELECT {key} AS k, {lm} AS l FROM {left}) a "
+        f"LEFT JOIN (SELECT {key} AS k, sum({rm}) AS r FROM {right} GROUP BY 1) b ON a.k = b.k "
+        "WHERE a.l - coalesce(b.r, 0) <> 0"
+    )
+
+
+def current_sql(dim: str, key: str) -> str:
+    return f"SELECT count(*) FROM (SELECT {key} FROM {dim} WHERE is_current GROUP BY 1 HAVING count(*) > 1)"
+
+
+def contiguous_sql(dim: str, key: str) -> str:
+    return (
+        f"SELECT count(*) FROM (SELECT valid_to, lead(valid_from) OVER (PARTITION BY {key} "
+        f"ORDER BY valid_from, valid_to) AS nx FROM {dim}) WHERE nx IS NOT NULL AND valid_to <> nx"
+    )
+
+
+def coverage_sql(fact: str, cal: str) -> str:
+    return (
+        f"SELECT count(*) FROM (SELECT DISTINCT date_key FROM {fact}) f "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {cal} c WHERE c.date_key = f.date_key)"
+    )
+
+
+def hub_complete_sql(hub: str, src: str, key: str) -> str:
+    return (
+        f"SELECT count(*) FROM (SELECT DISTINCT {key} FROM {src}) s "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {hub} h WHERE h.{key} = s.{key})"
+    )
+
+
+def repeat_sql(sat: str, key: str) -> str:
+    return (
+        f"SELECT count(*) FROM (SELECT hash_diff, lag(hash_diff) OVER (PARTITION BY {key} "
+        f"ORDER BY load_date, hash_diff) AS p FROM {sat}) WHERE p = hash_diff"
+    )
+
+
+def equal_sql(a: str, b: str, key: str, cols: list[str]) -> str:
+    diff = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in cols)
+    return (
+        f"SELECT count(*) FROM {a} a FULL OUTER JOIN {b} b ON a.{key} = b.{key} "
+        f"WHERE a.{key} IS NULL OR b.{key} IS NULL OR {diff}"
+    )
+
+
+CHECK = dict(STAR)
+CHECK.update(VAULT)
+CHECK.update(
+    {
+        "fct": """
+  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, customer_key, account_key,
+         transaction_type_id AS transaction_type_key, transaction_id,
+         CAST(amount AS DECIMAL(12,2)) AS amount,
+         CAST(CASE WHEN direction = 'inflow' THEN amount ELSE -amount END AS DECIMAL(12,2)) AS signed_amount,
+         currency
+  FROM resolved WHERE account_key IS NOT NULL AND customer_key IS NOT NULL""",
+        "unresolved": "SELECT transaction_id FROM resolved WHERE account_key IS NULL OR customer_key IS NULL",
+        "fct_all": "SELECT transaction_id FROM fct UNION ALL SELECT transaction_id FROM unresolved",
+        "pit_facts": "SELECT t.*, a.user_id FROM s_transactions t JOIN s_accounts a ON t.account_id = a.account_id",
+        "crash": "SELECT * FROM scd1 UNION ALL SELECT * FROM scd1_l2_ins",
+        "sat_rerun_in": _sat_account("d_accounts", L2),
+        "sat_rerun": """
+  SELECT i.* FROM sat_rerun_in i LEFT JOIN sat1_latest l ON i.account_hk = l.account_hk
+  WHERE l.hash_diff IS NULL OR i.hash_diff <> l.hash_diff""",
+        "sat_hist": "SELECT * FROM sat1 UNION ALL SELECT * FROM sat2_delta UNION ALL SELECT * FROM sat3_delta",
+        "sat_blind": "SELECT * FROM sat1 UNION ALL SELECT * FROM sat_rerun_in",
+        "c360": C360_SQL,
+        "fct_by_account": "SELECT f.*, da.account_id FROM fct f JOIN dim_account da ON f.account_key = da.account_key",
+        "snap_fact": """
+  SELECT s.date_key, dc.customer_key, da.account_key, s.closing_balance
+  FROM snap s
+  JOIN dim_account da ON s.account_id = da.account_id AND s.month_end >= da.valid_from AND s.month_end < da.valid_to
+  JOIN dim_customer dc ON s.user_id = dc.user_id AND s.month_end >= dc.valid_from AND s.month_end < dc.valid_to""",
+        "snap_latest": """
+  SELECT da.account_id, sf.closing_balance FROM snap_fact sf JOIN dim_account da ON sf.account_key = da.account_key
+  QUALIFY row_number() OVER (PARTITION BY da.account_id ORDER BY sf.date_key DESC, sf.closing_balance DESC) = 1""",
+        "dim_date_keys": "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key FROM days",
+        "short_days": """
+  SELECT CAST(strftime(CAST(g.d AS DATE), '%Y%m%d') AS INTEGER) AS date_key
+  FROM (SELECT CAST(date_trunc('month', min(opened_date)) AS DATE) AS s, last_day(max(opened_date)) AS e
+        FROM s_accounts) b,
+       unnest(generate_series(CAST(b.s AS TIMESTAMP), CAST(b.e AS TIMESTAMP), INTERVAL 1 DAY)) AS g(d)""",
+        "recon": RECON_SQL,
+        "sat12_cur": _latest("(SELECT * FROM sat1 UNION ALL SELECT * FROM sat2_delta)", "account_hk"),
+        "recon2": RECON_SQL.replace("FROM sat1 s", "FROM sat12_cur s"),
+    }
+)
+ACCT_COLS = ["user_id", "account_type_id", "account_number_masked", "opened_date"]
+
+oracle(
+    "check_unique",
+    _checks(
+        _chk("dim_customer.customer_key unique", unique_sql("dim_customer", "customer_key")),
+        _chk("bronze.transactions.transaction_id unique", unique_sql("b_transactions", "transaction_id")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_fk",
+    _checks(
+        _chk("silver.transactions -> accounts", fk_sql("s_transactions", "s_accounts", "account_id")),
+        _chk("bronze.accounts -> silver.users", fk_sql("b_accounts", "s_users", "user_id")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_fk_fanout",
+    _checks(
+        _chk("fct_transaction.account_key", fanout_sql("fct", "dim_account", "account_key")),
+        _chk("transactions.user_id -> versioned customers", fanout_sql("pit_facts", "scd1_l2", "user_id")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_counts",
+    _checks(
+        _chk("fct + unresolved == silver.transactions", counts_sql("fct_all", "s_transactions")),
+        _chk("fct_transaction == silver.transactions", counts_sql("fct", "s_transactions")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_nonempty",
+    _checks(
+        _chk("silver.accounts has rows", nonempty_sql("s_accounts")),
+        _chk("sat re-run appends rows", nonempty_sql("sat_rerun")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_measure",
+    _checks(
+        _chk("360 vs account_summary", measure_sql("c360", "user_id", "total_balance", "account_summary", "balance")),
+        _chk(
+            "fct signed_amount vs account_summary",
+            measure_sql("account_summary", "account_id", "balance", "fct_by_account", "signed_amount"),
+        ),
+        _chk(
+            "latest snapshot vs account_summary",
+            measure_sql("account_summary", "account_id", "balance", "snap_latest", "closing_balance"),
+        ),
+    ),
+    CHECK,
+)
+oracle(
+    "check_scd2_current",
+    _checks(
+        _chk("second load", current_sql("scd1_l2", "user_id")),
+        _chk("inserted without expiring", current_sql("crash", "user_id")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_scd2_contiguous",
+    _checks(
+        _chk("second load", contiguous_sql("scd1_l2", "user_id")),
+        _chk("inserted without expiring", contiguous_sql("crash", "user_id")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_date_coverage",
+    _checks(
+        _chk("dim_date covers fct_transaction", coverage_sql("fct", "dim_date_keys")),
+        _chk("opening-date calendar covers fct_transaction", coverage_sql("fct", "short_days")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_hub_complete",
+    _checks(
+        _chk("hub_account after a full load", hub_complete_sql("hub_account_all", "b_accounts", "account_id")),
+        _chk("hub_account after load 1 only", hub_complete_sql("hub1", "b_accounts", "account_id")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_hash_repeat",
+    _checks(
+        _chk("three-load history", repeat_sql("sat_hist", "account_hk")),
+        _chk("unfiltered re-load", repeat_sql("sat_blind", "account_hk")),
+    ),
+    CHECK,
+)
+oracle(
+    "check_equal",
+    _checks(
+        _chk("vault == silver accounts", equal_sql("recon", "s_accounts", "account_id", ACCT_COLS)),
+        _chk("vault after load 2 == silver", equal_sql("recon2", "s_accounts", "account_id", ACCT_COLS)),
+    ),
+    CHECK,
+)

@@ -300,3 +300,194 @@ def q_vault_reconstruct(spark, sf_dir):
 @query("vault_reconstruct_transactions")
 def q_vault_reconstruct_transactions(spark, sf_dir):
     return _vault(spark, sf_dir).reconstruct_transactions()
+
+
+# --- checks: each kind on a passing and a failing input --------------------------
+def _checks(*frames):
+    from ..operators.checks import run_all
+
+    return run_all(list(frames))
+
+
+@query("check_unique")
+def q_check_unique(spark, sf_dir):
+    from ..operators import checks as K
+    from ..sources import fixtures as fx
+
+    st = _star(spark, sf_dir)
+    return _checks(
+        K.unique(st.dim_customer, ["customer_key"], "dim_customer.customer_key unique"),
+        K.unique(fx.transactions(spark, sf_dir), ["transaction_id"], "bronze.transactions.transaction_id unique"),
+    )
+
+
+@query("check_fk")
+def q_check_fk(spark, sf_dir):
+    from ..operators import checks as K
+    from ..sources import fixtures as fx
+
+    s = Silver(spark, sf_dir)
+    return _checks(
+        K.fk(s.transactions, s.accounts, "account_id", name="silver.transactions -> accounts"),
+        K.fk(fx.accounts(spark, sf_dir), s.users, "user_id", name="bronze.accounts -> silver.users"),
+    )
+
+
+@query("check_fk_fanout")
+def q_check_fk_fanout(spark, sf_dir):
+    from ..operators import checks as K
+    from .layers import scd2_customer_states
+    from .verify import pit_facts
+
+    st = _star(spark, sf_dir)
+    return _checks(
+        K.fk_fanout(st.fct_transaction, st.dim_account, "account_key", name="fct_transaction.account_key"),
+        K.fk_fanout(
+            pit_facts(st.silver), scd2_customer_states(spark, sf_dir)[1], "user_id",
+            name="transactions.user_id -> versioned customers",
+        ),
+    )
+
+
+@query("check_counts")
+def q_check_counts(spark, sf_dir):
+    from ..operators import checks as K
+
+    st = _star(spark, sf_dir)
+    txns = st.silver.transactions
+    return _checks(
+        K.counts(
+            st.fct_transaction.select("transaction_id").unionByName(st.fct_unresolved.select("transaction_id")),
+            txns, "fct + unresolved == silver.transactions",
+        ),
+        K.counts(st.fct_transaction, txns, "fct_transaction == silver.transactions"),
+    )
+
+
+@query("check_nonempty")
+def q_check_nonempty(spark, sf_dir):
+    """The failing input is a vault re-run: loading the same data again appends nothing."""
+    from ..operators import checks as K
+    from ..operators import vault as V
+    from ..sources import fixtures as fx
+    from .layers import Vault
+
+    s = Silver(spark, sf_dir)
+    v = Vault(spark, sf_dir)
+    spec = V.SAT["sat_account_details"]
+    rerun = V.load_sat(spec, fx.accounts(spark, sf_dir), v.first_load(spec.name), fx.LOAD_DATES[1])
+    return _checks(K.nonempty(s.accounts, "silver.accounts has rows"), K.nonempty(rerun, "sat re-run appends rows"))
+
+
+@query("check_measure")
+def q_check_measure(spark, sf_dir):
+    from ..operators import checks as K
+    from .verify import account_key_map, latest_snapshot_per_account
+
+    st = _star(spark, sf_dir)
+    s = st.silver
+    return _checks(
+        K.measure(s.customer_360, "user_id", "total_balance", s.account_summary, "balance", "360 vs account_summary"),
+        K.measure(
+            s.account_summary, "account_id", "balance",
+            st.fct_transaction.join(account_key_map(st.dim_account), "account_key"), "signed_amount",
+            "fct signed_amount vs account_summary",
+        ),
+        K.measure(
+            s.account_summary, "account_id", "balance",
+            latest_snapshot_per_account(st.monthly_snapshot, st.dim_account), "closing_balance",
+            "latest snapshot vs account_summary",
+        ),
+    )
+
+
+@query("check_scd2_current")
+def q_check_scd2_current(spark, sf_dir):
+    from ..operators import checks as K
+    from .layers import scd2_customer_states
+    from .verify import crash_state
+
+    return _checks(
+        K.scd2_current(scd2_customer_states(spark, sf_dir)[1], "user_id", "second load"),
+        K.scd2_current(crash_state(spark, sf_dir), "user_id", "inserted without expiring"),
+    )
+
+
+@query("check_scd2_contiguous")
+def q_check_scd2_contiguous(spark, sf_dir):
+    from ..operators import checks as K
+    from .layers import scd2_customer_states
+    from .verify import crash_state
+
+    return _checks(
+        K.scd2_contiguous(scd2_customer_states(spark, sf_dir)[1], "user_id", "second load"),
+        K.scd2_contiguous(crash_state(spark, sf_dir), "user_id", "inserted without expiring"),
+    )
+
+
+@query("check_date_coverage")
+def q_check_date_coverage(spark, sf_dir):
+    """The failing calendar spans account opening dates only."""
+    from ..operators import checks as K
+    from ..operators.calendar import date_bounds, date_dim
+
+    st = _star(spark, sf_dir)
+    short = date_dim(date_bounds(st.silver.accounts.select("opened_date")))
+    return _checks(
+        K.date_coverage(st.fct_transaction, st.dim_date, name="dim_date covers fct_transaction"),
+        K.date_coverage(st.fct_transaction, short, name="opening-date calendar covers fct_transaction"),
+    )
+
+
+@query("check_hub_complete")
+def q_check_hub_complete(spark, sf_dir):
+    from ..operators import checks as K
+    from ..sources import fixtures as fx
+    from .layers import Vault
+
+    v = Vault(spark, sf_dir)
+    src = fx.accounts(spark, sf_dir)
+    return _checks(
+        K.hub_complete(v.first_load("hub_account"), src, "account_id", "hub_account after a full load"),
+        K.hub_complete(v.hub_link_loads("hub_account")[0], src, "account_id", "hub_account after load 1 only"),
+    )
+
+
+@query("check_hash_repeat")
+def q_check_hash_repeat(spark, sf_dir):
+    """The failing history appends load 2 without the change filter."""
+    from ..operators import checks as K
+    from ..operators import vault as V
+    from ..sources import fixtures as fx
+    from .layers import Vault
+
+    v = Vault(spark, sf_dir)
+    s1, d2, d3 = v.sat_loads()
+    spec = V.SAT["sat_account_details"]
+    blind = s1.unionByName(V.sat_rows(spec, fx.accounts(spark, sf_dir), fx.LOAD_DATES[1]))
+    return _checks(
+        K.hash_repeat(s1.unionByName(d2).unionByName(d3), "account_hk", "three-load history"),
+        K.hash_repeat(blind, "account_hk", "unfiltered re-load"),
+    )
+
+
+@query("check_equal")
+def q_check_equal(spark, sf_dir):
+    from ..operators import checks as K
+    from .layers import Vault
+    from .verify import reconstruct_after_change
+
+    s = Silver(spark, sf_dir)
+    cols = [(c, c) for c in ("user_id", "account_type_id", "account_number_masked", "opened_date")]
+    return _checks(
+        K.equal(Vault(spark, sf_dir).reconstruct_accounts(), s.accounts, "account_id", cols, "vault == silver accounts"),
+        K.equal(reconstruct_after_change(spark, sf_dir), s.accounts, "account_id", cols, "vault after load 2 == silver"),
+    )
+
+
+@query("checks_e2e")
+def q_checks_e2e(spark, sf_dir):
+    """Every cross-layer invariant (silver 7, marts 3, star 18, vault 29) as rows."""
+    from .verify import e2e_checks
+
+    return _checks(*e2e_checks(spark, sf_dir))
