@@ -723,3 +723,14 @@ oracle(
     ),
     CHECK,
 )
+
+# --- sources, sinks, streaming, previews ----------------------------------------
+oracle("csv_round_trip", "SELECT * FROM b_users")
+oracle("incremental_append", "SELECT * FROM d_transactions")
+oracle(
+    "quarantine_round_trip",
+    "SELECT transaction_id, account_id, transaction_type, amount, currency, transaction_ts, _ingested_at, "
+    "_src_partkey, _src_suppkey, reason FROM t_transactions WHERE reason IS NOT NULL",
+)
+oracle("stream_incremental_append", "SELECT * FROM d_transactions")
+oracle("preview_top_n", "SELECT * FROM account_summary ORDER BY balance DESC, account_id ASC LIMIT 20")

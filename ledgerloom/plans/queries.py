@@ -491,3 +491,98 @@ def q_checks_e2e(spark, sf_dir):
     from .verify import e2e_checks
 
     return _checks(*e2e_checks(spark, sf_dir))
+
+
+# --- sources, sinks, streaming, previews ----------------------------------------
+BRONZE_TRANSACTION_SCHEMA = (
+    "transaction_id string, account_id string, transaction_type string, amount decimal(10,2), "
+    "currency string, transaction_ts timestamp_ntz, _ingested_at timestamp_ntz, "
+    "_src_partkey bigint, _src_suppkey bigint"
+)
+SPLIT_DATE = "1998-01-01"
+
+
+def _schema(spark, ddl):
+    from pyspark.sql.types import StructType
+
+    return StructType.fromDDL(ddl)
+
+
+@query("csv_round_trip")
+def q_csv_round_trip(spark, sf_dir):
+    """A1 + B1: bronze users written as CSV and scanned back with an explicit schema."""
+    from ..session import scratch_path
+    from ..sources import fixtures as fx
+    from ..sources import io
+
+    path = scratch_path(spark, "csv-users")
+    io.write_path(fx.users(spark, sf_dir), path, "overwrite", "csv")
+    ddl = (
+        "user_id string, full_name string, email string, date_of_birth date, address string, "
+        "signup_date date, _ingested_at timestamp_ntz"
+    )
+    return io.read_csv(spark, path, _schema(spark, ddl))
+
+
+@query("incremental_append")
+def q_incremental_append(spark, sf_dir):
+    """A3 + A4 + B2: full load of early transactions, append of the rest (as CSV
+    landings), then F1 over the bronze table: equals dedupe over everything."""
+    from pyspark.sql import functions as F
+
+    from ..operators.clean import dedupe_latest
+    from ..session import scratch_path
+    from ..sources import fixtures as fx
+    from ..sources import io
+
+    bronze = fx.transactions(spark, sf_dir)
+    land1, land2, table = (scratch_path(spark, n) for n in ("land-full", "land-incr", "bronze-txn"))
+    early = F.col("transaction_ts") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
+    io.write_path(bronze.where(early), land1, "overwrite", "csv")
+    io.write_path(bronze.where(~early), land2, "overwrite", "csv")
+    schema = _schema(spark, BRONZE_TRANSACTION_SCHEMA)
+    io.write_path(io.read_csv(spark, land1, schema), table, "overwrite")
+    io.write_path(io.read_csv(spark, land2, schema), table, "append")
+    return dedupe_latest(io.read_path(spark, table), ["transaction_id"], ["_ingested_at"], fx.TRANSACTION_TIE_BREAK)
+
+
+@query("quarantine_round_trip")
+def q_quarantine_round_trip(spark, sf_dir):
+    """Rejected transactions written to the quarantine sink and read back."""
+    from ..session import scratch_path
+    from ..sources import io
+
+    path = scratch_path(spark, "quarantine-txn")
+    io.write_quarantine(Silver(spark, sf_dir).transactions_split.rejected, path)
+    return io.read_csv(spark, path, _schema(spark, BRONZE_TRANSACTION_SCHEMA + ", reason string"))
+
+
+@query("stream_incremental_append")
+def q_stream_incremental_append(spark, sf_dir):
+    """A4 as a checkpointed stream: two landed batches, one availableNow run, F1 downstream."""
+    from pyspark.sql import functions as F
+
+    from ..operators.clean import dedupe_latest
+    from ..session import scratch_path
+    from ..sources import fixtures as fx
+    from ..sources import io
+    from ..streaming.incremental import ingest_stream, run_until_caught_up
+
+    bronze = fx.transactions(spark, sf_dir)
+    landing, target = scratch_path(spark, "stream-land"), scratch_path(spark, "stream-bronze")
+    early = F.col("transaction_ts") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
+    io.write_path(bronze.where(early), f"{landing}/part=1")
+    io.write_path(bronze.where(~early), f"{landing}/part=2")
+    schema = _schema(spark, BRONZE_TRANSACTION_SCHEMA + ", part int")
+    run_until_caught_up(ingest_stream(spark, landing, schema, target))
+    landed = io.read_path(spark, target).drop("part", "batch_id")
+    return dedupe_latest(landed, ["transaction_id"], ["_ingested_at"], fx.TRANSACTION_TIE_BREAK)
+
+
+@query("preview_top_n")
+def q_preview_top_n(spark, sf_dir):
+    """G1: the 20 largest balances (a top-k report; the limit is the feature)."""
+    from pyspark.sql import functions as F
+
+    summary = Silver(spark, sf_dir).account_summary
+    return summary.orderBy(F.col("balance").desc(), F.col("account_id").asc()).limit(20)
