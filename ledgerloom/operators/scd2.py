@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import open_end, row_hash
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, reliable_checkpoint
 
 _POS_BITS = 33
 
@@ -48,11 +48,10 @@ def assign_keys(
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
+    ranged = reliable_checkpoint(
         df.repartitionByRange(n, *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))

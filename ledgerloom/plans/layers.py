@@ -12,16 +12,32 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import conform, marts
+from ..session import reliable_checkpoint
 from ..operators.clean import Split
 from ..sources import fixtures as fx
 
 
+def _keep(df: DataFrame, materialize: bool) -> DataFrame:
+    """Cut lineage by writing ``df`` once to the shared checkpoint folder.
+
+    Used when many consumers read the same layer (the end-to-end checks), the
+    way the stages hand over stored tables; reliable ``checkpoint`` survives
+    executor loss, unlike a local cache.
+    """
+    return reliable_checkpoint(df) if materialize else df
+
+
 @dataclass
 class Silver:
-    """The six silver relations plus the quarantine sides, built from one sf folder."""
+    """The six silver relations plus the quarantine sides, built from one sf folder.
+
+    With ``materialize=True`` every silver table and mart is written once to
+    the checkpoint folder and read back by its consumers.
+    """
 
     spark: SparkSession
     sf_dir: str
+    materialize: bool = False
 
     @cached_property
     def account_types(self) -> DataFrame:
@@ -37,7 +53,7 @@ class Silver:
 
     @cached_property
     def users(self) -> DataFrame:
-        return self.users_split.valid
+        return _keep(self.users_split.valid, self.materialize)
 
     @cached_property
     def accounts_split(self) -> Split:
@@ -45,7 +61,7 @@ class Silver:
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return self.accounts_split.valid
+        return _keep(self.accounts_split.valid, self.materialize)
 
     @cached_property
     def transactions_split(self) -> Split:
@@ -58,7 +74,7 @@ class Silver:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self.transactions_split.valid
+        return _keep(self.transactions_split.valid, self.materialize)
 
     @cached_property
     def goals_split(self) -> Split:
@@ -66,15 +82,16 @@ class Silver:
 
     @cached_property
     def goals(self) -> DataFrame:
-        return self.goals_split.valid
+        return _keep(self.goals_split.valid, self.materialize)
 
     @cached_property
     def account_summary(self) -> DataFrame:
-        return marts.account_summary(self.accounts, self.transactions, self.account_types, self.transaction_types)
+        out = marts.account_summary(self.accounts, self.transactions, self.account_types, self.transaction_types)
+        return _keep(out, self.materialize)
 
     @cached_property
     def customer_360(self) -> DataFrame:
-        return marts.customer_360(self.users, self.account_summary, self.goals)
+        return _keep(marts.customer_360(self.users, self.account_summary, self.goals), self.materialize)
 
 
 @dataclass
@@ -100,7 +117,7 @@ class Star:
     def dim_date(self) -> DataFrame:
         from ..operators.calendar import date_dim
 
-        return date_dim(self.bounds)
+        return _keep(date_dim(self.bounds), self.silver.materialize)
 
     @cached_property
     def dim_transaction_type(self) -> DataFrame:
@@ -119,34 +136,34 @@ class Star:
         from ..operators.scd2 import CUSTOMER_SPEC, apply_scd2
 
         incoming = self.silver.users.select("user_id", "age_band", "signup_date")
-        return apply_scd2(incoming, None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
+        return _keep(apply_scd2(incoming, None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE), self.silver.materialize)
 
     @cached_property
     def dim_account(self) -> DataFrame:
         from ..operators.scd2 import ACCOUNT_SPEC, apply_scd2
 
-        return apply_scd2(self.account_input, None, ACCOUNT_SPEC, fx.SCD2_RUN_DATE)
+        return _keep(apply_scd2(self.account_input, None, ACCOUNT_SPEC, fx.SCD2_RUN_DATE), self.silver.materialize)
 
     @cached_property
     def fct_transaction(self) -> DataFrame:
         from ..operators.facts import transaction_fact
 
         s = self.silver
-        return transaction_fact(s.transactions, s.transaction_types, self.dim_customer, self.dim_account)
+        return _keep(transaction_fact(s.transactions, s.transaction_types, self.dim_customer, self.dim_account), self.silver.materialize)
 
     @cached_property
     def fct_unresolved(self) -> DataFrame:
         from ..operators.facts import unresolved_transactions
 
         s = self.silver
-        return unresolved_transactions(s.transactions, s.transaction_types, self.dim_customer, self.dim_account)
+        return _keep(unresolved_transactions(s.transactions, s.transaction_types, self.dim_customer, self.dim_account), self.silver.materialize)
 
     @cached_property
     def monthly_snapshot(self) -> DataFrame:
         from ..operators.facts import monthly_snapshot
 
         s = self.silver
-        return monthly_snapshot(s.transactions, s.accounts, s.transaction_types, self.dim_customer, self.dim_account)
+        return _keep(monthly_snapshot(s.transactions, s.accounts, s.transaction_types, self.dim_customer, self.dim_account), self.silver.materialize)
 
 
 def scd2_customer_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -164,6 +181,12 @@ class Vault:
 
     spark: SparkSession
     sf_dir: str
+    materialize: bool = False
+    silver: Silver | None = None
+
+    def __post_init__(self) -> None:
+        self._loaded: dict[str, DataFrame] = {}
+        self._silver = self.silver or Silver(self.spark, self.sf_dir, self.materialize)
 
     def bronze(self, source: str) -> DataFrame:
         return {
@@ -177,19 +200,36 @@ class Vault:
     def tie_break(source: str) -> tuple[str, ...]:
         return fx.TRANSACTION_TIE_BREAK if source == "transactions" else ()
 
+    def latest(self, source: str) -> DataFrame:
+        """Latest bronze row per key of ``source``, computed once for its hub, link and satellite."""
+        from ..operators.clean import dedupe_latest
+
+        key = {"users": "user_id", "accounts": "account_id", "transactions": "transaction_id",
+               "savings_goals": "goal_id"}[source]
+        name = f"latest:{source}"
+        if name not in self._loaded:
+            tb = self.tie_break(source) or (key,)
+            self._loaded[name] = _keep(dedupe_latest(self.bronze(source), [key], ["_ingested_at"], tb), self.materialize)
+        return self._loaded[name]
+
     def first_load(self, name: str) -> DataFrame:
         """The table after one load of everything (hub, link or satellite by name)."""
+        if name not in self._loaded:
+            self._loaded[name] = _keep(self._first_load(name), self.materialize)
+        return self._loaded[name]
+
+    def _first_load(self, name: str) -> DataFrame:
         from ..operators import vault as v
 
         load = fx.LOAD_DATES[0]
         if name in v.HUB:
             spec = v.HUB[name]
-            return v.load_hub(spec, self.bronze(spec.source), None, load, self.tie_break(spec.source))
+            return v.load_hub(spec, self.latest(spec.source), None, load, None)
         if name in v.LINK:
             spec = v.LINK[name]
-            return v.load_link(spec, self.bronze(spec.source), None, load, self.tie_break(spec.source))
+            return v.load_link(spec, self.latest(spec.source), None, load, None)
         spec = v.SAT[name]
-        return v.load_sat(spec, self.bronze(spec.source), None, load, self.tie_break(spec.source))
+        return v.load_sat(spec, self.latest(spec.source), None, load, None)
 
     def hub_link_loads(self, name: str) -> tuple[DataFrame, DataFrame]:
         """Hub/link scenario on accounts: load 1 = opened before 2000, load 2 = all.
@@ -223,7 +263,7 @@ class Vault:
     def reconstruct_accounts(self) -> DataFrame:
         from ..operators import vault as v
 
-        silver = Silver(self.spark, self.sf_dir)
+        silver = self._silver
         return v.reconstruct_accounts(
             self.first_load("hub_account"),
             self.first_load("sat_account_details"),
@@ -236,7 +276,7 @@ class Vault:
     def reconstruct_transactions(self) -> DataFrame:
         from ..operators import vault as v
 
-        silver = Silver(self.spark, self.sf_dir)
+        silver = self._silver
         return v.reconstruct_transactions(
             self.first_load("hub_transaction"),
             self.first_load("sat_transaction_details"),
@@ -254,7 +294,7 @@ class Vault:
     def reconstruct_goals(self) -> DataFrame:
         from ..operators import vault as v
 
-        silver = Silver(self.spark, self.sf_dir)
+        silver = self._silver
         return v.reconstruct_goals(
             self.first_load("hub_savings_goal"),
             self.first_load("sat_savings_goal_details"),

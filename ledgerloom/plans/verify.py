@@ -142,10 +142,13 @@ def vault_checks(v: Vault, s: Silver) -> list[DataFrame]:
     return out
 
 
-def e2e_checks(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    s = Silver(spark, sf_dir)
+def e2e_checks(spark: SparkSession, sf_dir: str, materialize: bool = True) -> list[DataFrame]:
+    """All invariants.  With ``materialize`` (default) each layer is built once
+    and stored in the checkpoint folder, and the checks read the stored tables."""
+    s = Silver(spark, sf_dir, materialize)
     st = Star(s)
-    return silver_checks(s) + mart_checks(s) + star_checks(st) + vault_checks(Vault(spark, sf_dir), s)
+    v = Vault(spark, sf_dir, materialize, s)
+    return silver_checks(s) + mart_checks(s) + star_checks(st) + vault_checks(v, s)
 
 
 def crash_state(spark: SparkSession, sf_dir: str) -> DataFrame:

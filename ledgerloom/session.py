@@ -64,3 +64,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """Write ``df`` once to the shared checkpoint folder and return the stored copy.
+
+    ``Dataset.checkpoint`` runs its input twice (the eager count, then the
+    checkpoint write); persisting first lets the write read the cached blocks,
+    so the input is computed once.  The cache is released afterwards; the
+    checkpoint is the durable copy that survives executor loss.
+    """
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist(blocking=False)
