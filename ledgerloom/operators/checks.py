@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sequence import with_neighbour
+
 CHECK_COLUMNS = ("check", "ok", "failing")
 
 
@@ -86,10 +88,13 @@ def scd2_current(dim: DataFrame, key: str, name: str | None = None) -> DataFrame
 
 
 def scd2_contiguous(dim: DataFrame, key: str, name: str | None = None) -> DataFrame:
-    """Versions whose ``valid_to`` is not the next version's ``valid_from``."""
-    w = Window.partitionBy(key).orderBy("valid_from", "valid_to")
-    nxt = dim.select("valid_to", F.lead("valid_from").over(w).alias("_next"))
-    bad = nxt.where(F.col("_next").isNotNull() & (F.col("valid_to") != F.col("_next")))
+    """Versions whose ``valid_to`` is not the next version's ``valid_from``.
+
+    The next version comes from :func:`~ledgerloom.operators.sequence.with_neighbour`
+    (no per-key window, so a key with very many versions is not one task).
+    """
+    nxt = with_neighbour(dim, key, ["valid_from", "valid_to"], ["valid_from"], "_next_", offset=1)
+    bad = nxt.where(F.col("_next_valid_from").isNotNull() & (F.col("valid_to") != F.col("_next_valid_from")))
     return _result(name or f"scd2 contiguous per {key}", _count(bad))
 
 
@@ -106,11 +111,9 @@ def hub_complete(hub: DataFrame, source: DataFrame, key: str, name: str | None =
 
 
 def hash_repeat(sat: DataFrame, key: str, name: str | None = None) -> DataFrame:
-    """Consecutive versions of a key with the same ``hash_diff``."""
-    w = Window.partitionBy(key).orderBy("load_date", "hash_diff")
-    rep = sat.select("hash_diff", F.lag("hash_diff").over(w).alias("_prev")).where(
-        F.col("_prev") == F.col("hash_diff")
-    )
+    """Consecutive versions of a key with the same ``hash_diff`` (skew-safe neighbour)."""
+    prev = with_neighbour(sat, key, ["load_date", "hash_diff"], ["hash_diff"], "_prev_", offset=-1)
+    rep = prev.where(F.col("_prev_hash_diff") == F.col("hash_diff"))
     return _result(name or f"no repeated hash_diff per {key}", _count(rep))
 
 
