@@ -481,19 +481,16 @@ JOIN link_account_user_all l ON s.account_hk = l.account_hk
 JOIN hub_user_all hu ON l.user_hk = hu.user_hk
 WHERE hu.user_id IN (SELECT user_id FROM s_users)"""
 oracle("vault_reconstruct", RECON_SQL, VAULT)
-oracle(
-    "vault_reconstruct_transactions",
-    f"""
+RECON_TXN_SQL = f"""
 SELECT h.transaction_id, ha.account_id, tty.transaction_type_id, s.amount, s.currency, s.transaction_ts
 FROM sat_txn1 s
 JOIN (SELECT {HK_TXN} AS transaction_hk, transaction_id FROM d_transactions) h ON s.transaction_hk = h.transaction_hk
 JOIN transaction_types tty ON s.transaction_type = tty.type_name
 JOIN (SELECT {HK_TXN} AS transaction_hk, {HK_ACCOUNT} AS account_hk FROM d_transactions) l
   ON s.transaction_hk = l.transaction_hk
-JOIN (SELECT {HK_ACCOUNT} AS account_hk, account_id FROM b_transactions GROUP BY ALL) ha ON l.account_hk = ha.account_hk
-WHERE ha.account_id IN (SELECT account_id FROM s_accounts)""",
-    VAULT,
-)
+JOIN hub_account_all ha ON l.account_hk = ha.account_hk
+WHERE ha.account_id IN (SELECT account_id FROM s_accounts)"""
+oracle("vault_reconstruct_transactions", RECON_TXN_SQL, VAULT)
 
 # --- checks -------------------------------------------------------------------
 def _chk(name: str, failing_sql: str) -> str:
@@ -734,3 +731,143 @@ oracle(
 )
 oracle("stream_incremental_append", "SELECT * FROM d_transactions")
 oracle("preview_top_n", "SELECT * FROM account_summary ORDER BY balance DESC, account_id ASC LIMIT 20")
+
+
+# --- the end-to-end invariant suite -------------------------------------------------
+HK_GOAL = _hash_sql(["goal_id"], trim=True, sort=False)
+HK_TXN_ACCOUNT = _hash_sql(["transaction_id", "account_id"], trim=True, sort=False)
+HK_GOAL_USER = _hash_sql(["goal_id", "user_id"], trim=True, sort=False)
+HD_USER = _hash_sql(["date_of_birth", "signup_date"])
+HD_GOAL = _hash_sql(["goal_name", "target_amount", "current_amount", "created_date", "target_date"])
+
+E2E = dict(CHECK)
+E2E.update(
+    {
+        "dim_transaction_type": "SELECT transaction_type_id AS transaction_type_key, type_name, direction, description "
+        "FROM transaction_types",
+        "hub_user": f"SELECT {HK_USER} AS user_hk, user_id FROM d_users",
+        "hub_account": f"SELECT {HK_ACCOUNT} AS account_hk, account_id FROM d_accounts",
+        "hub_transaction": f"SELECT {HK_TXN} AS transaction_hk, transaction_id FROM d_transactions",
+        "hub_savings_goal": f"SELECT {HK_GOAL} AS savings_goal_hk, goal_id FROM d_goals",
+        "link_account_user": f"SELECT {HK_ACCOUNT_USER} AS account_user_hk, {HK_ACCOUNT} AS account_hk, "
+        f"{HK_USER} AS user_hk FROM d_accounts",
+        "link_transaction_account": f"SELECT {HK_TXN_ACCOUNT} AS transaction_account_hk, {HK_TXN} AS transaction_hk, "
+        f"{HK_ACCOUNT} AS account_hk FROM d_transactions",
+        "link_savings_goal_user": f"SELECT {HK_GOAL_USER} AS savings_goal_user_hk, {HK_GOAL} AS savings_goal_hk, "
+        f"{HK_USER} AS user_hk FROM d_goals",
+        "sat_user_details": f"SELECT {HK_USER} AS user_hk, {L1} AS load_date, {HD_USER} AS hash_diff, "
+        "date_of_birth, signup_date FROM d_users",
+        "sat_savings_goal_details": f"SELECT {HK_GOAL} AS savings_goal_hk, {L1} AS load_date, {HD_GOAL} AS hash_diff, "
+        "goal_name, target_amount, current_amount, created_date, target_date FROM d_goals",
+        "recon_users": f"""
+  SELECT h.user_id, {band_sql('s.date_of_birth')} AS age_band, s.signup_date
+  FROM sat_user_details s JOIN hub_user h ON s.user_hk = h.user_hk""",
+        "recon_txn": RECON_TXN_SQL,
+        "recon_goals": """
+  SELECT h.goal_id, hu.user_id, trim(s.goal_name) AS goal_name, s.target_amount, s.current_amount,
+         s.created_date, s.target_date
+  FROM sat_savings_goal_details s
+  JOIN hub_savings_goal h ON s.savings_goal_hk = h.savings_goal_hk
+  JOIN link_savings_goal_user l ON s.savings_goal_hk = l.savings_goal_hk
+  JOIN hub_user hu ON l.user_hk = hu.user_hk
+  WHERE hu.user_id IN (SELECT user_id FROM s_users)""",
+    }
+)
+
+
+def _e2e_sql() -> str:
+    from ..operators import vault as V
+
+    c = _chk
+    parts = [
+        c("silver.accounts has rows", nonempty_sql("s_accounts")),
+        c("silver.transactions has rows", nonempty_sql("s_transactions")),
+        c("silver.accounts -> users: no orphans", fk_sql("s_accounts", "s_users", "user_id")),
+        c("silver.transactions -> accounts: no orphans", fk_sql("s_transactions", "s_accounts", "account_id")),
+        c("silver.savings_goals -> users: no orphans", fk_sql("s_goals", "s_users", "user_id")),
+        c("silver.accounts.account_type_id resolves", fk_sql("s_accounts", "account_types", "account_type_id")),
+        c(
+            "silver.transactions.transaction_type_id resolves",
+            fk_sql("s_transactions", "transaction_types", "transaction_type_id"),
+        ),
+        c("gold.account_summary has rows", nonempty_sql("account_summary")),
+        c("gold.customer_360 has rows", nonempty_sql("c360")),
+        c(
+            "customer_360.total_balance == sum(account_summary.balance)",
+            measure_sql("c360", "user_id", "total_balance", "account_summary", "balance"),
+        ),
+        c("fct_transaction + unresolved == silver.transactions", counts_sql("fct_all", "s_transactions")),
+        c(
+            "sum(fct_transaction.signed_amount) == account_summary.balance",
+            measure_sql("account_summary", "account_id", "balance", "fct_by_account", "signed_amount"),
+        ),
+        c(
+            "latest monthly-snapshot closing_balance == account_summary.balance",
+            measure_sql("account_summary", "account_id", "balance", "snap_latest", "closing_balance"),
+        ),
+    ]
+    for n, src, k in [
+        ("dim_customer", "dim_customer", "customer_key"),
+        ("dim_account", "dim_account", "account_key"),
+        ("dim_transaction_type", "dim_transaction_type", "transaction_type_key"),
+        ("dim_date", "dim_date_keys", "date_key"),
+    ]:
+        parts.append(c(f"{n}.{k} unique", unique_sql(src, k)))
+    for fact_name, fact, key, dim in [
+        ("fct_transaction", "fct", "customer_key", "dim_customer"),
+        ("fct_transaction", "fct", "account_key", "dim_account"),
+        ("fct_transaction", "fct", "transaction_type_key", "dim_transaction_type"),
+        ("fct_account_monthly_snapshot", "snap_fact", "customer_key", "dim_customer"),
+        ("fct_account_monthly_snapshot", "snap_fact", "account_key", "dim_account"),
+    ]:
+        parts.append(c(f"{fact_name}.{key} FK integrity", fanout_sql(fact, dim, key)))
+    for n, bk in [("dim_customer", "user_id"), ("dim_account", "account_id")]:
+        parts.append(c(f"{n}: exactly one is_current per {bk}", current_sql(n, bk)))
+        parts.append(c(f"{n}: version ranges contiguous & non-overlapping", contiguous_sql(n, bk)))
+    parts.append(c("dim_date covers fct_transaction.date_key", coverage_sql("fct", "dim_date_keys")))
+    parts.append(c("dim_date covers fct_account_monthly_snapshot.date_key", coverage_sql("snap_fact", "dim_date_keys")))
+    bronze = {"users": "b_users", "accounts": "b_accounts", "transactions": "b_transactions", "savings_goals": "b_goals"}
+    hub_of = {}
+    for h in V.HUBS:
+        hub_of[h.hash_key] = h.name
+        parts.append(c(f"vault.{h.name} hub key unique", unique_sql(h.name, h.hash_key)))
+        parts.append(
+            c(f"vault.{h.name} holds every bronze key", hub_complete_sql(h.name, bronze[h.source], h.business_key))
+        )
+    for lk in V.LINKS:
+        parts.append(c(f"vault.{lk.name} link key unique", unique_sql(lk.name, lk.link_key)))
+        for _, hk in lk.pairs:
+            parts.append(c(f"vault.{lk.name}.{hk} resolves to hub", fk_sql(lk.name, hub_of[hk], hk)))
+    sat_tables = {
+        "sat_user_details": "sat_user_details",
+        "sat_account_details": "sat1",
+        "sat_transaction_details": "sat_txn1",
+        "sat_savings_goal_details": "sat_savings_goal_details",
+    }
+    for sp in V.SATS:
+        t = sat_tables[sp.name]
+        parts.append(c(f"vault.{sp.name}.{sp.hash_key} resolves to hub", fk_sql(t, hub_of[sp.hash_key], sp.hash_key)))
+        parts.append(c(f"vault.{sp.name}: no consecutive equal hash_diff", repeat_sql(t, sp.hash_key)))
+    parts += [
+        c("vault users reconstruct == silver.users",
+          equal_sql("recon_users", "s_users", "user_id", ["age_band", "signup_date"])),
+        c("vault accounts reconstruct == silver.accounts", equal_sql("recon", "s_accounts", "account_id", ACCT_COLS)),
+        c(
+            "vault transactions reconstruct == silver.transactions",
+            equal_sql(
+                "recon_txn", "s_transactions", "transaction_id",
+                ["account_id", "transaction_type_id", "amount", "currency", "transaction_ts"],
+            ),
+        ),
+        c(
+            "vault savings_goals reconstruct == silver.savings_goals",
+            equal_sql(
+                "recon_goals", "s_goals", "goal_id",
+                ["user_id", "goal_name", "target_amount", "current_amount", "created_date", "target_date"],
+            ),
+        ),
+    ]
+    return _checks(*parts)
+
+
+oracle("checks_e2e", _e2e_sql(), E2E)
