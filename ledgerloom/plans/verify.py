@@ -142,12 +142,33 @@ def vault_checks(v: Vault, s: Silver) -> list[DataFrame]:
     return out
 
 
+def materialize_layers(s: Silver, st: Star, v: Vault, threads: int = 8) -> None:
+    """Build and store every layer once, submitting independent builds as
+    concurrent Spark jobs (the silver chain first, then marts, star and vault)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(thunks):
+        with ThreadPoolExecutor(threads) as pool:
+            for f in [pool.submit(t) for t in thunks]:
+                f.result()
+
+    run([lambda: s.users, lambda: s.transaction_types, lambda: s.account_types])
+    run([lambda: s.accounts, lambda: s.goals] + [lambda src=src: v.latest(src) for src in ("users", "accounts", "transactions", "savings_goals")])
+    run([lambda: s.transactions, lambda: st.dim_customer, lambda: st.dim_account]
+        + [lambda n=n: v.first_load(n) for n in [*(h.name for h in V.HUBS), *(lk.name for lk in V.LINKS), *(x.name for x in V.SATS)]])
+    run([lambda: s.account_summary, lambda: st.dim_date, lambda: st.fct_transaction, lambda: st.fct_unresolved,
+         lambda: st.monthly_snapshot])
+    run([lambda: s.customer_360])
+
+
 def e2e_checks(spark: SparkSession, sf_dir: str, materialize: bool = True) -> list[DataFrame]:
     """All invariants.  With ``materialize`` (default) each layer is built once
     and stored in the checkpoint folder, and the checks read the stored tables."""
     s = Silver(spark, sf_dir, materialize)
     st = Star(s)
     v = Vault(spark, sf_dir, materialize, s)
+    if materialize:
+        materialize_layers(s, st, v)
     return silver_checks(s) + mart_checks(s) + star_checks(st) + vault_checks(v, s)
 
 
