@@ -76,14 +76,24 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
+    bucket_by: tuple[int, list[str]] | None = None,
 ) -> WriteResult:
-    """B1/B2: overwrite (schema replaced) or append (schema enforced) a catalog table."""
+    """B1/B2: overwrite (schema replaced) or append (schema enforced) a catalog table.
+
+    ``partition_by`` (e.g. a transaction month) enables partition pruning on
+    read; ``bucket_by=(n, keys)`` stores rows hashed into ``n`` buckets sorted by
+    ``keys``, so later joins and aggregations on ``keys`` between tables
+    bucketed the same way need no shuffle.
+    """
     observed, obs = _observed(df, f"write:{table}")
     w = observed.write.mode(mode).format(fmt)
     if mode == "overwrite":
         w = w.option("overwriteSchema", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        n, keys = bucket_by
+        w = w.bucketBy(n, *keys).sortBy(*keys)
     w.saveAsTable(table)
     return WriteResult(table, _rows(obs), mode)
 

@@ -75,3 +75,31 @@ def test_stream_ingest_is_idempotent_across_runs(spark):
     ).write.mode("append").parquet(landing)
     run_until_caught_up(ingest_stream(spark, landing, st, target, ckpt))
     assert sorted(r[0] for r in spark.read.parquet(target).select("transaction_id").collect()) == ["t1", "t2", "t3"]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    io.ensure_schema(spark, "silver_b")
+    accts = spark.range(0, 2000).select(F.concat(F.lit("A"), F.col("id").cast("string")).alias("account_id"))
+    txns = spark.range(0, 6000).select(
+        F.concat(F.lit("A"), (F.col("id") % 2000).cast("string")).alias("account_id"), F.col("id").alias("amount")
+    )
+    io.write_table(accts, "silver_b.accounts", bucket_by=(8, ["account_id"]))
+    io.write_table(txns, "silver_b.transactions", bucket_by=(8, ["account_id"]))
+    a, t = io.read_table(spark, "silver_b.accounts"), io.read_table(spark, "silver_b.transactions")
+    joined = a.join(t.groupBy("account_id").agg(F.sum("amount").alias("s")), "account_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, plan
+        assert joined.count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_partitioned_write_prunes(spark):
+    io.ensure_schema(spark, "gold_p")
+    df = spark.range(0, 100).select(F.col("id"), (F.col("id") % 4).alias("month"))
+    io.write_table(df, "gold_p.fact", partition_by=["month"])
+    q = io.read_table(spark, "gold_p.fact").where(F.col("month") == 2)
+    assert "PartitionFilters: [isnotnull(month" in q._jdf.queryExecution().executedPlan().toString()
+    assert q.count() == 25
