@@ -213,15 +213,12 @@ def q_running_balance(spark, sf_dir):
     """F8: closing balance per account and month (before the dimension joins)."""
     from pyspark.sql import functions as F
 
-    from ..operators.calendar import through_month
     from ..operators.facts import month_activity, monthly_balances
 
     s = Silver(spark, sf_dir)
-    through = through_month(s.transactions, F.to_date("transaction_ts"))
-    out = monthly_balances(
-        s.accounts.select("account_id", "opened_date"), "opened_date",
-        month_activity(s.transactions, s.transaction_types), through,
-    )
+    activity = month_activity(s.transactions, s.transaction_types)
+    through = activity.agg(F.max("_month").alias("through"))
+    out = monthly_balances(s.accounts.select("account_id", "opened_date"), "opened_date", activity, through)
     return out.select("account_id", "date_key", "closing_balance", "month_net", "transaction_count")
 
 
