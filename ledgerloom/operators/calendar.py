@@ -2,8 +2,8 @@
 
 The date dimension is bounded by the calendar span, not by data volume, so it
 is generated from a one-row frame.  The month spine is an ``explode`` per
-account (narrow, no shuffle); the through-month is a one-row aggregate that
-is cross-joined as a broadcast instead of being pulled to the driver.
+account (narrow, no shuffle); the through-month is a one-row aggregate read
+as a scalar subquery instead of being pulled to the driver.
 """
 
 from __future__ import annotations
@@ -58,17 +58,16 @@ def type_dim(transaction_types: DataFrame) -> DataFrame:
 def month_spine(entities: DataFrame, open_col: str, through: DataFrame, through_col: str = "through") -> DataFrame:
     """One row per entity and month from its opening month to ``through``.
 
-    ``through`` is a one-row frame; an entity opened after it gets a single
+    ``through`` is a one-row frame, read as a scalar subquery (evaluated once,
+    no join); an entity opened after it gets a single
     row for its own opening month (and so does every entity when ``through``
     is NULL, H23).  Adds ``_month``, ``_month_end`` and ``date_key``.
     """
     start = F.trunc(F.col(open_col), "month")
-    last = F.col(through_col)
+    last = through.select(through_col).scalar()
     months = F.when(start <= last, F.sequence(start, last, F.expr("interval 1 month"))).otherwise(F.array(start))
     return (
-        entities.crossJoin(F.broadcast(through.select(through_col)))
-        .withColumn("_month", F.explode(months))
-        .drop(through_col)
+        entities.withColumn("_month", F.explode(months))
         .withColumn("_month_end", F.last_day("_month"))
         .withColumn("date_key", date_key("_month_end"))
     )

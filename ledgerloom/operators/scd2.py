@@ -43,7 +43,7 @@ def assign_keys(
     """Dense keys ``offset + 1 ..`` in ``order_by`` order, without a single partition.
 
     ``offset`` is an int or a one-row, one-column frame (e.g. the current
-    maximum key).  ``order_by`` must be a total order for stable keys.
+    maximum key), read as a scalar subquery.  ``order_by`` must be a total order for stable keys.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -59,8 +59,8 @@ def assign_keys(
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     if isinstance(offset, DataFrame):
-        off = offset.select(F.col(offset.columns[0]).cast("bigint").alias("_off"))
-        offsets = offsets.crossJoin(F.broadcast(off)).select("_pid", (F.col("_base") + F.col("_off")).alias("_base"))
+        off = offset.select(F.col(offset.columns[0]).cast("bigint")).scalar()
+        offsets = offsets.select("_pid", (F.col("_base") + off).alias("_base"))
     elif offset:
         offsets = offsets.select("_pid", (F.col("_base") + F.lit(int(offset))).alias("_base"))
     keyed = ranged.join(F.broadcast(offsets), pid == F.col("_pid"), "inner")
