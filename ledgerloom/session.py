@@ -35,6 +35,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+MB = 1 << 20
+
+
+def cluster_conf(
+    shuffle_bytes: int,
+    executors: int,
+    cores_per_executor: int,
+    target_partition_bytes: int = 256 * MB,
+    broadcast_bytes: int = 64 * MB,
+) -> dict[str, str]:
+    """Session settings for a large cluster, sized from the expected shuffle volume.
+
+    Shuffle partitions start at ``shuffle_bytes / target_partition_bytes`` (at
+    least two waves of tasks) so that each reduce task fits in executor memory
+    without heavy spilling; AQE then coalesces small partitions and splits
+    skewed ones at runtime.  File splits use the same target.  The broadcast
+    threshold is a size check on measured statistics, so only sides proven
+    smaller than ``broadcast_bytes`` are broadcast.
+    """
+    slots = max(1, executors * cores_per_executor)
+    partitions = max(2 * slots, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str:
     """Return the reliable checkpoint folder the cluster names.
 
