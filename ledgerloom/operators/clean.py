@@ -67,9 +67,11 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
 class LookupRule:
     """Resolve ``column`` against ``lookup[label]``; adds ``lookup[id]``.
 
-    Unknown or NULL labels are rejected with ``reason``.  Lookups are closed
-    enumerations: they are broadcast only after a row-count check
-    (``max_broadcast_rows``); above it the join shuffles like any other.
+    Unknown or NULL labels are rejected with ``reason``.  By default the join
+    strategy is Catalyst's: a literal enumeration has exact size statistics and
+    is broadcast by the size-checked auto-broadcast.  ``max_broadcast_rows``
+    forces an explicit broadcast after a row-count check (for lookups whose
+    statistics are unknown); above the bound the join shuffles.
     """
 
     column: str
@@ -77,7 +79,7 @@ class LookupRule:
     label: str
     id: str
     reason: str | None = None
-    max_broadcast_rows: int = 100_000
+    max_broadcast_rows: int | None = None
 
 
 @dataclass(frozen=True)
@@ -148,7 +150,8 @@ def validate(df: DataFrame, rules: Sequence[LookupRule | ParentRule | CastRule])
     for i, rule in enumerate(rules):
         if isinstance(rule, LookupRule):
             lk = rule.lookup.select(F.col(rule.label).alias(f"_lk{i}"), F.col(rule.id))
-            lk = bounded_broadcast(lk, rule.max_broadcast_rows)
+            if rule.max_broadcast_rows is not None:
+                lk = bounded_broadcast(lk, rule.max_broadcast_rows)
             tagged = tagged.join(lk, tagged[rule.column] == lk[f"_lk{i}"], "left").drop(f"_lk{i}")
             reasons.append(F.when(F.col(rule.id).isNull(), F.lit(rule.reason or f"unknown_{rule.column}")))
         elif isinstance(rule, ParentRule):

@@ -57,14 +57,28 @@ FIXTURE_TRANSACTION_TYPES = [
 ]
 
 
+def literal_relation(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A literal relation (SQL ``VALUES``) with an explicit schema.
+
+    Unlike ``createDataFrame`` over a Python list, the plan is a local relation
+    with exact size statistics, so Catalyst's size-checked auto-broadcast
+    plans joins against it as broadcast hash joins without running a job.
+    """
+    from pyspark.sql import functions as F
+
+    names = [f.name for f in schema.fields]
+    rel = spark.sql(seed_values_sql(rows, names))
+    return rel.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def account_types(spark: SparkSession, rows=None) -> DataFrame:
     """Account-type lookup (account_type_id, type_name, category, description)."""
-    return spark.createDataFrame(rows or LEDGER_ACCOUNT_TYPES, ACCOUNT_TYPE_SCHEMA)
+    return literal_relation(spark, rows or LEDGER_ACCOUNT_TYPES, ACCOUNT_TYPE_SCHEMA)
 
 
 def transaction_types(spark: SparkSession, rows=None) -> DataFrame:
     """Transaction-type lookup (transaction_type_id, type_name, direction, description)."""
-    return spark.createDataFrame(rows or LEDGER_TRANSACTION_TYPES, TRANSACTION_TYPE_SCHEMA)
+    return literal_relation(spark, rows or LEDGER_TRANSACTION_TYPES, TRANSACTION_TYPE_SCHEMA)
 
 
 def seed_values_sql(rows, columns) -> str:
