@@ -368,15 +368,13 @@ SELECT transaction_id, account_id, d AS transaction_date,
 FROM resolved WHERE account_key IS NULL OR customer_key IS NULL""",
     STAR,
 )
-oracle(
-    "pit_join",
-    """
+PIT_SQL = """
 SELECT x.account_id, x.transaction_id, x.txn_date, x.user_id, v.customer_key, v.age_band
 FROM (SELECT t.account_id, t.transaction_id, CAST(t.transaction_ts AS DATE) AS txn_date, a.user_id
       FROM s_transactions t JOIN s_accounts a ON t.account_id = a.account_id) x
-JOIN scd1_l2 v ON x.user_id = v.user_id AND x.txn_date >= v.valid_from AND x.txn_date < v.valid_to""",
-    STAR,
-)
+JOIN scd1_l2 v ON x.user_id = v.user_id AND x.txn_date >= v.valid_from AND x.txn_date < v.valid_to"""
+oracle("pit_join", PIT_SQL, STAR)
+oracle("pit_join_asof", PIT_SQL, STAR)
 oracle(
     "month_spine",
     "SELECT account_id, month, month_end, CAST(strftime(month_end, '%Y%m%d') AS INTEGER) AS date_key FROM spine",

@@ -583,3 +583,22 @@ def q_preview_top_n(spark, sf_dir):
 
     summary = Silver(spark, sf_dir).account_summary
     return summary.orderBy(F.col("balance").desc(), F.col("account_id").asc()).limit(20)
+
+
+@query("pit_join_asof")
+def q_pit_join_asof(spark, sf_dir):
+    """D7, skew-proof form: the same point-in-time lookup as ``pit_join`` by sorted position."""
+    from pyspark.sql import functions as F
+
+    from ..operators.asof import asof_join
+    from .layers import scd2_customer_states
+
+    dim = scd2_customer_states(spark, sf_dir)[1]
+    s = Silver(spark, sf_dir)
+    accts = s.accounts.select("account_id", "user_id")
+    txns = s.transactions.select("transaction_id", "account_id", F.to_date("transaction_ts").alias("txn_date"))
+    facts = txns.join(accts, "account_id", "inner")
+    return asof_join(
+        facts, dim, "user_id", "user_id", "txn_date", ["transaction_id"],
+        {"customer_key": "customer_key", "age_band": "age_band"},
+    )

@@ -59,3 +59,37 @@ def test_mart_aggregates_partially_before_shuffle(spark):
     got = {r["account_id"]: r["transaction_count"] for r in out.collect()}
     assert got == {"a0": 1000, "a1": 1000, "a2": 1000}
     assert "partial_sum" in out._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_asof_join_matches_range_join_on_hot_key(spark):
+    from datetime import date
+
+    from ledgerloom.operators.asof import asof_join
+    from ledgerloom.operators.facts import pit_join
+
+    # key "hot": 300 contiguous monthly versions and 3000 facts; "k1": one version from 2020-06-01;
+    # "k2": no version; facts exactly at version boundaries and before the first version
+    versions = []
+    start = date(2000, 1, 1)
+    for v in range(300):
+        y, m = divmod(v, 12)
+        vf = date(2000 + y, m + 1, 1)
+        y2, m2 = divmod(v + 1, 12)
+        vt = date(2000 + y2, m2 + 1, 1) if v < 299 else date(9999, 12, 31)
+        versions.append(("hot", v, vf, vt))
+    versions.append(("k1", 1000, date(2020, 6, 1), date(9999, 12, 31)))
+    dim = spark.createDataFrame(versions, "user_id string, customer_key int, valid_from date, valid_to date")
+    facts = [(f"f{i}", "hot", start + timedelta(days=i * 3 - 30)) for i in range(3000)]
+    facts += [("e1", "k1", date(2020, 6, 1)), ("e2", "k1", date(2020, 5, 31)), ("e3", "k2", date(2021, 1, 1)),
+              ("e4", "hot", date(2001, 1, 1))]
+    f = spark.createDataFrame(facts, "fid string, user_id string, at date")
+    take = {"customer_key": "customer_key"}
+    ours = asof_join(f, dim, "user_id", "user_id", "at", ["fid"], take)
+    ref = pit_join(f, dim, "user_id", "user_id", "at", take)
+    assert ours.count() == ref.count()
+    assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+    got = {r["fid"]: r["customer_key"] for r in ours.where(F.col("fid").startswith("e")).collect()}
+    assert got == {"e1": 1000, "e4": 12}
+    left = asof_join(f, dim, "user_id", "user_id", "at", ["fid"], take, how="left")
+    assert left.count() == len(facts)
+    assert left.where(F.col("customer_key").isNull()).count() == len(facts) - ref.count()
