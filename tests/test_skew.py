@@ -93,3 +93,25 @@ def test_asof_join_matches_range_join_on_hot_key(spark):
     left = asof_join(f, dim, "user_id", "user_id", "at", ["fid"], take, how="left")
     assert left.count() == len(facts)
     assert left.where(F.col("customer_key").isNull()).count() == len(facts) - ref.count()
+
+
+def test_fact_and_snapshot_strategies_agree_on_fixture_tables(spark):
+    import os
+
+    import pytest
+
+    from ledgerloom.operators.facts import monthly_snapshot, transaction_fact
+    from ledgerloom.plans.layers import Silver, Star, scd2_customer_states
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    st = Star(Silver(spark, sf))
+    s = st.silver
+    dim_c = scd2_customer_states(spark, sf)[1]  # two versions for some customers
+    args = (s.transactions, s.transaction_types, dim_c, st.dim_account)
+    a, b = transaction_fact(*args), transaction_fact(*args, strategy="asof")
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    sargs = (s.transactions, s.accounts, s.transaction_types, dim_c, st.dim_account)
+    x, y = monthly_snapshot(*sargs), monthly_snapshot(*sargs, strategy="asof")
+    assert x.count() > 0 and x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
