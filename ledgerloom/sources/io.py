@@ -44,10 +44,24 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def optional_table(spark: SparkSession, name: str) -> DataFrame | None:
-    """The table, or None if it was never written."""
+    """The table, or None if it was never written.
+
+    A state left staged by an interrupted :func:`replace_table_state` is
+    promoted first, so a crash between its drop and rename loses nothing.
+    """
+    recover_staged(spark, name)
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
+def recover_staged(spark: SparkSession, table: str) -> bool:
+    """Promote ``<table>__next`` if ``table`` is missing (interrupted swap)."""
+    staging = f"{table}__next"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(staging):
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        return True
+    return False
+
+
 def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A stored table by location."""
     return spark.read.format(fmt).load(path)
@@ -146,9 +160,12 @@ def replace_table_state(spark: SparkSession, next_state: DataFrame, table: str,
 
     Spark will not overwrite a table the plan reads, so the state is written
     to ``<table>__next`` first and then swapped in by rename; the old table is
-    dropped only after the new one is completely written.
+    dropped only after the new one is completely written.  If the process
+    stops between the drop and the rename, :func:`recover_staged` (called by
+    :func:`optional_table`) promotes the staged state on the next run.
     """
     staging = f"{table}__next"
+    recover_staged(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     result = write_table(next_state, staging, "overwrite", fmt)
     spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -103,3 +103,13 @@ def test_partitioned_write_prunes(spark):
     q = io.read_table(spark, "gold_p.fact").where(F.col("month") == 2)
     assert "PartitionFilters: [isnotnull(month" in q._jdf.queryExecution().executedPlan().toString()
     assert q.count() == 25
+
+
+def test_interrupted_swap_is_recovered(spark):
+    io.ensure_schema(spark, "gold_r")
+    state = spark.createDataFrame([(1, "u1")], "customer_key bigint, user_id string")
+    io.write_table(state, "gold_r.dim__next")  # as if the process stopped after dropping gold_r.dim
+    assert not spark.catalog.tableExists("gold_r.dim")
+    recovered = io.optional_table(spark, "gold_r.dim")
+    assert recovered is not None and recovered.count() == 1
+    assert not spark.catalog.tableExists("gold_r.dim__next")
