@@ -21,7 +21,7 @@ from ..operators import vault as V
 from ..operators.calendar import date_bounds, date_dim, type_dim
 from ..operators.facts import monthly_snapshot, transaction_fact, unresolved_transactions
 from ..operators.marts import account_summary, customer_360
-from ..operators.scd2 import ACCOUNT_SPEC, CUSTOMER_SPEC, account_dim_input, apply_scd2
+from ..operators.scd2 import ACCOUNT_SPEC, CUSTOMER_SPEC, account_dim_input
 from ..sources import fixtures as fx
 from ..sources import io
 
@@ -92,9 +92,7 @@ def build_gold(spark: SparkSession, prefix: str, buckets: int, report: BuildRepo
         ("dim_customer", s("users").select("user_id", "age_band", "signup_date"), CUSTOMER_SPEC),
         ("dim_account", account_dim_input(s("accounts"), s("account_types")), ACCOUNT_SPEC),
     ]:
-        table = _t(prefix, "gold", name)
-        current = io.optional_table(spark, table)
-        report.add(io.replace_table_state(spark, apply_scd2(incoming, current, spec, fx.SCD2_RUN_DATE), table))
+        report.add(io.load_scd2(spark, incoming, _t(prefix, "gold", name), spec, fx.SCD2_RUN_DATE))
 
     args = (s("transactions"), s("transaction_types"), g("dim_customer"), g("dim_account"))
     report.add(io.write_table(transaction_fact(*args), _t(prefix, "gold", "fct_transaction")))

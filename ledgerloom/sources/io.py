@@ -171,3 +171,16 @@ def replace_table_state(spark: SparkSession, next_state: DataFrame, table: str,
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
     return WriteResult(table, result.rows, "replace")
+
+
+def load_scd2(spark: SparkSession, incoming: DataFrame, table: str, spec, run_date, fmt: str = "parquet") -> WriteResult:
+    """Create-or-update an SCD2 dimension table.
+
+    First load (no table): every incoming row becomes an open version.  Later
+    loads: the full next state from :func:`~ledgerloom.operators.scd2.apply_scd2`
+    replaces the table in one swap (no expire-then-insert commits, H3).
+    """
+    from ..operators.scd2 import apply_scd2
+
+    current = optional_table(spark, table)
+    return replace_table_state(spark, apply_scd2(incoming, current, spec, run_date), table, fmt)
