@@ -97,6 +97,13 @@ def scd2_contiguous(dim: DataFrame, key: str, name: str | None = None) -> DataFr
     return _result(name or f"scd2 contiguous per {key}", _count(bad))
 
 
+def scd2_inverted(dim: DataFrame, name: str = "scd2 no inverted version") -> DataFrame:
+    """H4: versions with ``valid_to < valid_from`` (a version with a future
+    effective date expired at an earlier run date).  Empty versions
+    ``[d, d)`` from two changes on one run date are allowed."""
+    return _result(name, _count(dim.where(F.col("valid_to") < F.col("valid_from"))))
+
+
 def date_coverage(fact: DataFrame, calendar: DataFrame, col: str = "date_key", name: str | None = None) -> DataFrame:
     """K9: distinct fact date keys missing from the calendar."""
     missing = fact.select(col).distinct().join(calendar.select(col), col, "left_anti")
