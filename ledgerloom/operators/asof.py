@@ -45,7 +45,8 @@ def asof_join(
     """Attach the dimension version valid at ``at`` (``valid_from <= at < valid_to``).
 
     ``fact_order`` must make facts with equal (key, at) totally ordered (e.g.
-    a fact id).  ``take`` maps dimension columns to output names.  ``how`` is
+    a fact id).  The dimension key must order like the fact key (same type, or
+    a type whose cast to it preserves order).  ``take`` maps dimension columns to output names.  ``how`` is
     ``inner`` or ``left`` (unmatched facts keep NULLs).
     """
     f = assign_keys(facts, [fact_key, at, *fact_order], "_fi")
@@ -60,12 +61,19 @@ def asof_join(
         ["_dk", "_vf", *[f"_do_{c}" for c in dim_order]],
         "_di",
     )
+    # the merged order must agree with both numberings, so keys keep the fact
+    # key's type (never a string rendering, which would sort 10 before 9) and
+    # times are only widened when the two sides differ
+    key_type = facts.schema[fact_key].dataType
+    time_type = facts.schema[at].dataType
+    if time_type != dim.schema["valid_from"].dataType:
+        time_type = "timestamp_ntz"
     events = f.select(
-        F.col(fact_key).cast("string").alias("_k"), F.col(at).cast("timestamp_ntz").alias("_t"),
+        F.col(fact_key).cast(key_type).alias("_k"), F.col(at).cast(time_type).alias("_t"),
         F.lit(1).alias("_kind"), F.col("_fi").alias("_i"),
     ).unionByName(
         d.select(
-            F.col("_dk").cast("string").alias("_k"), F.col("_vf").cast("timestamp_ntz").alias("_t"),
+            F.col("_dk").cast(key_type).alias("_k"), F.col("_vf").cast(time_type).alias("_t"),
             F.lit(0).alias("_kind"), F.col("_di").alias("_i"),
         )
     )

@@ -115,3 +115,25 @@ def test_fact_and_snapshot_strategies_agree_on_fixture_tables(spark):
     sargs = (s.transactions, s.accounts, s.transaction_types, dim_c, st.dim_account)
     x, y = monthly_snapshot(*sargs), monthly_snapshot(*sargs, strategy="asof")
     assert x.count() > 0 and x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_asof_join_with_integer_keys_orders_numerically(spark):
+    from datetime import date
+
+    from ledgerloom.operators.asof import asof_join
+    from ledgerloom.operators.facts import pit_join
+
+    dim = spark.createDataFrame(
+        [(k, k * 10 + v, date(2020 + v, 1, 1), date(2021 + v, 1, 1) if v < 2 else date(9999, 12, 31))
+         for k in (2, 9, 10, 11, 100) for v in range(3)],
+        "cid bigint, customer_key int, valid_from date, valid_to date",
+    )
+    facts = spark.createDataFrame(
+        [(i, k, date(2019 + (i % 5), 6, 1)) for i, k in enumerate([2, 9, 10, 11, 100, 3] * 40)],
+        "fid int, cid bigint, at date",
+    )
+    take = {"customer_key": "customer_key"}
+    ours = asof_join(facts, dim, "cid", "cid", "at", ["fid"], take)
+    ref = pit_join(facts, dim, "cid", "cid", "at", take)
+    assert ours.count() == ref.count() > 0
+    assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
