@@ -602,3 +602,27 @@ def q_pit_join_asof(spark, sf_dir):
         facts, dim, "user_id", "user_id", "txn_date", ["transaction_id"],
         {"customer_key": "customer_key", "age_band": "age_band"},
     )
+
+
+@query("stream_vault_load")
+def q_stream_vault_load(spark, sf_dir):
+    """J17 on a stream: accounts land in two batches; each micro-batch appends the
+    unseen hub keys, links and changed satellite rows."""
+    from pyspark.sql import functions as F
+
+    from ..operators import vault as V
+    from ..session import scratch_path
+    from ..sources import fixtures as fx
+    from ..sources import io
+    from ..streaming.incremental import run_until_caught_up, stream_vault_load
+
+    bronze = fx.accounts(spark, sf_dir)
+    landing = scratch_path(spark, "vault-land")
+    early = F.col("opened_date") < F.lit(fx.HUB_LOAD1_BEFORE)
+    io.write_path(bronze.where(early), f"{landing}/part=1")
+    io.write_path(bronze.where(~early), f"{landing}/part=2")
+    specs = [V.HUB["hub_account"], V.LINK["link_account_user"], V.SAT["sat_account_details"]]
+    targets = {s.name: scratch_path(spark, s.name) for s in specs}
+    schema = bronze.schema.add("part", "integer")
+    run_until_caught_up(stream_vault_load(spark, landing, schema, targets, specs, "account_id"))
+    return io.read_path(spark, targets["hub_account"])

@@ -67,3 +67,79 @@ def run_until_caught_up(query: StreamingQuery, timeout_s: float = 600) -> None:
     err = query.exception()
     if err is not None:
         raise RuntimeError(str(err))
+
+
+def vault_batch_loader(
+    targets: dict[str, str],
+    specs: list,
+    key: str,
+    tie_break: tuple[str, ...] = (),
+    fmt: str = "parquet",
+) -> Callable[[DataFrame, int], None]:
+    """Micro-batch sink that applies insert-only vault deltas (J17) for one source.
+
+    Each batch is deduplicated (F1), then every hub / link / satellite spec in
+    ``specs`` (hubs before links before satellites) appends only rows not yet
+    stored.  The load date is the batch's latest ``_ingested_at``, not the
+    clock.  A retried batch finds its rows already stored and appends nothing,
+    so the sink is idempotent without bookkeeping.
+    """
+    from ..operators import vault as V
+    from ..operators.clean import dedupe_latest
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        from pyspark.sql import functions as F
+
+        spark = batch.sparkSession
+        latest = dedupe_latest(batch, [key], ["_ingested_at"], tie_break or (key,))
+        load_date = batch.agg(F.max("_ingested_at")).scalar()
+        for spec in specs:
+            path = targets[spec.name]
+            existing = spark.read.format(fmt).load(path)
+            _delta(V, spec, latest, existing, load_date).write.mode("append").format(fmt).save(path)
+
+    return write
+
+
+def _delta(V, spec, rows: DataFrame, existing: DataFrame | None, load_date) -> DataFrame:
+    if isinstance(spec, V.HubSpec):
+        return V.load_hub(spec, rows, existing, load_date, None)
+    if isinstance(spec, V.LinkSpec):
+        return V.load_link(spec, rows, existing, load_date, None)
+    return V.load_sat(spec, rows, existing, load_date, None)
+
+
+def create_vault_targets(spark: SparkSession, schema: T.StructType, targets: dict[str, str], specs: list, fmt: str = "parquet") -> None:
+    """Create each empty target with its exact schema; ``ignore`` keeps stored data on restarts."""
+    from pyspark.sql import functions as F
+
+    from ..operators import vault as V
+
+    empty = spark.createDataFrame([], schema)
+    for spec in specs:
+        shape = _delta(V, spec, empty, None, F.lit(None).cast("timestamp_ntz"))
+        shape.write.mode("ignore").format(fmt).save(targets[spec.name])
+
+
+def stream_vault_load(
+    spark: SparkSession,
+    landing: str,
+    schema: T.StructType,
+    targets: dict[str, str],
+    specs: list,
+    key: str,
+    tie_break: tuple[str, ...] = (),
+    checkpoint: str | None = None,
+    fmt: str = "parquet",
+) -> StreamingQuery:
+    """Load every new landed file of one source into its vault tables and stop."""
+    digest = hashlib.sha1(f"{landing}\n{sorted(targets.items())}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/vault-stream-{digest}"
+    create_vault_targets(spark, schema, targets, specs, fmt)
+    stream = spark.readStream.schema(schema).format(fmt).load(landing)
+    return (
+        stream.writeStream.option("checkpointLocation", ckpt)
+        .trigger(availableNow=True)
+        .foreachBatch(vault_batch_loader(targets, specs, key, tie_break, fmt))
+        .start()
+    )
