@@ -870,7 +870,7 @@ def _e2e_sql() -> str:
 
 oracle("checks_e2e", _e2e_sql(), E2E)
 oracle(
-    "stream_vault_load",
+    "stream_vault_deltas",
     f"SELECT {HK_ACCOUNT} AS account_hk, account_id, {L1} AS load_date, 'bronze.accounts' AS record_source "
     "FROM d_accounts",
     VAULT,

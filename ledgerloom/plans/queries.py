@@ -604,8 +604,8 @@ def q_pit_join_asof(spark, sf_dir):
     )
 
 
-@query("stream_vault_load")
-def q_stream_vault_load(spark, sf_dir):
+@query("stream_vault_deltas")
+def q_stream_vault_deltas(spark, sf_dir):
     """J17 on a stream: accounts land in two batches; each micro-batch appends the
     unseen hub keys, links and changed satellite rows."""
     from pyspark.sql import functions as F
@@ -614,7 +614,7 @@ def q_stream_vault_load(spark, sf_dir):
     from ..session import scratch_path
     from ..sources import fixtures as fx
     from ..sources import io
-    from ..streaming.incremental import run_until_caught_up, stream_vault_load
+    from ..streaming.incremental import run_until_caught_up, stream_vault_deltas
 
     bronze = fx.accounts(spark, sf_dir)
     landing = scratch_path(spark, "vault-land")
@@ -624,5 +624,5 @@ def q_stream_vault_load(spark, sf_dir):
     specs = [V.HUB["hub_account"], V.LINK["link_account_user"], V.SAT["sat_account_details"]]
     targets = {s.name: scratch_path(spark, s.name) for s in specs}
     schema = bronze.schema.add("part", "integer")
-    run_until_caught_up(stream_vault_load(spark, landing, schema, targets, specs, "account_id"))
+    run_until_caught_up(stream_vault_deltas(spark, landing, schema, targets, specs, "account_id"))
     return io.read_path(spark, targets["hub_account"])

@@ -121,7 +121,7 @@ def create_vault_targets(spark: SparkSession, schema: T.StructType, targets: dic
         shape.write.mode("ignore").format(fmt).save(targets[spec.name])
 
 
-def stream_vault_load(
+def stream_vault_deltas(
     spark: SparkSession,
     landing: str,
     schema: T.StructType,

@@ -115,13 +115,13 @@ def test_interrupted_swap_is_recovered(spark):
     assert not spark.catalog.tableExists("gold_r.dim__next")
 
 
-def test_stream_vault_load_appends_only_changes(spark):
+def test_stream_vault_deltas_appends_only_changes(spark):
     from datetime import datetime
 
     from pyspark.sql.types import StructType
 
     from ledgerloom.operators import vault as V
-    from ledgerloom.streaming.incremental import stream_vault_load
+    from ledgerloom.streaming.incremental import stream_vault_deltas
 
     d = _tmp()
     landing, ckpt = f"{d}/landing", f"{d}/ckpt"
@@ -134,7 +134,7 @@ def test_stream_vault_load_appends_only_changes(spark):
     targets = {s.name: f"{d}/{s.name}" for s in specs}
 
     def run():
-        run_until_caught_up(stream_vault_load(spark, landing, schema, targets, specs, "account_id", checkpoint=ckpt))
+        run_until_caught_up(stream_vault_deltas(spark, landing, schema, targets, specs, "account_id", checkpoint=ckpt))
         return {n: spark.read.parquet(p).count() for n, p in targets.items()}
 
     assert run() == {"hub_account": 5, "link_account_user": 5, "sat_account_details": 5}
