@@ -28,7 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config(map=LAUNCH_CONF)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -46,7 +46,10 @@ def cluster_conf(
     target_partition_bytes: int = 256 * MB,
     broadcast_bytes: int = 64 * MB,
 ) -> dict[str, str]:
-    """Session settings for a large cluster, sized from the expected shuffle volume.
+    """Runtime SQL settings for a large cluster, sized from the expected shuffle volume.
+
+    Every key can be applied to a live session with ``spark.conf.set``;
+    launch-time settings are in :data:`LAUNCH_CONF`.
 
     Shuffle partitions start at ``shuffle_bytes / target_partition_bytes`` (at
     least two waves of tasks) so that each reduce task fits in executor memory
@@ -69,11 +72,17 @@ def cluster_conf(
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.session.timeZone": "UTC",
-        # checkpoint files of unreferenced RDDs are deleted by the context cleaner
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
+# Core settings read only when the SparkContext starts (spark-submit --conf or the
+# builder of a new session), unlike the runtime SQL settings of cluster_conf().
+LAUNCH_CONF = {
+    # checkpoint files of unreferenced RDDs are deleted by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str:
     """Return the reliable checkpoint folder the cluster names.
 

@@ -11,6 +11,17 @@ def test_cluster_conf_sizes_partitions_from_shuffle_volume():
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
+def test_cluster_conf_applies_to_a_live_session(spark):
+    conf = cluster_conf(1 << 30, executors=1, cores_per_executor=2)
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_checkpoint_dir_is_read_from_the_session(spark):
     current = spark.sparkContext.getCheckpointDir()
     assert current and ensure_checkpoint_dir(spark) == current
