@@ -68,7 +68,7 @@ def measure(
     right_measure: str | Column,
     name: str = "measures agree",
 ) -> DataFrame:
-    """K6: per ``key`` of ``left``: ``left_measure - coalesce(sum(right_measure), 0) != 0``.
+    """K6: per ``key`` of ``left``: ``left_measure`` is not ``coalesce(sum(right_measure), 0)``.
 
     ``right`` is aggregated to one row per key before the join.
     """
@@ -76,7 +76,8 @@ def measure(
     rm = F.col(right_measure) if isinstance(right_measure, str) else right_measure
     r = right.groupBy(key).agg(F.sum(rm).alias("_r"))
     diff = left.select(key, lm.alias("_l")).join(r, key, "left")
-    bad = diff.where((F.col("_l") - F.coalesce(F.col("_r"), F.lit(0))) != 0)
+    # null-safe: a NULL measure on the left is a mismatch, not silently skipped
+    bad = diff.where(~F.col("_l").eqNullSafe(F.coalesce(F.col("_r"), F.lit(0))))
     return _result(name, _count(bad))
 
 
@@ -134,7 +135,7 @@ def equal(
     pair differs (NULL-safe), in one full outer join."""
     left = a.select(F.col(key).alias("_k"), F.lit(True).alias("_in_a"), *[F.col(x).alias(f"_a{i}") for i, (x, _) in enumerate(pairs)])
     right = b.select(F.col(key).alias("_k"), F.lit(True).alias("_in_b"), *[F.col(y).alias(f"_b{i}") for i, (_, y) in enumerate(pairs)])
-    j = left.join(right, "_k", "full_outer")
+    j = left.join(right, left["_k"].eqNullSafe(right["_k"]), "full_outer")
     mismatch = F.lit(False)
     for i in range(len(pairs)):
         mismatch = mismatch | ~F.col(f"_a{i}").eqNullSafe(F.col(f"_b{i}"))

@@ -37,10 +37,13 @@ def dedupe_latest(
 ) -> DataFrame:
     """one row per ``keys``, the latest by ``order_by`` (descending).
 
-    ``tie_break`` columns (also descending) make the order total, so the
-    survivor is deterministic when ``order_by`` ties (H1).
+    ``tie_break`` columns (also descending) decide ties first; rows still tied
+    are ordered by all remaining columns (by name), so the survivor depends
+    only on row content, never on shuffle order (H1).
     """
-    w = Window.partitionBy(*keys).orderBy(*[_order(c, True) for c in (*order_by, *tie_break)])
+    named = {c for c in (*keys, *order_by, *tie_break) if isinstance(c, str)}
+    rest = sorted(c for c in df.columns if c not in named)
+    w = Window.partitionBy(*keys).orderBy(*[_order(c, True) for c in (*order_by, *tie_break, *rest)])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

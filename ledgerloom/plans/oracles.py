@@ -527,7 +527,7 @@ def measure_sql(left: str, key: str, lm: str, right: str, rm: str) -> str:
     return (
         f"SELECT count(*) FROM (SELECT {key} AS k, {lm} AS l FROM {left}) a "
         f"LEFT JOIN (SELECT {key} AS k, sum({rm}) AS r FROM {right} GROUP BY 1) b ON a.k = b.k "
-        "WHERE a.l - coalesce(b.r, 0) <> 0"
+        "WHERE a.l IS DISTINCT FROM coalesce(b.r, 0)"
     )
 
 
@@ -566,8 +566,9 @@ def repeat_sql(sat: str, key: str) -> str:
 def equal_sql(a: str, b: str, key: str, cols: list[str]) -> str:
     diff = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in cols)
     return (
-        f"SELECT count(*) FROM {a} a FULL OUTER JOIN {b} b ON a.{key} = b.{key} "
-        f"WHERE a.{key} IS NULL OR b.{key} IS NULL OR {diff}"
+        f"SELECT count(*) FROM (SELECT *, 1 AS _in FROM {a}) a "
+        f"FULL OUTER JOIN (SELECT *, 1 AS _in FROM {b}) b ON a.{key} IS NOT DISTINCT FROM b.{key} "
+        f"WHERE a._in IS NULL OR b._in IS NULL OR {diff}"
     )
 
 

@@ -85,6 +85,8 @@ def seed_values_sql(rows, columns) -> str:
     """The same seed as a SQL ``VALUES`` relation (used by the oracles)."""
 
     def lit(v):
+        if v is None:
+            return "NULL"
         if isinstance(v, int):
             return f"CAST({v} AS INTEGER)"
         return "'" + str(v).replace("'", "''") + "'"

@@ -152,3 +152,11 @@ def test_goals_trim_cast_and_orphans(spark):
     assert len(g) == 1 and g[0]["goal_name"] == "House" and g[0]["current_amount"] == Decimal("250.50")
     assert g[0]["created_date"] == date(2024, 1, 1)
     assert [r["reason"] for r in split.rejected.collect()] == ["orphan"]
+
+
+def test_dedupe_full_tie_survivor_depends_on_content_only(spark):
+    ts = datetime(2026, 1, 1)
+    rows = [("k", ts, f"v{i}") for i in range(20)]
+    for n in (1, 3, 7):
+        df = spark.createDataFrame(rows, "key string, _ingested_at timestamp, v string").repartition(n)
+        assert [r["v"] for r in dedupe_latest(df, ["key"], ["_ingested_at"]).collect()] == ["v9"]
