@@ -34,15 +34,19 @@ def dedupe_latest(
     keys: Sequence[str],
     order_by: Sequence[str | Column] = ("_ingested_at",),
     tie_break: Sequence[str | Column] = (),
+    complete: bool = True,
 ) -> DataFrame:
     """one row per ``keys``, the latest by ``order_by`` (descending).
 
-    ``tie_break`` columns (also descending) decide ties first; rows still tied
-    are ordered by all remaining columns (by name), so the survivor depends
-    only on row content, never on shuffle order (H1).
+    ``tie_break`` columns (also descending) decide ties first; with
+    ``complete`` rows still tied are ordered by all remaining columns (by
+    name), so the survivor depends only on row content, never on shuffle
+    order (H1).  A caller that keeps only some columns passes exactly those
+    as ``tie_break`` with ``complete=False``: the output is then just as
+    deterministic, and the other columns (e.g. PII) are never read.
     """
     named = {c for c in (*keys, *order_by, *tie_break) if isinstance(c, str)}
-    rest = sorted(c for c in df.columns if c not in named)
+    rest = sorted(c for c in df.columns if c not in named) if complete else []
     w = Window.partitionBy(*keys).orderBy(*[_order(c, True) for c in (*order_by, *tie_break, *rest)])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import vault as V
 from ..operators.calendar import date_bounds, date_dim, type_dim
+from ..operators.conform import USER_KEPT
 from ..operators.facts import monthly_snapshot, transaction_fact, unresolved_transactions
 from ..operators.marts import account_summary, customer_360
 from ..operators.scd2 import ACCOUNT_SPEC, CUSTOMER_SPEC, account_dim_input
@@ -108,8 +109,12 @@ def build_vault(spark: SparkSession, prefix: str, load_date: str, report: BuildR
     keys = {"users": "user_id", "accounts": "account_id", "transactions": "transaction_id", "savings_goals": "goal_id"}
     latest: dict[str, DataFrame] = {}
     for src, key in keys.items():
-        tb = fx.TRANSACTION_TIE_BREAK if src == "transactions" else (key,)
-        latest[src] = dedupe_latest(io.read_table(spark, _t(prefix, "bronze", src)), [key], ["_ingested_at"], tb)
+        bronze = io.read_table(spark, _t(prefix, "bronze", src))
+        if src == "users":  # satellite attributes only: PII is never read
+            latest[src] = dedupe_latest(bronze, [key], ["_ingested_at"], USER_KEPT, complete=False)
+        else:
+            tb = fx.TRANSACTION_TIE_BREAK if src == "transactions" else ()
+            latest[src] = dedupe_latest(bronze, [key], ["_ingested_at"], tb)
     report.add(io.write_table(fx.account_types(spark), _t(prefix, "vault", "ref_account_type")))
     report.add(io.write_table(fx.transaction_types(spark), _t(prefix, "vault", "ref_transaction_type")))
     steps = [(h, V.load_hub) for h in V.HUBS] + [(lk, V.load_link) for lk in V.LINKS] + [(st, V.load_sat) for st in V.SATS]

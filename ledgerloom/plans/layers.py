@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import conform, marts
+from ..operators.conform import USER_KEPT
 from ..operators.clean import Split
 from ..session import reliable_checkpoint
 from ..sources import fixtures as fx
@@ -208,8 +209,11 @@ class Vault:
                "savings_goals": "goal_id"}[source]
         name = f"latest:{source}"
         if name not in self._loaded:
-            tb = self.tie_break(source) or (key,)
-            self._loaded[name] = _keep(dedupe_latest(self.bronze(source), [key], ["_ingested_at"], tb), self.materialize)
+            if source == "users":  # only the satellite's attributes break ties: PII is never read
+                rows = dedupe_latest(self.bronze(source), [key], ["_ingested_at"], USER_KEPT, complete=False)
+            else:
+                rows = dedupe_latest(self.bronze(source), [key], ["_ingested_at"], self.tie_break(source))
+            self._loaded[name] = _keep(rows, self.materialize)
         return self._loaded[name]
 
     def first_load(self, name: str) -> DataFrame:

@@ -137,3 +137,19 @@ def test_asof_join_with_integer_keys_orders_numerically(spark):
     ref = pit_join(facts, dim, "cid", "cid", "at", take)
     assert ours.count() == ref.count() > 0
     assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+
+
+def test_pii_columns_are_pruned_at_the_scan(spark):
+    import os
+
+    import pytest
+
+    from ledgerloom.plans.layers import Silver
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    plan = Silver(spark, sf).users._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c_custkey:bigint>" in plan  # c_name (name, email) and c_nationkey (address) unread
+    accounts = Silver(spark, sf).accounts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_custkey)]" in accounts and "NOT ((o_custkey" in accounts
