@@ -45,13 +45,12 @@ def assign_keys(
     ``offset`` is an int or a one-row, one-column frame (e.g. the current
     maximum key), read as a scalar subquery.  ``order_by`` must be a total order for stable keys.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
+    # without an explicit count AQE may merge adjacent range partitions (order is
+    # kept); positions are taken after that read, inside the checkpointed stage
+    by_range = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
     ranged = reliable_checkpoint(
-        df.repartitionByRange(n, *order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_mid", F.monotonically_increasing_id())
+        by_range.sortWithinPartitions(*order_by).withColumn("_mid", F.monotonically_increasing_id())
     )
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
