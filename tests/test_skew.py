@@ -113,8 +113,10 @@ def test_fact_and_snapshot_strategies_agree_on_fixture_tables(spark):
     a, b = transaction_fact(*args), transaction_fact(*args, strategy="asof")
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     sargs = (s.transactions, s.accounts, s.transaction_types, dim_c, st.dim_account)
-    x, y = monthly_snapshot(*sargs), monthly_snapshot(*sargs, strategy="asof")
+    x, y = monthly_snapshot(*sargs, strategy="range"), monthly_snapshot(*sargs, strategy="asof")
+    z = monthly_snapshot(*sargs)  # segments
     assert x.count() > 0 and x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+    assert x.exceptAll(z).count() == 0 and z.exceptAll(x).count() == 0
 
 
 def test_asof_join_with_integer_keys_orders_numerically(spark):
