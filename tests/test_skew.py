@@ -155,3 +155,12 @@ def test_pii_columns_are_pruned_at_the_scan(spark):
     assert "ReadSchema: struct<c_custkey:bigint>" in plan  # c_name (name, email) and c_nationkey (address) unread
     accounts = Silver(spark, sf).accounts._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_custkey)]" in accounts and "NOT ((o_custkey" in accounts
+
+
+def test_neighbour_matches_window_with_null_keys(spark):
+    df = spark.createDataFrame(
+        [(None, 1, "a"), (None, 2, "b"), ("k", 1, "c"), ("k", 3, "d"), ("z", 1, "e")], "k string, t int, v string"
+    )
+    ours = with_neighbour(df, "k", ["t"], ["v"], "_prev_", -1)
+    ref = df.select("k", "t", "v", F.lag("v").over(Window.partitionBy("k").orderBy("t")).alias("_prev_v"))
+    assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
