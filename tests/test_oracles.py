@@ -20,7 +20,9 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    from ledgerloom.plans.queries import QUERIES as OWN
+
+    assert set(OWN) <= set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
