@@ -36,6 +36,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,8 +163,6 @@ class DacFile:
 
     @classmethod
     def open(cls, uri: str) -> DacFile:
-        from pyarrow import fs
-
         store, path = fs.FileSystem.from_uri(uri)
         return cls(_reader(store.open_input_file(path)))
 
@@ -224,18 +223,16 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id: str = "doc_id
     """Write the token files of ``docs`` into ``folder`` (a URI) and return the stored manifest."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
         from pyspark import TaskContext
 
         encode, part, count = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
-        store, path = fs.FileSystem.from_uri(folder)
+        store, path = fs.FileSystem.from_uri(folder)  # each task opens its own
         end, ids, held, size = np.array([end_id], np.uint32), [], [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal count, size
             name = f"tokens-{part:06d}-{count:06d}.dac"
             data = pack(ids, held)
-            store.create_dir(path, recursive=True)
             own = f"{path}/_{name}-{uuid.uuid4().hex}"
             with store.open_output_stream(own) as out:
                 out.write(data)
@@ -257,6 +254,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id: str = "doc_id
         if ids:
             yield flush()
 
+    store, path = fs.FileSystem.from_uri(folder)
+    store.create_dir(path, recursive=True)
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
     ranged = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
     return stored(ranged.mapInArrow(write, MANIFEST), "token-manifest")
