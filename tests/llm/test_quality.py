@@ -1,0 +1,48 @@
+import os
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import quality
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_em_finds_the_accuracies():
+    rng = np.random.default_rng(1)
+    n, good = 20_000, rng.random(20_000) < 0.8
+    bad_rate = np.array([0.7, 0.5, 0.6, 0.4])
+    votes = np.full((n, 4), quality.NONE)
+    for j, rate in enumerate(bad_rate):
+        votes[:, j] = np.where(~good & (rng.random(n) < rate) | good & (rng.random(n) < 0.02), quality.BAD, quality.NONE)
+    combos, inverse, weight = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    found = quality.estimate(combos, weight.astype(float))
+    assert abs(found.prior - 0.8) < 0.05 and np.abs(found.chances[:, quality.BAD, 0] - bad_rate).max() < 0.08
+    # texts without any vote are mostly good, those with two bad ones hardly ever
+    assert np.mean((found.posterior(combos)[inverse] > 0.5) == good) > 0.93
+
+
+def test_features_do_not_depend_on_the_piece(monkeypatch):
+    whole = quality.features("Some text, repeated 12 times. " * 9)
+    monkeypatch.setattr(quality, "PIECE", 11)
+    assert np.allclose(quality.features("Some text, repeated 12 times. " * 9), whole)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_scores_agree_with_labels_never_seen(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = quality.classify(docs, quality.fit(docs)).collect()
+    pairs = [(r.quality_score, labels[r.doc_id]) for r in rows if r.doc_id in labels]
+    assert len(rows) == docs.count() and np.mean([(s >= 0.5) == (y == 1) for s, y in pairs]) > 0.9
+
+
+def test_odd_rows(spark):
+    texts = [None, "", " \n", "A plain sentence of words here.", "A plain sentence of words here.", "### $$$ %%%", "x " * 50_000]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, w int")
+    rows = quality.classify(docs, quality.fit(docs)).collect()
+    scores = [r.quality_score for r in rows]
+    assert scores[:3] == [0.0] * 3 and scores[3] == scores[4] and all(0 < s < 1 for s in scores[3:])
+    blank = docs.limit(3)
+    assert {r.quality_score for r in quality.classify(blank, quality.fit(blank)).collect()} == {0.0}
+    assert quality.classify(docs.limit(0), quality.fit(docs.limit(0))).count() == 0
