@@ -87,9 +87,31 @@ def decode(ids: Column, rank_file: str, pattern: str) -> Column:
     return raw(ids)
 
 
+def encode_decode(text: Column, rank_file: str, pattern: str) -> Column:
+    """Struct (ids, raw) of a text column: its token ids and the bytes decoded from them, in one go.
+
+    Two chained functions would encode twice, as Spark evaluates them side by side.
+    """
+
+    @F.arrow_udf("struct<ids:array<int>,raw:binary>")
+    def both(column: pa.Array) -> pa.Array:
+        to_bytes = encoding(rank_file, pattern).decode_bytes
+        offsets, values, raw = [0], array("i"), []
+        for value in column:
+            ids = encode_text(value.as_py(), rank_file, pattern)
+            values.extend(ids)
+            offsets.append(len(values))
+            raw.append(to_bytes(ids))
+        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(values, np.int32)))
+        return pa.StructArray.from_arrays([ids, pa.array(raw, pa.binary())], names=["ids", "raw"])
+
+    return both(text)
+
+
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", ids: str = "token_ids", raw: str = "decoded") -> DataFrame:
     """``docs`` with the ids of ``text`` and the bytes decoded from them (both names must be free)."""
-    return docs.withColumn(ids, encode(F.col(text), rank_file, pattern)).withColumn(raw, decode(F.col(ids), rank_file, pattern))
+    both = encode_decode(F.col(text), rank_file, pattern)
+    return docs.withColumns({ids: both["ids"], raw: both["raw"]})
 
 
 def digests(encoded: DataFrame, key: str, ids: str = "token_ids", raw: str = "decoded") -> DataFrame:
