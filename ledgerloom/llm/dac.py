@@ -31,8 +31,10 @@ import json
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,7 @@ RANK_BITS = 512
 #: Tokens after which a task starts another file.
 FILE_TOKENS = 1 << 22
 #: Words that a worker remembers the ids of.
-WORDS = 1 << 18
+WORDS = 400_000
 
 
 # --- encoding -------------------------------------------------------------------------------------
@@ -57,16 +59,26 @@ WORDS = 1 << 18
 CONTROL = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(r"[ \t\n\r\x0b\x0c]+")
 PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-TAIL = re.compile(r"[.,!?;:]+$")
+#: Marks after a letter that normalising leaves as one letter.
+TAIL = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,!?;:]+$")
+
+
+def byte_letters() -> list[str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and never joins over it.
 
     Parts between white space are encoded by themselves and remembered, as are
-    words and the marks that end them: letters before such a mark are always
-    split from it.  ``fold``: the tokenizer lower-cases, so words of Latin
-    letters are looked up in lower case.
+    words and the marks that end them: a Latin letter before such marks is
+    always split from them.  ``fold``: the tokenizer lower-cases, so words of Latin
+    letters are looked up in lower case.  ``direct``: such a word is one unit
+    for the file's merges, so it goes straight to them and skips the steps that
+    would leave it as it is (both are found with probe words on loading).
     """
 
     def __init__(self, path: str):
@@ -77,17 +89,27 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.fold = self._ids(["AÀ"]) == self._ids(["aà"])
         self.known: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        self.fold = self._library(["AÀ"]) == self._library(["aà"])
+        probes = ["a", "le", "été", "straße", "ñandú", "tokenizer", "thtionheon", "ÿþý", "zzzzqqqqx"]
+        self.direct = self.fold and [self._merge(w) for w in probes] == self._library(probes)
 
-    def _ids(self, parts: list[str]) -> list[bytes]:
+    def _library(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
+    def _merge(self, word: str) -> bytes:
+        shown = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+
+    def _ids(self, units: list[str]) -> dict[str, bytes]:
+        plain = {u: self._merge(u) for u in units if PLAIN.fullmatch(u)} if self.direct else {}
+        rest = [u for u in units if u not in plain]
+        return plain | dict(zip(rest, self._library(rest)))
+
     def _units(self, part: str) -> list[str]:
         tail = TAIL.search(part)
         head = part[: tail.start()] if tail else part
-        if not head or not head[-1].isalpha():
-            return [part]
         if self.fold and PLAIN.fullmatch(head):
             head = head.lower()
         return [head, tail[0]] if tail else [head]
@@ -95,18 +117,15 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         parts = [SPACES.split(t) if CONTROL.search(t) else t.split() for t in texts]
-        fresh = {p for ps in parts for p in ps if p not in self.known}
-        if len(self.known) + len(fresh) > WORDS:
-            self.known.clear()
-            fresh = {p for ps in parts for p in ps}
-        units = {p: self._units(p) for p in fresh}
-        new = sorted({u for us in units.values() for u in us if u not in self.known})
-        made = dict(zip(new, self._ids(new)))
-        for p, us in units.items():
-            self.known[p] = b"".join([made[u] if u in made else self.known[u] for u in us])
-        self.known.update(made)
         known = self.known
-        return [np.frombuffer(b"".join([known[p] for p in ps]), np.uint32) for ps in parts]
+        units = {p: self._units(p) for ps in parts for p in ps if p not in known}
+        made = self._ids(sorted({u for us in units.values() for u in us if u not in known}))
+        known.update(made)
+        known.update({p: b"".join([known[u] for u in us]) for p, us in units.items()})
+        out = [np.frombuffer(b"".join([known[p] for p in ps]), np.uint32) for ps in parts]
+        for word in list(islice(known, max(0, len(known) - WORDS))) if len(known) > 1.25 * WORDS else ():
+            del known[word]  # those that came first
+        return out
 
 
 @lru_cache(maxsize=2)

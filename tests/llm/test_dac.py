@@ -11,7 +11,7 @@ from ledgerloom.llm import dac
 from ledgerloom.session import scratch_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-PARTS = ["It's", "don't,", "ÉTÉ.", "été", "naïve!", "x\xa0y", "\x1c", " ", "é.", "İ", "ΣΑΣ", "ß", "12ab", "...", "a.b", "<|endoftext|>", "中文", "🙂", "'s", "l'été,", "A#b", "  ", "\n", "_x_", "ñ?", "Word", "word", "WORD;"]
+PARTS = ["İ.", "\u0958.", "e\u0301,", "It's", "don't,", "ÉTÉ.", "été", "naïve!", "x\xa0y", "\x1c", " ", "é.", "İ", "ΣΑΣ", "ß", "12ab", "...", "a.b", "<|endoftext|>", "中文", "🙂", "'s", "l'été,", "A#b", "  ", "\n", "_x_", "ñ?", "Word", "word", "WORD;"]
 
 
 def library(texts):
