@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -84,12 +85,10 @@ LAUNCH_CONF = {
 
 
 def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str:
-    """Return the reliable checkpoint folder the cluster names.
+    """Return the checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset is
-    a folder chosen: a fresh one under /tmp for local tests
-    (``local_fallback``), otherwise ``_checkpoints`` under the session's
-    warehouse folder, which is shared storage on a cluster.
+    Only a local session may go without: it gets a fresh folder under /tmp.  On
+    a cluster an unset folder is an error, since no default is known to be shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -97,36 +96,40 @@ def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False) ->
         return current
     conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf:
-        if local_fallback or sc.master.startswith("local"):
-            conf = tempfile.mkdtemp(prefix="ledgerloom-ckpt-", dir="/tmp")
-        else:
-            warehouse = spark.conf.get("spark.sql.warehouse.dir")
-            conf = warehouse.rstrip("/") + "/_checkpoints"
+        if not (local_fallback or sc.master.startswith("local")):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        conf = tempfile.mkdtemp(prefix="ledgerloom-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for operator-written tables."""
-    import uuid
+    """A new sub-folder of the shared checkpoint folder for a table that an operator writes."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
 
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the folders handed out by :func:`scratch_path`; frames that read them end with them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = 0
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        n += path.getFileSystem(conf).delete(path, True)
+    return n
 
 
-def reliable_checkpoint(df):
-    """Write ``df`` once to the shared checkpoint folder and return the stored copy.
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder, as Parquet, and return the stored copy.
 
-    ``Dataset.checkpoint`` runs its input twice (the eager count, then the
-    checkpoint write); persisting first lets the write read the cached blocks,
-    so the input is computed once.  The cache is released afterwards; the
-    checkpoint is the durable copy that survives executor loss.
+    Unlike ``Dataset.checkpoint``, which evaluates its input twice (a count,
+    then the write), this runs it once and stores it once, compressed, with
+    statistics that the planner can use.
     """
-    from pyspark import StorageLevel
-
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist(blocking=False)
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

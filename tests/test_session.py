@@ -1,6 +1,11 @@
 """Session helpers: cluster sizing and the shared checkpoint folder."""
 
-from ledgerloom.session import MB, cluster_conf, ensure_checkpoint_dir, scratch_path
+import os
+
+import pytest
+
+from ledgerloom import session
+from ledgerloom.session import MB, cluster_conf, ensure_checkpoint_dir, reliable_checkpoint, scratch_path
 
 
 def test_cluster_conf_sizes_partitions_from_shuffle_volume():
@@ -26,3 +31,42 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     current = spark.sparkContext.getCheckpointDir()
     assert current and ensure_checkpoint_dir(spark) == current
     assert scratch_path(spark, "x").startswith(current.rstrip("/") + "/x-")
+
+
+def test_a_cluster_must_name_its_checkpoint_folder():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_stored_frames_are_written_once_and_scratch_is_cleared(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch", [])
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for b in rows:
+            seen.add(b.num_rows)
+            yield b
+
+    kept = reliable_checkpoint(spark.range(10).mapInArrow(count, "id long"))
+    assert kept.count() == 10 and kept.count() == 10 and seen.value == 10
+    (path,) = session._scratch
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local) and session.clear_scratch(spark) == 1 and not os.path.exists(local)
+
+
+def test_buckets_follow_the_size():
+    from ledgerloom.sources.io import buckets_for
+
+    assert buckets_for(1000) == 16 and buckets_for(10**12) * (256 << 20) >= 64 * 10**12
