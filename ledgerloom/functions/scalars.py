@@ -18,6 +18,8 @@ HASH_SEPARATOR = "||"
 OPEN_END = date(9999, 12, 31)
 MONEY = "decimal(10,2)"
 GOLD_MONEY = "decimal(12,2)"
+# Sums and balances: one busy account passes ten digits long before 18.
+BALANCE = "decimal(20,2)"
 
 
 def col_(c: str | Column) -> Column:

@@ -6,8 +6,8 @@ Scale notes
   into a partial ``WindowGroupLimit`` *before* the shuffle, so a hot key that
   holds a third of all rows is cut to one row per map partition before it
   moves.
-* ``latest_by`` is a grouped ``max(struct(order..., payload...))``: a hash
-  aggregate with map-side partial aggregation, no full-history sort.
+* ``latest_by`` has the same plan; a grouped ``max(struct(...))`` over strings
+  would be a sort aggregate without that early cut.
 * ``validate`` adds one left join per rule and a single ``reason`` column;
   valid and rejected rows are two filters over the same plan, so callers that
   write both should persist or checkpoint ``Split.tagged`` once.
@@ -16,7 +16,7 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,12 +29,20 @@ def _order(c: str | Column, descending: bool) -> Column:
     return c.desc_nulls_last() if descending else c.asc_nulls_last()
 
 
+def has_key(keys: Sequence[str]) -> Column:
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return known
+
+
 def dedupe_latest(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str | Column] = ("_ingested_at",),
     tie_break: Sequence[str | Column] = (),
     complete: bool = True,
+    null_keys: str = "keep",
 ) -> DataFrame:
     """one row per ``keys``, the latest by ``order_by`` (descending).
 
@@ -44,41 +52,31 @@ def dedupe_latest(
     order (H1).  A caller that keeps only some columns passes exactly those
     as ``tie_break`` with ``complete=False``: the output is then just as
     deterministic, and the other columns (e.g. PII) are never read.
+
+    A row with a NULL key is no version of any other: such rows are all kept,
+    or with ``null_keys="drop"`` left to the caller (see :class:`Split`).
     """
     named = {c for c in (*keys, *order_by, *tie_break) if isinstance(c, str)}
     rest = sorted(c for c in df.columns if c not in named) if complete else []
     w = Window.partitionBy(*keys).orderBy(*[_order(c, True) for c in (*order_by, *tie_break, *rest)])
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    known = df.where(has_key(keys))
+    top = known.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return top if null_keys == "drop" else top.unionByName(df.where(~has_key(keys)))
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """newest row per key by ``order_by`` descending, as one aggregate.
-
-    ``max(struct(order_by..., rest...))`` keeps the whole row of the greatest
-    ordering tuple; remaining columns break exact ties deterministically.
-    """
+    """newest row per key by ``order_by`` descending; remaining columns break exact ties."""
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    packed = F.max(F.struct(*[F.col(c) for c in (*order_by, *rest)])).alias("_top")
-    out = df.groupBy(*keys).agg(packed)
-    return out.select(*keys, *[F.col(f"_top.{c}").alias(c) for c in df.columns if c not in keys]).select(
-        *df.columns
-    )
-
-
-def one_per_key(df: DataFrame, key: str) -> DataFrame:
-    """E10 deterministic ``dropDuplicates([key])``: the greatest row per key."""
-    return latest_by(df, [key], [c for c in df.columns if c != key])
+    return dedupe_latest(df, keys, order_by, rest, complete=False)
 
 
 @dataclass(frozen=True)
 class LookupRule:
     """Resolve ``column`` against ``lookup[label]``; adds ``lookup[id]``.
 
-    Unknown or NULL labels are rejected with ``reason``.  By default the join
-    strategy is Catalyst's: a literal enumeration has exact size statistics and
-    is broadcast by the size-checked auto-broadcast.  ``max_broadcast_rows``
-    forces an explicit broadcast after a row-count check (for lookups whose
-    statistics are unknown); above the bound the join shuffles.
+    Unknown or NULL labels are rejected with ``reason``.  The join strategy is
+    Catalyst's: a literal enumeration has exact size statistics and is
+    broadcast by the size-checked auto-broadcast.
     """
 
     column: str
@@ -86,7 +84,6 @@ class LookupRule:
     label: str
     id: str
     reason: str | None = None
-    max_broadcast_rows: int | None = None
 
 
 @dataclass(frozen=True)
@@ -110,12 +107,17 @@ class CastRule:
 
 @dataclass
 class Split:
-    """Both outputs of :func:`validate`, from one tagged plan."""
+    """Both outputs of :func:`validate`, from one tagged plan.
+
+    ``keyless``: rows without a key, which no other row can replace; they are
+    rejected as ``null_key`` next to the rows that fail a rule.
+    """
 
     tagged: DataFrame
     columns: list[str]
     raw: dict[str, str] = field(default_factory=dict)
     projection: list | None = None
+    keyless: DataFrame | None = None
 
     @property
     def valid(self) -> DataFrame:
@@ -124,22 +126,24 @@ class Split:
 
     def project(self, columns) -> "Split":
         """The same split with a final projection on the valid side."""
-        return Split(self.tagged, self.columns, self.raw, list(columns))
+        return replace(self, projection=list(columns))
 
-    @property
-    def rejected(self) -> DataFrame:
-        cols = [F.col(self.raw[c]).alias(c) for c in self.columns]
-        return self.tagged.where(F.col(REASON).isNotNull()).select(*cols, F.col(REASON))
+    def with_keyless(self, rows: DataFrame) -> "Split":
+        return replace(self, keyless=rows.select(*self.columns))
 
+    def stored(self) -> "Split":
+        """The same split over a tagged frame that is evaluated and stored once for both sides."""
+        from ..session import reliable_checkpoint
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+        return replace(self, tagged=reliable_checkpoint(self.tagged))
 
-    The check reads at most ``max_rows + 1`` rows; a larger side is returned
-    unchanged and joins by shuffle.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    @property
+    def rejected(self) -> DataFrame:
+        cols = [F.col(self.raw[c]).alias(c) for c in self.columns]
+        failed = self.tagged.where(F.col(REASON).isNotNull()).select(*cols, F.col(REASON))
+        if self.keyless is None:
+            return failed
+        return failed.unionByName(self.keyless.withColumn(REASON, F.lit("null_key")))
 
 
 def validate(df: DataFrame, rules: Sequence[LookupRule | ParentRule | CastRule]) -> Split:
@@ -157,8 +161,6 @@ def validate(df: DataFrame, rules: Sequence[LookupRule | ParentRule | CastRule])
     for i, rule in enumerate(rules):
         if isinstance(rule, LookupRule):
             lk = rule.lookup.select(F.col(rule.label).alias(f"_lk{i}"), F.col(rule.id))
-            if rule.max_broadcast_rows is not None:
-                lk = bounded_broadcast(lk, rule.max_broadcast_rows)
             tagged = tagged.join(lk, tagged[rule.column] == lk[f"_lk{i}"], "left").drop(f"_lk{i}")
             reasons.append(F.when(F.col(rule.id).isNull(), F.lit(rule.reason or f"unknown_{rule.column}")))
         elif isinstance(rule, ParentRule):

@@ -2,7 +2,8 @@
 
 Each function returns a :class:`~ledgerloom.operators.clean.Split`: ``valid``
 is the silver table, ``rejected`` the quarantine rows with a ``reason``
-(``bad_type``, ``orphan`` or ``bad_<column>`` for a value that does not cast).
+(``null_key``, ``bad_type``, ``orphan`` or ``bad_<column>`` for a value that
+does not cast).
 Direct identifiers (name, email, address) are never projected (C11), so
 column pruning drops them at the scan.
 """
@@ -27,6 +28,11 @@ def _project(split: Split, columns: Sequence[Column | str]) -> Split:
 USER_KEPT = ("date_of_birth", "signup_date")
 
 
+def _latest(bronze: DataFrame, key: str, tie_break: Sequence[str], complete: bool = True) -> DataFrame:
+    """The latest row of each key; rows without a key are the split's own matter."""
+    return dedupe_latest(bronze, [key], ["_ingested_at"], tie_break, complete, null_keys="drop")
+
+
 def conform_users(
     bronze: DataFrame,
     as_of: date | Column,
@@ -35,14 +41,13 @@ def conform_users(
     """Latest row per user, PII dropped, date of birth generalised to a band.
 
     Name, email and address are neither projected nor used to break ties, so
-    the scan never reads them (C11).
+    the scan never reads them (C11), and rejected rows don't hold them either.
+    A date that does not cast gives a NULL band or date, and the user stays.
     """
-    latest = dedupe_latest(bronze, ["user_id"], ["_ingested_at"], tie_break, complete=False)
-    split = validate(
-        latest,
-        [CastRule("date_of_birth", "date"), CastRule("signup_date", "date")],
-    )
-    return _project(split, ["user_id", age_band("date_of_birth", as_of).alias("age_band"), "signup_date"])
+    safe = bronze.select("user_id", *USER_KEPT, "_ingested_at")
+    split = validate(_latest(safe, "user_id", tie_break, complete=False), []).with_keyless(safe.where(F.col("user_id").isNull()))
+    born, signup = (F.col(c).try_cast("date") for c in USER_KEPT)
+    return _project(split, ["user_id", age_band(born, as_of).alias("age_band"), signup.alias("signup_date")])
 
 
 def conform_accounts(
@@ -52,9 +57,8 @@ def conform_accounts(
     tie_break: Sequence[str] = ("account_id",),
 ) -> Split:
     """Latest per account, type resolved to its id, number masked, owner checked."""
-    latest = dedupe_latest(bronze, ["account_id"], ["_ingested_at"], tie_break)
     split = validate(
-        latest,
+        _latest(bronze, "account_id", tie_break),
         [
             LookupRule("account_type", account_types, "type_name", "account_type_id", "bad_type"),
             CastRule("opened_date", "date"),
@@ -62,7 +66,7 @@ def conform_accounts(
         ],
     )
     return _project(
-        split,
+        split.with_keyless(bronze.where(F.col("account_id").isNull())),
         [
             "account_id",
             "user_id",
@@ -80,9 +84,8 @@ def conform_transactions(
     tie_break: Sequence[str] = ("transaction_id",),
 ) -> Split:
     """Latest per transaction, type resolved, money typed, account checked."""
-    latest = dedupe_latest(bronze, ["transaction_id"], ["_ingested_at"], tie_break)
     split = validate(
-        latest,
+        _latest(bronze, "transaction_id", tie_break),
         [
             LookupRule("transaction_type", transaction_types, "type_name", "transaction_type_id", "bad_type"),
             CastRule("amount", MONEY),
@@ -91,7 +94,7 @@ def conform_transactions(
         ],
     )
     return _project(
-        split,
+        split.with_keyless(bronze.where(F.col("transaction_id").isNull())),
         ["transaction_id", "account_id", "transaction_type_id", "amount", "currency", "transaction_ts"],
     )
 
@@ -102,9 +105,8 @@ def conform_goals(
     tie_break: Sequence[str] = ("goal_id",),
 ) -> Split:
     """Latest per goal, name trimmed, money and dates typed, owner checked."""
-    latest = dedupe_latest(bronze, ["goal_id"], ["_ingested_at"], tie_break)
     split = validate(
-        latest,
+        _latest(bronze, "goal_id", tie_break),
         [
             CastRule("target_amount", MONEY),
             CastRule("current_amount", MONEY),
@@ -114,7 +116,7 @@ def conform_goals(
         ],
     )
     return _project(
-        split,
+        split.with_keyless(bronze.where(F.col("goal_id").isNull())),
         [
             "goal_id",
             "user_id",

@@ -160,3 +160,27 @@ def test_dedupe_full_tie_survivor_depends_on_content_only(spark):
     for n in (1, 3, 7):
         df = spark.createDataFrame(rows, "key string, _ingested_at timestamp, v string").repartition(n)
         assert [r["v"] for r in dedupe_latest(df, ["key"], ["_ingested_at"]).collect()] == ["v9"]
+
+
+def test_rows_without_a_key_are_all_kept_or_all_rejected(spark):
+    ts = datetime(2026, 1, 1)
+    df = spark.createDataFrame([(None, ts, "a"), (None, ts, "a"), ("k", ts, "b"), (None, ts, "c")], "key string, _ingested_at timestamp, v string")
+    assert sorted(r["v"] for r in dedupe_latest(df, ["key"]).collect()) == ["a", "a", "b", "c"]
+    assert [r["v"] for r in dedupe_latest(df, ["key"], null_keys="drop").collect()] == ["b"]
+    bronze = spark.createDataFrame(
+        [(None, "u1", "savings", "GB1", date(2024, 1, 1), ts), (None, "u1", "savings", "GB1", date(2024, 1, 1), ts), ("a1", "u1", "savings", "GB2", date(2024, 1, 1), ts)],
+        ACC_COLS,
+    )
+    for split in (s := conform.conform_accounts(bronze, _users(spark, ["u1"]), seeds.account_types(spark)), s.stored()):
+        assert [r["account_id"] for r in split.valid.collect()] == ["a1"]
+        assert [(r["account_id"], r["reason"]) for r in split.rejected.collect()] == [(None, "null_key")] * 2
+
+
+def test_users_with_bad_dates_stay_without_a_band(spark):
+    bronze = spark.createDataFrame(
+        [("u1", "Ann", "a@x", "not a date", "1 St", "2020-01-01", datetime(2026, 1, 1)), (None, "Bob", "b@x", "1990-01-01", "2 St", "x", datetime(2026, 1, 1))],
+        ["user_id", "full_name", "email", "date_of_birth", "address", "signup_date", "_ingested_at"],
+    )
+    split = conform.conform_users(bronze, date(2026, 1, 1))
+    assert [tuple(r) for r in split.valid.collect()] == [("u1", None, date(2020, 1, 1))]
+    assert [r["reason"] for r in split.rejected.collect()] == ["null_key"] and not {"full_name", "email", "address"} & set(split.rejected.columns)
