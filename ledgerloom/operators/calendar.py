@@ -64,10 +64,13 @@ def month_spine(entities: DataFrame, open_col: str, through: DataFrame, through_
     is NULL, H23).  Adds ``_month``, ``_month_end`` and ``date_key``.
     """
     start = F.trunc(F.col(open_col), "month")
-    last = through.select(through_col).scalar()
-    months = F.when(start <= last, F.sequence(start, last, F.expr("interval 1 month"))).otherwise(F.array(start))
+    last = F.greatest(start, through.select(through_col).scalar())  # skips a NULL through
+    span = F.months_between(last, start).cast("int")
+    # an entity without an opening month keeps one undated row
     return (
-        entities.withColumn("_month", F.explode(months))
+        entities.withColumn("_k", F.explode(F.sequence(F.lit(0), F.coalesce(span, F.lit(0)))))
+        .withColumn("_month", F.add_months(start, F.col("_k")))
+        .drop("_k")
         .withColumn("_month_end", F.last_day("_month"))
         .withColumn("date_key", date_key("_month_end"))
     )

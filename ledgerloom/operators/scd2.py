@@ -13,8 +13,10 @@
 
 Keys come out dense and in the same order as the global ``row_number``.
 
-``apply_scd2`` computes the whole next state in one plan (no MERGE, so no
-half-applied state between an expire commit and an insert commit, H3).
+``plan_scd2`` tags every changed key with its action and stores that frame
+once; new versions and closed ones both come from it.  ``apply_scd2`` gives the
+whole next state (no MERGE, so no half-applied state between an expire commit
+and an insert commit, H3).
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import open_end, row_hash
+from ..functions.scalars import OPEN_END, open_end, row_hash
 from ..session import ensure_checkpoint_dir, reliable_checkpoint
 
 _POS_BITS = 33
@@ -55,6 +57,8 @@ def assign_keys(
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    # a row per range partition, as many as spark.sql.shuffle.partitions at most: safe in one task
+    # and safe to broadcast
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     if isinstance(offset, DataFrame):
@@ -84,80 +88,71 @@ ACCOUNT_SPEC = Scd2Spec(
 )
 
 
-def _lit_date(d: date | Column) -> Column:
-    return F.lit(d) if isinstance(d, date) else d
-
-
-def _finalize(df: DataFrame, carry: list[str], spec: Scd2Spec) -> DataFrame:
-    return df.select(
-        spec.surrogate_key,
-        *carry,
-        "row_hash",
-        F.col("valid_from").cast("date").alias("valid_from"),
-        open_end().alias("valid_to"),
+def _empty_dimension(incoming: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """A dimension of ``incoming``'s columns without a version."""
+    none = incoming.select(
+        F.lit(0).cast("bigint").alias(spec.surrogate_key),
+        "*",
+        F.lit("").alias("row_hash"),
+        F.lit(OPEN_END).alias("valid_from"),
+        F.lit(OPEN_END).alias("valid_to"),
         F.lit(True).alias("is_current"),
     )
+    return none.where(F.lit(False))
+
 
+def plan_scd2(incoming: DataFrame, current: DataFrame | None, spec: Scd2Spec, run_date: date | Column) -> DataFrame:
+    """What one load does, a stored row per business key that changes.
 
-def plan_scd2(
-    incoming: DataFrame,
-    current: DataFrame | None,
-    spec: Scd2Spec,
-    run_date: date | Column,
-) -> tuple[DataFrame, DataFrame]:
-    """``(inserts, expire_keys)`` for one load.  ``incoming`` has one row per key.
+    Columns: those of ``incoming``, ``row_hash``, ``valid_from`` and ``action``:
 
-    * first load: every row, ``valid_from = effective_from``;
-    * new key: inserted from its ``effective_from``;
-    * changed hash vs the open version: open version expires, new one from ``run_date``;
-    * key stored but without an open version (H2): new version from ``run_date``;
-    * unchanged, or absent from ``incoming``: nothing (no delete detection, H19).
+    * ``add``: a key never stored, valid from its own effective date;
+    * ``replace``: the open version has another hash and gives way on ``run_date``;
+    * ``reopen``: the key is stored but has no open version (H2); valid from ``run_date``.
+
+    Keys that are unchanged or missing from ``incoming`` do not appear (no
+    delete detection, H19).  Runs one job, and raises if ``incoming`` has a
+    business key twice, since no order between its rows is known.
     """
-    carry = list(incoming.columns)
     bk = spec.business_key
-    hashed = incoming.withColumn("row_hash", row_hash(spec.tracked))
-    if current is None:
-        first = hashed.withColumn("valid_from", F.col(spec.effective_from).cast("date"))
-        keyed = assign_keys(first, [bk], spec.surrogate_key)
-        return _finalize(keyed, carry, spec), hashed.select(bk).where(F.lit(False))
-
-    state = current.groupBy(bk).agg(
-        F.max(F.when(F.col("is_current"), F.col("row_hash"))).alias("_open_hash"),
-        F.lit(True).alias("_exists"),
+    stored = _empty_dimension(incoming, spec) if current is None else current
+    versions = stored.groupBy(bk).agg(F.max(F.when(F.col("is_current"), F.col("row_hash"))).alias("_open"), F.lit(1).alias("_known"))
+    action = (
+        F.when(F.col("_known").isNull(), "add")
+        .when(F.col("_open").isNull(), "reopen")
+        .when(F.col("_open") != F.col("row_hash"), "replace")
     )
-    tagged = hashed.join(state, bk, "left")
-    new = F.col("_exists").isNull()
-    changed = F.col("_exists") & (F.col("_open_hash").isNull() | (F.col("row_hash") != F.col("_open_hash")))
-    to_insert = tagged.where(new | changed).withColumn(
-        "valid_from", F.when(new, F.col(spec.effective_from).cast("date")).otherwise(_lit_date(run_date))
+    since = F.when(F.col("action") == "add", F.col(spec.effective_from).cast("date")).otherwise(F.lit(run_date))
+    tagged = incoming.withColumn("row_hash", row_hash(spec.tracked)).join(versions, bk, "left").withColumn("action", action)
+    changes = reliable_checkpoint(
+        tagged.where(F.col("action").isNotNull()).select(*incoming.columns, "row_hash", since.alias("valid_from"), "action")
     )
-    max_key = current.agg(F.coalesce(F.max(spec.surrogate_key), F.lit(0)).alias("_max"))
-    keyed = assign_keys(to_insert, [bk, "valid_from"], spec.surrogate_key, offset=max_key)
-    expire = tagged.where(
-        F.col("_exists") & F.col("_open_hash").isNotNull() & (F.col("row_hash") != F.col("_open_hash"))
-    ).select(bk)
-    return _finalize(keyed, carry, spec), expire
-
-
-def apply_scd2(
-    incoming: DataFrame,
-    current: DataFrame | None,
-    spec: Scd2Spec,
-    run_date: date | Column,
-) -> DataFrame:
-    """The full next state: stored versions (open ones of changed keys
-    closed at ``run_date``) plus the new versions.  Written once, atomically."""
-    inserts, expire = plan_scd2(incoming, current, spec, run_date)
+    twice = changes.groupBy(bk).count().where(F.col("count") > 1).select(bk).take(1)
+    if twice:
+        raise ValueError(f"{bk} {twice[0][0]!r} is in the load more than once")
+    return changes
+
+
+def new_versions(changes: DataFrame, current: DataFrame | None, spec: Scd2Spec) -> DataFrame:
+    """Open versions of all changes, with the next surrogate keys in the order of the business keys."""
+    last = 0 if current is None else current.agg(F.coalesce(F.max(spec.surrogate_key), F.lit(0)))
+    keyed = assign_keys(changes.drop("action"), [spec.business_key, "valid_from"], spec.surrogate_key, offset=last)
+    return keyed.withColumns({"valid_to": open_end(), "is_current": F.lit(True)})
+
+
+def apply_scd2(incoming: DataFrame, current: DataFrame | None, spec: Scd2Spec, run_date: date | Column) -> DataFrame:
+    """The full next state: stored versions, open ones of replaced keys
+    closed at ``run_date``, and the new versions."""
+    changes = plan_scd2(incoming, current, spec, run_date)
+    added = new_versions(changes, current, spec)
     if current is None:
-        return inserts
-    flagged = current.join(expire.withColumn("_expire", F.lit(True)), spec.business_key, "left")
-    closing = F.coalesce(F.col("_expire"), F.lit(False)) & F.col("is_current")
-    kept = (
-        flagged.withColumn("valid_to", F.when(closing, _lit_date(run_date)).otherwise(F.col("valid_to")))
-        .withColumn("is_current", F.when(closing, F.lit(False)).otherwise(F.col("is_current")))
-        .select(*current.columns)
+        return added
+    replaced = changes.where(F.col("action") == "replace").select(spec.business_key, F.lit(True).alias("_replaced"))
+    closes = F.col("is_current") & F.col("_replaced").isNotNull()
+    kept = current.join(replaced, spec.business_key, "left").withColumns(
+        {"valid_to": F.when(closes, F.lit(run_date)).otherwise(F.col("valid_to")), "is_current": F.col("is_current") & ~closes}
     )
-    return kept.unionByName(inserts)
+    return kept.select(*current.columns).unionByName(added)
 
 
 def current_rows(dim: DataFrame) -> DataFrame:

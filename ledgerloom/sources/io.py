@@ -44,24 +44,10 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def optional_table(spark: SparkSession, name: str) -> DataFrame | None:
-    """The table, or None if it was never written.
-
-    A state left staged by an interrupted :func:`replace_table_state` is
-    promoted first, so a crash between its drop and rename loses nothing.
-    """
-    recover_staged(spark, name)
+    """The table (or view), or None if it was never written.  Only reads."""
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
-def recover_staged(spark: SparkSession, table: str) -> bool:
-    """Promote ``<table>__next`` if ``table`` is missing (interrupted swap)."""
-    staging = f"{table}__next"
-    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(staging):
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-        return True
-    return False
-
-
 def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A stored table by location."""
     return spark.read.format(fmt).load(path)
@@ -100,6 +86,8 @@ def write_table(
     bucketed the same way need no shuffle.
     """
     observed, obs = _observed(df, f"write:{table}")
+    if bucket_by:  # a task per bucket, so that each writes one file
+        observed = observed.repartition(bucket_by[0], *bucket_by[1])
     w = observed.write.mode(mode).format(fmt)
     if mode == "overwrite":
         w = w.option("overwriteSchema", "true")
@@ -112,6 +100,17 @@ def write_table(
     return WriteResult(table, _rows(obs), mode)
 
 
+def buckets_for(rows: int, row_bytes: int = 64, target_bytes: int = 256 << 20, least: int = 16) -> int:
+    """Buckets (a power of two) that keep each at ``target_bytes`` or less for about ``rows`` rows.
+
+    Tables that are joined need the same number, so take it from the largest of them.
+    """
+    n = least
+    while n * target_bytes < rows * row_bytes:
+        n *= 2
+    return n
+
+
 def write_path(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> WriteResult:
     """B1/B2 by location instead of catalog name."""
     observed, obs = _observed(df, f"write:{path}")
@@ -155,30 +154,51 @@ def ingest_append(spark: SparkSession, csv_path: str, table: str, ingested_at: s
     return write_table(stamp_ingest(read_csv(spark, csv_path, schema), ingested_at), table, "append", fmt)
 
 
+def _versions(spark: SparkSession, table: str) -> list[int]:
+    """Numbers of the stored versions of a state, ascending."""
+    schema, _, name = table.rpartition(".")
+    tables = spark.catalog.listTables(schema or None, f"{name}__v*")
+    found = [t.name[len(name) + 3 :] for t in tables]
+    return sorted(int(v) for v in found if v.isdigit())
+
+
 def replace_table_state(spark: SparkSession, next_state: DataFrame, table: str, fmt: str = "parquet") -> WriteResult:
     """Persist a full next state (e.g. :func:`~ledgerloom.operators.scd2.apply_scd2`).
 
-    Spark will not overwrite a table the plan reads, so the state is written
-    to ``<table>__next`` first and then swapped in by rename; the old table is
-    dropped only after the new one is completely written.  If the process
-    stops between the drop and the rename, :func:`recover_staged` (called by
-    :func:`optional_table`) promotes the staged state on the next run.
+    ``table`` is a view on the newest of the tables ``<table>__v<n>``.  The next
+    state becomes a table of its own first; then one ``CREATE OR REPLACE VIEW``
+    switches readers over, who see the old state or the new one and nothing
+    else.  A writer that dies before leaves a table that no view names and that
+    the next load replaces.  The state before the last one is dropped then, so
+    readers that began on it can end.
     """
-    staging = f"{table}__next"
-    recover_staged(spark, table)
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    result = write_table(next_state, staging, "overwrite", fmt)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    known = _versions(spark, table)
+    shown = _shown_version(spark, table)
+    new = (shown or 0) + 1
+    if spark.catalog.tableExists(table) and shown is None:
+        raise ValueError(f"{table} is a plain table; rename it before a state is kept behind that name")
+    result = write_table(next_state, f"{table}__v{new}", "overwrite", fmt)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('version' = '{new}') AS SELECT * FROM {table}__v{new}")
+    for old in known:
+        if old < new - 1:
+            spark.sql(f"DROP TABLE IF EXISTS {table}__v{old}")
     return WriteResult(table, result.rows, "replace")
 
 
+def _shown_version(spark: SparkSession, table: str) -> int | None:
+    """The version that the view shows; None without a view."""
+    if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType != "VIEW":
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return next(int(r["value"]) for r in rows if r["key"] == "version")
+
+
 def load_scd2(spark: SparkSession, incoming: DataFrame, table: str, spec, run_date, fmt: str = "parquet") -> WriteResult:
     """Create-or-update an SCD2 dimension table.
 
     First load (no table): every incoming row becomes an open version.  Later
     loads: the full next state from :func:`~ledgerloom.operators.scd2.apply_scd2`
-    replaces the table in one swap (no expire-then-insert commits, H3).
+    takes its place in one switch (no expire-then-insert commits, H3).
     """
     from ..operators.scd2 import apply_scd2
 

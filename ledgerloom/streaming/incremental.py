@@ -61,9 +61,17 @@ def ingest_stream(
     )
 
 
-def run_until_caught_up(query: StreamingQuery, timeout_s: float = 600) -> None:
-    """Block until an ``availableNow`` query has drained its input."""
-    query.awaitTermination(timeout_s)
+def run_until_caught_up(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Block until an ``availableNow`` query has drained its input.
+
+    There is no time limit unless the caller sets one; a query that is still
+    running then is stopped and reported, as its target holds part of the rows.
+    """
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"the stream had not caught up after {timeout_s} s; run it again to go on")
     err = query.exception()
     if err is not None:
         raise RuntimeError(str(err))
@@ -78,25 +86,27 @@ def vault_batch_loader(
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch sink that applies insert-only vault deltas (J17) for one source.
 
-    Each batch is deduplicated (F1), then every hub / link / satellite spec in
-    ``specs`` (hubs before links before satellites) appends only rows not yet
-    stored.  The load date is the batch's latest ``_ingested_at``, not the
-    clock.  A retried batch finds its rows already stored and appends nothing,
-    so the sink is idempotent without bookkeeping.
+    Each batch is deduplicated and stored once (F1); then every hub / link /
+    satellite spec in ``specs`` (hubs before links before satellites) appends
+    only what is not yet stored.  The load date is the batch's latest
+    ``_ingested_at``, not the clock.  A batch that is tried again, after any of
+    its appends, finds the rows of its own load date in force and appends
+    nothing twice, also when it is older than what is stored.
     """
     from ..operators import vault as V
     from ..operators.clean import dedupe_latest
+    from ..session import reliable_checkpoint
 
     def write(batch: DataFrame, batch_id: int) -> None:
         from pyspark.sql import functions as F
 
         spark = batch.sparkSession
-        latest = dedupe_latest(batch, [key], ["_ingested_at"], tie_break or (key,))
-        load_date = batch.agg(F.max("_ingested_at")).scalar()
+        latest = reliable_checkpoint(dedupe_latest(batch, [key], ["_ingested_at"], tie_break or (key,), null_keys="drop"))
+        load_date = latest.agg(F.max("_ingested_at")).scalar()
         for spec in specs:
             path = targets[spec.name]
-            existing = spark.read.format(fmt).load(path)
-            _delta(V, spec, latest, existing, load_date).write.mode("append").format(fmt).save(path)
+            stored = spark.read.format(fmt).load(path)
+            _delta(V, spec, latest, stored, load_date).write.mode("append").format(fmt).save(path)
 
     return write
 

@@ -105,14 +105,59 @@ def test_partitioned_write_prunes(spark):
     assert q.count() == 25
 
 
-def test_interrupted_swap_is_recovered(spark):
+def test_state_switch_is_one_step(spark):
+    """Readers see the old state until the view is switched; a dead writer's table is never shown."""
     io.ensure_schema(spark, "gold_r")
-    state = spark.createDataFrame([(1, "u1")], "customer_key bigint, user_id string")
-    io.write_table(state, "gold_r.dim__next")  # as if the process stopped after dropping gold_r.dim
-    assert not spark.catalog.tableExists("gold_r.dim")
-    recovered = io.optional_table(spark, "gold_r.dim")
-    assert recovered is not None and recovered.count() == 1
-    assert not spark.catalog.tableExists("gold_r.dim__next")
+
+    def state(n):
+        return spark.range(n).select(F.col("id").alias("k"))
+
+    for n in (1, 2, 3):
+        io.replace_table_state(spark, state(n), "gold_r.dim")
+    assert io.read_table(spark, "gold_r.dim").count() == 3 and io._versions(spark, "gold_r.dim") == [2, 3]
+    io.write_table(state(9), "gold_r.dim__v4")  # as if a writer stopped before the switch
+    assert io.optional_table(spark, "gold_r.dim").count() == 3
+    assert io.replace_table_state(spark, state(5), "gold_r.dim").rows == 5
+    assert io.read_table(spark, "gold_r.dim").count() == 5
+    io.write_table(state(1), "gold_r.plain")
+    with pytest.raises(ValueError, match="plain table"):
+        io.replace_table_state(spark, state(1), "gold_r.plain")
+
+
+def test_a_time_limit_raises(spark):
+    from pyspark.sql.types import StructType
+
+    d = _tmp()
+    for k in range(30):
+        spark.range(50).write.mode("append").parquet(f"{d}/landing/part={k}")
+    query = ingest_stream(spark, f"{d}/landing", StructType.fromDDL("id long, part int"), f"{d}/out", f"{d}/ckpt", max_files_per_trigger=1)
+    with pytest.raises(TimeoutError):
+        run_until_caught_up(query, timeout_s=0.2)
+    assert not query.isActive
+    run_until_caught_up(ingest_stream(spark, f"{d}/landing", StructType.fromDDL("id long, part int"), f"{d}/out", f"{d}/ckpt"))
+    assert spark.read.parquet(f"{d}/out").count() == spark.read.parquet(f"{d}/landing").count()
+
+
+def test_a_retried_batch_appends_nothing(spark):
+    from datetime import datetime
+
+    from ledgerloom.operators import vault as V
+    from ledgerloom.streaming.incremental import create_vault_targets, vault_batch_loader
+
+    d = _tmp()
+    ddl = "account_id string, user_id string, account_type string, account_number string, opened_date date, _ingested_at timestamp_ntz"
+    specs = [V.HUB["hub_account"], V.LINK["link_account_user"], V.SAT["sat_account_details"]]
+    targets = {s.name: f"{d}/{s.name}" for s in specs}
+
+    def batch(day, kind):
+        return spark.createDataFrame([("a", "u", kind, "N1", date(2024, 2, 29), datetime(2026, 1, day))], ddl)
+
+    create_vault_targets(spark, batch(1, "x").schema, targets, specs)
+    load = vault_batch_loader(targets, specs, "account_id")
+    for n, (rows, versions) in enumerate([(batch(10, "x"), 1), (batch(20, "y"), 2), (batch(15, "z"), 3)]):  # the last is late
+        for _ in range(2):
+            load(rows, n)
+            assert [spark.read.parquet(p).count() for p in targets.values()] == [1, 1, versions]
 
 
 def test_stream_vault_deltas_appends_only_changes(spark):
