@@ -3,9 +3,9 @@
 Each layer is written as catalog tables and the next layer reads the stored
 tables back, the way separate runs hand data over.  Re-running on unchanged
 input is idempotent: the vault appends nothing and the SCD2 dimensions keep
-their versions (the state is recomputed and swapped in, never MERGEd).
+their versions (the state is recomputed and shown in one switch, never MERGEd).
 
-Ledger tables are bucketed on ``account_id`` (``buckets``), so the mart
+Ledger tables are bucketed on ``account_id`` (``buckets``, from the data's size), so the mart
 aggregation and the account joins between silver tables read co-located
 buckets instead of shuffling.
 """
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from ..operators import vault as V
 from ..operators.calendar import date_bounds, date_dim, type_dim
 from ..operators.conform import USER_KEPT
-from ..operators.facts import monthly_snapshot, transaction_fact, unresolved_transactions
+from ..operators.facts import facts_of, monthly_snapshot, resolve_transactions, unresolved_of
 from ..operators.marts import account_summary, customer_360
 from ..operators.scd2 import ACCOUNT_SPEC, CUSTOMER_SPEC, account_dim_input
+from ..session import reliable_checkpoint
 from ..sources import fixtures as fx
 from ..sources import io
 
@@ -61,15 +62,16 @@ def build_silver(spark: SparkSession, prefix: str, quarantine_dir: str, buckets:
 
     users = conform.conform_users(b("users"), fx.AS_OF)
     report.add(io.write_table(users.valid, _t(prefix, "silver", "users")))
-    accounts = conform.conform_accounts(b("accounts"), s("users"), s("account_types"))
+    io.write_quarantine(users.rejected, f"{quarantine_dir}/users")
+    accounts = conform.conform_accounts(b("accounts"), s("users"), s("account_types")).stored()
     report.add(io.write_table(accounts.valid, _t(prefix, "silver", "accounts"), bucket_by=(buckets, ["account_id"])))
     io.write_quarantine(accounts.rejected, f"{quarantine_dir}/accounts")
     txns = conform.conform_transactions(
         b("transactions"), s("accounts"), s("transaction_types"), fx.TRANSACTION_TIE_BREAK
-    )
+    ).stored()
     report.add(io.write_table(txns.valid, _t(prefix, "silver", "transactions"), bucket_by=(buckets, ["account_id"])))
     io.write_quarantine(txns.rejected, f"{quarantine_dir}/transactions")
-    goals = conform.conform_goals(b("savings_goals"), s("users"))
+    goals = conform.conform_goals(b("savings_goals"), s("users")).stored()
     report.add(io.write_table(goals.valid, _t(prefix, "silver", "savings_goals")))
     io.write_quarantine(goals.rejected, f"{quarantine_dir}/savings_goals")
 
@@ -95,9 +97,9 @@ def build_gold(spark: SparkSession, prefix: str, buckets: int, report: BuildRepo
     ]:
         report.add(io.load_scd2(spark, incoming, _t(prefix, "gold", name), spec, fx.SCD2_RUN_DATE))
 
-    args = (s("transactions"), s("transaction_types"), g("dim_customer"), g("dim_account"))
-    report.add(io.write_table(transaction_fact(*args), _t(prefix, "gold", "fct_transaction")))
-    report.add(io.write_table(unresolved_transactions(*args), _t(prefix, "gold", "fct_transaction_unresolved")))
+    resolved = reliable_checkpoint(resolve_transactions(s("transactions"), s("transaction_types"), g("dim_customer"), g("dim_account")))
+    report.add(io.write_table(facts_of(resolved), _t(prefix, "gold", "fct_transaction")))
+    report.add(io.write_table(unresolved_of(resolved), _t(prefix, "gold", "fct_transaction_unresolved")))
     snap = monthly_snapshot(s("transactions"), s("accounts"), s("transaction_types"), g("dim_customer"), g("dim_account"))
     report.add(io.write_table(snap, _t(prefix, "gold", "fct_account_monthly_snapshot")))
 
@@ -110,11 +112,11 @@ def build_vault(spark: SparkSession, prefix: str, load_date: str, report: BuildR
     latest: dict[str, DataFrame] = {}
     for src, key in keys.items():
         bronze = io.read_table(spark, _t(prefix, "bronze", src))
-        if src == "users":  # satellite attributes only: PII is never read
-            latest[src] = dedupe_latest(bronze, [key], ["_ingested_at"], USER_KEPT, complete=False)
-        else:
-            tb = fx.TRANSACTION_TIE_BREAK if src == "transactions" else ()
-            latest[src] = dedupe_latest(bronze, [key], ["_ingested_at"], tb)
+        if src == "users":  # PII is neither read nor stored
+            bronze = bronze.select("user_id", *USER_KEPT, "_ingested_at")
+        tb = fx.TRANSACTION_TIE_BREAK if src == "transactions" else ()
+        # one pass feeds the source's hub, link and satellite
+        latest[src] = reliable_checkpoint(dedupe_latest(bronze, [key], ["_ingested_at"], tb, null_keys="drop"))
     report.add(io.write_table(fx.account_types(spark), _t(prefix, "vault", "ref_account_type")))
     report.add(io.write_table(fx.transaction_types(spark), _t(prefix, "vault", "ref_transaction_type")))
     steps = [(h, V.load_hub) for h in V.HUBS] + [(lk, V.load_link) for lk in V.LINKS] + [(st, V.load_sat) for st in V.SATS]
@@ -130,15 +132,19 @@ def build_all(
     sf_dir: str,
     prefix: str = "ledgerloom",
     quarantine_dir: str | None = None,
-    buckets: int = 16,
+    buckets: int | None = None,
     load_date: str = fx.LOAD_DATES[0],
 ) -> BuildReport:
-    """Every layer, persisted; returns rows written per table (Observation counts)."""
+    """Every layer, persisted; returns rows written per table (Observation counts).
+
+    ``buckets`` of the ledger tables follow the number of bronze transactions unless given.
+    """
     from ..session import scratch_path
 
     report = BuildReport()
     io.ensure_schema(spark, *(f"{prefix}_{layer}" for layer in ("bronze", "silver", "gold", "vault")))
     build_bronze(spark, sf_dir, prefix, report)
+    buckets = buckets or io.buckets_for(report.rows[_t(prefix, "bronze", "transactions")])
     build_silver(spark, prefix, quarantine_dir or scratch_path(spark, "quarantine"), buckets, report)
     build_gold(spark, prefix, buckets, report)
     build_vault(spark, prefix, load_date, report)

@@ -32,13 +32,14 @@ def _keep(df: DataFrame, materialize: bool) -> DataFrame:
 class Silver:
     """The six silver relations plus the quarantine sides, built from one sf folder.
 
-    With ``materialize=True`` every silver table and mart is written once to
-    the checkpoint folder and read back by its consumers.
+    Every silver table and mart is written once to the checkpoint folder and
+    read back by its consumers, the way the stages hand over stored tables;
+    ``materialize=False`` leaves them lazy, for a consumer that reads one once.
     """
 
     spark: SparkSession
     sf_dir: str
-    materialize: bool = False
+    materialize: bool = True
 
     @cached_property
     def account_types(self) -> DataFrame:
@@ -146,32 +147,46 @@ class Star:
         return _keep(apply_scd2(self.account_input, None, ACCOUNT_SPEC, fx.SCD2_RUN_DATE), self.silver.materialize)
 
     @cached_property
-    def fct_transaction(self) -> DataFrame:
-        from ..operators.facts import transaction_fact
+    def resolved(self) -> DataFrame:
+        """Transactions with their dimension keys, evaluated once for the fact and its side output."""
+        from ..operators.facts import resolve_transactions
 
         s = self.silver
-        return _keep(transaction_fact(s.transactions, s.transaction_types, self.dim_customer, self.dim_account), self.silver.materialize)
+        return _keep(resolve_transactions(s.transactions, s.transaction_types, self.dim_customer, self.dim_account), s.materialize)
+
+    @cached_property
+    def fct_transaction(self) -> DataFrame:
+        from ..operators.facts import facts_of
+
+        return facts_of(self.resolved)
 
     @cached_property
     def fct_unresolved(self) -> DataFrame:
-        from ..operators.facts import unresolved_transactions
+        from ..operators.facts import unresolved_of
 
-        s = self.silver
-        return _keep(unresolved_transactions(s.transactions, s.transaction_types, self.dim_customer, self.dim_account), self.silver.materialize)
+        return unresolved_of(self.resolved)
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        """Stored month activity: it is read for the balances and for the last month."""
+        from ..operators.facts import month_activity
+
+        return reliable_checkpoint(month_activity(self.silver.transactions, self.silver.transaction_types))
 
     @cached_property
     def monthly_snapshot(self) -> DataFrame:
         from ..operators.facts import monthly_snapshot
 
         s = self.silver
-        return _keep(monthly_snapshot(s.transactions, s.accounts, s.transaction_types, self.dim_customer, self.dim_account), self.silver.materialize)
+        snap = monthly_snapshot(s.transactions, s.accounts, s.transaction_types, self.dim_customer, self.dim_account, activity=self.activity)
+        return _keep(snap, s.materialize)
 
 
 def scd2_customer_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two-load SCD2 scenario on customers: (state after load 1, state after load 2)."""
     from ..operators.scd2 import CUSTOMER_SPEC, apply_scd2
 
-    first = apply_scd2(fx.user_scd2_load(spark, sf_dir, 1), None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
+    first = reliable_checkpoint(apply_scd2(fx.user_scd2_load(spark, sf_dir, 1), None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE))
     second = apply_scd2(fx.user_scd2_load(spark, sf_dir, 2), first, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
     return first, second
 
@@ -182,7 +197,7 @@ class Vault:
 
     spark: SparkSession
     sf_dir: str
-    materialize: bool = False
+    materialize: bool = True
     silver: Silver | None = None
 
     def __post_init__(self) -> None:
@@ -209,10 +224,10 @@ class Vault:
                "savings_goals": "goal_id"}[source]
         name = f"latest:{source}"
         if name not in self._loaded:
-            if source == "users":  # only the satellite's attributes break ties: PII is never read
-                rows = dedupe_latest(self.bronze(source), [key], ["_ingested_at"], USER_KEPT, complete=False)
-            else:
-                rows = dedupe_latest(self.bronze(source), [key], ["_ingested_at"], self.tie_break(source))
+            bronze = self.bronze(source)
+            if source == "users":  # PII is neither read nor stored
+                bronze = bronze.select("user_id", *USER_KEPT, "_ingested_at")
+            rows = dedupe_latest(bronze, [key], ["_ingested_at"], self.tie_break(source), null_keys="drop")
             self._loaded[name] = _keep(rows, self.materialize)
         return self._loaded[name]
 
@@ -248,7 +263,7 @@ class Vault:
             spec, load = v.HUB[name], v.load_hub
         else:
             spec, load = v.LINK[name], v.load_link
-        first = load(spec, early, None, fx.LOAD_DATES[0])
+        first = reliable_checkpoint(load(spec, early, None, fx.LOAD_DATES[0]))
         return first, load(spec, all_rows, first, fx.LOAD_DATES[1])
 
     def sat_loads(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -259,8 +274,8 @@ class Vault:
         spec = v.SAT["sat_account_details"]
         original = fx.accounts(self.spark, self.sf_dir)
         changed = fx.accounts(self.spark, self.sf_dir, fx.changed_priority())
-        s1 = v.load_sat(spec, original, None, fx.LOAD_DATES[0])
-        d2 = v.load_sat(spec, changed, s1, fx.LOAD_DATES[1])
+        s1 = reliable_checkpoint(v.load_sat(spec, original, None, fx.LOAD_DATES[0]))
+        d2 = reliable_checkpoint(v.load_sat(spec, changed, s1, fx.LOAD_DATES[1]))
         d3 = v.load_sat(spec, original, s1.unionByName(d2), fx.LOAD_DATES[2])
         return s1, d2, d3
 

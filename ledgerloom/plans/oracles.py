@@ -50,7 +50,7 @@ BASE = {
          DATE '1990-01-01' + CAST(c_custkey % 1500 AS INTEGER) AS signup_date,
          {INGESTED} AS _ingested_at
   FROM customer""",
-    "b_accounts": f"SELECT {_ACCOUNT_COLS.format(priority='o_orderpriority')} FROM orders WHERE o_custkey % 13 <> 0",
+    "b_accounts": f"SELECT {_ACCOUNT_COLS.format(priority='o_orderpriority')} FROM orders",
     "b_transactions": """
   SELECT 'T' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id,
          'A' || CAST(l_orderkey AS VARCHAR) AS account_id,
@@ -72,7 +72,7 @@ BASE = {
          DATE '1990-01-01' + CAST(c_custkey % 1500 AS INTEGER) + 30 AS created_date,
          DATE '1990-01-01' + CAST(c_custkey % 1500 AS INTEGER) + 395 AS target_date,
          {INGESTED} AS _ingested_at
-  FROM customer WHERE c_custkey % 5 < 3""",
+  FROM customer""",
     "account_types": seeds.seed_values_sql(
         seeds.FIXTURE_ACCOUNT_TYPES, ["account_type_id", "type_name", "category", "description"]
     ),
@@ -157,6 +157,22 @@ def oracle(name: str, final: str, extra: dict[str, str] | None = None) -> None:
 # --- silver ---------------------------------------------------------------
 oracle("dedupe_latest", "SELECT * FROM d_transactions")
 oracle("conform_users", "SELECT * FROM s_users")
+_GAPS = {
+    "gaps": """
+  SELECT CASE WHEN n % 50 <> 0 THEN user_id END AS user_id, _ingested_at, signup_date,
+         CASE WHEN n % 70 <> 0 THEN CAST(date_of_birth AS VARCHAR) ELSE 'unknown' END AS date_of_birth
+  FROM (SELECT *, CAST(user_id[2:] AS BIGINT) AS n FROM b_users)""",
+}
+oracle(
+    "conform_users_gaps",
+    f"SELECT user_id, {band_sql('TRY_CAST(date_of_birth AS DATE)')} AS age_band, signup_date FROM gaps WHERE user_id IS NOT NULL",
+    _GAPS,
+)
+oracle(
+    "reject_users",
+    "SELECT user_id, date_of_birth, signup_date, _ingested_at, 'null_key' AS reason FROM gaps WHERE user_id IS NULL",
+    _GAPS,
+)
 oracle("conform_accounts", "SELECT * FROM s_accounts")
 oracle(
     "reject_accounts",
@@ -235,22 +251,22 @@ STAR = {
                    ELSE [CAST(date_trunc('month', a.opened_date) AS TIMESTAMP)] END) AS g(m)""",
     "activity": """
   SELECT account_id, CAST(date_trunc('month', d) AS DATE) AS month,
-         CAST(coalesce(sum(CASE WHEN direction = 'inflow' THEN amount END), 0) AS DECIMAL(12,2)) AS month_inflow,
-         CAST(coalesce(sum(CASE WHEN direction = 'outflow' THEN amount END), 0) AS DECIMAL(12,2)) AS month_outflow,
+         CAST(coalesce(sum(CASE WHEN direction = 'inflow' THEN amount END), 0) AS DECIMAL(20,2)) AS month_inflow,
+         CAST(coalesce(sum(CASE WHEN direction = 'outflow' THEN amount END), 0) AS DECIMAL(20,2)) AS month_outflow,
          count(*) AS transaction_count
   FROM txd GROUP BY 1, 2""",
     "closing": """
   SELECT s.account_id, s.user_id, s.month, s.month_end,
          CAST(coalesce(sum(CASE WHEN x.direction = 'inflow' THEN x.amount ELSE -x.amount END), 0)
-              AS DECIMAL(12,2)) AS closing_balance
+              AS DECIMAL(20,2)) AS closing_balance
   FROM spine s LEFT JOIN txd x ON s.account_id = x.account_id AND x.d <= s.month_end
   GROUP BY 1, 2, 3, 4""",
     "snap": """
   SELECT c.account_id, c.user_id, c.month_end,
          CAST(strftime(c.month_end, '%Y%m%d') AS INTEGER) AS date_key,
-         coalesce(a.month_inflow, CAST(0 AS DECIMAL(12,2))) AS month_inflow,
-         coalesce(a.month_outflow, CAST(0 AS DECIMAL(12,2))) AS month_outflow,
-         CAST(coalesce(a.month_inflow, 0) - coalesce(a.month_outflow, 0) AS DECIMAL(12,2)) AS month_net,
+         coalesce(a.month_inflow, CAST(0 AS DECIMAL(20,2))) AS month_inflow,
+         coalesce(a.month_outflow, CAST(0 AS DECIMAL(20,2))) AS month_outflow,
+         CAST(coalesce(a.month_inflow, 0) - coalesce(a.month_outflow, 0) AS DECIMAL(20,2)) AS month_net,
          c.closing_balance,
          CAST(coalesce(a.transaction_count, 0) AS BIGINT) AS transaction_count
   FROM closing c LEFT JOIN activity a ON c.account_id = a.account_id AND c.month = a.month""",
@@ -435,7 +451,7 @@ VAULT = {
   SELECT {HK_ACCOUNT_USER} AS account_user_hk, {HK_ACCOUNT} AS account_hk, {HK_USER} AS user_hk,
          {L2} AS load_date, 'bronze.accounts' AS record_source
   FROM d_accounts WHERE {HK_ACCOUNT_USER} NOT IN (SELECT account_user_hk FROM link1)""",
-    "b_accounts_v2": f"SELECT {_ACCOUNT_COLS.format(priority=CHANGED_PRIORITY)} FROM orders WHERE o_custkey % 13 <> 0",
+    "b_accounts_v2": f"SELECT {_ACCOUNT_COLS.format(priority=CHANGED_PRIORITY)} FROM orders",
     "sat1": _sat_account("d_accounts", L1),
     "sat2_in": _sat_account("b_accounts_v2", L2),
     "sat1_latest": _latest("sat1", "account_hk"),
@@ -456,9 +472,9 @@ VAULT = {
   FROM d_transactions""",
 }
 
-oracle("hub_load", "SELECT * FROM hub1", VAULT)
+oracle("hub_load", "SELECT * FROM hub1 UNION ALL SELECT * FROM hub2_delta", VAULT)
 oracle("hub_delta", "SELECT * FROM hub2_delta", VAULT)
-oracle("link_load", "SELECT * FROM link1", VAULT)
+oracle("link_load", "SELECT * FROM link1 UNION ALL SELECT * FROM link2_delta", VAULT)
 oracle("link_delta", "SELECT * FROM link2_delta", VAULT)
 oracle("sat_load", "SELECT * FROM sat1", VAULT)
 oracle("sat_delta", "SELECT * FROM sat2_delta", VAULT)
@@ -774,105 +790,95 @@ E2E.update(
 )
 
 
+def inverted_sql(dim: str) -> str:
+    return f"SELECT count(*) FROM {dim} WHERE valid_to < valid_from"
+
+
+#: The catalogue's tables under the names of the CTEs that hold them.
+CTE_OF = {
+    "users": "s_users", "accounts": "s_accounts", "transactions": "s_transactions", "savings_goals": "s_goals", "customer_360": "c360",
+    "dim_date": "dim_date_keys", "fct_transaction": "fct", "fct_account_monthly_snapshot": "snap_fact", "transactions_by_outcome": "fct_all",
+    "facts_by_account": "fct_by_account", "last_balances": "snap_latest", "sat_account_details": "sat1", "sat_transaction_details": "sat_txn1",
+    "bronze_users": "b_users", "bronze_accounts": "b_accounts", "bronze_transactions": "b_transactions", "bronze_savings_goals": "b_goals",
+    "rebuilt_users": "recon_users", "rebuilt_accounts": "recon", "rebuilt_transactions": "recon_txn", "rebuilt_savings_goals": "recon_goals",
+}
+
+
+def _fact_sql(f) -> str:
+    table, other = CTE_OF.get(f.table, f.table), CTE_OF.get(f.other, f.other)
+    return {
+        "filled": lambda: nonempty_sql(table),
+        "points": lambda: fk_sql(table, other, f.column),
+        "key": lambda: unique_sql(table, f.column),
+        "covers": lambda: hub_complete_sql(table, other, f.column),
+        "one_match": lambda: fanout_sql(table, other, f.column),
+        "one_open": lambda: current_sql(table, f.column),
+        "contiguous": lambda: contiguous_sql(table, f.column),
+        "upright": lambda: inverted_sql(table),
+        "no_repeat": lambda: repeat_sql(table, f.column),
+        "same_rows": lambda: counts_sql(table, other),
+        "same_sum": lambda: measure_sql(table, f.columns[0], f.column, other, f.other_column),
+        "equal": lambda: equal_sql(table, other, f.column, list(f.columns)),
+    }[f.kind]()
+
+
 def _e2e_sql() -> str:
-    from ..operators import vault as V
-
-    c = _chk
-    parts = [
-        c("silver.accounts has rows", nonempty_sql("s_accounts")),
-        c("silver.transactions has rows", nonempty_sql("s_transactions")),
-        c("silver.accounts -> users: no orphans", fk_sql("s_accounts", "s_users", "user_id")),
-        c("silver.transactions -> accounts: no orphans", fk_sql("s_transactions", "s_accounts", "account_id")),
-        c("silver.savings_goals -> users: no orphans", fk_sql("s_goals", "s_users", "user_id")),
-        c("silver.accounts.account_type_id resolves", fk_sql("s_accounts", "account_types", "account_type_id")),
-        c(
-            "silver.transactions.transaction_type_id resolves",
-            fk_sql("s_transactions", "transaction_types", "transaction_type_id"),
-        ),
-        c("gold.account_summary has rows", nonempty_sql("account_summary")),
-        c("gold.customer_360 has rows", nonempty_sql("c360")),
-        c(
-            "customer_360.total_balance == sum(account_summary.balance)",
-            measure_sql("c360", "user_id", "total_balance", "account_summary", "balance"),
-        ),
-        c("fct_transaction + unresolved == silver.transactions", counts_sql("fct_all", "s_transactions")),
-        c(
-            "sum(fct_transaction.signed_amount) == account_summary.balance",
-            measure_sql("account_summary", "account_id", "balance", "fct_by_account", "signed_amount"),
-        ),
-        c(
-            "latest monthly-snapshot closing_balance == account_summary.balance",
-            measure_sql("account_summary", "account_id", "balance", "snap_latest", "closing_balance"),
-        ),
-    ]
-    for n, src, k in [
-        ("dim_customer", "dim_customer", "customer_key"),
-        ("dim_account", "dim_account", "account_key"),
-        ("dim_transaction_type", "dim_transaction_type", "transaction_type_key"),
-        ("dim_date", "dim_date_keys", "date_key"),
-    ]:
-        parts.append(c(f"{n}.{k} unique", unique_sql(src, k)))
-    for fact_name, fact, key, dim in [
-        ("fct_transaction", "fct", "customer_key", "dim_customer"),
-        ("fct_transaction", "fct", "account_key", "dim_account"),
-        ("fct_transaction", "fct", "transaction_type_key", "dim_transaction_type"),
-        ("fct_account_monthly_snapshot", "snap_fact", "customer_key", "dim_customer"),
-        ("fct_account_monthly_snapshot", "snap_fact", "account_key", "dim_account"),
-    ]:
-        parts.append(c(f"{fact_name}.{key} FK integrity", fanout_sql(fact, dim, key)))
-    for n, bk in [("dim_customer", "user_id"), ("dim_account", "account_id")]:
-        parts.append(c(f"{n}: exactly one is_current per {bk}", current_sql(n, bk)))
-        parts.append(c(f"{n}: version ranges contiguous & non-overlapping", contiguous_sql(n, bk)))
-    parts.append(c("dim_date covers fct_transaction.date_key", coverage_sql("fct", "dim_date_keys")))
-    parts.append(c("dim_date covers fct_account_monthly_snapshot.date_key", coverage_sql("snap_fact", "dim_date_keys")))
-    bronze = {"users": "b_users", "accounts": "b_accounts", "transactions": "b_transactions", "savings_goals": "b_goals"}
-    hub_of = {}
-    for h in V.HUBS:
-        hub_of[h.hash_key] = h.name
-        parts.append(c(f"vault.{h.name} hub key unique", unique_sql(h.name, h.hash_key)))
-        parts.append(
-            c(f"vault.{h.name} holds every bronze key", hub_complete_sql(h.name, bronze[h.source], h.business_key))
-        )
-    for lk in V.LINKS:
-        parts.append(c(f"vault.{lk.name} link key unique", unique_sql(lk.name, lk.link_key)))
-        for _, hk in lk.pairs:
-            parts.append(c(f"vault.{lk.name}.{hk} resolves to hub", fk_sql(lk.name, hub_of[hk], hk)))
-    sat_tables = {
-        "sat_user_details": "sat_user_details",
-        "sat_account_details": "sat1",
-        "sat_transaction_details": "sat_txn1",
-        "sat_savings_goal_details": "sat_savings_goal_details",
-    }
-    for sp in V.SATS:
-        t = sat_tables[sp.name]
-        parts.append(c(f"vault.{sp.name}.{sp.hash_key} resolves to hub", fk_sql(t, hub_of[sp.hash_key], sp.hash_key)))
-        parts.append(c(f"vault.{sp.name}: no consecutive equal hash_diff", repeat_sql(t, sp.hash_key)))
-    parts += [
-        c("vault users reconstruct == silver.users",
-          equal_sql("recon_users", "s_users", "user_id", ["age_band", "signup_date"])),
-        c("vault accounts reconstruct == silver.accounts", equal_sql("recon", "s_accounts", "account_id", ACCT_COLS)),
-        c(
-            "vault transactions reconstruct == silver.transactions",
-            equal_sql(
-                "recon_txn", "s_transactions", "transaction_id",
-                ["account_id", "transaction_type_id", "amount", "currency", "transaction_ts"],
-            ),
-        ),
-        c(
-            "vault savings_goals reconstruct == silver.savings_goals",
-            equal_sql(
-                "recon_goals", "s_goals", "goal_id",
-                ["user_id", "goal_name", "target_amount", "current_amount", "created_date", "target_date"],
-            ),
-        ),
-    ]
-    return _checks(*parts)
+    from .verify import CATALOGUE
+
+    return _checks(*[_chk(f.label, _fact_sql(f)) for f in CATALOGUE])
 
 
 oracle("checks_e2e", _e2e_sql(), E2E)
 oracle(
-    "stream_vault_deltas",
-    f"SELECT {HK_ACCOUNT} AS account_hk, account_id, {L1} AS load_date, 'bronze.accounts' AS record_source "
-    "FROM d_accounts",
-    VAULT,
+    "check_conservation",
+    _chk(
+        "every transaction is a fact",
+        "SELECT abs((SELECT count(*) FROM txd x JOIN dim_account da ON x.account_id = da.account_id "
+        "JOIN dim_customer dc ON da.user_id = dc.user_id) - (SELECT count(*) FROM s_transactions))",
+    ),
+    CHECK,
+)
+oracle(
+    "check_scd2_inverted",
+    _checks(
+        _chk("second load", inverted_sql("scd1_l2")),
+        _chk("effective after the run date", "SELECT count(*) FROM scd1 JOIN l2 USING (user_id) WHERE l2.age_band <> scd1.age_band AND DATE '1990-06-01' < scd1.valid_from"),
+    ),
+    CHECK,
+)
+
+# --- a vault that grows by micro-batches: early accounts, then all of them with changed priorities
+STREAM = dict(VAULT)
+STREAM.update(
+    {
+        "sat_early": _sat_account("acc_early", L1),
+        "sat_stream_delta": """
+  SELECT i.* FROM sat2_in i LEFT JOIN sat_early e ON i.account_hk = e.account_hk
+  WHERE e.hash_diff IS NULL OR i.hash_diff <> e.hash_diff""",
+    }
+)
+oracle("stream_hub", "SELECT * FROM hub1 UNION ALL SELECT * FROM hub2_delta", STREAM)
+oracle("stream_link", "SELECT * FROM link1 UNION ALL SELECT * FROM link2_delta", STREAM)
+oracle("stream_sat", "SELECT * FROM sat_early UNION ALL SELECT * FROM sat_stream_delta", STREAM)
+
+# --- catalog tables
+oracle("catalog_ingest", "SELECT user_id, full_name, email, date_of_birth, address, signup_date, _ingested_at FROM b_users")
+oracle("scd2_table_load", "SELECT * FROM scd1_l2", STAR)
+oracle("vault_rerun", "SELECT * FROM sat1", VAULT)
+oracle(
+    "csv_inferred",
+    "SELECT user_id, signup_date, CAST(user_id[2:] AS INTEGER) AS n, CAST(user_id[2:] AS INTEGER) % 2 = 0 AS even FROM b_users",
 )
+oracle("vault_reconstruct_users", "SELECT * FROM recon_users", E2E)
+oracle("vault_reconstruct_goals", "SELECT * FROM recon_goals", E2E)
+for _name, _columns in {
+    "hub_user": "user_hk, user_id",
+    "hub_transaction": "transaction_hk, transaction_id",
+    "hub_savings_goal": "savings_goal_hk, goal_id",
+    "link_transaction_account": "transaction_account_hk, transaction_hk, account_hk",
+    "link_savings_goal_user": "savings_goal_user_hk, savings_goal_hk, user_hk",
+    "sat_user_details": "user_hk, hash_diff, date_of_birth, signup_date",
+    "sat_savings_goal_details": "savings_goal_hk, hash_diff, goal_name, target_amount, current_amount, created_date, target_date",
+}.items():
+    _source = {"user": "users", "transaction": "transactions", "savings": "savings_goals"}[_name.split("_")[1]]
+    oracle(f"load_{_name}", f"SELECT {_columns}, {L1} AS load_date, 'bronze.{_source}' AS record_source FROM {_name}", E2E)

@@ -35,32 +35,50 @@ def q_dedupe_latest(spark, sf_dir):
 
 @query("conform_users")
 def q_conform_users(spark, sf_dir):
-    return Silver(spark, sf_dir).users
+    return Silver(spark, sf_dir, False).users
+
+
+@query("conform_users_gaps")
+def q_conform_users_gaps(spark, sf_dir):
+    """J1 on users without a key or with a date that does not cast: the latter stay, with a NULL band."""
+    from ..operators.conform import conform_users
+    from ..sources import fixtures as fx
+
+    return conform_users(fx.users_with_gaps(spark, sf_dir), fx.AS_OF).valid
+
+
+@query("reject_users")
+def q_reject_users(spark, sf_dir):
+    """Users without a key are all rejected, none collapsed, and no direct identifier is kept."""
+    from ..operators.conform import conform_users
+    from ..sources import fixtures as fx
+
+    return conform_users(fx.users_with_gaps(spark, sf_dir), fx.AS_OF).rejected
 
 
 @query("conform_accounts")
 def q_conform_accounts(spark, sf_dir):
-    return Silver(spark, sf_dir).accounts
+    return Silver(spark, sf_dir, False).accounts
 
 
 @query("reject_accounts")
 def q_reject_accounts(spark, sf_dir):
-    return Silver(spark, sf_dir).accounts_split.rejected
+    return Silver(spark, sf_dir, False).accounts_split.rejected
 
 
 @query("conform_transactions")
 def q_conform_transactions(spark, sf_dir):
-    return Silver(spark, sf_dir).transactions
+    return Silver(spark, sf_dir, False).transactions
 
 
 @query("reject_transactions")
 def q_reject_transactions(spark, sf_dir):
-    return Silver(spark, sf_dir).transactions_split.rejected
+    return Silver(spark, sf_dir, False).transactions_split.rejected
 
 
 @query("conform_goals")
 def q_conform_goals(spark, sf_dir):
-    return Silver(spark, sf_dir).goals
+    return Silver(spark, sf_dir, False).goals
 
 
 # --- marts ----------------------------------------------------------------
@@ -214,9 +232,10 @@ def q_running_balance(spark, sf_dir):
     from pyspark.sql import functions as F
 
     from ..operators.facts import month_activity, monthly_balances
+    from ..session import reliable_checkpoint
 
     s = Silver(spark, sf_dir)
-    activity = month_activity(s.transactions, s.transaction_types)
+    activity = reliable_checkpoint(month_activity(s.transactions, s.transaction_types))
     through = activity.agg(F.max("_month").alias("through"))
     out = monthly_balances(s.accounts.select("account_id", "opened_date"), "opened_date", activity, through)
     return out.select("account_id", "date_key", "closing_balance", "month_net", "transaction_count")
@@ -236,8 +255,9 @@ def _vault(spark, sf_dir):
 
 @query("hub_load")
 def q_hub_load(spark, sf_dir):
-    """hub_account after load 1 (accounts opened before 2000)."""
-    return _vault(spark, sf_dir).hub_link_loads("hub_account")[0]
+    """hub_account after both loads (accounts opened before 2000, then all)."""
+    first, delta = _vault(spark, sf_dir).hub_link_loads("hub_account")
+    return first.unionByName(delta)
 
 
 @query("hub_delta")
@@ -248,7 +268,8 @@ def q_hub_delta(spark, sf_dir):
 
 @query("link_load")
 def q_link_load(spark, sf_dir):
-    return _vault(spark, sf_dir).hub_link_loads("link_account_user")[0]
+    first, delta = _vault(spark, sf_dir).hub_link_loads("link_account_user")
+    return first.unionByName(delta)
 
 
 @query("link_delta")
@@ -294,6 +315,16 @@ def q_vault_reconstruct(spark, sf_dir):
     return _vault(spark, sf_dir).reconstruct_accounts()
 
 
+@query("vault_reconstruct_users")
+def q_vault_reconstruct_users(spark, sf_dir):
+    return _vault(spark, sf_dir).reconstruct_users()
+
+
+@query("vault_reconstruct_goals")
+def q_vault_reconstruct_goals(spark, sf_dir):
+    return _vault(spark, sf_dir).reconstruct_goals()
+
+
 @query("vault_reconstruct_transactions")
 def q_vault_reconstruct_transactions(spark, sf_dir):
     return _vault(spark, sf_dir).reconstruct_transactions()
@@ -422,6 +453,29 @@ def q_check_scd2_contiguous(spark, sf_dir):
     )
 
 
+@query("check_scd2_inverted")
+def q_check_scd2_inverted(spark, sf_dir):
+    """The failing state replaces versions whose effective date is after the run date."""
+    from datetime import date
+
+    from ..operators import checks as K
+    from ..operators.scd2 import CUSTOMER_SPEC, apply_scd2
+    from ..sources import fixtures as fx
+    from .layers import scd2_customer_states
+
+    first, second = scd2_customer_states(spark, sf_dir)
+    early = apply_scd2(fx.user_scd2_load(spark, sf_dir, 2), first, CUSTOMER_SPEC, date(1990, 6, 1))
+    return _checks(K.scd2_inverted(second, "second load"), K.scd2_inverted(early, "effective after the run date"))
+
+
+@query("check_conservation")
+def q_check_conservation(spark, sf_dir):
+    """FIXTURES §2: where every version begins before every transaction, the fact holds them all."""
+    from .verify import conservation
+
+    return conservation(spark, sf_dir)
+
+
 @query("check_date_coverage")
 def q_check_date_coverage(spark, sf_dir):
     """The failing calendar spans account opening dates only."""
@@ -484,7 +538,7 @@ def q_check_equal(spark, sf_dir):
 
 @query("checks_e2e")
 def q_checks_e2e(spark, sf_dir):
-    """Every cross-layer invariant (silver 7, marts 3, star 18, vault 29) as rows."""
+    """Every invariant of the catalogue (``plans/verify.py``) as a row."""
     from .verify import e2e_checks
 
     return _checks(*e2e_checks(spark, sf_dir))
@@ -604,25 +658,129 @@ def q_pit_join_asof(spark, sf_dir):
     )
 
 
-@query("stream_vault_deltas")
-def q_stream_vault_deltas(spark, sf_dir):
-    """J17 on a stream: accounts land in two batches; each micro-batch appends the
-    unseen hub keys, links and changed satellite rows."""
+def _stream_vault(spark, sf_dir, spec):
+    """J17 on a stream: early accounts land and are loaded; then all accounts land, with changed
+    priorities and a later ingest time, and a second run loads them against what is stored."""
     from pyspark.sql import functions as F
 
-    from ..operators import vault as V
+    from ..functions.scalars import ts_ntz
     from ..session import scratch_path
     from ..sources import fixtures as fx
     from ..sources import io
     from ..streaming.incremental import run_until_caught_up, stream_vault_deltas
 
-    bronze = fx.accounts(spark, sf_dir)
-    landing = scratch_path(spark, "vault-land")
-    early = F.col("opened_date") < F.lit(fx.HUB_LOAD1_BEFORE)
-    io.write_path(bronze.where(early), f"{landing}/part=1")
-    io.write_path(bronze.where(~early), f"{landing}/part=2")
-    specs = [V.HUB["hub_account"], V.LINK["link_account_user"], V.SAT["sat_account_details"]]
-    targets = {s.name: scratch_path(spark, s.name) for s in specs}
-    schema = bronze.schema.add("part", "integer")
-    run_until_caught_up(stream_vault_deltas(spark, landing, schema, targets, specs, "account_id"))
-    return io.read_path(spark, targets["hub_account"])
+    landing, target = scratch_path(spark, "vault-land"), {spec.name: scratch_path(spark, spec.name)}
+    early = fx.accounts(spark, sf_dir).where(F.col("opened_date") < F.lit(fx.HUB_LOAD1_BEFORE))
+    later = fx.accounts(spark, sf_dir, fx.changed_priority()).withColumn("_ingested_at", ts_ntz(fx.LOAD_DATES[1]))
+    for part, rows in enumerate((early, later)):
+        io.write_path(rows, f"{landing}/part={part}")
+        run_until_caught_up(stream_vault_deltas(spark, landing, rows.schema.add("part", "integer"), target, [spec], "account_id"))
+    return io.read_path(spark, target[spec.name])
+
+
+@query("stream_hub")
+def q_stream_hub(spark, sf_dir):
+    from ..operators import vault as V
+
+    return _stream_vault(spark, sf_dir, V.HUB["hub_account"])
+
+
+@query("stream_link")
+def q_stream_link(spark, sf_dir):
+    from ..operators import vault as V
+
+    return _stream_vault(spark, sf_dir, V.LINK["link_account_user"])
+
+
+@query("stream_sat")
+def q_stream_sat(spark, sf_dir):
+    from ..operators import vault as V
+
+    return _stream_vault(spark, sf_dir, V.SAT["sat_account_details"])
+
+
+# --- catalog tables ----------------------------------------------------------------
+def _new_schema(spark):
+    import uuid
+
+    from ..sources import io
+
+    name = f"ledgerloom_{uuid.uuid4().hex[:10]}"
+    io.ensure_schema(spark, name)
+    return name
+
+
+@query("catalog_ingest")
+def q_catalog_ingest(spark, sf_dir):
+    """A3 + A4 + A5: a CSV replaces a bronze table, another is appended, and the table is read by name."""
+    from pyspark.sql import functions as F
+
+    from ..session import scratch_path
+    from ..sources import fixtures as fx
+    from ..sources import io
+
+    users = fx.users(spark, sf_dir).drop("_ingested_at")
+    first = F.col("signup_date") < "1992-01-01"
+    table, lands = f"{_new_schema(spark)}.users", [scratch_path(spark, "land") for _ in range(2)]
+    for land, rows in zip(lands, (users.where(first), users.where(~first))):
+        io.write_path(rows, land, "overwrite", "csv")
+    schema = users.schema
+    io.ingest_full(spark, lands[1], table, fx.LOAD_DATES[2], schema)  # replaced by the next line
+    io.ingest_full(spark, lands[0], table, fx.INGESTED_AT, schema)
+    io.ingest_append(spark, lands[1], table, fx.INGESTED_AT, schema)
+    return io.read_table(spark, table)
+
+
+@query("csv_inferred")
+def q_csv_inferred(spark, sf_dir):
+    """A1 with an inferred schema: dates, integers and booleans come back typed."""
+    from pyspark.sql import functions as F
+
+    from ..session import scratch_path
+    from ..sources import fixtures as fx
+    from ..sources import io
+
+    path = scratch_path(spark, "csv-inferred")
+    n = F.regexp_extract("user_id", "[0-9]+", 0).cast("int")
+    io.write_path(fx.users(spark, sf_dir).select("user_id", "signup_date", n.alias("n"), (n % 2 == 0).alias("even")), path, "overwrite", "csv")
+    return io.read_csv(spark, path)
+
+
+@query("scd2_table_load")
+def q_scd2_table_load(spark, sf_dir):
+    """Two loads of a dimension table; the second is read through the switched view."""
+    from ..operators.scd2 import CUSTOMER_SPEC
+    from ..sources import fixtures as fx
+    from ..sources import io
+
+    table = f"{_new_schema(spark)}.dim_customer"
+    for load in (1, 2):
+        io.load_scd2(spark, fx.user_scd2_load(spark, sf_dir, load), table, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
+    return io.read_table(spark, table)
+
+
+@query("vault_rerun")
+def q_vault_rerun(spark, sf_dir):
+    """A satellite table after a load and a repeated load, which appends nothing."""
+    from ..operators import vault as V
+    from ..sources import fixtures as fx
+    from ..sources import io
+
+    spec, table = V.SAT["sat_account_details"], f"{_new_schema(spark)}.sat_account_details"
+    for load_date in fx.LOAD_DATES[:2]:
+        stored = io.optional_table(spark, table)
+        delta = V.load_sat(spec, fx.accounts(spark, sf_dir), stored, load_date)
+        io.write_insert_only(delta, table, stored is None)
+    return io.read_table(spark, table)
+
+
+def _register_vault_loads():
+    from ..operators import vault as V
+
+    done = {"hub_account", "link_account_user", "sat_account_details", "sat_transaction_details"}  # queries above
+    for spec in (*V.HUBS, *V.LINKS, *V.SATS):
+        if spec.name not in done:
+            QUERIES[f"load_{spec.name}"] = lambda spark, sf_dir, name=spec.name: _vault(spark, sf_dir).first_load(name)
+
+
+_register_vault_loads()

@@ -1,16 +1,23 @@
-"""Cross-layer invariants over one built lakehouse (inventory K1-K13, tier 4 of the test strategy).
-
-``e2e_checks`` returns the check frames in the reference's four groups:
-silver (7), marts (3), star (18), vault (29).  Differences, all from the
-survey's hazard list: the balance checks map *every* account version key to
-its account (H15) and take the latest snapshot row *per account* (H16); hub
-completeness is "source keys ⊆ hub" (H18); fact foreign keys must match
-exactly one dimension row (K3).
+"""Cross-layer invariants over one built lakehouse, as a catalogue of facts about its tables.
+
+Each entry says what must hold of a table: its key, the tables its columns
+point to, which measure it shares with another table, what its history looks
+like.  ``CATALOGUE`` is data; :func:`frames` turns an entry into a check over
+the stored tables, and the oracles turn the same entries into SQL, so both
+sides run the same list.
+
+From the survey's hazard list: balances are compared over every account
+version (H15) and the latest snapshot row of each account (H16); a hub must
+hold every source key and may hold more (H18); a fact's key must match exactly
+one dimension row (K3).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import checks as K
 from ..operators import vault as V
@@ -19,30 +26,68 @@ from ..sources import fixtures as fx
 from .layers import Silver, Star, Vault
 
 
-def silver_checks(s: Silver) -> list[DataFrame]:
-    return [
-        K.nonempty(s.accounts, "silver.accounts has rows"),
-        K.nonempty(s.transactions, "silver.transactions has rows"),
-        K.fk(s.accounts, s.users, "user_id", name="silver.accounts -> users: no orphans"),
-        K.fk(s.transactions, s.accounts, "account_id", name="silver.transactions -> accounts: no orphans"),
-        K.fk(s.goals, s.users, "user_id", name="silver.savings_goals -> users: no orphans"),
-        K.fk(s.accounts, s.account_types, "account_type_id", name="silver.accounts.account_type_id resolves"),
-        K.fk(
-            s.transactions, s.transaction_types, "transaction_type_id",
-            name="silver.transactions.transaction_type_id resolves",
-        ),
+@dataclass(frozen=True)
+class Fact:
+    """``kind`` must hold of ``table``; ``column`` is its key or reference, ``other`` the table compared with."""
+
+    kind: str
+    table: str
+    column: str = ""
+    other: str = ""
+    other_column: str = ""
+    columns: tuple[str, ...] = ()
+
+    @property
+    def label(self) -> str:
+        parts = [self.kind, self.table, self.column, self.other, self.other_column]
+        return " ".join(p for p in parts if p)
+
+
+# keys that silver and star tables point to: table -> (column, target)
+REFERENCES = {
+    "accounts": (("user_id", "users"), ("account_type_id", "account_types")),
+    "savings_goals": (("user_id", "users"),),
+    "transactions": (("account_id", "accounts"), ("transaction_type_id", "transaction_types")),
+}
+DIMENSIONS = {"dim_account": "account_key", "dim_customer": "customer_key", "dim_date": "date_key", "dim_transaction_type": "transaction_type_key"}
+FACT_KEYS = {
+    "fct_transaction": ("account_key", "customer_key", "transaction_type_key"),
+    "fct_account_monthly_snapshot": ("account_key", "customer_key"),
+}
+HISTORIES = {"dim_account": "account_id", "dim_customer": "user_id"}
+REBUILT = {
+    "users": ("user_id", ("age_band", "signup_date")),
+    "accounts": ("account_id", ("account_number_masked", "account_type_id", "opened_date", "user_id")),
+    "transactions": ("transaction_id", ("account_id", "amount", "currency", "transaction_ts", "transaction_type_id")),
+    "savings_goals": ("goal_id", ("created_date", "current_amount", "goal_name", "target_amount", "target_date", "user_id")),
+}
+
+
+def catalogue() -> list[Fact]:
+    hub_of = {h.hash_key: h.name for h in V.HUBS}
+    facts = [Fact("filled", t) for t in ("account_summary", "accounts", "customer_360", "transactions")]
+    facts += [Fact("points", t, c, target) for t, refs in REFERENCES.items() for c, target in refs]
+    facts += [Fact("points", lk.name, hk, hub_of[hk]) for lk in V.LINKS for _, hk in lk.pairs]
+    facts += [Fact("points", s.name, s.hash_key, hub_of[s.hash_key]) for s in V.SATS]
+    facts += [Fact("key", t, k) for t, k in DIMENSIONS.items()]
+    facts += [Fact("key", h.name, h.hash_key) for h in V.HUBS] + [Fact("key", lk.name, lk.link_key) for lk in V.LINKS]
+    facts += [Fact("covers", h.name, h.business_key, f"bronze_{h.source}") for h in V.HUBS]
+    dim_of = {k: d for d, k in DIMENSIONS.items()}
+    facts += [Fact("one_match", t, k, dim_of[k]) for t, keys in FACT_KEYS.items() for k in keys]
+    facts += [Fact("covers", "dim_date", "date_key", t) for t in FACT_KEYS]
+    facts += [Fact(kind, t, k) for t, k in HISTORIES.items() for kind in ("one_open", "contiguous", "upright")]
+    facts += [Fact("no_repeat", s.name, s.hash_key) for s in V.SATS]
+    facts += [
+        Fact("same_rows", "transactions", other="transactions_by_outcome"),
+        Fact("same_sum", "customer_360", "total_balance", "account_summary", "balance", ("user_id",)),
+        Fact("same_sum", "account_summary", "balance", "facts_by_account", "signed_amount", ("account_id",)),
+        Fact("same_sum", "account_summary", "balance", "last_balances", "closing_balance", ("account_id",)),
     ]
+    facts += [Fact("equal", f"rebuilt_{t}", key, t, columns=cols) for t, (key, cols) in REBUILT.items()]
+    return facts
 
 
-def mart_checks(s: Silver) -> list[DataFrame]:
-    return [
-        K.nonempty(s.account_summary, "gold.account_summary has rows"),
-        K.nonempty(s.customer_360, "gold.customer_360 has rows"),
-        K.measure(
-            s.customer_360, "user_id", "total_balance", s.account_summary, "balance",
-            "customer_360.total_balance == sum(account_summary.balance)",
-        ),
-    ]
+CATALOGUE = catalogue()
 
 
 def account_key_map(dim_account: DataFrame) -> DataFrame:
@@ -52,148 +97,130 @@ def account_key_map(dim_account: DataFrame) -> DataFrame:
 
 def latest_snapshot_per_account(snapshot: DataFrame, dim_account: DataFrame) -> DataFrame:
     """Newest snapshot row per account (H16), with the account id resolved."""
-    rows = snapshot.join(account_key_map(dim_account), "account_key", "inner").select(
-        "account_id", "date_key", "closing_balance"
-    )
-    return latest_by(rows, ["account_id"], ["date_key"])
-
+    rows = snapshot.join(account_key_map(dim_account), "account_key", "inner")
+    return latest_by(rows.select("account_id", "date_key", "closing_balance"), ["account_id"], ["date_key"])
+
+
+def tables(s: Silver, st: Star, v: Vault) -> dict[str, DataFrame]:
+    """Every table that the catalogue names."""
+    found = {n: getattr(s, n) for n in ("users", "accounts", "transactions", "account_types", "transaction_types", "account_summary", "customer_360")}
+    found |= {n: getattr(st, n) for n in (*DIMENSIONS, "fct_transaction")}
+    found |= {spec.name: v.first_load(spec.name) for spec in (*V.HUBS, *V.LINKS, *V.SATS)}
+    found |= {f"bronze_{h.source}": v.bronze(h.source).select(h.business_key) for h in V.HUBS}
+    found |= {"savings_goals": s.goals, "fct_account_monthly_snapshot": st.monthly_snapshot}
+    found |= {
+        "transactions_by_outcome": st.fct_transaction.select("transaction_id").unionByName(st.fct_unresolved.select("transaction_id")),
+        "facts_by_account": st.fct_transaction.join(account_key_map(st.dim_account), "account_key"),
+        "last_balances": latest_snapshot_per_account(st.monthly_snapshot, st.dim_account),
+        "rebuilt_users": v.reconstruct_users(),
+        "rebuilt_accounts": v.reconstruct_accounts(),
+        "rebuilt_transactions": v.reconstruct_transactions(),
+        "rebuilt_savings_goals": v.reconstruct_goals(),
+    }
+    return found
+
+
+def check(f: Fact, t: dict[str, DataFrame]) -> DataFrame:
+    """The check of one entry, as a row."""
+    table, other, name = t[f.table], t.get(f.other), f.label
+    match f.kind:
+        case "filled":
+            return K.nonempty(table, name)
+        case "key":
+            return K.unique(table, [f.column], name)
+        case "points":
+            return K.fk(table, other, f.column, name=name)
+        case "one_match":
+            return K.fk_fanout(table, other, f.column, name=name)
+        case "covers":
+            return K.hub_complete(table, other, f.column, name)
+        case "one_open":
+            return K.scd2_current(table, f.column, name)
+        case "contiguous":
+            return K.scd2_contiguous(table, f.column, name)
+        case "upright":
+            return K.scd2_inverted(table, name)
+        case "no_repeat":
+            return K.hash_repeat(table, f.column, name)
+        case "same_rows":
+            return K.counts(table, other, name)
+        case "same_sum":
+            return K.measure(table, f.columns[0], f.column, other, f.other_column, name)
+        case "equal":
+            return K.equal(table, other, f.column, [(c, c) for c in f.columns], name)
+    raise ValueError(f.kind)
+
+
+def frames(t: dict[str, DataFrame]) -> list[DataFrame]:
+    """All checks of the catalogue."""
+    return [check(f, t) for f in CATALOGUE]
+
+
+def build_layers(s: Silver, st: Star, v: Vault, threads: int = 8) -> None:
+    """Build and store every layer once; layers that don't need each other are built by concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
 
-def star_checks(st: Star) -> list[DataFrame]:
-    s = st.silver
-    fct, snap = st.fct_transaction, st.monthly_snapshot
-    dims = [
-        ("dim_customer", st.dim_customer, "customer_key"),
-        ("dim_account", st.dim_account, "account_key"),
-        ("dim_transaction_type", st.dim_transaction_type, "transaction_type_key"),
-        ("dim_date", st.dim_date, "date_key"),
-    ]
-    out = [
-        K.counts(
-            fct.select("transaction_id").unionByName(st.fct_unresolved.select("transaction_id")),
-            s.transactions,
-            "fct_transaction + unresolved == silver.transactions",
-        ),
-        K.measure(
-            s.account_summary, "account_id", "balance",
-            fct.join(account_key_map(st.dim_account), "account_key", "inner"), "signed_amount",
-            "sum(fct_transaction.signed_amount) == account_summary.balance",
-        ),
-        K.measure(
-            s.account_summary, "account_id", "balance",
-            latest_snapshot_per_account(snap, st.dim_account), "closing_balance",
-            "latest monthly-snapshot closing_balance == account_summary.balance",
-        ),
+    waves = [
+        [(s, "users")],
+        [(s, "accounts"), (s, "goals"), *((v, h.source) for h in V.HUBS)],
+        [(s, "transactions"), (st, "dim_customer"), (st, "dim_account"), *((v, x.name) for x in (*V.HUBS, *V.LINKS, *V.SATS))],
+        [(s, "account_summary"), (st, "dim_date"), (st, "resolved"), (st, "monthly_snapshot")],
+        [(s, "customer_360")],
     ]
-    out += [K.unique(d, [k], f"{n}.{k} unique") for n, d, k in dims]
-    for fact_name, fact, key, dim in [
-        ("fct_transaction", fct, "customer_key", st.dim_customer),
-        ("fct_transaction", fct, "account_key", st.dim_account),
-        ("fct_transaction", fct, "transaction_type_key", st.dim_transaction_type),
-        ("fct_account_monthly_snapshot", snap, "customer_key", st.dim_customer),
-        ("fct_account_monthly_snapshot", snap, "account_key", st.dim_account),
-    ]:
-        out.append(K.fk_fanout(fact, dim, key, name=f"{fact_name}.{key} FK integrity"))
-    for n, d, bk in [("dim_customer", st.dim_customer, "user_id"), ("dim_account", st.dim_account, "account_id")]:
-        out.append(K.scd2_current(d, bk, f"{n}: exactly one is_current per {bk}"))
-        out.append(K.scd2_contiguous(d, bk, f"{n}: version ranges contiguous & non-overlapping"))
-    out.append(K.date_coverage(fct, st.dim_date, name="dim_date covers fct_transaction.date_key"))
-    out.append(K.date_coverage(snap, st.dim_date, name="dim_date covers fct_account_monthly_snapshot.date_key"))
-    return out
-
-
-def vault_checks(v: Vault, s: Silver) -> list[DataFrame]:
-    out: list[DataFrame] = []
-    hubs = {h.name: v.first_load(h.name) for h in V.HUBS}
-    for spec in V.HUBS:
-        hub = hubs[spec.name]
-        out.append(K.unique(hub, [spec.hash_key], f"vault.{spec.name} hub key unique"))
-        out.append(
-            K.hub_complete(hub, v.bronze(spec.source), spec.business_key, f"vault.{spec.name} holds every bronze key")
-        )
-    hub_of = {h.hash_key: hubs[h.name] for h in V.HUBS}
-    for spec in V.LINKS:
-        link = v.first_load(spec.name)
-        out.append(K.unique(link, [spec.link_key], f"vault.{spec.name} link key unique"))
-        for _, hk in spec.pairs:
-            out.append(K.fk(link, hub_of[hk], hk, name=f"vault.{spec.name}.{hk} resolves to hub"))
-    for spec in V.SATS:
-        sat = v.first_load(spec.name)
-        out.append(K.fk(sat, hub_of[spec.hash_key], spec.hash_key, name=f"vault.{spec.name}.{spec.hash_key} resolves to hub"))
-        out.append(K.hash_repeat(sat, spec.hash_key, f"vault.{spec.name}: no consecutive equal hash_diff"))
-    out.append(
-        K.equal(v.reconstruct_users(), s.users, "user_id", [("age_band", "age_band"), ("signup_date", "signup_date")],
-                "vault users reconstruct == silver.users")
-    )
-    acct_cols = ["user_id", "account_type_id", "account_number_masked", "opened_date"]
-    out.append(
-        K.equal(v.reconstruct_accounts(), s.accounts, "account_id", [(c, c) for c in acct_cols],
-                "vault accounts reconstruct == silver.accounts")
-    )
-    txn_cols = ["account_id", "transaction_type_id", "amount", "currency", "transaction_ts"]
-    out.append(
-        K.equal(v.reconstruct_transactions(), s.transactions, "transaction_id", [(c, c) for c in txn_cols],
-                "vault transactions reconstruct == silver.transactions")
-    )
-    goal_cols = ["user_id", "goal_name", "target_amount", "current_amount", "created_date", "target_date"]
-    out.append(
-        K.equal(v.reconstruct_goals(), s.goals, "goal_id", [(c, c) for c in goal_cols],
-                "vault savings_goals reconstruct == silver.savings_goals")
-    )
-    return out
+    sources = {h.source for h in V.HUBS}
 
+    def build(owner, name: str):
+        if owner is v:
+            return v.latest(name) if name in sources else v.first_load(name)
+        return getattr(owner, name)
+
+    with ThreadPoolExecutor(threads) as pool:
+        for wave in waves:
+            list(pool.map(lambda x: build(*x), wave))
 
-def materialize_layers(s: Silver, st: Star, v: Vault, threads: int = 8) -> None:
-    """Build and store every layer once, submitting independent builds as
-    concurrent Spark jobs (the silver chain first, then marts, star and vault)."""
-    from concurrent.futures import ThreadPoolExecutor
 
-    def run(thunks):
-        with ThreadPoolExecutor(threads) as pool:
-            for f in [pool.submit(t) for t in thunks]:
-                f.result()
+def e2e_checks(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All invariants over layers that are built once and stored in the checkpoint folder."""
+    s = Silver(spark, sf_dir)
+    st, v = Star(s), Vault(spark, sf_dir, True, s)
+    build_layers(s, st, v)
+    return frames(tables(s, st, v))
 
-    run([lambda: s.users, lambda: s.transaction_types, lambda: s.account_types])
-    run([lambda: s.accounts, lambda: s.goals] + [lambda src=src: v.latest(src) for src in ("users", "accounts", "transactions", "savings_goals")])
-    run([lambda: s.transactions, lambda: st.dim_customer, lambda: st.dim_account]
-        + [lambda n=n: v.first_load(n) for n in [*(h.name for h in V.HUBS), *(lk.name for lk in V.LINKS), *(x.name for x in V.SATS)]])
-    run([lambda: s.account_summary, lambda: st.dim_date, lambda: st.fct_transaction, lambda: st.fct_unresolved,
-         lambda: st.monthly_snapshot])
-    run([lambda: s.customer_360])
 
+def conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions dated after every version began all resolve: the fact has as many rows as silver.
 
-def e2e_checks(spark: SparkSession, sf_dir: str, materialize: bool = True) -> list[DataFrame]:
-    """All invariants.  With ``materialize`` (default) each layer is built once
-    and stored in the checkpoint folder, and the checks read the stored tables."""
-    s = Silver(spark, sf_dir, materialize)
-    st = Star(s)
-    v = Vault(spark, sf_dir, materialize, s)
-    if materialize:
-        materialize_layers(s, st, v)
-    return silver_checks(s) + mart_checks(s) + star_checks(st) + vault_checks(v, s)
+    Dimension versions are opened at the earliest date of the calendar, so that no
+    transaction precedes its account or its owner.
+    """
+    st = Star(Silver(spark, sf_dir))
+    from ..operators.facts import facts_of, resolve_transactions
+
+    early = st.bounds.select("start").scalar()
+    dims = [d.withColumn("valid_from", F.least("valid_from", early)) for d in (st.dim_customer, st.dim_account)]
+    resolved = resolve_transactions(st.silver.transactions, st.silver.transaction_types, *dims)
+    return K.counts(facts_of(resolved), st.silver.transactions, "every transaction is a fact")
 
 
 def crash_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H3 failure input: load 2's inserts appended without expiring the old versions."""
-    from ..operators.scd2 import CUSTOMER_SPEC, plan_scd2
+    """H3 failure input: load 2's versions appended without closing the old ones."""
+    from ..operators.scd2 import CUSTOMER_SPEC, new_versions, plan_scd2
     from .layers import scd2_customer_states
 
     first = scd2_customer_states(spark, sf_dir)[0]
-    inserts, _ = plan_scd2(fx.user_scd2_load(spark, sf_dir, 2), first, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
-    return first.unionByName(inserts)
+    changes = plan_scd2(fx.user_scd2_load(spark, sf_dir, 2), first, CUSTOMER_SPEC, fx.SCD2_RUN_DATE)
+    return first.unionByName(new_versions(changes, first, CUSTOMER_SPEC))
 
 
 def reconstruct_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts rebuilt from the satellite *after load 2* (priorities changed)."""
     v = Vault(spark, sf_dir)
     s1, d2, _ = v.sat_loads()
-    silver = Silver(spark, sf_dir)
     return V.reconstruct_accounts(
         v.first_load("hub_account"), s1.unionByName(d2), v.first_load("link_account_user"),
-        v.first_load("hub_user"), silver.account_types, silver.users,
+        v.first_load("hub_user"), v._silver.account_types, v._silver.users,
     )
 
 
 def pit_facts(s: Silver) -> DataFrame:
     return s.transactions.join(s.accounts.select("account_id", "user_id"), "account_id", "inner")
-
-

@@ -65,8 +65,8 @@ def _account_columns(priority: Column) -> list[Column]:
 
 
 def accounts(spark: SparkSession, sf_dir: str, priority: Column | None = None) -> DataFrame:
-    """bronze.accounts from ``orders`` where ``o_custkey % 13 <> 0``."""
-    o = table(spark, sf_dir, "orders").where(F.col("o_custkey") % 13 != 0)
+    """bronze.accounts from every row of ``orders``."""
+    o = table(spark, sf_dir, "orders")
     return o.select(*_account_columns(priority if priority is not None else F.col("o_orderpriority")))
 
 
@@ -97,8 +97,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def savings_goals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bronze.savings_goals from ``customer`` where ``c_custkey % 5 < 3``."""
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 5 < 3)
+    """bronze.savings_goals from every row of ``customer``."""
+    c = table(spark, sf_dir, "customer")
     saved = F.abs(F.col("c_acctbal")).cast("decimal(10,2)")
     signup = _days(date(1990, 1, 1), F.col("c_custkey") % 1500)
     return c.select(
@@ -123,6 +123,17 @@ def transaction_types(spark: SparkSession) -> DataFrame:
     return seeds.transaction_types(spark, seeds.FIXTURE_TRANSACTION_TYPES)
 
 
+def users_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bronze.users in which every 50th customer has no key and every 70th no date of birth."""
+    u = users(spark, sf_dir).withColumn("_n", F.regexp_extract("user_id", "[0-9]+", 0).cast("bigint"))
+    return u.select(
+        F.when(F.col("_n") % 50 != 0, F.col("user_id")).alias("user_id"),
+        "full_name", "email",
+        F.when(F.col("_n") % 70 != 0, F.col("date_of_birth").cast("string")).otherwise(F.lit("unknown")).alias("date_of_birth"),
+        "address", "signup_date", "_ingested_at",
+    )
+
+
 def user_scd2_load(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
     """SCD2 scenario input (user_id, age_band, signup_date).
 

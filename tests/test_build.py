@@ -14,8 +14,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 def test_build_twice_is_idempotent(spark):
     first = build_all(spark, SF, prefix="bt", buckets=4)
-    assert first.rows["bt_silver.accounts"] == 1105 and first.rows["bt_silver.transactions"] == 2818
-    assert first.rows["bt_gold.account_summary"] == 1105 and first.rows["bt_gold.customer_360"] == 150
+    assert first.rows["bt_silver.accounts"] == 1191 and first.rows["bt_silver.transactions"] == 3048
+    assert first.rows["bt_gold.account_summary"] == 1191 and first.rows["bt_gold.customer_360"] == 150
     vault_tables = [t for t in first.rows if t.startswith("bt_vault.") and not t.startswith("bt_vault.ref_")]
     dims = {t: io.read_table(spark, t).count() for t in ("bt_gold.dim_customer", "bt_gold.dim_account")}
 
@@ -28,8 +28,8 @@ def test_build_twice_is_idempotent(spark):
     summary = io.read_table(spark, "bt_gold.account_summary")
     fct = io.read_table(spark, "bt_gold.fct_transaction")
     unresolved = io.read_table(spark, "bt_gold.fct_transaction_unresolved")
-    assert fct.count() + unresolved.count() == 2818
-    assert summary.agg(F.sum("transaction_count")).first()[0] == 2818
+    assert fct.count() + unresolved.count() == 3048
+    assert summary.agg(F.sum("transaction_count")).first()[0] == 3048
 
 
 def test_bucketed_silver_aggregates_without_shuffle(spark):
