@@ -218,7 +218,8 @@ def inherit(files: DataFrame, path: str, license: str, score: str, speaks: Colum
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
     ancestors = dirs.select(own, F.explode(F.array_distinct(above)).alias(up))
     nearest = ancestors.join(holders, up).groupBy(own).agg(F.max(F.struct(F.length(up).alias("depth"), F.col(up).alias("at"), F.col(out).alias("license"))).alias("best"))
-    nearest = nearest.select(own, F.col("best.license").alias(out), F.col("best.at").alias(origin))
+    # stored, so that the last join is between two plain inputs, of which a hot directory's side can be split
+    nearest = stored(nearest.select(own, F.col("best.license").alias(out), F.col("best.at").alias(origin)), "nearest-dirs")
     return tagged.join(nearest, own, "left").drop(own)
 
 
