@@ -17,9 +17,9 @@ block's own words, so a document word costs one hash lookup in Arrow.  Nothing
 is shuffled: every row is judged by itself.
 
 Defined results: null and empty texts have no passages; items with fewer than
-``n`` words are one seed of all their words (none: no seed); equal items all
-count, and so do items under one id (its last text counts); items with a null
-id or text are left out.  Ids of documents are not used.  An empty benchmark
+``n`` words are no passage that could be told from ordinary phrases, and match
+nothing; equal items all count; of items under one id the last text counts;
+items with a null id or text are left out.  Ids of documents are not used.  An empty benchmark
 finds nothing, an empty table gives no rows.
 """
 
@@ -84,7 +84,7 @@ class Block:
         self.n = n
         self.vocabulary = pa.array(sorted({w for _, ws in items for w in ws}), pa.string())
         self.items = {i: pc.index_in(pa.array(ws, pa.string()), self.vocabulary).to_numpy(zero_copy_only=False).astype(np.int64) for i, ws in items}
-        own = {i: np.unique(grams(ids, min(n, len(ids)))) if len(ids) else np.zeros(0, np.uint64) for i, ids in self.items.items()}
+        own = {i: np.unique(grams(ids, n)) for i, ids in self.items.items()}
         seeds, held = np.unique(np.concatenate([np.zeros(0, np.uint64), *own.values()]), return_counts=True)
         common = set(seeds[held > max(1, item_share * len(items))].tolist())
         pairs = []
@@ -94,23 +94,17 @@ class Block:
         pairs.sort()
         self.seeds = np.array([s for s, _ in pairs], np.uint64)
         self.owners = np.array([i for _, i in pairs], np.int64)
-        self.short = sorted({len(ids) for ids in self.items.values() if 0 < len(ids) < n})
-
-    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Positions, seeds and items of all seeds in a run of word ids."""
-        found = [np.zeros((3, 0), np.int64)]
-        for width in (self.n, *self.short):
-            hashes = grams(ids, width)
-            first = np.searchsorted(self.seeds, hashes, "left")
-            many = np.searchsorted(self.seeds, hashes, "right") - first
-            many[hashes == 0] = 0
-            at = np.nonzero(many)[0]
-            reps = many[at]
-            owner = np.repeat(first[at], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-            fits = np.array([min(self.n, len(self.items[i])) == width for i in self.owners[owner].tolist()], bool)
-            found.append(np.stack([np.repeat(at, reps)[fits], np.repeat(hashes[at], reps).view(np.int64)[fits], self.owners[owner][fits]]))
-        at, seed, item = np.concatenate(found, axis=1)
-        return at, seed, item
+
+    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and items of all seeds in a run of word ids, a pair for each item of a seed."""
+        hashes = grams(ids, self.n)
+        first = np.searchsorted(self.seeds, hashes, "left")
+        many = np.searchsorted(self.seeds, hashes, "right") - first
+        many[hashes == 0] = 0
+        at = np.nonzero(many)[0]
+        reps = many[at]
+        owner = np.repeat(first[at], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+        return np.repeat(at, reps), self.owners[owner]
 
 
 LEAKS = "array<struct<item:bigint,start:int,score:double>>"
@@ -118,11 +112,10 @@ LEAKS = "array<struct<item:bigint,start:int,score:double>>"
 
 def _passages(block: Block, ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """(text, item, first, end) of each passage; ``ids``: words of all texts, ``offsets``: where texts start."""
-    at, seed, item = block.hits(ids)
+    at, item = block.hits(ids)
     doc = np.searchsorted(offsets, at, "right") - 1
-    width = np.array([min(block.n, len(block.items[i])) for i in item.tolist()], np.int64)
-    inside = at + width <= offsets[doc + 1]  # a run of words may not go over the end of its text
-    at, item, doc, width = (x[inside] for x in (at, item, doc, width))
+    inside = at + block.n <= offsets[doc + 1]  # a run of words may not go over the end of its text
+    at, item, doc = (x[inside] for x in (at, item, doc))
     order = np.lexsort((at, item, doc))
     k = 0
     while k < len(order):
@@ -137,7 +130,7 @@ def _passages(block: Block, ids: np.ndarray, offsets: np.ndarray) -> Iterator[tu
         ):
             end += 1
         low = max(offsets[doc[first]], at[first] - size)
-        high = min(offsets[doc[first] + 1], at[order[end - 1]] + width[order[end - 1]] + size)
+        high = min(offsets[doc[first] + 1], at[order[end - 1]] + block.n + size)
         yield int(doc[first]), int(item[first]), int(low), int(high)
         k = end
 

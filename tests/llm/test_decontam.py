@@ -54,9 +54,9 @@ def test_planted_passages_and_clean_documents(spark):
     d, i = frames(spark, docs, items)
     rows = decontam.summary(decontam.find_leaks(d, i, out="_l"), out="_l").collect()
     got = {r.doc_id: r for r in rows if r.doc_id is not None}
-    assert {k for k, r in got.items() if r.contaminated} == {*planted, 502}
+    assert {k for k, r in got.items() if r.contaminated} == set(planted)  # five words make a passage, two don't
     assert all(planted[k] in got[k]["items"] and got[k].best_score >= 0.6 for k in planted)
-    assert got[502]["items"] == [100] and [r.contaminated for r in rows if r.doc_id is None] == [True, False]
+    assert [r.contaminated for r in rows if r.doc_id is None] == [True, False]
 
 
 def test_score_is_that_of_the_whole_text(spark):
