@@ -119,7 +119,7 @@ def near_in_block(block: pd.DataFrame, window: int, threshold: float) -> pd.Data
 def window_links(classes: DataFrame, threshold: float, window: int, passes: int, seed: int, block: int = BLOCK) -> DataFrame:
     """Forest edges ``(a, b)`` of the links that the passes find; ``classes``: id and vec."""
     keyed = classes.select("id", F.posexplode(sort_keys(F.col("vec"), passes, seed)).alias("turn", "key"))
-    placed = positions(keyed, ["turn", "key", "id"]).join(classes, "id")
+    placed = positions(stored(keyed, "keys"), ["turn", "key", "id"]).join(classes, "id")
     home = F.floor(F.col("pos") / block)
     both = F.when(F.col("pos") % block >= block - window, F.array(home, home + 1)).otherwise(F.array(home))
     blocks = placed.select("id", "turn", "pos", "vec", F.explode(both).alias("block"))
@@ -157,6 +157,7 @@ def link_counts(members: DataFrame, threshold: float, tile: int = TILE) -> DataF
     """
     sizes = members.groupBy("root").agg(F.ceil(F.count("id") / tile).alias("k"))
     tiles = members.join(sizes, "root").withColumn("sub", F.pmod(F.xxhash64("id"), "k"))
+    tiles = tiles.repartition("root", "sub")  # else a large component stays where the join has put it
     tiles = stored(tiles.groupBy("root", "sub").agg(F.collect_list(F.struct("id", "copies", "vec")).alias("tile")), "vector-tiles")
     others = tiles.select("root", F.col("sub").alias("sub2"), F.col("tile").alias("other"))
     met = tiles.join(others, "root").where(F.col("sub") <= F.col("sub2")).select("tile", "other", (F.col("sub") == F.col("sub2")).alias("same"))
