@@ -161,6 +161,7 @@ def links(prints: DataFrame, radius: int = 3, parts: int | None = None, tile: in
     tiles = (
         cells.join(sizes, "cell")
         .withColumn("sub", F.pmod(F.xxhash64("fp"), "k"))
+        .repartition("cell", "sub")  # else a large cell stays where the join has put it
         .groupBy("cell", "sub")
         .agg(F.sort_array(F.collect_list(F.struct("id", "fp"))).alias("tile"))
     )
