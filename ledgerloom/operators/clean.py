@@ -54,14 +54,17 @@ def dedupe_latest(
     deterministic, and the other columns (e.g. PII) are never read.
 
     A row with a NULL key is no version of any other: such rows are all kept,
-    or with ``null_keys="drop"`` left to the caller (see :class:`Split`).
+    each as a group of its own, or with ``null_keys="drop"`` left to the caller
+    (see :class:`Split`).
     """
     named = {c for c in (*keys, *order_by, *tie_break) if isinstance(c, str)}
     rest = sorted(c for c in df.columns if c not in named) if complete else []
-    w = Window.partitionBy(*keys).orderBy(*[_order(c, True) for c in (*order_by, *tie_break, *rest)])
-    known = df.where(has_key(keys))
-    top = known.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    return top if null_keys == "drop" else top.unionByName(df.where(~has_key(keys)))
+    if null_keys == "drop":
+        rows, alone = df.where(has_key(keys)), []
+    else:
+        rows, alone = df.withColumn("_alone", F.when(~has_key(keys), F.monotonically_increasing_id())), ["_alone"]
+    w = Window.partitionBy(*keys, *alone).orderBy(*[_order(c, True) for c in (*order_by, *tie_break, *rest)])
+    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", *alone)
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -86,10 +86,16 @@ class Silver:
     def goals(self) -> DataFrame:
         return _keep(self.goals_split.valid, self.materialize)
 
+    def plan_account_summary(self) -> DataFrame:
+        """The mart over stored silver tables, not stored itself."""
+        return marts.account_summary(self.accounts, self.transactions, self.account_types, self.transaction_types)
+
+    def plan_customer_360(self) -> DataFrame:
+        return marts.customer_360(self.users, self.plan_account_summary(), self.goals)
+
     @cached_property
     def account_summary(self) -> DataFrame:
-        out = marts.account_summary(self.accounts, self.transactions, self.account_types, self.transaction_types)
-        return _keep(out, self.materialize)
+        return _keep(self.plan_account_summary(), self.materialize)
 
     @cached_property
     def customer_360(self) -> DataFrame:
@@ -146,13 +152,16 @@ class Star:
 
         return _keep(apply_scd2(self.account_input, None, ACCOUNT_SPEC, fx.SCD2_RUN_DATE), self.silver.materialize)
 
-    @cached_property
-    def resolved(self) -> DataFrame:
-        """Transactions with their dimension keys, evaluated once for the fact and its side output."""
+    def plan_resolved(self) -> DataFrame:
         from ..operators.facts import resolve_transactions
 
         s = self.silver
-        return _keep(resolve_transactions(s.transactions, s.transaction_types, self.dim_customer, self.dim_account), s.materialize)
+        return resolve_transactions(s.transactions, s.transaction_types, self.dim_customer, self.dim_account)
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        """Transactions with their dimension keys, evaluated once for the fact and its side output."""
+        return _keep(self.plan_resolved(), self.silver.materialize)
 
     @cached_property
     def fct_transaction(self) -> DataFrame:
@@ -173,13 +182,15 @@ class Star:
 
         return reliable_checkpoint(month_activity(self.silver.transactions, self.silver.transaction_types))
 
-    @cached_property
-    def monthly_snapshot(self) -> DataFrame:
+    def plan_monthly_snapshot(self) -> DataFrame:
         from ..operators.facts import monthly_snapshot
 
         s = self.silver
-        snap = monthly_snapshot(s.transactions, s.accounts, s.transaction_types, self.dim_customer, self.dim_account, activity=self.activity)
-        return _keep(snap, s.materialize)
+        return monthly_snapshot(s.transactions, s.accounts, s.transaction_types, self.dim_customer, self.dim_account, activity=self.activity)
+
+    @cached_property
+    def monthly_snapshot(self) -> DataFrame:
+        return _keep(self.plan_monthly_snapshot(), self.silver.materialize)
 
 
 def scd2_customer_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -268,17 +279,29 @@ class Vault:
 
     def sat_loads(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Satellite scenario on accounts: priority A -> B (key % 10 = 0) -> A.
-        Returns (table after load 1, load-2 delta, load-3 delta)."""
+        Returns (table after load 1, load-2 delta, load-3 delta); the first two are stored."""
         from ..operators import vault as v
 
         spec = v.SAT["sat_account_details"]
         original = fx.accounts(self.spark, self.sf_dir)
         changed = fx.accounts(self.spark, self.sf_dir, fx.changed_priority())
-        s1 = reliable_checkpoint(v.load_sat(spec, original, None, fx.LOAD_DATES[0]))
+        s1 = self.sat_first()
         d2 = reliable_checkpoint(v.load_sat(spec, changed, s1, fx.LOAD_DATES[1]))
         d3 = v.load_sat(spec, original, s1.unionByName(d2), fx.LOAD_DATES[2])
         return s1, d2, d3
 
+    def sat_first(self) -> DataFrame:
+        from ..operators import vault as v
+
+        return reliable_checkpoint(v.load_sat(v.SAT["sat_account_details"], fx.accounts(self.spark, self.sf_dir), None, fx.LOAD_DATES[0]))
+
+    def sat_second(self) -> DataFrame:
+        """The load-2 delta alone, not stored."""
+        from ..operators import vault as v
+
+        changed = fx.accounts(self.spark, self.sf_dir, fx.changed_priority())
+        return v.load_sat(v.SAT["sat_account_details"], changed, self.sat_first(), fx.LOAD_DATES[1])
+
     def reconstruct_accounts(self) -> DataFrame:
         from ..operators import vault as v
 

@@ -84,12 +84,12 @@ def q_conform_goals(spark, sf_dir):
 # --- marts ----------------------------------------------------------------
 @query("account_summary")
 def q_account_summary(spark, sf_dir):
-    return Silver(spark, sf_dir).account_summary
+    return Silver(spark, sf_dir).plan_account_summary()
 
 
 @query("customer_360")
 def q_customer_360(spark, sf_dir):
-    return Silver(spark, sf_dir).customer_360
+    return Silver(spark, sf_dir).plan_customer_360()
 
 
 # --- calendar and star ------------------------------------------------------
@@ -178,12 +178,16 @@ def q_dim_account(spark, sf_dir):
 
 @query("fct_transaction")
 def q_fct_transaction(spark, sf_dir):
-    return _star(spark, sf_dir).fct_transaction
+    from ..operators.facts import facts_of
+
+    return facts_of(_star(spark, sf_dir).plan_resolved())
 
 
 @query("fct_unresolved")
 def q_fct_unresolved(spark, sf_dir):
-    return _star(spark, sf_dir).fct_unresolved
+    from ..operators.facts import unresolved_of
+
+    return unresolved_of(_star(spark, sf_dir).plan_resolved())
 
 
 @query("pit_join")
@@ -243,7 +247,7 @@ def q_running_balance(spark, sf_dir):
 
 @query("monthly_snapshot")
 def q_monthly_snapshot(spark, sf_dir):
-    return _star(spark, sf_dir).monthly_snapshot
+    return _star(spark, sf_dir).plan_monthly_snapshot()
 
 
 # --- data vault ---------------------------------------------------------------
@@ -285,7 +289,7 @@ def q_sat_load(spark, sf_dir):
 @query("sat_delta")
 def q_sat_delta(spark, sf_dir):
     """Load 2 changes the priority of every tenth order."""
-    return _vault(spark, sf_dir).sat_loads()[1]
+    return _vault(spark, sf_dir).sat_second()
 
 
 @query("sat_delta_revert")
