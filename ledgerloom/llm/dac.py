@@ -59,8 +59,8 @@ WORDS = 400_000
 CONTROL = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(r"[ \t\n\r\x0b\x0c]+")
 PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: Marks after a letter that normalising leaves as one letter.
-TAIL = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,!?;:]+$")
+#: Marks that are cut off after a Latin letter, which normalising leaves as one letter.
+MARKS = ".,!?;:"
 
 
 def byte_letters() -> list[str]:
@@ -74,8 +74,8 @@ class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and never joins over it.
 
     Parts between white space are encoded by themselves and remembered, as are
-    words and the marks that end them: a Latin letter before such marks is
-    always split from them.  ``fold``: the tokenizer lower-cases, so words of Latin
+    words of Latin letters and the marks that end them, as such words are
+    always split from those marks.  ``fold``: the tokenizer lower-cases, so words of Latin
     letters are looked up in lower case.  ``direct``: such a word is one unit
     for the file's merges, so it goes straight to them and skips the steps that
     would leave it as it is (both are found with probe words on loading).
@@ -102,26 +102,32 @@ class WordEncoder:
         shown = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
         return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
-    def _ids(self, units: list[str]) -> dict[str, bytes]:
-        plain = {u: self._merge(u) for u in units if PLAIN.fullmatch(u)} if self.direct else {}
-        rest = [u for u in units if u not in plain]
-        return plain | dict(zip(rest, self._library(rest)))
-
-    def _units(self, part: str) -> list[str]:
-        tail = TAIL.search(part)
-        head = part[: tail.start()] if tail else part
-        if self.fold and PLAIN.fullmatch(head):
-            head = head.lower()
-        return [head, tail[0]] if tail else [head]
+    def _learn(self, parts: set[str]) -> None:
+        """Remember the ids of new parts and of what they consist of."""
+        known, cut, rest = self.known, {}, set()
+        for part in parts:
+            head = part.rstrip(MARKS)
+            if head and (head.isalpha() if head.isascii() else PLAIN.fullmatch(head)):
+                word = head.lower() if self.fold else head
+                cut[part] = word, part[len(head) :]
+                if word not in known:
+                    if self.direct:
+                        known[word] = self._merge(word)
+                    else:
+                        rest.add(word)
+                rest.add(part[len(head) :])
+            else:
+                rest.add(part)
+        rest = [r for r in rest if r not in known]
+        known.update(zip(rest, self._library(rest)))
+        known.update({part: known[word] + known[marks] for part, (word, marks) in cut.items()})
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         parts = [SPACES.split(t) if CONTROL.search(t) else t.split() for t in texts]
         known = self.known
-        units = {p: self._units(p) for ps in parts for p in ps if p not in known}
-        made = self._ids(sorted({u for us in units.values() for u in us if u not in known}))
-        known.update(made)
-        known.update({p: b"".join([known[u] for u in us]) for p, us in units.items()})
+        if new := {p for ps in parts for p in ps if p not in known}:
+            self._learn(new)
         out = [np.frombuffer(b"".join([known[p] for p in ps]), np.uint32) for ps in parts]
         for word in list(islice(known, max(0, len(known) - WORDS))) if len(known) > 1.25 * WORDS else ():
             del known[word]  # those that came first
