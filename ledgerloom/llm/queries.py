@@ -104,16 +104,16 @@ ORACLES = {
         FROM embeddings LEFT JOIN best ON best.a = vec_id LEFT JOIN degree ON degree.a = vec_id""",
     "op6_line_dedup": f"""
         WITH lines AS (
-            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at FROM documents),
+            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents),
         totals AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
         common AS (
             SELECT source, trim(line, ' ') AS line FROM lines JOIN totals USING (source) WHERE trim(line, ' ') <> ''
             GROUP BY source, trim(line, ' '), total HAVING count(DISTINCT doc_id) >= {MIN_PAGES} AND count(DISTINCT doc_id) / total > {BOILERPLATE}),
         marked AS (
-            SELECT l.doc_id, l.line, l.at, c.line IS NOT NULL AS gone FROM lines l
+            SELECT l.doc_id, l.line, l.place, c.line IS NOT NULL AS gone FROM lines l
             LEFT JOIN common c ON c.source = l.source AND c.line = trim(l.line, ' ')),
         per AS (
-            SELECT doc_id, string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone) AS kept, count(*) FILTER (gone) AS n_dropped FROM marked GROUP BY doc_id)
+            SELECT doc_id, string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone) AS kept, count(*) FILTER (gone) AS n_dropped FROM marked GROUP BY doc_id)
         SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text, coalesce(n_dropped, 0) AS n_dropped
         FROM documents LEFT JOIN per USING (doc_id)""",
 }
