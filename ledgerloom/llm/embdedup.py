@@ -11,9 +11,15 @@ Windows alone would miss pairs in dense groups.  So, after the passes, the
 members of each component meet in tiles and all their pairs are compared: every
 link between members is counted, however many they are.
 
-The number of passes follows the number of vectors, so that a pair at the
-threshold meets in some window with probability ``recall`` by the hashes' own
-model; closer pairs meet far more often.
+The first passes follow the number of vectors.  In each of them every class
+reports how many sign bits it shares with the neighbours at the window's ends: a
+pair that shares more meets.  With how near the class is to those bits' planes,
+that gives the chance that a pair at the threshold has met, wherever vectors are
+crowded.  Classes for which it stays below
+``recall`` go on among themselves, for as many passes as their measured bits
+need, until none is left; a pair is settled once one of its two is.  Where
+comparing all pairs of the classes that are left costs less than those passes,
+all pairs are compared, which misses nothing.
 
 Defined results: vectors that are null, zero, empty or hold null or non-finite
 components link with nothing and are their own component; vectors of different
@@ -40,6 +46,9 @@ from .simhash import join_labels
 BITS = 64
 BLOCK = 2048
 TILE = 512
+#: Comparisons that cost a vector about as much as one more pass, and the most passes of a round.
+PASS_COST = 2048
+ROUND = 32
 
 
 def passes_for(n: int, threshold: float, window: int, recall: float) -> int:
@@ -73,8 +82,7 @@ def sort_keys(vectors: Column, passes: int, seed: int) -> Column:
             head = int(dim).to_bytes(4, "big")  # vectors of one length stand together
             parts = []
             for k in range(passes):
-                planes = np.random.default_rng([seed, k, int(dim)]).standard_normal((int(dim), BITS))
-                parts.append(np.packbits(x @ planes > 0, axis=1))
+                parts.append(np.packbits(x @ planes_of(seed, k, int(dim)) > 0, axis=1))
             for i, r in enumerate(rows):
                 out[r] = [head + p[i].tobytes() for p in parts]
         return pa.array(out, pa.list_(pa.binary()))
@@ -94,10 +102,55 @@ def positions(rows: DataFrame, order: list[str]) -> DataFrame:
     return placed.withColumn("pos", F.col("base") + F.col("mid").bitwiseAND(F.lit((1 << 33) - 1))).drop("mid", "part", "base")
 
 
-def near_in_block(block: pd.DataFrame, window: int, threshold: float) -> pd.DataFrame:
-    """Spanning forest of the links found in one block; rows of an earlier pass are not compared."""
+def shared_bits(keys: np.ndarray, turn: np.ndarray, window: int) -> np.ndarray:
+    """Leading bits that each key shares with the one ``window`` places on; -1 across passes or lengths of vectors."""
+    left, right = keys[:-window], keys[window:]
+    apart = np.unpackbits(left[:, 4:] ^ right[:, 4:], axis=1)
+    bits = np.where(apart.any(axis=1), apart.argmax(axis=1), apart.shape[1])
+    return np.where((turn[:-window] == turn[window:]) & (left[:, :4] == right[:, :4]).all(axis=1), bits, -1)
+
+
+def planes_of(seed: int, turn: int, dim: int) -> np.ndarray:
+    return np.random.default_rng([seed, turn, dim]).standard_normal((dim, BITS))
+
+
+def out_of_window(x: np.ndarray, planes: np.ndarray, threshold: float, bits: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Chance that a neighbour at the threshold, in a random direction, lies after (or before) a row and shares
+    no more than ``bits`` leading bits with it.
+
+    It depends on how far a row is from each plane; where vectors are crowded, the planes that part them are near.
+    """
+    angle, dim = math.acos(min(1.0, max(-1.0, threshold))), len(planes)
+    far = x @ planes
+    across = np.sqrt(np.maximum((planes**2).sum(axis=0) - far**2, 1e-12) / max(1, dim - 1))
+    z = np.clip(np.abs(far) / max(math.tan(angle), 1e-12) / across, -8, 8)
+    # the normal distribution function, to 2e-4
+    agree = np.exp(-np.cumsum(np.log1p(np.exp(-1.5976 * z - 0.07056 * z**3)), axis=1)) if dim > 1 else np.ones(far.shape)
+    first = np.hstack((1 - agree[:, :1], agree[:, :-1] - agree[:, 1:]))  # chance that this bit is the first to differ
+    there = (far > 0) != after[:, None]  # a row's 0 differs from a later row's 1
+    out = (first * there * (np.arange(BITS) <= bits[:, None])).sum(axis=1)
+    return out + np.where(bits == BITS, agree[:, -1] / 2, 0)  # where whole keys are equal, their order tells nothing
+
+
+def near_in_block(block: pd.DataFrame, window: int, threshold: float, seed: int) -> pd.DataFrame:
+    """Spanning forest of the links found in one block, and what each class may still miss.
+
+    Rows of an earlier pass are not compared.  Rows with a null ``b`` tell the chance that a pair of a class
+    is out of the window in a pass, for each side; a side that ends before the window does is seen whole.
+    """
     block = block.sort_values("pos")
-    ids, turn = block["id"].to_numpy(), block["turn"].to_numpy()
+    ids, turn, dims = block["id"].to_numpy(), block["turn"].to_numpy(), block["vec"].map(len).to_numpy()
+    crowded = pd.DataFrame({"a": ids[:0], "turn": turn[:0], "lost": np.zeros(0)})
+    if len(block) > window:
+        keys = np.frombuffer(b"".join(block["key"]), np.uint8).reshape(len(block), -1)
+        bits = shared_bits(keys, turn, window)
+        known = np.nonzero(bits >= 0)[0]
+        ends, bits, after = np.concatenate((known, known + window)), np.tile(bits[known], 2), np.arange(2 * len(known)) < len(known)
+        lost = np.zeros(len(ends))
+        for t, dim in {*zip(turn[ends].tolist(), dims[ends].tolist())}:
+            own = np.nonzero((turn[ends] == t) & (dims[ends] == dim))[0]
+            lost[own] = out_of_window(unit(block["vec"].iloc[ends[own]].tolist()), planes_of(seed, t, dim), threshold, bits[own], after[own])
+        crowded = pd.DataFrame({"a": ids[ends], "turn": turn[ends], "lost": lost}).groupby(["a", "turn"], as_index=False).sum()
     lengths = block["vec"].map(len).to_numpy()
     rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
     labels = np.arange(len(ids))
@@ -113,17 +166,78 @@ def near_in_block(block: pd.DataFrame, window: int, threshold: float) -> pd.Data
             join_labels(labels, rank[own[i[same]]], rank[own[j[same]]])
     ordered = np.sort(ids, kind="stable")
     moved = np.nonzero(labels != np.arange(len(ids)))[0]
-    return pd.DataFrame({"a": ordered[moved], "b": ordered[labels[moved]]})
+    found = pd.DataFrame({"a": ordered[moved], "b": ordered[labels[moved]], "turn": 0, "lost": 0.0})
+    crowded["b"] = None
+    return pd.concat([found.astype({"b": object}), crowded])[["a", "b", "turn", "lost"]]
 
 
 def window_links(classes: DataFrame, threshold: float, window: int, passes: int, seed: int, block: int = BLOCK) -> DataFrame:
-    """Forest edges ``(a, b)`` of the links that the passes find; ``classes``: id and vec."""
+    """What ``near_in_block`` says of all blocks of the passes, stored; ``classes``: id and vec."""
     keyed = classes.select("id", F.posexplode(sort_keys(F.col("vec"), passes, seed)).alias("turn", "key"))
     placed = positions(stored(keyed, "keys"), ["turn", "key", "id"]).join(classes, "id")
     home = F.floor(F.col("pos") / block)
     both = F.when(F.col("pos") % block >= block - window, F.array(home, home + 1)).otherwise(F.array(home))
-    blocks = placed.select("id", "turn", "pos", "vec", F.explode(both).alias("block"))
-    return blocks.groupBy("block").applyInPandas(lambda b: near_in_block(b, window, threshold), "a bigint, b bigint")
+    blocks = placed.select("id", "turn", "pos", "key", "vec", F.explode(both).alias("block"))
+    return stored(blocks.groupBy("block").applyInPandas(lambda b: near_in_block(b, window, threshold, seed), "a bigint, b bigint, turn int, lost double"), "windows")
+
+
+def _tile_links(threshold: float):
+    """Forest edges between the components (root) of two tiles' members."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for mine, others in zip(batch.column("tile"), batch.column("other")):
+                a, b = mine.as_py(), others.as_py()
+                roots, at = np.unique([r["root"] for r in a + b], return_inverse=True)
+                labels = np.arange(len(roots))
+                for dim in {len(r["vec"]) for r in a} & {len(r["vec"]) for r in b}:
+                    own, other = ([k for k, r in enumerate(t) if len(r["vec"]) == dim] for t in (a, b))
+                    i, j = np.nonzero(unit([a[k]["vec"] for k in own]) @ unit([b[k]["vec"] for k in other]).T >= threshold)
+                    join_labels(labels, at[np.array(own)[i]], at[len(a) + np.array(other)[j]])
+                moved = np.nonzero(labels != np.arange(len(roots)))[0]
+                left.append(roots[moved])
+                right.append(roots[labels[moved]])
+            none = np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *x]).astype(np.int64)) for x in (left, right)], names=["a", "b"])
+
+    return link
+
+
+def all_links(rest: DataFrame, roots: DataFrame, n: int, threshold: float, tile: int = TILE) -> DataFrame:
+    """Edges ``(a, b)`` that join the components of all linked pairs of ``rest`` (id, vec); ``roots``: node, root so far."""
+    rows = rest.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rows = rows.withColumn("sub", F.pmod(F.xxhash64("id"), F.lit(-(-n // tile))))
+    tiles = stored(rows.groupBy("sub").agg(F.collect_list(F.struct("root", "vec")).alias("tile")), "crowded-tiles")
+    others = tiles.select(F.col("sub").alias("sub2"), F.col("tile").alias("other"))
+    met = tiles.repartition("sub").join(others, F.col("sub") <= F.col("sub2")).select("tile", "other")
+    return stored(met.mapInArrow(_tile_links(threshold), "a bigint, b bigint").distinct(), "crowded-links")
+
+
+def all_windows(classes: DataFrame, n: int, threshold: float, window: int, recall: float, seed: int) -> DataFrame:
+    """Edges ``(a, b)`` from which the components of all linked pairs follow; ``classes``: id and vec, ``n`` of them."""
+    passes, rest, edges, missed, turn, ran = passes_for(n, threshold, window, recall), classes, None, None, 0, 0
+    while True:
+        found = window_links(rest, threshold, window, passes, seed + 1000 * turn)
+        turn, ran = turn + 1, ran + passes
+        here = found.where("b IS NOT NULL").select("a", "b")
+        edges = here if edges is None else edges.unionByName(here)
+        sides = found.where("b IS NULL").groupBy("a", "turn").agg(F.sum("lost").alias("lost"))
+        chance = F.least(F.greatest("lost", F.lit(1e-12)), F.lit(1.0))
+        each = sides.groupBy(F.col("a").alias("id")).agg((F.sum(F.log(chance)) + (passes - F.count("a")) * math.log(1e-12)).alias("miss"))
+        if missed is not None:
+            each = each.join(missed.withColumnRenamed("miss", "before"), "id").select("id", (F.col("miss") + F.col("before")).alias("miss"))
+        missed = stored(each.where(F.col("miss") > math.log(1 - recall)), "crowded")
+        left, total = missed.agg(F.count("id"), F.sum("miss")).first()
+        if not left:
+            return edges
+        rest = stored(missed.select("id").join(classes, "id"), "crowded-vectors")
+        mean = min(total / left / ran, -1e-9)  # what a pass has settled of the classes that are left
+        need = max(1, math.ceil(math.log(1 - recall) / mean) - ran)
+        if left <= PASS_COST * need:
+            roots = connected_components(edges, "a", "b")
+            return edges.unionByName(all_links(rest, roots, left, threshold))
+        passes = min(ROUND, need)
 
 
 def _count(threshold: float):
@@ -175,7 +289,7 @@ def near_duplicates(
     classes = rows.where("vec IS NOT NULL").groupBy("vec").agg(F.min("id").alias("rep"), F.count("id").alias("copies"))
     classes = stored(classes.select(F.col("rep").alias("id"), "copies", "vec"), "classes")
     n = classes.count()
-    edges = window_links(classes.select("id", "vec"), threshold, window, passes_for(n, threshold, window, recall), seed)
+    edges = all_windows(classes.select("id", "vec"), n, threshold, window, recall, seed)
     roots = connected_components(edges, "a", "b").withColumnRenamed("node", "id")
     members = roots.join(classes, "id")
     found = link_counts(members, threshold)

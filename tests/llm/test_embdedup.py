@@ -58,3 +58,34 @@ def test_odd_rows(spark):
 def test_passes_follow_the_size():
     assert embdedup.passes_for(10, 0.95, 64, 0.99) == 1
     assert embdedup.passes_for(10**6, 0.95, 64, 0.99) < embdedup.passes_for(10**9, 0.95, 64, 0.99)
+
+
+def cone(n, close, pairs, dim=64, seed=4):
+    """Vectors of which the first third are in one cone (cosine ``close`` to each other), with pairs at 0.951 all over."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[: n // 3] = np.sqrt(close) * np.eye(dim)[0] + np.sqrt(1 - close) * x[: n // 3]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    at = rng.permutation(n)[: 2 * pairs]
+    for a, b in zip(at[:pairs], at[pairs:]):
+        away = rng.standard_normal(dim)
+        away -= (away @ x[a]) * x[a]
+        x[b] = 0.951 * x[a] + np.sqrt(1 - 0.951**2) * away / np.linalg.norm(away)
+    return x
+
+
+def joined(found, x):
+    """Share of the linked pairs that stand in one component: in the cone, outside it."""
+    i, j = np.nonzero(np.triu(x @ x.T >= 0.95, 1))
+    label = np.array([c for _, c in sorted((r.vec_id, r.component_id) for r in found)])
+    inside = x[i, 0] > 0.6
+    return (label[i] == label[j])[inside].mean(), (label[i] == label[j])[~inside].mean()
+
+
+@pytest.mark.parametrize("pass_cost", [2048, 0])
+def test_pairs_in_a_crowded_cone(spark, monkeypatch, pass_cost):
+    monkeypatch.setattr(embdedup, "PASS_COST", pass_cost, raising=False)  # 0: by further passes only
+    x = cone(1500, 0.75, 600)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    assert min(joined(embdedup.near_duplicates(df, window=4).collect(), x)) >= 0.98
