@@ -1,8 +1,9 @@
 """Operator 10: licences by sparse TF-IDF cosine and nearest-ancestor directories.
 
-Every line of a text (in windows, if it is long) and the text as a whole become
-sparse TF-IDF vectors over the words of the licence templates; words outside
-them only lengthen the vector.  The closest template by cosine names the
+Every line of a text (in windows, if it is long), every run of a template's own
+number of words anywhere in it, and the text as a whole become sparse TF-IDF
+vectors over the words of the licence templates; words outside them only
+lengthen the vector.  The closest template by cosine names the
 licence if it reaches the threshold.  The words' document frequencies are
 counted over the lines of all texts.  A line of which too little lies in the
 templates' vocabulary can't reach the threshold and is skipped, which changes
@@ -181,16 +182,58 @@ def scan_batch(column: pa.Array, at: Space, threshold: float) -> list[dict]:
     return out
 
 
+def slide_batch(column: pa.Array, at: Space, lengths: list[int], threshold: float, found: list[dict]) -> list[dict]:
+    """``found`` (of ``scan_batch``) with closer notices anywhere in a text, across lines and beside other words.
+
+    For each template, a window of its own number of words slides over the words of the text, one at a time; at
+    the end it is cut.  The sums of single words' weights give an upper bound of each window's cosine, so that few
+    windows are compared exactly.
+    """
+    lists = words(column)
+    flat = lists.flatten()
+    ids = pc.fill_null(pc.index_in(flat, at.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    blank = pc.equal(flat, "").to_numpy(zero_copy_only=False)
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    bounds -= bounds[0]
+    text = np.repeat(np.arange(len(column)), np.diff(bounds))
+    weights = np.append(at.idf, at.other)[ids]  # -1 is the last
+    weights[blank] = 0
+    size = np.concatenate(([0.0], np.cumsum(weights**2)))
+    near = []
+    for k, width in enumerate(lengths):
+        dot = np.concatenate(([0.0], np.cumsum(np.append(at.rows[k] * at.idf, 0.0)[ids])))
+        last = np.minimum(np.arange(len(ids)) + width, bounds[text + 1])
+        most = dot[last] - dot[:-1]
+        square = size[last] - size[:-1]
+        first = np.nonzero((most > 0) & (most >= (threshold - 1e-6) * np.sqrt(square)))[0]
+        near.append(np.stack([text[first], -most[first] / np.sqrt(square[first]), np.full(len(first), k), first, last[first]], axis=1))
+    near = np.concatenate(near)
+    out = [dict(f) for f in found]
+    for row, bound, k, first, last in near[np.lexsort((near[:, 3], near[:, 2], near[:, 1], near[:, 0]))].tolist():
+        best = out[int(row)]
+        if -bound <= best["score"]:
+            continue
+        own = ids[int(first) : int(last)]
+        vector = np.bincount(own[own >= 0], minlength=len(at.idf)) * at.idf
+        # repeated outside words count as different ones
+        cosine = min(1.0, float(at.rows[int(k)] @ vector / np.sqrt(vector @ vector + (own < 0).sum() * at.other**2)))
+        if cosine >= threshold and cosine > best["score"] + 1e-9:
+            best |= {"license": at.names[int(k)], "score": cosine}
+    return out
+
+
 FOUND = "struct<license:string,score:double,whole:boolean>"
 
 
-def scan(text: Column, at: Space, threshold: float = 0.7) -> Column:
+def scan(text: Column, at: Space, threshold: float = 0.7, templates=TEMPLATES) -> Column:
     """The licence found in a text column: struct (license, score, whole)."""
+    lengths = [len(ws) for ws in _terms([t for _, t in templates])]
 
     @F.arrow_udf(FOUND)
     def found(column: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([column], names=["text"])
-        rows = [r for part in by_bytes(batch, "text", PIECE) for r in scan_batch(part.column(0), at, threshold)]
+        parts = [part.column(0) for part in by_bytes(batch, "text", PIECE)]
+        rows = [r for part in parts for r in slide_batch(part, at, lengths, threshold, scan_batch(part, at, threshold))]
         return pa.array(rows, pa.struct([("license", pa.string()), ("score", pa.float64()), ("whole", pa.bool_())]))
 
     return found(text)

@@ -59,3 +59,22 @@ def test_inheritance(spark):
     assert licenses.licenses(docs.limit(0), F.col("p")).count() == 0
     root = spark.createDataFrame([(1, "LICENSE", mit), (2, "deep/er/x", prose)], "doc_id long, p string, text string")
     assert [r.license for r in licenses.licenses(root, F.col("p")).orderBy("doc_id").collect()] == ["MIT", "MIT"]
+
+
+def test_notices_across_lines_and_beside_other_words(spark):
+    prose = "The committee met on Tuesday and talked at length about rivers, bridges and the cost of bread."
+    templates = dict(reversed(licenses.TEMPLATES))
+    gpl = next(t for n, t in licenses.TEMPLATES if n == "GPL-3.0" and "redistribute" in t).split()
+    mit = templates["MIT"].split()
+    header = "\n".join("# " + " ".join(gpl[k : k + 9]) for k in range(0, len(gpl), 9))
+    rows = [
+        (1, "Copyright (c) 2024 Jane Doe. Released under the MIT License.", "MIT"),
+        (2, "Copyright 2020 Foo Inc. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        (3, f"{prose} Licensed under CC BY-NC 4.0. {prose}", "CC-BY-NC-4.0"),
+        (4, f"{prose}\n{' '.join(mit[:3])}\n{' '.join(mit[3:])}\n{prose}", "MIT"),
+        (5, "\n".join([header, *[prose] * 12]), "GPL-3.0"),
+        (6, "\n".join([prose] * 12), None),
+    ]
+    docs = spark.createDataFrame([(i, f"d{i}/x", t) for i, t, _ in rows], "doc_id long, p string, text string")
+    got = {r.doc_id: r.license for r in licenses.licenses(docs, F.col("p"), at=licenses.space(np.arange(len(licenses.vocabulary())) % 50, 1000)).collect()}
+    assert got == {i: n for i, _, n in rows}
