@@ -1,14 +1,18 @@
-"""Operator 2: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
-
-Test items and documents become lower-cased words (runs of letters and
-digits).  The word n-grams of the items are seeds; n-grams that stand in more
-than ``item_share`` of the items are too common to seed, unless an item would
-be left with fewer than ``min_seeds``.  One pass over the documents finds every
-seed; hits of one item that lie within an item's length form a passage, which
-takes an item's length of words on either side.  Smith-Waterman (match 1,
-mismatch and gap -0.5) scores the passage against the item; the score divided
-by the item's length is the similarity.  Passages with too few of the item's
-words to reach the threshold are not aligned, which changes no result.
+"""Operator 2: benchmark decontamination by seeds that lose nothing and Smith-Waterman alignment.
+
+Test items and documents become lower-cased words (runs of letters and digits;
+single characters in scripts without spaces).  Seeds are pairs of adjacent item
+words, or single words for items of under ten.  An alignment that reaches the
+threshold holds a least number of its item's seeds (``needed``), so only item
+and text with that many seeds inside the longest possible alignment meet.  Pairs
+that stand in more than ``item_share`` of the items may be left out, never more
+than that number allows.  So the seeds lose no passage, whatever its edits.
+
+Smith-Waterman (match 1, mismatch and gap -0.5) scores a passage against the
+item; the score divided by the item's length is the similarity.  What lies on
+both sides of an accepted alignment is aligned again, until no part reaches the
+threshold.  Passages with too few of the item's words to reach it are not
+aligned, which changes no result.
 
 Seeds meet the documents in blocks of items with at most ``max_seeds`` seeds
 (16 bytes each), the bound of what a task holds; more items mean more passes
@@ -18,13 +22,14 @@ is shuffled: every row is judged by itself.
 
 Defined results: null and empty texts have no passages; items with fewer than
 ``n`` words are no passage that could be told from ordinary phrases, and match
-nothing; equal items all count; of items under one id the last text counts;
-items with a null id or text are left out.  Ids of documents are not used.  An empty benchmark
-finds nothing, an empty table gives no rows.
+nothing; equal items all count, and so do all texts under one id and items with
+a null id; items with a null text are left out.  Ids of documents are not used.
+An empty benchmark finds nothing, an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +52,27 @@ def words(column: pa.Array) -> pa.ListArray:
     return pc.split_pattern(pc.utf8_trim(plain, " "), " ")
 
 
+def tokens(column: pa.Array) -> pa.ListArray:
+    """``words``, with every character of a script without spaces as a word of its own."""
+    unspaced = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
+    return words(pc.replace_substring_regex(pc.fill_null(column, ""), unspaced, r" \1 "))
+
+
+def needed(size: int, threshold: float) -> tuple[int, int]:
+    """Words of a seed, and how many seeds an alignment that reaches the threshold holds at least.
+
+    With m of the item's words matched and e edits, m - e / 2 >= threshold * size, and e edits leave m - 1 - e
+    adjacent pairs; m is at most the item's size.
+    """
+    pairs = math.ceil((2 * threshold - 1) * size - 1 - 1e-9)
+    return (2, pairs) if pairs >= 1 else (1, max(1, math.ceil(threshold * size - 1e-9)))
+
+
+def reach(size: int, threshold: float) -> int:
+    """Words of a text that an alignment can span: all of the item and the most insertions."""
+    return size + math.ceil(2 * (1 - threshold) * size)
+
+
 def grams(ids: np.ndarray, n: int) -> np.ndarray:
     """64-bit hash of each run of n word ids; 0 where a word is unknown (-1)."""
     if len(ids) < n:
@@ -78,33 +104,46 @@ def similarity(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
 
 
 class Block:
-    """Seeds of some items, as sorted arrays."""
+    """Seeds of some items, as sorted arrays; items are known by their place in ``items``: (ids, words)."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], n: int, item_share: float, min_seeds: int):
-        self.n = n
+    def __init__(self, items: list[tuple[list, list[str]]], n: int, item_share: float, threshold: float):
+        items = [(ids, ws) for ids, ws in items if len(ws) >= n]
+        self.names = [ids for ids, _ in items]
         self.vocabulary = pa.array(sorted({w for _, ws in items for w in ws}), pa.string())
-        self.items = {i: pc.index_in(pa.array(ws, pa.string()), self.vocabulary).to_numpy(zero_copy_only=False).astype(np.int64) for i, ws in items}
-        own = {i: np.unique(grams(ids, n)) for i, ids in self.items.items()}
-        seeds, held = np.unique(np.concatenate([np.zeros(0, np.uint64), *own.values()]), return_counts=True)
-        common = set(seeds[held > max(1, item_share * len(items))].tolist())
-        pairs = []
-        for i, found in own.items():
-            rare = [s for s in found.tolist() if s not in common]
-            pairs += [(s, i) for s in (rare if len(rare) >= min_seeds else found.tolist())]
-        pairs.sort()
-        self.seeds = np.array([s for s, _ in pairs], np.uint64)
-        self.owners = np.array([i for _, i in pairs], np.int64)
-
-    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and items of all seeds in a run of word ids, a pair for each item of a seed."""
-        hashes = grams(ids, self.n)
-        first = np.searchsorted(self.seeds, hashes, "left")
-        many = np.searchsorted(self.seeds, hashes, "right") - first
-        many[hashes == 0] = 0
-        at = np.nonzero(many)[0]
-        reps = many[at]
-        owner = np.repeat(first[at], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-        return np.repeat(at, reps), self.owners[owner]
+        self.items = [pc.index_in(pa.array(ws, pa.string()), self.vocabulary).to_numpy(zero_copy_only=False).astype(np.int64) for _, ws in items]
+        self.reach = np.array([reach(len(ids), threshold) for ids in self.items], np.int64)
+        self.need = np.zeros(len(items), np.int64)
+        width = np.zeros(len(items), np.int64)
+        for k, ids in enumerate(self.items):
+            width[k], self.need[k] = needed(len(ids), threshold)
+        self.seeds = {}
+        for w in (1, 2):
+            own = {k: np.unique(grams(self.items[k], w), return_counts=True) for k in np.nonzero(width == w)[0].tolist()}
+            seeds, held = np.unique(np.concatenate([np.zeros(0, np.uint64), *(s for s, _ in own.values())]), return_counts=True)
+            pairs = []
+            for k, (found, times) in own.items():
+                share = held[np.searchsorted(seeds, found)]
+                for s in np.argsort(-share, kind="stable"):
+                    if share[s] > max(1, item_share * len(items)) and times[s] < self.need[k]:
+                        self.need[k] -= times[s]  # left out: so many fewer are sure to be there
+                    else:
+                        pairs.append((int(found[s]), k))
+            pairs.sort()
+            self.seeds[w] = np.array([s for s, _ in pairs], np.uint64), np.array([k for _, k in pairs], np.int64)
+
+    def hits(self, ids: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Positions and items of all seeds in runs of word ids (``doc``: their texts), for each width of a seed."""
+        for width, (seeds, owners) in self.seeds.items():
+            if not len(seeds):
+                continue
+            hashes = grams(ids, width)
+            first = np.searchsorted(seeds, hashes, "left")
+            many = np.searchsorted(seeds, hashes, "right") - first
+            many[(hashes == 0) | (doc[: len(hashes)] != doc[width - 1 :])] = 0  # not over the end of a text
+            at = np.nonzero(many)[0]
+            reps = many[at]
+            owner = np.repeat(first[at], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+            yield np.repeat(at, reps), owners[owner]
 
 
 LEAKS = "array<struct<item:bigint,start:int,score:double>>"
@@ -112,58 +151,85 @@ LEAKS = "array<struct<item:bigint,start:int,score:double>>"
 
 def _passages(block: Block, ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """(text, item, first, end) of each passage; ``ids``: words of all texts, ``offsets``: where texts start."""
-    at, item = block.hits(ids)
-    doc = np.searchsorted(offsets, at, "right") - 1
-    inside = at + block.n <= offsets[doc + 1]  # a run of words may not go over the end of its text
-    at, item, doc = (x[inside] for x in (at, item, doc))
-    order = np.lexsort((at, item, doc))
-    k = 0
-    while k < len(order):
-        first = order[k]
-        size, end = len(block.items[int(item[first])]), k + 1
-        while (
-            end < len(order)
-            and doc[order[end]] == doc[first]
-            and item[order[end]] == item[first]
-            and at[order[end]] - at[order[end - 1]] <= size
-            and at[order[end]] - at[first] <= 4 * size  # longer runs go on as another passage, which looks back
-        ):
-            end += 1
-        low = max(offsets[doc[first]], at[first] - size)
-        high = min(offsets[doc[first] + 1], at[order[end - 1]] + block.n + size)
-        yield int(doc[first]), int(item[first]), int(low), int(high)
-        k = end
+    doc_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    for at, item in block.hits(ids, doc_of):
+        doc = doc_of[at]
+        order = np.lexsort((at, item, doc))
+        at, item, doc = at[order], item[order], doc[order]
+        # with the seeds that an alignment needs at least, inside its longest span
+        end = np.arange(len(at)) + block.need[item] - 1
+        first = np.nonzero(end < len(at))[0]
+        end = end[first]
+        first = first[(doc[end] == doc[first]) & (item[end] == item[first]) & (at[end] - at[first] <= block.reach[item[first]])]
+        low = np.maximum(offsets[doc[first]], at[first] - block.reach[item[first]])
+        high = np.minimum(offsets[doc[first] + 1], at[first] + block.reach[item[first]])
+        new = np.ones(len(first), bool)
+        new[1:] = (doc[first[1:]] != doc[first[:-1]]) | (item[first[1:]] != item[first[:-1]]) | (low[1:] > high[:-1])
+        starts = np.nonzero(new)[0]
+        ends = np.append(starts[1:], len(first)) - 1
+        for k, e in zip(starts, ends[: len(starts)]):
+            yield int(doc[first[k]]), int(item[first[k]]), int(low[k]), int(high[e])
+
+
+def _align(wanted: np.ndarray, ids: np.ndarray, low: int, high: int, threshold: float) -> Iterator[tuple[int, int, float]]:
+    """(first, end, score) of alignments in ``ids[low:high]`` that don't overlap: the best, then those beside it."""
+    todo = [(low, high)]
+    while todo:
+        low, high = todo.pop()
+        there = ids[low:high]
+        if np.isin(wanted, there).sum() < threshold * len(wanted) or np.isin(there, wanted).sum() < threshold * len(wanted):
+            continue
+        score, end = similarity(wanted, there)
+        if score >= threshold:
+            # the same alignment read backwards tells where it starts
+            first = end - similarity(wanted[::-1], there[:end][::-1])[1]
+            yield low + first, low + end, score
+            todo += [(low, low + first), (low + end, high)]
+
+
+def _leaks(block: Block, item: int, ids: np.ndarray, low: int, high: int, threshold: float) -> Iterator[tuple[int, float]]:
+    """(first, score) of the leaks of one passage; a long one in windows, each for what starts in its first part."""
+    wanted, span = block.items[item], int(block.reach[item])
+    while low < high:
+        last = low + 4 * span + 2 * span
+        turn = high if last >= high else low + 4 * span
+        after = turn
+        for first, end, score in _align(wanted, ids, low, min(high, last), threshold):
+            if first < turn:
+                yield first, score
+                after = max(after, end)
+        low = after
 
 
 def _judge(block: Block, threshold: float, texts: pa.Array) -> list[list[dict]]:
-    """Leaks of each text: the best alignment of every passage that reaches the threshold."""
-    lists = words(texts)
+    """Leaks of each text: all alignments that reach the threshold."""
+    lists = tokens(texts)
     ids = pc.fill_null(pc.index_in(lists.flatten(), block.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
     offsets = lists.offsets.to_numpy().astype(np.int64)
     offsets -= offsets[0]
     out: list[dict] = [{} for _ in range(len(texts))]
     for doc, item, low, high in _passages(block, ids, offsets):
-        wanted, there = block.items[item], ids[low:high]
-        if np.isin(wanted, there).sum() < threshold * len(wanted):
-            continue
-        score, end = similarity(wanted, there)
-        if score >= threshold:
-            # the same alignment read backwards tells where it starts
-            start = low + end - similarity(wanted[::-1], there[:end][::-1])[1] - offsets[doc]
-            out[doc][item, int(start)] = score
-    return [[{"item": i, "start": s, "score": v} for (i, s), v in sorted(found.items())] for found in out]
-
-
-def blocks(items: DataFrame, id: str, text: str, n: int, item_share: float, min_seeds: int, max_seeds: int) -> Iterator[Block]:
-    """Items in blocks; each is fetched by its own job, so the driver holds one at a time."""
-    named = items.select(F.col(id).cast("bigint").alias("item"), F.col(text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
+        for first, score in _leaks(block, item, ids, low, high, threshold):
+            for name in block.names[item]:
+                key = name, int(first - offsets[doc])
+                out[doc][key] = max(score, out[doc].get(key, 0.0))
+    order = lambda found: sorted(found.items(), key=lambda x: (x[0][0] is None, x[0][0] or 0, x[0][1]))
+    return [[{"item": i, "start": s, "score": v} for (i, s), v in order(found)] for found in out]
+
+
+def blocks(items: DataFrame, id: str, text: str, n: int, item_share: float, threshold: float, max_seeds: int) -> Iterator[Block]:
+    """Distinct texts in blocks; each is fetched by its own job, so the driver holds one at a time."""
+    named = items.select(F.col(id).cast("bigint").alias("item"), F.col(text).alias("text")).where("text IS NOT NULL")
+    named = named.groupBy("text").agg(F.collect_set(F.struct("item")).alias("ids"))  # a null id is one too
     chars = named.agg(F.sum(F.length("text"))).first()[0] or 0
-    turns = max(1, -(-chars // (2 * max_seeds)))  # a word and the space after it are 2 characters at least
+    turns = max(1, -(-chars // max_seeds))  # a word is a character at least
     for turn in range(turns):
-        rows = named.where(F.pmod(F.xxhash64("item"), F.lit(turns)) == turn).orderBy("item", "text").collect()
-        listed = words(pa.array([r["text"] for r in rows], pa.string())).to_pylist()
-        kept = {r["item"]: [w for w in ws if w] for r, ws in zip(rows, listed)}
-        yield Block(sorted(kept.items()), n, item_share, min_seeds)
+        rows = named.where(F.pmod(F.xxhash64("text"), F.lit(turns)) == turn).orderBy("text").collect()
+        listed = tokens(pa.array([r["text"] for r in rows], pa.string())).to_pylist()
+        kept: dict[tuple, set] = {}
+        for r, ws in zip(rows, listed):
+            kept.setdefault(tuple(w for w in ws if w), set()).update(x["item"] for x in r["ids"])
+        yield Block([(list(names), list(ws)) for ws, names in kept.items()], n, item_share, threshold)
 
 
 def leaks_in(text: Column, block, threshold: float) -> Column:
@@ -180,14 +246,14 @@ def leaks_in(text: Column, block, threshold: float) -> Column:
 
 def find_leaks(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "leaks",
-    n: int = 5, threshold: float = 0.6, item_share: float = 0.05, min_seeds: int = 8, max_seeds: int = MAX_SEEDS,
+    n: int = 5, threshold: float = 0.6, item_share: float = 0.05, max_seeds: int = MAX_SEEDS,
 ) -> DataFrame:
     """``docs`` with the leaks of each text in column ``out`` (the name must be free).
 
     A leak: the item, the position of its first word in the text (from 0) and the score.
     """
     found = docs.withColumn(out, F.array().cast(LEAKS))
-    for k, block in enumerate(blocks(items, item_id, item_text, n, item_share, min_seeds, max_seeds)):
+    for k, block in enumerate(blocks(items, item_id, item_text, n, item_share, threshold, max_seeds)):
         if k:
             found = stored(found, "leaks")
         shared = docs.sparkSession.sparkContext.broadcast(block)

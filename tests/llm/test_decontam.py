@@ -83,3 +83,37 @@ def test_drop_and_empty(spark):
     kept = decontam.drop_leaks(d, i)
     assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {x for x, _ in docs} - set(planted)
     assert decontam.drop_leaks(d.limit(0), i).count() == 0 and decontam.drop_leaks(d, i.limit(0)).count() == len(docs)
+
+
+def found_in(spark, texts, items):
+    d, i = frames(spark, list(enumerate(texts)), items)
+    return {r.doc_id: [(x["item"], x["start"]) for x in r["_l"]] for r in decontam.find_leaks(d, i, out="_l").collect()}
+
+
+def test_edited_copies_are_found_as_by_aligning_all_pairs(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(60)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=rng.choice([5, 7, 12, 15, 25, 40])))) for k in range(25)]
+    texts = []
+    for k in range(250):
+        copy = rng.choice(items)[1].split()
+        rate = rng.choice([4, 5, 6])
+        copy = [w if (j + 1) % rate else "edit" for j, w in enumerate(copy)] if k % 2 else [x for w in copy for x in ([w, "more"] if rng.random() < 0.5 else [w])]
+        around = rng.choices(vocabulary, k=20)
+        texts.append(" ".join(around[:10] + copy + around[10:]))
+    got = found_in(spark, texts, items)
+    for d, text in enumerate(texts):
+        want = {i for i, item in items if align(item.split(), text.split()) >= 0.6 - 1e-12}
+        assert {i for i, _ in got[d]} == want
+
+
+def test_every_copy_of_an_item_counts(spark):
+    item = " ".join(f"w{k}" for k in range(12))
+    got = found_in(spark, [" ".join([item] * 70), f"x {item} y {item}"], [(1, item)])
+    assert got == {0: [(1, 12 * k) for k in range(70)], 1: [(1, 1), (1, 14)]}
+
+
+def test_ids_that_are_shared_or_null_and_scripts_without_spaces(spark):
+    a, b, c, d = ("one two three four five six", "red green blue black white grey", "sun moon star sky cloud rain", "\u6211\u4eec\u4eca\u5929\u53bb\u5317\u4eac")
+    got = found_in(spark, [a, b, c, f"\u4ed6\u8bf4{d}\u4e86"], [(1, a), (1, b), (None, c), (4, d)])
+    assert got == {0: [(1, 0)], 1: [(1, 0)], 2: [(None, 0)], 3: [(4, 2)]}
