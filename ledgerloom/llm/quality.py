@@ -175,10 +175,10 @@ def fit(docs: DataFrame, text: str = "text", sample: int = 4000) -> Scorer:
     combination = codes[:, None] // 3 ** np.arange(LABELLERS - 1, -1, -1) % 3
     labels = estimate(combination, weight)
     share = min(1.0, sample / weight.sum())
-    drawn = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    drawn = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()  # copies are drawn together
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
-        texts = group["text"].drop_duplicates().sort_values().tolist()
+        texts = group["text"].sort_values().tolist()
         y = labels.posterior(np.array([votes(t) for t in texts]))
         return pd.DataFrame({"w": [train(np.stack([features(t) for t in texts]), y)]})
 

@@ -46,3 +46,17 @@ def test_odd_rows(spark):
     blank = docs.limit(3)
     assert {r.quality_score for r in quality.classify(blank, quality.fit(blank)).collect()} == {0.0}
     assert quality.classify(docs.limit(0), quality.fit(docs.limit(0))).count() == 0
+
+
+def test_copies_of_a_drawn_text_are_learned_once(spark, monkeypatch):
+    seen = []
+    group = type(spark.range(1).groupBy("id"))
+    apply = group.applyInPandas
+
+    def spy(self, func, schema):
+        seen.append(self._df.groupBy("text").count().agg({"count": "max"}).first()[0])
+        return apply(self, func, schema)
+
+    monkeypatch.setattr(group, "applyInPandas", spy)
+    quality.fit(spark.createDataFrame([("One text that many pages share, word for word.",)] * 50 + [("Another text of its own.",)], "text string"))
+    assert seen == [1]
