@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, dac, decontam, embdedup, langid, licenses, linededup, pii, quality, simhash
+from . import bpe, dac, decontam, embdedup, langid, licenses, linededup, periodic, pii, quality, simhash, spelling, tokencount
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 HOST = "source"
 BOILERPLATE, MIN_PAGES = 0.1, 3
 #: Lowest quality score that is kept: only clear cases go.
 KEEP = 0.2
+#: Documents of more tokens are over the limit.
+TOKEN_LIMIT = 1024
 
 
 def language_model(docs: DataFrame) -> langid.Model:
@@ -89,7 +94,59 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(docs, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_decontaminate, op3_pii, op4_simhash, op5_embeddings, op6_line_dedup, op7_quality, op8_tokens, op9_bpe, op10_licenses)}
+def with_period(text: Column, key: Column) -> Column:
+    """The words of every tenth text (by the CRC of its key) from one place on repeat those from there."""
+    h = F.crc32(key.cast("string").cast("binary"))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeat(w: Column) -> Column:
+        n, g = F.size(w), F.floor(h / 10)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.concat(F.slice(w, F.lit(1), a), F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(w, a + i % p)))
+
+    planted = F.array_join(F.transform(F.array(words), lambda w: F.array_join(repeat(w), " ")), " ")
+    return F.when((h % 10 == 0) & (F.size(words) > 0), planted).otherwise(text)
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of which get a repeating end first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_period(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic.with_runs(docs, "text")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    rows = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), longest.alias("m"), F.array_join(lines, "").alias("lines"), "collapsed")
+    length, period = F.col("m.length"), -F.col("m.period")
+    return rows.select(
+        "doc_id", "n_runs", (-F.col("m.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(F.lit(1000) * length / period).cast("bigint").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document."""
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, TOKEN_LIMIT)
+
+
+def misspelt(runs: pa.LargeStringArray, rows: np.ndarray, keys: list) -> pa.Array:
+    """Runs of letters, of which those whose keyed CRC 97 divides lose a letter."""
+    crc = spelling.keyed_crc32([b"" if k is None else b"%d:" % k for k in keys], runs, rows)
+    hit = np.flatnonzero(crc % 97 == 0)
+    whole = runs.take(pa.array(hit)).to_pylist()
+    places = (crc[hit] % np.array([max(1, len(w)) for w in whole], np.uint32)).tolist() if whole else []
+    cut = pa.array([w[:i] + w[i + 1 :] for w, i in zip(whole, places)], pa.large_string())
+    rest = runs.filter(pa.array(crc % 97 != 0))
+    return pa.concat_arrays([rest, cut])
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, some of which lose a letter first."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), key="doc_id", edit=misspelt)
+    return spelling.variant_groups(words)
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_decontaminate, op3_pii, op4_simhash, op5_embeddings, op6_line_dedup, op7_quality, op8_tokens, op9_bpe, op10_licenses, op11_runs, op12_counts, op13_spelling)}
 
 ORACLES = {
     "op5_embeddings": """
