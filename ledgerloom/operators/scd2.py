@@ -16,7 +16,9 @@ Keys come out dense and in the same order as the global ``row_number``.
 ``plan_scd2`` tags every changed key with its action and stores that frame
 once; new versions and closed ones both come from it.  ``apply_scd2`` gives the
 whole next state (no MERGE, so no half-applied state between an expire commit
-and an insert commit, H3).
+and an insert commit, H3).  ``apply_open`` gives only what a load writes where
+closed versions are stored apart: it reads the open versions, and of the closed
+ones just the keys that no open version explains.
 """
 
 from __future__ import annotations
@@ -112,47 +114,91 @@ def plan_scd2(incoming: DataFrame, current: DataFrame | None, spec: Scd2Spec, ru
 
     Keys that are unchanged or missing from ``incoming`` do not appear (no
     delete detection, H19).  Runs one job, and raises if ``incoming`` has a
-    business key twice, since no order between its rows is known.
+    business key twice, changed or not, since no order between its rows is known.
     """
     bk = spec.business_key
     stored = _empty_dimension(incoming, spec) if current is None else current
-    versions = stored.groupBy(bk).agg(F.max(F.when(F.col("is_current"), F.col("row_hash"))).alias("_open"), F.lit(1).alias("_known"))
-    action = (
-        F.when(F.col("_known").isNull(), "add")
-        .when(F.col("_open").isNull(), "reopen")
-        .when(F.col("_open") != F.col("row_hash"), "replace")
-    )
-    since = F.when(F.col("action") == "add", F.col(spec.effective_from).cast("date")).otherwise(F.lit(run_date))
-    tagged = incoming.withColumn("row_hash", row_hash(spec.tracked)).join(versions, bk, "left").withColumn("action", action)
-    changes = reliable_checkpoint(
-        tagged.where(F.col("action").isNotNull()).select(*incoming.columns, "row_hash", since.alias("valid_from"), "action")
-    )
-    twice = changes.groupBy(bk).count().where(F.col("count") > 1).select(bk).take(1)
+    versions = stored.groupBy(bk).agg(F.max(F.when(F.col("is_current"), F.col("row_hash"))).alias("_open"), F.lit(True).alias("_known"))
+    compared = _compared(incoming, spec).join(versions, bk, "left")
+    return _planned(reliable_checkpoint(compared.where(_differs())), incoming, spec, run_date)
+
+
+def plan_open(incoming: DataFrame, open_rows: DataFrame, closed_keys: DataFrame, spec: Scd2Spec, run_date: date | Column) -> DataFrame:
+    """:func:`plan_scd2` from the open versions, without a join of all closed ones.
+
+    Only keys without an open version are looked up in ``closed_keys``, after
+    what differs has been stored, so that side of the lookup is as small as the change.
+    """
+    bk = spec.business_key
+    versions = open_rows.groupBy(bk).agg(F.max("row_hash").alias("_open"))
+    differs = reliable_checkpoint(_compared(incoming, spec).join(versions, bk, "left").where(_differs()))
+    asked = differs.where(F.col("_open").isNull()).select(bk)
+    known = closed_keys.select(bk).join(asked, bk, "left_semi").distinct().withColumn("_known", F.lit(True))
+    return _planned(differs.join(known, bk, "left"), incoming, spec, run_date)
+
+
+def _compared(incoming: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """``incoming`` with its hash and how often it has each key; the sort by key serves the join that follows."""
+    times = F.count(F.lit(1)).over(Window.partitionBy(spec.business_key))
+    return incoming.withColumns({"row_hash": row_hash(spec.tracked), "_times": times})
+
+
+def _differs() -> Column:
+    return F.col("_open").isNull() | (F.col("_open") != F.col("row_hash")) | (F.col("_times") > 1)
+
+
+def _planned(differs: DataFrame, incoming: DataFrame, spec: Scd2Spec, run_date: date | Column) -> DataFrame:
+    """The actions of stored rows that differ; raises for keys that come twice."""
+    bk = spec.business_key
+    twice = differs.where(F.col("_times") > 1).select(bk).distinct().orderBy(bk).limit(21).collect()
     if twice:
-        raise ValueError(f"{bk} {twice[0][0]!r} is in the load more than once")
-    return changes
+        names = ", ".join(repr(r[0]) for r in twice[:20]) + (", ..." if len(twice) > 20 else "")
+        raise ValueError(f"{bk} in the load more than once: {names}")
+    action = F.when(F.col("_open").isNotNull(), "replace").when(F.col("_known"), "reopen").otherwise("add")
+    since = F.when(F.col("action") == "add", F.col(spec.effective_from).cast("date")).otherwise(F.lit(run_date))
+    return differs.withColumn("action", action).select(*incoming.columns, "row_hash", since.alias("valid_from"), "action")
 
 
-def new_versions(changes: DataFrame, current: DataFrame | None, spec: Scd2Spec) -> DataFrame:
-    """Open versions of all changes, with the next surrogate keys in the order of the business keys."""
-    last = 0 if current is None else current.agg(F.coalesce(F.max(spec.surrogate_key), F.lit(0)))
+def new_versions(changes: DataFrame, current: DataFrame | int | None, spec: Scd2Spec) -> DataFrame:
+    """Open versions of all changes, with the next surrogate keys in the order of the business keys.
+
+    ``current``: the stored versions, or the last surrogate key that was given.
+    """
+    last = current or 0
+    if isinstance(current, DataFrame):
+        last = current.agg(F.coalesce(F.max(spec.surrogate_key), F.lit(0)))
     keyed = assign_keys(changes.drop("action"), [spec.business_key, "valid_from"], spec.surrogate_key, offset=last)
     return keyed.withColumns({"valid_to": open_end(), "is_current": F.lit(True)})
 
 
+def close_replaced(versions: DataFrame, changes: DataFrame, spec: Scd2Spec, run_date: date | Column) -> DataFrame:
+    """``versions`` with the open ones of replaced keys closed at ``run_date``."""
+    replaced = changes.where(F.col("action") == "replace").select(spec.business_key, F.lit(True).alias("_replaced"))
+    closes = F.col("is_current") & F.col("_replaced").isNotNull()
+    out = versions.join(replaced, spec.business_key, "left").withColumns(
+        {"valid_to": F.when(closes, F.lit(run_date)).otherwise(F.col("valid_to")), "is_current": F.col("is_current") & ~closes}
+    )
+    return out.select(*versions.columns)
+
+
 def apply_scd2(incoming: DataFrame, current: DataFrame | None, spec: Scd2Spec, run_date: date | Column) -> DataFrame:
     """The full next state: stored versions, open ones of replaced keys
     closed at ``run_date``, and the new versions."""
     changes = plan_scd2(incoming, current, spec, run_date)
     added = new_versions(changes, current, spec)
-    if current is None:
-        return added
-    replaced = changes.where(F.col("action") == "replace").select(spec.business_key, F.lit(True).alias("_replaced"))
-    closes = F.col("is_current") & F.col("_replaced").isNotNull()
-    kept = current.join(replaced, spec.business_key, "left").withColumns(
-        {"valid_to": F.when(closes, F.lit(run_date)).otherwise(F.col("valid_to")), "is_current": F.col("is_current") & ~closes}
-    )
-    return kept.select(*current.columns).unionByName(added)
+    return added if current is None else close_replaced(current, changes, spec, run_date).unionByName(added)
+
+
+def apply_open(
+    incoming: DataFrame, open_rows: DataFrame, closed_keys: DataFrame, spec: Scd2Spec, run_date: date | Column, last_key: int
+) -> tuple[DataFrame, int]:
+    """J11 on the open versions alone: the next open versions together with those that close now, and the last key given.
+
+    Versions that were closed before are neither read (but for some keys) nor part of the result.
+    """
+    changes = reliable_checkpoint(plan_open(incoming, open_rows, closed_keys, spec, run_date))
+    added = new_versions(changes, last_key, spec)
+    return close_replaced(open_rows, changes, spec, run_date).unionByName(added), last_key + changes.count()
 
 
 def current_rows(dim: DataFrame) -> DataFrame:

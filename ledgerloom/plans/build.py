@@ -106,8 +106,6 @@ def build_gold(spark: SparkSession, prefix: str, buckets: int, report: BuildRepo
 
 def build_vault(spark: SparkSession, prefix: str, load_date: str, report: BuildReport) -> None:
     """Insert-only deltas against the stored vault (hubs, then links, then satellites)."""
-    from ..operators.clean import dedupe_latest
-
     keys = {"users": "user_id", "accounts": "account_id", "transactions": "transaction_id", "savings_goals": "goal_id"}
     latest: dict[str, DataFrame] = {}
     for src, key in keys.items():
@@ -116,7 +114,7 @@ def build_vault(spark: SparkSession, prefix: str, load_date: str, report: BuildR
             bronze = bronze.select("user_id", *USER_KEPT, "_ingested_at")
         tb = fx.TRANSACTION_TIE_BREAK if src == "transactions" else ()
         # one pass feeds the source's hub, link and satellite
-        latest[src] = reliable_checkpoint(dedupe_latest(bronze, [key], ["_ingested_at"], tb, null_keys="drop"))
+        latest[src] = reliable_checkpoint(V.latest_rows(bronze, key, tb))
     report.add(io.write_table(fx.account_types(spark), _t(prefix, "vault", "ref_account_type")))
     report.add(io.write_table(fx.transaction_types(spark), _t(prefix, "vault", "ref_transaction_type")))
     steps = [(h, V.load_hub) for h in V.HUBS] + [(lk, V.load_link) for lk in V.LINKS] + [(st, V.load_sat) for st in V.SATS]

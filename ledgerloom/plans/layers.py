@@ -28,18 +28,26 @@ def _keep(df: DataFrame, materialize: bool) -> DataFrame:
     return reliable_checkpoint(df) if materialize else df
 
 
+#: Silver tables that more than one part of the star's builds reads: users by accounts and the customer
+#: dimension; accounts by transactions, the account dimension and the snapshot.
+SHARED = ("users", "accounts")
+
+
 @dataclass
 class Silver:
     """The six silver relations plus the quarantine sides, built from one sf folder.
 
-    Every silver table and mart is written once to the checkpoint folder and
-    read back by its consumers, the way the stages hand over stored tables;
-    ``materialize=False`` leaves them lazy, for a consumer that reads one once.
+    ``materialize``: what is written once to the checkpoint folder and read
+    back by its consumers: everything (True), nothing (False), or the named
+    tables.  A table that only one consumer reads is cheaper left lazy.
     """
 
     spark: SparkSession
     sf_dir: str
-    materialize: bool = True
+    materialize: bool | tuple[str, ...] = True
+
+    def _kept(self, name: str, df: DataFrame) -> DataFrame:
+        return _keep(df, self.materialize is True or (self.materialize and name in self.materialize))
 
     @cached_property
     def account_types(self) -> DataFrame:
@@ -55,7 +63,7 @@ class Silver:
 
     @cached_property
     def users(self) -> DataFrame:
-        return _keep(self.users_split.valid, self.materialize)
+        return self._kept("users", self.users_split.valid)
 
     @cached_property
     def accounts_split(self) -> Split:
@@ -63,7 +71,7 @@ class Silver:
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return _keep(self.accounts_split.valid, self.materialize)
+        return self._kept("accounts", self.accounts_split.valid)
 
     @cached_property
     def transactions_split(self) -> Split:
@@ -76,7 +84,7 @@ class Silver:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return _keep(self.transactions_split.valid, self.materialize)
+        return self._kept("transactions", self.transactions_split.valid)
 
     @cached_property
     def goals_split(self) -> Split:
@@ -84,7 +92,7 @@ class Silver:
 
     @cached_property
     def goals(self) -> DataFrame:
-        return _keep(self.goals_split.valid, self.materialize)
+        return self._kept("goals", self.goals_split.valid)
 
     def plan_account_summary(self) -> DataFrame:
         """The mart over stored silver tables, not stored itself."""
@@ -95,11 +103,11 @@ class Silver:
 
     @cached_property
     def account_summary(self) -> DataFrame:
-        return _keep(self.plan_account_summary(), self.materialize)
+        return self._kept("account_summary", self.plan_account_summary())
 
     @cached_property
     def customer_360(self) -> DataFrame:
-        return _keep(marts.customer_360(self.users, self.account_summary, self.goals), self.materialize)
+        return self._kept("customer_360", marts.customer_360(self.users, self.account_summary, self.goals))
 
 
 @dataclass
@@ -125,7 +133,7 @@ class Star:
     def dim_date(self) -> DataFrame:
         from ..operators.calendar import date_dim
 
-        return _keep(date_dim(self.bounds), self.silver.materialize)
+        return self.silver._kept("dim_date", date_dim(self.bounds))
 
     @cached_property
     def dim_transaction_type(self) -> DataFrame:
@@ -144,13 +152,13 @@ class Star:
         from ..operators.scd2 import CUSTOMER_SPEC, apply_scd2
 
         incoming = self.silver.users.select("user_id", "age_band", "signup_date")
-        return _keep(apply_scd2(incoming, None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE), self.silver.materialize)
+        return self.silver._kept("dim_customer", apply_scd2(incoming, None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE))
 
     @cached_property
     def dim_account(self) -> DataFrame:
         from ..operators.scd2 import ACCOUNT_SPEC, apply_scd2
 
-        return _keep(apply_scd2(self.account_input, None, ACCOUNT_SPEC, fx.SCD2_RUN_DATE), self.silver.materialize)
+        return self.silver._kept("dim_account", apply_scd2(self.account_input, None, ACCOUNT_SPEC, fx.SCD2_RUN_DATE))
 
     def plan_resolved(self) -> DataFrame:
         from ..operators.facts import resolve_transactions
@@ -161,7 +169,7 @@ class Star:
     @cached_property
     def resolved(self) -> DataFrame:
         """Transactions with their dimension keys, evaluated once for the fact and its side output."""
-        return _keep(self.plan_resolved(), self.silver.materialize)
+        return self.silver._kept("resolved", self.plan_resolved())
 
     @cached_property
     def fct_transaction(self) -> DataFrame:
@@ -190,7 +198,7 @@ class Star:
 
     @cached_property
     def monthly_snapshot(self) -> DataFrame:
-        return _keep(self.plan_monthly_snapshot(), self.silver.materialize)
+        return self.silver._kept("monthly_snapshot", self.plan_monthly_snapshot())
 
 
 def scd2_customer_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -202,18 +210,45 @@ def scd2_customer_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
     return first, second
 
 
+def versioned_dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(accounts, customers) with two versions of some keys each: every tenth changes between the transactions."""
+    from pyspark.sql import functions as F
+
+    from ..operators.scd2 import ACCOUNT_SPEC, CUSTOMER_SPEC, apply_scd2
+
+    star = Star(Silver(spark, sf_dir, SHARED))
+    accounts, users = star.account_input, star.silver.users.select("user_id", "age_band", "signup_date")
+
+    def changed(rows: DataFrame, key: str, column: str) -> DataFrame:
+        tenth = F.regexp_extract(key, "[0-9]+", 0).cast("bigint") % 10 == 0
+        return rows.withColumn(column, F.when(tenth, F.lit("changed")).otherwise(F.col(column)))
+
+    first_accounts = reliable_checkpoint(apply_scd2(accounts, None, ACCOUNT_SPEC, fx.SCD2_RUN_DATE))
+    first_customers = reliable_checkpoint(apply_scd2(users, None, CUSTOMER_SPEC, fx.SCD2_RUN_DATE))
+    return (
+        apply_scd2(changed(accounts, "account_id", "account_type"), first_accounts, ACCOUNT_SPEC, fx.ACCOUNT_CHANGE_DATE),
+        apply_scd2(changed(users, "user_id", "age_band"), first_customers, CUSTOMER_SPEC, fx.CUSTOMER_CHANGE_DATE),
+    )
+
+
 @dataclass
 class Vault:
-    """Data Vault raw layer over the bronze fixtures of one sf folder."""
+    """Data Vault raw layer over the bronze fixtures of one sf folder.
+
+    The latest rows of a source, which feed its hub, link and satellite, are
+    stored; the tables themselves only with ``store_tables``, for callers that
+    read each of them more than once.
+    """
 
     spark: SparkSession
     sf_dir: str
     materialize: bool = True
     silver: Silver | None = None
+    store_tables: bool = False
 
     def __post_init__(self) -> None:
         self._loaded: dict[str, DataFrame] = {}
-        self._silver = self.silver or Silver(self.spark, self.sf_dir, self.materialize)
+        self._silver = self.silver or Silver(self.spark, self.sf_dir, False)
 
     def bronze(self, source: str) -> DataFrame:
         return {
@@ -229,7 +264,7 @@ class Vault:
 
     def latest(self, source: str) -> DataFrame:
         """Latest bronze row per key of ``source``, computed once for its hub, link and satellite."""
-        from ..operators.clean import dedupe_latest
+        from ..operators.vault import latest_rows
 
         key = {"users": "user_id", "accounts": "account_id", "transactions": "transaction_id",
                "savings_goals": "goal_id"}[source]
@@ -238,14 +273,13 @@ class Vault:
             bronze = self.bronze(source)
             if source == "users":  # PII is neither read nor stored
                 bronze = bronze.select("user_id", *USER_KEPT, "_ingested_at")
-            rows = dedupe_latest(bronze, [key], ["_ingested_at"], self.tie_break(source), null_keys="drop")
-            self._loaded[name] = _keep(rows, self.materialize)
+            self._loaded[name] = _keep(latest_rows(bronze, key, self.tie_break(source)), self.materialize)
         return self._loaded[name]
 
     def first_load(self, name: str) -> DataFrame:
         """The table after one load of everything (hub, link or satellite by name)."""
         if name not in self._loaded:
-            self._loaded[name] = _keep(self._first_load(name), self.materialize)
+            self._loaded[name] = _keep(self._first_load(name), self.store_tables)
         return self._loaded[name]
 
     def _first_load(self, name: str) -> DataFrame:
@@ -279,14 +313,14 @@ class Vault:
 
     def sat_loads(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Satellite scenario on accounts: priority A -> B (key % 10 = 0) -> A.
-        Returns (table after load 1, load-2 delta, load-3 delta); the first two are stored."""
+        Returns (table after load 1, load-2 delta, load-3 delta); the first two are stored,
+        as the third is compared with both."""
         from ..operators import vault as v
 
         spec = v.SAT["sat_account_details"]
         original = fx.accounts(self.spark, self.sf_dir)
-        changed = fx.accounts(self.spark, self.sf_dir, fx.changed_priority())
         s1 = self.sat_first()
-        d2 = reliable_checkpoint(v.load_sat(spec, changed, s1, fx.LOAD_DATES[1]))
+        d2 = reliable_checkpoint(self.sat_second(s1))
         d3 = v.load_sat(spec, original, s1.unionByName(d2), fx.LOAD_DATES[2])
         return s1, d2, d3
 
@@ -295,52 +329,23 @@ class Vault:
 
         return reliable_checkpoint(v.load_sat(v.SAT["sat_account_details"], fx.accounts(self.spark, self.sf_dir), None, fx.LOAD_DATES[0]))
 
-    def sat_second(self) -> DataFrame:
+    def sat_second(self, first: DataFrame | None = None) -> DataFrame:
         """The load-2 delta alone, not stored."""
         from ..operators import vault as v
 
         changed = fx.accounts(self.spark, self.sf_dir, fx.changed_priority())
-        return v.load_sat(v.SAT["sat_account_details"], changed, self.sat_first(), fx.LOAD_DATES[1])
-
-    def reconstruct_accounts(self) -> DataFrame:
-        from ..operators import vault as v
-
-        silver = self._silver
-        return v.reconstruct_accounts(
-            self.first_load("hub_account"),
-            self.first_load("sat_account_details"),
-            self.first_load("link_account_user"),
-            self.first_load("hub_user"),
-            silver.account_types,
-            silver.users,
-        )
-
-    def reconstruct_transactions(self) -> DataFrame:
-        from ..operators import vault as v
-
-        silver = self._silver
-        return v.reconstruct_transactions(
-            self.first_load("hub_transaction"),
-            self.first_load("sat_transaction_details"),
-            self.first_load("link_transaction_account"),
-            self.first_load("hub_account"),
-            silver.transaction_types,
-            silver.accounts,
-        )
-
-    def reconstruct_users(self) -> DataFrame:
-        from ..operators import vault as v
+        return v.load_sat(v.SAT["sat_account_details"], changed, first or self.sat_first(), fx.LOAD_DATES[1])
 
-        return v.reconstruct_users(self.first_load("hub_user"), self.first_load("sat_user_details"), fx.AS_OF)
+    def tables(self, name: str) -> DataFrame:
+        """A vault or reference table by name."""
+        if name in ("account_types", "transaction_types"):
+            return getattr(self._silver, name)
+        return self.first_load(name)
 
-    def reconstruct_goals(self) -> DataFrame:
+    def rebuild(self, entity: str, **replaced: DataFrame) -> DataFrame:
+        """A silver entity from the vault; ``replaced`` gives other states of tables by name."""
         from ..operators import vault as v
 
-        silver = self._silver
-        return v.reconstruct_goals(
-            self.first_load("hub_savings_goal"),
-            self.first_load("sat_savings_goal_details"),
-            self.first_load("link_savings_goal_user"),
-            self.first_load("hub_user"),
-            silver.users,
+        return v.rebuild(
+            entity, lambda n: replaced[n] if n in replaced else self.tables(n), lambda parent: getattr(self._silver, parent), fx.AS_OF
         )

@@ -337,6 +337,7 @@ def _scd2_next(prev: str, load: str, run: str = "DATE '2026-02-01'") -> dict[str
 
 SCD2.update(_scd2_next("scd1", "l2"))
 SCD2.update(_scd2_next("scd1_l2", "l2"))
+SCD2.update(_scd2_next("scd1_l2", "l1", "DATE '2026-03-01'"))
 STAR.update(SCD2)
 
 oracle("union_date_bounds", 'SELECT * FROM bounds', STAR)
@@ -882,3 +883,117 @@ for _name, _columns in {
 }.items():
     _source = {"user": "users", "transaction": "transactions", "savings": "savings_goals"}[_name.split("_")[1]]
     oracle(f"load_{_name}", f"SELECT {_columns}, {L1} AS load_date, 'bronze.{_source}' AS record_source FROM {_name}", E2E)
+
+# --- open parts, prefixes, padded keys and late rows
+oracle("scd2_open_partition_load", "SELECT * FROM scd1_l2_l1", STAR)
+oracle("load_hub_pruned", "SELECT * FROM hub1 UNION ALL SELECT * FROM hub2_delta", VAULT)
+oracle("load_sat_pruned", "SELECT * FROM sat_hist", CHECK)
+oracle(
+    "vault_padded_keys",
+    f"""
+SELECT {HK_ACCOUNT} AS account_hk, account_id, {HD_ACCOUNT} AS hash_diff, account_type
+FROM (SELECT * FROM b_accounts UNION ALL
+      SELECT account_id || ' ', user_id, account_type, account_number, opened_date, {L2}
+      FROM b_accounts_v2 WHERE CAST(account_id[2:] AS BIGINT) % 20 = 0)
+QUALIFY row_number() OVER (PARTITION BY trim(account_id) ORDER BY _ingested_at DESC) = 1""",
+    VAULT,
+)
+LATE = dict(VAULT)
+LATE.update(
+    {
+        "march_in": _sat_account("b_accounts_v2", L3),
+        "march": "SELECT i.* FROM march_in i JOIN sat1 j ON i.account_hk = j.account_hk WHERE i.hash_diff <> j.hash_diff",
+        "february_src": "SELECT * REPLACE (CASE WHEN CAST(account_id[2:] AS BIGINT) % 4 = 0 THEN '3-MEDIUM' ELSE account_type END AS account_type) FROM b_accounts_v2",
+        "february_in": _sat_account("february_src", L2),
+        "february": """
+  SELECT i.* FROM february_in i JOIN sat1 j ON i.account_hk = j.account_hk LEFT JOIN march m ON i.account_hk = m.account_hk
+  WHERE i.hash_diff <> j.hash_diff AND i.hash_diff IS DISTINCT FROM m.hash_diff""",
+    }
+)
+oracle("vault_late_batch", "SELECT * FROM sat1 UNION ALL SELECT * FROM march UNION ALL SELECT * FROM february", LATE)
+
+# --- dimensions whose versions change between the transactions
+VERSIONS = dict(STAR)
+VERSIONS.update(
+    {
+        "u2": """
+  SELECT user_id, CASE WHEN CAST(user_id[2:] AS BIGINT) % 10 = 0 THEN 'changed' ELSE age_band END AS age_band, signup_date FROM s_users""",
+        **_scd2_next("dim_customer", "u2", "DATE '1997-01-10'"),
+        "a2": f"""
+  SELECT *, {HASH_ACCT} AS row_hash
+  FROM (SELECT * REPLACE ('changed' AS account_type) FROM acct_input WHERE CAST(account_id[2:] AS BIGINT) % 10 = 0)""",
+        "dim_account_a2": """
+  SELECT * REPLACE (CASE WHEN account_id IN (SELECT account_id FROM a2) THEN DATE '1996-06-15' ELSE valid_to END AS valid_to,
+                    account_id NOT IN (SELECT account_id FROM a2) AS is_current)
+  FROM dim_account
+  UNION ALL
+  SELECT (SELECT max(account_key) FROM dim_account) + row_number() OVER (ORDER BY account_id), account_id, user_id,
+         account_number_masked, opened_date, account_type, account_type_category, row_hash,
+         DATE '1996-06-15', DATE '9999-12-31', true
+  FROM a2""",
+        "da": "SELECT * FROM dim_account_a2 WHERE valid_from < valid_to",
+        "dc": "SELECT * FROM dim_customer_u2 WHERE valid_from < valid_to",
+        "dates": """
+  SELECT account_id, user_id, valid_from AS d FROM da UNION SELECT account_id, user_id, valid_to FROM da
+  UNION SELECT da.account_id, da.user_id, dc.valid_from FROM da JOIN dc ON da.user_id = dc.user_id
+  UNION SELECT da.account_id, da.user_id, dc.valid_to FROM da JOIN dc ON da.user_id = dc.user_id""",
+        "parts": "SELECT account_id, user_id, d AS f, lead(d) OVER (PARTITION BY account_id, user_id ORDER BY d) AS t FROM dates",
+        "bridge": """
+  SELECT p.account_id, p.user_id, da.account_key, dc.customer_key, p.f AS valid_from, p.t AS valid_to
+  FROM parts p
+  JOIN da ON p.account_id = da.account_id AND p.user_id = da.user_id AND da.valid_from <= p.f AND p.f < da.valid_to
+  LEFT JOIN dc ON p.user_id = dc.user_id AND dc.valid_from <= p.f AND p.f < dc.valid_to
+  WHERE p.t IS NOT NULL""",
+    }
+)
+oracle("dim_bridge", "SELECT * FROM bridge", VERSIONS)
+oracle(
+    "fct_transaction_versions",
+    """
+SELECT CAST(strftime(x.d, '%Y%m%d') AS INTEGER) AS date_key, dc.customer_key, da.account_key,
+       x.transaction_type_id AS transaction_type_key, x.transaction_id, CAST(x.amount AS DECIMAL(12,2)) AS amount,
+       CAST(CASE WHEN x.direction = 'inflow' THEN x.amount ELSE -x.amount END AS DECIMAL(12,2)) AS signed_amount, x.currency
+FROM txd x
+JOIN dim_account_a2 da ON x.account_id = da.account_id AND x.d >= da.valid_from AND x.d < da.valid_to
+JOIN dim_customer_u2 dc ON da.user_id = dc.user_id AND x.d >= dc.valid_from AND x.d < dc.valid_to""",
+    VERSIONS,
+)
+
+# --- tables kept by increments end as a full build does
+ORACLES["snapshot_increment"] = ORACLES["monthly_snapshot"]
+ORACLES["account_summary_increment"] = ORACLES["account_summary"]
+ORACLES["check_equal_digest"] = ORACLES["check_equal"]
+
+oracle(
+    "csv_rescued",
+    """
+SELECT CASE WHEN NOT broken THEN user_id END AS user_id, CASE WHEN NOT broken THEN signup_date END AS signup_date,
+       CASE WHEN NOT broken THEN n END AS n, CASE WHEN broken THEN line END AS line,
+       CASE WHEN broken THEN CASE WHEN n % 77 = 0 OR n % 45 = 0 THEN 'bad_fields' ELSE 'bad_value' END END AS reason
+FROM (SELECT *, n % 77 = 0 OR n % 45 = 0 OR n % 30 = 0 AS broken,
+             CASE WHEN n % 77 = 0 THEN user_id
+                  ELSE user_id || ',' || CASE WHEN n % 30 = 0 THEN 'soon' ELSE CAST(signup_date AS VARCHAR) END || ',' || CAST(n AS VARCHAR)
+                       || CASE WHEN n % 45 = 0 THEN ',more' ELSE '' END END AS line
+      FROM (SELECT user_id, signup_date, CAST(user_id[2:] AS INTEGER) AS n FROM b_users))""",
+)
+
+# --- reference tables, the gate, a full order
+oracle(
+    "vault_reference",
+    """
+SELECT 'ref_account_type' AS reference, r.account_type_id AS id, r.type_name, (SELECT count(*) FROM d_accounts d WHERE d.account_type = r.type_name) AS n_rows
+FROM account_types r
+UNION ALL
+SELECT 'ref_transaction_type', r.transaction_type_id, r.type_name, (SELECT count(*) FROM d_transactions d WHERE d.transaction_type = r.type_name)
+FROM transaction_types r""",
+)
+_GATE = _checks(
+    _chk("accounts.account_id unique", unique_sql("s_accounts", "account_id")),
+    _chk("silver.accounts -> users", fk_sql("s_accounts", "s_users", "user_id")),
+    _chk("bronze.accounts -> users", fk_sql("b_accounts", "s_users", "user_id")),
+)
+oracle("check_gate", f"SELECT *, bool_and(ok) OVER () AS gate FROM ({_GATE})")
+oracle(
+    "ordered_transactions",
+    "SELECT row_number() OVER (ORDER BY transaction_ts, transaction_id) AS place, transaction_id, account_id, transaction_ts FROM s_transactions",
+)

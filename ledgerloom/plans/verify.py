@@ -112,10 +112,10 @@ def tables(s: Silver, st: Star, v: Vault) -> dict[str, DataFrame]:
         "transactions_by_outcome": st.fct_transaction.select("transaction_id").unionByName(st.fct_unresolved.select("transaction_id")),
         "facts_by_account": st.fct_transaction.join(account_key_map(st.dim_account), "account_key"),
         "last_balances": latest_snapshot_per_account(st.monthly_snapshot, st.dim_account),
-        "rebuilt_users": v.reconstruct_users(),
-        "rebuilt_accounts": v.reconstruct_accounts(),
-        "rebuilt_transactions": v.reconstruct_transactions(),
-        "rebuilt_savings_goals": v.reconstruct_goals(),
+        "rebuilt_users": v.rebuild("users"),
+        "rebuilt_accounts": v.rebuild("accounts"),
+        "rebuilt_transactions": v.rebuild("transactions"),
+        "rebuilt_savings_goals": v.rebuild("savings_goals"),
     }
     return found
 
@@ -182,7 +182,7 @@ def build_layers(s: Silver, st: Star, v: Vault, threads: int = 8) -> None:
 def e2e_checks(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """All invariants over layers that are built once and stored in the checkpoint folder."""
     s = Silver(spark, sf_dir)
-    st, v = Star(s), Vault(spark, sf_dir, True, s)
+    st, v = Star(s), Vault(spark, sf_dir, True, s, store_tables=True)
     build_layers(s, st, v)
     return frames(tables(s, st, v))
 
@@ -215,11 +215,8 @@ def crash_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reconstruct_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts rebuilt from the satellite *after load 2* (priorities changed)."""
     v = Vault(spark, sf_dir)
-    s1, d2, _ = v.sat_loads()
-    return V.reconstruct_accounts(
-        v.first_load("hub_account"), s1.unionByName(d2), v.first_load("link_account_user"),
-        v.first_load("hub_user"), v._silver.account_types, v._silver.users,
-    )
+    s1 = v.sat_first()
+    return v.rebuild("accounts", sat_account_details=s1.unionByName(v.sat_second(s1)))
 
 
 def pit_facts(s: Silver) -> DataFrame:

@@ -20,6 +20,10 @@ INGESTED_AT = "2026-01-01 00:00:00"
 AS_OF = date(2026, 1, 1)
 AS_OF_LATER = date(2036, 1, 1)
 SCD2_RUN_DATE = date(2026, 2, 1)
+SCD2_THIRD_RUN_DATE = date(2026, 3, 1)
+#: Between the transactions, so that facts meet both versions.
+ACCOUNT_CHANGE_DATE = date(1996, 6, 15)
+CUSTOMER_CHANGE_DATE = date(1997, 1, 10)
 LOAD_DATES = ("2026-01-01 00:00:00", "2026-02-01 00:00:00", "2026-03-01 00:00:00")
 HUB_LOAD1_BEFORE = date(2000, 1, 1)
 TRANSACTION_TIE_BREAK = ("_src_partkey", "_src_suppkey")
@@ -80,6 +84,15 @@ def changed_priority() -> Column:
     )
 
 
+def padded_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bronze.accounts in which every 20th account comes again, later, with a blank after its key."""
+    rows = accounts(spark, sf_dir)
+    key = F.regexp_extract("account_id", "[0-9]+", 0).cast("bigint")
+    padded = accounts(spark, sf_dir, changed_priority()).where(key % 20 == 0)
+    again = padded.withColumns({"account_id": F.concat("account_id", F.lit(" ")), "_ingested_at": ts_ntz(LOAD_DATES[1])})
+    return rows.unionByName(again)
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """bronze.transactions from ``lineitem``; not unique on transaction_id."""
     li = table(spark, sf_dir, "lineitem")

@@ -32,6 +32,39 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return df
 
 
+@dataclass
+class Rescued:
+    """Both sides of :func:`read_csv_rescued`: typed rows, and the lines that aren't rows with a reason."""
+
+    rows: DataFrame
+    broken: DataFrame
+
+
+def read_csv_rescued(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> Rescued:
+    """A1 + B5: CSV of which no value is lost.
+
+    A line with a field too many or too few, or with a value that isn't of its
+    column's type, goes whole to ``broken`` (``line``, ``reason``) instead of
+    losing fields or turning values into NULL.  Lines are parsed once, with all
+    columns, and stored: the reader finds broken lines only among the columns that it is asked for.
+    """
+    from ..session import reliable_checkpoint
+
+    line = "_line"
+    while line in schema.fieldNames():
+        line = f"_{line}"
+    full = T.StructType([*schema.fields, T.StructField(line, T.StringType())])
+    reader = spark.read.schema(full).option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", line)
+    parsed = reliable_checkpoint(reader.csv(path))
+    fields = F.from_csv(F.col(line), ", ".join(f"c{k} string" for k in range(len(schema.fields) + 1)))
+    filled = F.size(F.filter(F.array(*[fields[f"c{k}"] for k in range(len(schema.fields) + 1)]), lambda c: c.isNotNull()))
+    typed = F.size(F.filter(F.array(*[F.col(f"`{n}`").isNotNull() for n in schema.fieldNames()]), lambda c: c))
+    # a line of the right number of fields keeps those that have the right type; each of the others is one that is filled but not typed
+    reason = F.when(fields[f"c{len(schema.fields)}"].isNotNull() | (filled <= typed), "bad_fields").otherwise("bad_value")
+    broken = parsed.where(F.col(line).isNotNull()).select(F.col(line).alias("line"), reason.alias("reason"))
+    return Rescued(parsed.where(F.col(line).isNull()).drop(line), broken)
+
+
 def stamp_ingest(df: DataFrame, ingested_at: str | Column) -> DataFrame:
     """A2: one ``_ingested_at`` value for the whole load (an argument, not the clock)."""
     ts = ts_ntz(ingested_at) if isinstance(ingested_at, str) else ingested_at
@@ -185,12 +218,17 @@ def replace_table_state(spark: SparkSession, next_state: DataFrame, table: str,
     return WriteResult(table, result.rows, "replace")
 
 
-def _shown_version(spark: SparkSession, table: str) -> int | None:
-    """The version that the view shows; None without a view."""
+def view_properties(spark: SparkSession, table: str) -> dict[str, str] | None:
+    """Properties of the view ``table``; None without a view of that name."""
     if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType != "VIEW":
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
-    return next(int(r["value"]) for r in rows if r["key"] == "version")
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _shown_version(spark: SparkSession, table: str) -> int | None:
+    """The version that the view shows; None without a view."""
+    properties = view_properties(spark, table)
+    return None if properties is None else int(properties["version"])
 
 
 def load_scd2(spark: SparkSession, incoming: DataFrame, table: str, spec, run_date, fmt: str = "parquet") -> WriteResult:

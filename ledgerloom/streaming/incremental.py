@@ -94,14 +94,13 @@ def vault_batch_loader(
     nothing twice, also when it is older than what is stored.
     """
     from ..operators import vault as V
-    from ..operators.clean import dedupe_latest
     from ..session import reliable_checkpoint
 
     def write(batch: DataFrame, batch_id: int) -> None:
         from pyspark.sql import functions as F
 
         spark = batch.sparkSession
-        latest = reliable_checkpoint(dedupe_latest(batch, [key], ["_ingested_at"], tie_break or (key,), null_keys="drop"))
+        latest = reliable_checkpoint(V.latest_rows(batch, key, tie_break or (key,)))
         load_date = latest.agg(F.max("_ingested_at")).scalar()
         for spec in specs:
             path = targets[spec.name]
