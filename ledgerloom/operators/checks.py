@@ -7,7 +7,8 @@ the driver, and it brings one row per check.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,7 +93,7 @@ def scd2_contiguous(dim: DataFrame, key: str, name: str | None = None) -> DataFr
     """Versions whose ``valid_to`` is not the next version's ``valid_from``.
 
     The next version comes from :func:`~ledgerloom.operators.sequence.with_neighbour`
-    (no per-key window, so a key with very many versions is not one task).
+    (a key with very many versions is not one task).
     """
     nxt = with_neighbour(dim, key, ["valid_from", "valid_to"], ["valid_from"], "_next_", offset=1)
     bad = nxt.where(F.col("_next_valid_from").isNotNull() & (F.col("valid_to") != F.col("_next_valid_from")))
@@ -180,6 +181,150 @@ def equal_digest(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str], n
     return equal(a, b, key, [(c, c) for c in columns], name)
 
 
+# --- many checks in one pass ---------------------------------------------------------
+@dataclass(frozen=True)
+class Role:
+    """Rows of ``table`` under the key ``column`` (None: all under one), where ``only`` holds (SQL), with a ``value`` to add up."""
+
+    table: str
+    column: str | None
+    only: str | None = None
+    value: str | None = None
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A check as arithmetic on the counts that roles have under each key of a key space.
+
+    ``roles`` name the rows that are counted; ``failing`` gets, in their order,
+    the number of rows of each (and the sums of their values) under one key,
+    and whether the key is NULL, and returns how much fails there.  Failures
+    of all keys are added up; ``total`` turns the sum into the result.
+    """
+
+    name: str
+    roles: tuple[Role, ...]
+    failing: Callable[..., Column]
+    space: str = ""
+    total: Callable[[Column], Column] | None = None
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
+
+
+def unique_rule(name: str, table: str, key: str) -> Rule:
+    """K1: surplus rows over distinct keys."""
+    return Rule(name, (Role(table, key),), lambda n, null: F.greatest(n[0] - 1, _zero()))
+
+
+def points_rule(name: str, child: str, column: str, parent: str, key: str | None = None) -> Rule:
+    """K2: child rows without a parent; NULL keys have none."""
+    return Rule(name, (Role(child, column), Role(parent, key or column)), lambda n, null: F.when((n[1] == 0) | null, n[0]).otherwise(_zero()))
+
+
+def one_match_rule(name: str, fact: str, column: str, dim: str, key: str | None = None) -> Rule:
+    """K3: fact rows that don't match exactly one dimension row."""
+    return Rule(name, (Role(fact, column), Role(dim, key or column)), lambda n, null: F.when((n[1] != 1) | null, n[0]).otherwise(_zero()))
+
+
+def covers_rule(name: str, table: str, column: str, source: str) -> Rule:
+    """Distinct source keys that the table lacks."""
+    lacks = lambda n, null: ((n[1] > 0) & ((n[0] == 0) | null)).cast("bigint")
+    return Rule(name, (Role(table, column), Role(source, column)), lacks)
+
+
+def one_open_rule(name: str, table: str, key: str) -> Rule:
+    """K7: keys with more than one open version."""
+    return Rule(name, (Role(table, key, "is_current"),), lambda n, null: (n[0] > 1).cast("bigint"))
+
+
+def no_row_rule(name: str, table: str, where: str) -> Rule:
+    """Rows for which ``where`` (SQL) holds."""
+    return Rule(name, (Role(table, None, where),), lambda n, null: n[0])
+
+
+def filled_rule(name: str, table: str) -> Rule:
+    """K5: fails (1) if the table has no row."""
+    return Rule(name, (Role(table, None),), lambda n, null: n[0], total=lambda rows: (rows == 0).cast("bigint"))
+
+
+def same_rows_rule(name: str, table: str, other: str) -> Rule:
+    """K4: how much the row counts differ."""
+    return Rule(name, (Role(table, None), Role(other, None)), lambda n, null: n[0] - n[1], total=F.abs)
+
+
+def same_sum_rule(name: str, left: str, key: str, left_value: str, right: str, right_value: str) -> Rule:
+    """K6: rows of ``left``, which has a row per key, whose value isn't the sum of ``right``'s; rows of a repeated key fail."""
+
+    def failing(n, null, v, missing):
+        differs = (v[0] != F.when(null, F.lit(0)).otherwise(v[1])) | (missing[0] > 0) | (n[0] > 1)
+        return F.when(differs, n[0]).otherwise(_zero())
+
+    roles = (Role(left, key, value=left_value), Role(right, key, value=right_value))
+    return Rule(name, roles, failing, space=f"sum {name}")
+
+
+def compile_rules(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Result rows (check, ok, failing) of all rules, from one pass over the tables.
+
+    Rules that look at the same keys share a key space (that of the last role).
+    Each table is read once: a row becomes one small row for each role that it
+    has, ``(space, key, slot)``.  One aggregate over (space, key), combined
+    map-side, then counts the rows of each slot, and a second one, without
+    keys, adds up the failures of all rules.
+    """
+    spaces: dict[str, list[Role]] = {}
+    for rule in rules:
+        own = spaces.setdefault(_space(rule), [])
+        own += [r for r in rule.roles if r not in own]
+    number = {name: k for k, name in enumerate(spaces)}
+    slots = max(len(roles) for roles in spaces.values())
+    valued = any(r.value for roles in spaces.values() for r in roles)
+    uses: dict[str, list[tuple[int, int, Role]]] = {}
+    for name, roles in spaces.items():
+        for slot, role in enumerate(roles):
+            uses.setdefault(role.table, []).append((number[name], slot, role))
+    parts = []
+    for name, used in uses.items():
+        entries = []
+        for space, slot, role in used:
+            key = F.lit("") if role.column is None else F.col(role.column).cast("string")
+            value = F.lit(None).cast("decimal(38,2)") if role.value is None else F.col(role.value).cast("decimal(38,2)")
+            entry = F.struct(F.lit(space).alias("space"), key.alias("key"), F.lit(slot).alias("slot"), value.alias("value"))
+            entries.append(entry if role.only is None else F.when(F.expr(role.only), entry))
+        each = F.array_compact(F.array(*entries)) if any(r.only for *_, r in used) else F.array(*entries)
+        parts.append(tables[name].select(F.explode(each).alias("e")).select("e.*"))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    of = [F.col("slot") == k for k in range(slots)]
+    found = [F.count(F.when(of[k], F.lit(1))).alias(f"n{k}") for k in range(slots)]
+    if valued:
+        found += [F.coalesce(F.sum(F.when(of[k], F.col("value"))), F.lit(0)).alias(f"v{k}") for k in range(slots)]
+        found += [F.count(F.when(of[k] & F.col("value").isNull(), F.lit(1))).alias(f"m{k}") for k in range(slots)]
+    keys = rows.groupBy("space", "key").agg(*found)
+    sums = []
+    for k, rule in enumerate(rules):
+        own = spaces[_space(rule)]
+        at = [own.index(r) for r in rule.roles]
+        args = [[F.col(f"n{i}") for i in at], F.col("key").isNull()]
+        if any(r.value for r in rule.roles):
+            args += [[F.col(f"v{i}") for i in at], [F.col(f"m{i}") for i in at]]
+        total = F.coalesce(F.sum(F.when(F.col("space") == number[_space(rule)], rule.failing(*args))), _zero())
+        sums.append((rule.total(total) if rule.total else total).cast("bigint").alias(f"r{k}"))
+    results = keys.agg(*sums).select(F.explode(F.array(*[F.struct(F.lit(r.name).alias("check"), F.col(f"r{k}").alias("failing")) for k, r in enumerate(rules)])).alias("r"))
+    return results.select("r.check", (F.col("r.failing") == 0).alias("ok"), "r.failing")
+
+
+def _space(rule: Rule) -> str:
+    """Rules on the same keys share a space: the parent's, which is the last role of a reference and the first of a cover."""
+    if rule.space:
+        return rule.space
+    keyed = [r for r in rule.roles if r.column is not None]
+    return "rows" if not keyed else f"{keyed[-1].table}.{keyed[-1].column}"
+
+
 def run_all(checks: Sequence[DataFrame]) -> DataFrame:
     """All check rows as one frame."""
     out = checks[0]

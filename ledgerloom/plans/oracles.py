@@ -997,3 +997,7 @@ oracle(
     "ordered_transactions",
     "SELECT row_number() OVER (ORDER BY transaction_ts, transaction_id) AS place, transaction_id, account_id, transaction_ts FROM s_transactions",
 )
+
+# --- streams with keyed state end as the batch loads do
+ORACLES["stream_sat_state"] = ORACLES["vault_late_batch"]
+ORACLES["stream_hub_state"] = ORACLES["stream_hub"]

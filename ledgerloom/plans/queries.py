@@ -704,6 +704,67 @@ def q_stream_sat(spark, sf_dir):
     return _stream_vault(spark, sf_dir, V.SAT["sat_account_details"])
 
 
+def _state_stream(spark, spec, batches):
+    """Batches that land one after the other, loaded with keyed state; the second is tried twice, as its first try fails after its write."""
+    from ..session import scratch_path
+    from ..sources import io
+    from ..streaming.incremental import batch_writer, run_until_caught_up
+    from ..streaming.stateful import stream_vault_state
+
+    landing, target, checkpoint = (scratch_path(spark, n) for n in ("state-land", spec.name, "state-checkpoint"))
+    write, failed = batch_writer(target), []
+
+    def fails_once(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("the first try of batch 1 fails after its write")
+
+    for part, rows in enumerate(batches):
+        io.write_path(rows, f"{landing}/part={part}")
+        for _ in range(2):
+            query = stream_vault_state(spark, landing, rows.schema.add("part", "integer"), target, spec, checkpoint, writer=fails_once)
+            try:
+                run_until_caught_up(query)
+                break
+            except Exception as e:
+                if "fails after its write" not in str(e):
+                    raise
+    return io.read_path(spark, target).drop("batch_id")
+
+
+@query("stream_sat_state")
+def q_stream_sat_state(spark, sf_dir):
+    """J17b with keyed state: January, March (tried twice), then February, late; see ``vault_late_batch``."""
+    from pyspark.sql import functions as F
+
+    from ..functions.scalars import ts_ntz
+    from ..operators import vault as V
+    from ..sources import fixtures as fx
+
+    first, second, third = (ts_ntz(d) for d in fx.LOAD_DATES)
+    rows, changed = fx.accounts(spark, sf_dir), fx.accounts(spark, sf_dir, fx.changed_priority())
+    fourth = F.regexp_extract("account_id", "[0-9]+", 0).cast("bigint") % 4 == 0
+    late = changed.withColumn("account_type", F.when(fourth, F.lit("3-MEDIUM")).otherwise(F.col("account_type")))
+    batches = [r.withColumn("_ingested_at", at) for r, at in ((rows, first), (changed, third), (late, second))]
+    return _state_stream(spark, V.SAT["sat_account_details"], batches)
+
+
+@query("stream_hub_state")
+def q_stream_hub_state(spark, sf_dir):
+    """J17a with keyed state: early accounts, then all of them (tried twice), then all again."""
+    from pyspark.sql import functions as F
+
+    from ..functions.scalars import ts_ntz
+    from ..operators import vault as V
+    from ..sources import fixtures as fx
+
+    rows = fx.accounts(spark, sf_dir)
+    early = rows.where(F.col("opened_date") < F.lit(fx.HUB_LOAD1_BEFORE))
+    batches = [r.withColumn("_ingested_at", ts_ntz(at)) for r, at in zip((early, rows, rows), fx.LOAD_DATES)]
+    return _state_stream(spark, V.HUB["hub_account"], batches)
+
+
 # --- catalog tables ----------------------------------------------------------------
 @contextmanager
 def _scratch_schema(spark):

@@ -2,9 +2,9 @@
 
 Each entry says what must hold of a table: its key, the tables its columns
 point to, which measure it shares with another table, what its history looks
-like.  ``CATALOGUE`` is data; :func:`frames` turns an entry into a check over
-the stored tables, and the oracles turn the same entries into SQL, so both
-sides run the same list.
+like.  ``CATALOGUE`` is data; :func:`frames` compiles the entries about keys into
+one pass over the stored tables and turns each other one into a check, and the
+oracles turn the same entries into SQL, so both sides run the same list.
 
 From the survey's hazard list: balances are compared over every account
 version (H15) and the latest snapshot row of each account (H16); a hub must
@@ -120,40 +120,46 @@ def tables(s: Silver, st: Star, v: Vault) -> dict[str, DataFrame]:
     return found
 
 
-def check(f: Fact, t: dict[str, DataFrame]) -> DataFrame:
-    """The check of one entry, as a row."""
-    table, other, name = t[f.table], t.get(f.other), f.label
+def rule(f: Fact) -> K.Rule | None:
+    """The entry as a rule on key counts; None if it looks at the order of rows or compares whole ones."""
     match f.kind:
         case "filled":
-            return K.nonempty(table, name)
+            return K.filled_rule(f.label, f.table)
         case "key":
-            return K.unique(table, [f.column], name)
+            return K.unique_rule(f.label, f.table, f.column)
         case "points":
-            return K.fk(table, other, f.column, name=name)
+            return K.points_rule(f.label, f.table, f.column, f.other)
         case "one_match":
-            return K.fk_fanout(table, other, f.column, name=name)
+            return K.one_match_rule(f.label, f.table, f.column, f.other)
         case "covers":
-            return K.hub_complete(table, other, f.column, name)
+            return K.covers_rule(f.label, f.table, f.column, f.other)
         case "one_open":
-            return K.scd2_current(table, f.column, name)
-        case "contiguous":
-            return K.scd2_contiguous(table, f.column, name)
+            return K.one_open_rule(f.label, f.table, f.column)
         case "upright":
-            return K.scd2_inverted(table, name)
-        case "no_repeat":
-            return K.hash_repeat(table, f.column, name)
+            return K.no_row_rule(f.label, f.table, "valid_to < valid_from")
         case "same_rows":
-            return K.counts(table, other, name)
+            return K.same_rows_rule(f.label, f.table, f.other)
         case "same_sum":
-            return K.measure(table, f.columns[0], f.column, other, f.other_column, name)
+            return K.same_sum_rule(f.label, f.table, f.columns[0], f.column, f.other, f.other_column)
+    return None
+
+
+def check(f: Fact, t: dict[str, DataFrame]) -> DataFrame:
+    """An entry that is no :func:`rule`, as a row."""
+    match f.kind:
+        case "contiguous":
+            return K.scd2_contiguous(t[f.table], f.column, f.label)
+        case "no_repeat":
+            return K.hash_repeat(t[f.table], f.column, f.label)
         case "equal":
-            return K.equal(table, other, f.column, [(c, c) for c in f.columns], name)
+            return K.equal(t[f.table], t[f.other], f.column, [(c, c) for c in f.columns], f.label)
     raise ValueError(f.kind)
 
 
 def frames(t: dict[str, DataFrame]) -> list[DataFrame]:
-    """All checks of the catalogue."""
-    return [check(f, t) for f in CATALOGUE]
+    """All checks of the catalogue: those on keys in one pass, the others each on their own."""
+    rules = [r for r in map(rule, CATALOGUE) if r is not None]
+    return [K.compile_rules(rules, t), *[check(f, t) for f in CATALOGUE if rule(f) is None]]
 
 
 def build_layers(s: Silver, st: Star, v: Vault, threads: int = 8) -> None:
