@@ -21,8 +21,8 @@ only files it lists are read back.  The folder must be one that all executors
 share; it is opened by URI through ``pyarrow.fs``.
 
 Defined results: null text is the empty text (the end id alone); documents with
-equal or null ids are written each, ordered by id (nulls first), then text; an
-empty table gives no rows.
+equal or null ids are written each, ordered by id (nulls first), then a hash of
+the text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,33 +34,74 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import by_bytes, stored
 
 MAGIC = b"DAC1"
 CHUNK = 8
 RANK_BITS = 512
 #: Tokens after which a task starts another file.
 FILE_TOKENS = 1 << 22
-#: Words that a worker remembers the ids of.
-WORDS = 400_000
+#: Parts in each of the two generations that a worker remembers the ids of.
+WORDS = 150_000
 
 
 # --- encoding -------------------------------------------------------------------------------------
 
-#: Separators that ``str.split`` takes for white space and tokenizers don't.
-CONTROL = re.compile("[\x1c-\x1f]")
-SPACES = re.compile(r"[ \t\n\r\x0b\x0c]+")
 PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: Marks that are cut off after a Latin letter, which normalising leaves as one letter.
-MARKS = ".,!?;:"
+#: Marks before which a text is cut if they follow an ASCII letter, which normalising leaves as one letter.
+MARKS = b".,!?;:"
+#: Bytes of text that are encoded at once, but for longer texts.
+TURN_BYTES = 1 << 22
+
+
+def _bytes(chars: bytes) -> np.ndarray:
+    """A table of all bytes that marks some."""
+    table = np.zeros(256, bool)
+    table[list(chars)] = True
+    return table
+
+
+IS_SPACE, IS_MARK = _bytes(b" \t\n\r\x0b\x0c"), _bytes(MARKS)
+IS_UPPER, IS_LETTER = _bytes(bytes(range(65, 91))), _bytes(bytes([*range(65, 91), *range(97, 123)]))
+
+
+def text_parts(texts: pa.LargeStringArray, fold: bool) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """Parts of texts without nulls, white space left out, and the number of parts before each text and at the end.
+
+    Texts are cut at ASCII white space and before marks that follow an ASCII
+    letter.  ``fold``: A-Z become a-z, unless a byte of another script follows,
+    which might be a mark to join with, or the batch spells something like a
+    special token.
+    """
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    first, last = int(ends[0]), int(ends[-1])
+    if first == last:
+        return texts.slice(0, 0), np.zeros(len(texts) + 1, np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[first:last]
+    bounds = ends - first
+    keep = ~IS_SPACE[data]
+    starts = keep.copy()
+    starts[1:] &= ~keep[:-1] | (IS_LETTER[data[:-1]] & IS_MARK[data[1:]])
+    own = bounds[:-1][np.diff(bounds) > 0]
+    starts[own] = keep[own]
+    stops = keep.copy()
+    stops[:-1] &= ~keep[1:] | starts[1:]
+    at = np.flatnonzero(starts)
+    if fold and b"<|" not in data.tobytes():
+        upper = IS_UPPER[data]
+        upper[:-1] &= data[1:] < 128
+        data = data + (upper.view(np.uint8) << 5)
+    offsets = np.append(0, np.cumsum(np.flatnonzero(stops) - at + 1)).astype(np.int64)
+    parts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data[keep]))
+    return parts, np.searchsorted(at, bounds)
 
 
 def byte_letters() -> list[str]:
@@ -73,12 +114,14 @@ def byte_letters() -> list[str]:
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and never joins over it.
 
-    Parts between white space are encoded by themselves and remembered, as are
-    words of Latin letters and the marks that end them, as such words are
-    always split from those marks.  ``fold``: the tokenizer lower-cases, so words of Latin
-    letters are looked up in lower case.  ``direct``: such a word is one unit
-    for the file's merges, so it goes straight to them and skips the steps that
-    would leave it as it is (both are found with probe words on loading).
+    Texts are cut into parts (:func:`text_parts`); the different parts of a turn
+    are encoded once, and the ids of all are gathered by numpy.  Parts are
+    remembered in two generations of at most :data:`WORDS` each, with their
+    ids in one array a generation; when the younger is full, the older goes.
+
+    ``fold``: the tokenizer lower-cases.  ``direct``: a word of Latin letters is
+    one unit for the file's merges, so it goes straight to them and skips the
+    steps that would leave it as it is (both are found with probe words on loading).
     """
 
     def __init__(self, path: str):
@@ -88,50 +131,67 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.letters = byte_letters()
         self.fold = self._library(["AÀ"]) == self._library(["aà"])
         probes = ["a", "le", "été", "straße", "ñandú", "tokenizer", "thtionheon", "ÿþý", "zzzzqqqqx"]
         self.direct = self.fold and [self._merge(w) for w in probes] == self._library(probes)
 
     def _library(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
     def _merge(self, word: str) -> bytes:
         shown = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
         return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
-    def _learn(self, parts: set[str]) -> None:
-        """Remember the ids of new parts and of what they consist of."""
-        known, cut, rest = self.known, {}, set()
-        for part in parts:
-            head = part.rstrip(MARKS)
-            if head and (head.isalpha() if head.isascii() else PLAIN.fullmatch(head)):
-                word = head.lower() if self.fold else head
-                cut[part] = word, part[len(head) :]
-                if word not in known:
-                    if self.direct:
-                        known[word] = self._merge(word)
-                    else:
-                        rest.add(word)
-                rest.add(part[len(head) :])
-            else:
-                rest.add(part)
-        rest = [r for r in rest if r not in known]
-        known.update(zip(rest, self._library(rest)))
-        known.update({part: known[word] + known[marks] for part, (word, marks) in cut.items()})
+    def _learn(self, parts: list[str]) -> list[bytes]:
+        """Ids of new parts."""
+        found: dict[str, bytes] = {}
+        if self.direct:
+            for part in parts:
+                if part.isalpha() if part.isascii() else PLAIN.fullmatch(part):
+                    found[part] = self._merge(part.lower())
+        rest = [p for p in parts if p not in found]
+        for at in range(0, len(rest), 4096):
+            turn = rest[at : at + 4096]
+            found.update(zip(turn, self._library(turn)))
+        return [found[p] for p in parts]
+
+    def _ids(self, parts: list[str]) -> list[bytes]:
+        """Ids of different parts, remembered or learnt."""
+        young, old = self.young, self.old
+        found = [young.get(p) or old.get(p) for p in parts]
+        new = [k for k, ids in enumerate(found) if ids is None]
+        if new:
+            for k, ids in zip(new, self._learn([parts[k] for k in new])):
+                found[k] = ids
+        for part, ids in zip(parts, found):
+            if len(part) <= 64:  # longer ones hardly come again
+                young[part] = ids
+                if len(young) >= WORDS:
+                    self.old, self.young = young, {}
+                    young = self.young
+        return found
+
+    def encode_arrow(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the place of each text's first and the end."""
+        parts, place = text_parts(pc.fill_null(texts.cast(pa.large_string()), ""), self.fold)
+        coded = parts.dictionary_encode()
+        each = self._ids(coded.dictionary.to_pylist())
+        sizes = np.array([len(ids) for ids in each], np.int64) // 4
+        ids, begins = np.frombuffer(b"".join(each), np.uint32), np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy()
+        size = sizes[which]
+        ends = np.append(0, np.cumsum(size))
+        source = np.repeat(begins[which] - ends[:-1], size)
+        source += np.arange(len(source))
+        return ids[source], ends[place]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        parts = [SPACES.split(t) if CONTROL.search(t) else t.split() for t in texts]
-        known = self.known
-        if new := {p for ps in parts for p in ps if p not in known}:
-            self._learn(new)
-        out = [np.frombuffer(b"".join([known[p] for p in ps]), np.uint32) for ps in parts]
-        for word in list(islice(known, max(0, len(known) - WORDS))) if len(known) > 1.25 * WORDS else ():
-            del known[word]  # those that came first
-        return out
+        ids, at = self.encode_arrow(pa.array(texts, pa.large_string()))
+        return [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -250,7 +310,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id: str = "doc_id
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part, count = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
+        words, part, count = encoder(tokenizer), TaskContext.get().partitionId(), 0
         store, path = fs.FileSystem.from_uri(folder)  # each task opens its own
         end, ids, held, size = np.array([end_id], np.uint32), [], [], 0
 
@@ -268,12 +328,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id: str = "doc_id
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["file", "part", "docs", "tokens", "bytes"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                turn = batch.slice(at, 64)
-                for i, tokens in zip(turn.column("id").to_pylist(), encode([t or "" for t in turn.column("text").to_pylist()])):
+            for turn in by_bytes(batch, "text", TURN_BYTES):
+                found, at = words.encode_arrow(turn.column("text"))
+                for i, a, b in zip(turn.column("id").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
                     ids.append(i)
-                    held.append(np.concatenate((tokens, end)))
-                    size += len(tokens) + 1
+                    held.append(np.concatenate((found[a:b], end)))
+                    size += b - a + 1
                     if size >= file_tokens:
                         yield flush()
         if ids:
@@ -282,7 +342,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id: str = "doc_id
     store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path, recursive=True)
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    ranged = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # rows of one id, or without an id, may be many: a hash of the text deals them, too
+    rows = rows.withColumn("place", F.xxhash64("text"))
+    ranged = rows.repartitionByRange("id", "place").sortWithinPartitions("id", "place", "text").select("id", "text")
     return stored(ranged.mapInArrow(write, MANIFEST), "token-manifest")
 
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,14 +12,13 @@ from ledgerloom.llm import dac
 from ledgerloom.session import scratch_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-PARTS = ["İ.", "\u0958.", "e\u0301,", "It's", "don't,", "ÉTÉ.", "été", "naïve!", "x\xa0y", "\x1c", " ", "é.", "İ", "ΣΑΣ", "ß", "12ab", "...", "a.b", "<|endoftext|>", "中文", "🙂", "'s", "l'été,", "A#b", "  ", "\n", "_x_", "ñ?", "Word", "word", "WORD;"]
+PARTS = ["İ.", "\u0958.", "e\u0301,", "It's", "don't,", "ÉTÉ.", "été", "naïve!", "x\xa0y", "\x1c", " ", "é.", "İ", "ΣΑΣ", "ß", "12ab", "...", "a.b", "<|endoftext|>", "中文", "🙂", "'s", "l'été,", "A#b", "  ", "\n", "_x_", "ñ?", "Word", "word", "WORD;", "<|EndOfText|>", "x<|startoftext|>y", "I\u0307", "A\u030a.", "ab,'s", "\u0301", "a\xa0b", "\x85"]
 
 
 def library(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -28,6 +28,14 @@ def test_words_encode_as_the_library_does(text):
     assert dac.encoder(PATH).encode([text])[0].tolist() == library([text])[0]
 
 
+def test_a_batch_encodes_as_its_texts_do():
+    rng = random.Random(7)
+    texts = [None if k % 9 == 0 else rng.choice(["", " ", "\n"]).join(rng.choices(PARTS, k=rng.randint(0, 30))) for k in range(300)]
+    ids, at = dac.encoder(PATH).encode_arrow(pa.array(texts).slice(3))
+    want = library([t or "" for t in texts[3:]])
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+
+
 def test_a_full_memory_changes_nothing(monkeypatch):
     monkeypatch.setattr(dac, "WORDS", 3)
     own, texts = dac.WordEncoder(PATH), ["one two three four", "two, three. five", "", "one"]
