@@ -2,8 +2,10 @@
 
 A local rank file (the path is a parameter; it must exist on every executor)
 and the pattern that splits texts before merges make the encoding.  Long texts
-are cut at places where the pattern always starts a new match, so the library
-never gets more than a bounded piece and the ids are those of the whole text.
+are cut at places where the pattern always starts a new match, so the ids are
+those of the whole text, and the library gets pieces of about equal size.
+Where a text has no such place it goes on uncut; the one thing that the
+library's pattern can't take in any length, white space, is handed to its merges directly.
 
 Null text: encoded as the empty text (no ids).  Null ids: decoded as no bytes.
 Texts that spell special tokens are ordinary text.  Ids outside the rank file
@@ -26,9 +28,12 @@ from pyspark.sql import functions as F
 #: Longer texts are cut at the first safe place after so many characters.
 PIECE_CHARS = 1 << 16
 
-#: A space or line feed after a letter or digit: no match of the pattern goes over it, since white
-#: space can only stand at the start of a match, and none looks back.
-SAFE = re.compile(r"(?<=[^\W_])[ \n]")
+#: A space or line feed after a letter, a digit or another printable ASCII character: no match of the
+#: pattern goes over it, since white space can only stand at the start of a match, and none looks back.
+SAFE = re.compile(r"(?<=[!-~]|[^\W_])[ \n]")
+
+#: More white space than that in a row is not handed to the pattern, whose look-ahead takes a stack frame a character.
+WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{65536,}")
 
 
 @lru_cache(maxsize=4)
@@ -54,12 +59,22 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
 
 
 def encode_text(text: str | None, rank_file: str, pattern: str, size: int = PIECE_CHARS) -> list[int]:
-    encode = encoding(rank_file, pattern).encode_ordinary
+    """Ids of a text.
+
+    In a long run of white space the pattern matches all of it at the end of a
+    text, and else all but the last character, which may begin the next match.
+    """
+    own = encoding(rank_file, pattern)
     if not text:
         return []
     if len(text) <= size:
-        return encode(text)
-    return [i for piece in pieces(text, size) for i in encode(piece)]
+        return own.encode_ordinary(text)
+    ids, start = [], 0
+    for run in WHITE.finditer(text):
+        ids += [i for piece in pieces(text[start : run.start()], size) for i in own.encode_ordinary(piece)]
+        start = run.end() if run.end() == len(text) else run.end() - 1
+        ids += own._core_bpe.encode_single_piece(text[run.start() : start].encode())
+    return ids + [i for piece in pieces(text[start:], size) for i in own.encode_ordinary(piece)]
 
 
 def encode(text: Column, rank_file: str, pattern: str) -> Column:

@@ -1,6 +1,7 @@
 import hashlib
 
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -32,6 +33,28 @@ def test_round_trip(spark):
     assert bpe.digests(bpe.round_trip(docs.limit(0), RANKS, PATTERN), "doc_id").count() == 0
 
 
+@pytest.mark.parametrize("unit", [" ", "\n", "\t", "\u3000", " \n", "!", "a", "7", "中", "é"])
+def test_runs_of_any_length(unit):
+    """Against the pattern on runs that it can take, by the merges of one piece beyond."""
+    own = bpe.encoding(RANKS, PATTERN)
+    for text in (unit * 70_000, "x" + unit * 70_000 + "y", unit * 70_000 + " y", "a b " + unit * 66_000 + "\nc " + unit * 66_000):
+        assert bpe.encode_text(text, RANKS, PATTERN) == own.encode_ordinary(text)
+    whole = unit * (2_000_000 if unit.isspace() else 300_000)
+    ids = bpe.encode_text(f"word{whole}", RANKS, PATTERN)
+    assert own.decode_bytes(ids) == f"word{whole}".encode()
+    if unit.isspace():
+        assert ids == own.encode_ordinary("word") + own._core_bpe.encode_single_piece(whole.encode())
+
+
+def test_five_million_blanks_in_a_query(spark, tmp_path):
+    from ledgerloom.llm import queries
+
+    texts = [" " * 5_000_000, "\n" * 5_000_000, "a" + " " * 5_000_000 + "b"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in queries.op9_bpe(spark, str(tmp_path)).collect()}
+    assert [rows[i].decoded_sha256 for i in range(3)] == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+
+
 def test_each_value_is_encoded_once(spark):
     docs = spark.range(3).selectExpr("id AS doc_id", "'a b' AS text")
     plan = bpe.digests(bpe.round_trip(docs, RANKS, PATTERN), "doc_id")._jdf.queryExecution().executedPlan().toString()
