@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, decontam, langid, linededup, simhash
 from ledgerloom.llm.common import fresh, stored, table
-from ledgerloom.llm.queries import BOILERPLATE, HOST, MIN_PAGES, PATTERN, RANKS, language_model
+from ledgerloom.llm.queries import BOILERPLATE, HOST, MIN_CHARS, MIN_PAGES, PATTERN, RANKS, language_model
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their site; ``n_chars`` follows the text."""
-    cleaned = linededup.drop_boilerplate(docs, F.col(HOST), ratio=BOILERPLATE, min_pages=MIN_PAGES)
+    cleaned = linededup.drop_boilerplate(docs, F.col(HOST), ratio=BOILERPLATE, min_pages=MIN_PAGES, min_chars=MIN_CHARS)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -17,7 +17,10 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 HOST = "source"
-BOILERPLATE, MIN_PAGES = 0.1, 3
+#: Lines on more than so large a share and at least so many of a site's pages, of so many characters, are boilerplate.
+#: In the test tables a line of ordinary text stands on one page of a site, or on two if a near copy is there (0.4 % of a
+#: site's pages at most); lines that are repeated on purpose stand on 0.1 to 13 % of them, most of their occurrences above 1 %.
+BOILERPLATE, MIN_PAGES, MIN_CHARS = 0.01, 3, 10
 #: Lowest quality score that is kept: only clear cases go.
 KEEP = 0.2
 #: Documents of more tokens are over the limit.
@@ -40,8 +43,8 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs = table(spark, sf_dir, "documents")
-    found = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"), out="_leaks")
-    return decontam.summary(found, "doc_id", "_leaks")
+    found = decontam.find_leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"), out="leaks")
+    return decontam.summary(found, "doc_id", "leaks")
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +67,7 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the boilerplate lines of its site (its source)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return linededup.drop_boilerplate(docs, F.col(HOST), ratio=BOILERPLATE, min_pages=MIN_PAGES, dropped="n_dropped")
+    return linededup.drop_boilerplate(docs, F.col(HOST), ratio=BOILERPLATE, min_pages=MIN_PAGES, min_chars=MIN_CHARS, dropped="n_dropped")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,11 +164,11 @@ ORACLES = {
         FROM embeddings LEFT JOIN best ON best.a = vec_id LEFT JOIN degree ON degree.a = vec_id""",
     "op6_line_dedup": f"""
         WITH lines AS (
-            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents),
-        totals AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
+            SELECT doc_id, source, md5(text) AS page, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents),
+        totals AS (SELECT source, count(DISTINCT text) AS total FROM documents GROUP BY source),
         common AS (
-            SELECT source, trim(line, ' ') AS line FROM lines JOIN totals USING (source) WHERE trim(line, ' ') <> ''
-            GROUP BY source, trim(line, ' '), total HAVING count(DISTINCT doc_id) >= {MIN_PAGES} AND count(DISTINCT doc_id) / total > {BOILERPLATE}),
+            SELECT source, trim(line, ' ') AS line FROM lines JOIN totals USING (source) WHERE length(trim(line, ' ')) >= {MIN_CHARS}
+            GROUP BY source, trim(line, ' '), total HAVING count(DISTINCT page) >= {MIN_PAGES} AND count(DISTINCT page) / total > {BOILERPLATE}),
         marked AS (
             SELECT l.doc_id, l.line, l.place, c.line IS NOT NULL AS gone FROM lines l
             LEFT JOIN common c ON c.source = l.source AND c.line = trim(l.line, ' ')),

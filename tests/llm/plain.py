@@ -99,16 +99,17 @@ def align(item, passage):
     return table.max() / max(1, len(item))
 
 
-def without_boilerplate(pages, ratio=0.1, min_pages=3):
-    """Text of each page (id, host, text) without its host's boilerplate lines."""
+def without_boilerplate(pages, ratio=0.1, min_pages=3, min_chars=1):
+    """Text of each page (id, host, text) without its host's boilerplate lines; pages of equal text count once."""
     held, total = {}, {}
     for _, host, text in pages:
-        total[host] = total.get(host, 0) + 1
-        for line in {x.strip(" ") for x in (text or "").split("\n")} - {""}:
-            held[host, line] = held.get((host, line), 0) + 1
+        if text is not None:
+            total.setdefault(host, set()).add(text)
+            for line in {x.strip(" ") for x in text.split("\n")} - {""}:
+                held.setdefault((host, line), set()).add(text)
 
     def gone(host, line):
-        n = held.get((host, line), 0)
-        return host is not None and n >= min_pages and n / total[host] > ratio
+        n = len(held.get((host, line), ()))
+        return host is not None and len(line) >= min_chars and n >= min_pages and n / len(total[host]) > ratio
 
     return {i: None if t is None else "\n".join(x for x in t.split("\n") if not gone(h, x.strip(" "))) for i, h, t in pages}

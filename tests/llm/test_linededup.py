@@ -21,9 +21,32 @@ def test_against_plain(spark):
     assert all((r.n or 0) == 0 or r.text != whole[r.doc_id] for r in rows)
 
 
+def test_short_lines_stay(spark):
+    pages = [(i, "h", f"Yes.\nAll rights reserved.\nbody {i}") for i in range(9)]
+    df = spark.createDataFrame(pages, "doc_id long, source string, text string")
+    out = linededup.drop_boilerplate(df, F.col("source"), min_chars=5, min_pages=9, dropped="n").collect()
+    assert {r.doc_id: r.text for r in out} == without_boilerplate(pages, min_chars=5, min_pages=9) and {r.n for r in out} == {1}
+    assert out[0].text.startswith("Yes.\nbody")
+
+
+def test_null_hosts_and_ids_are_told_from_texts(spark):
+    """A page without a host keeps its lines, also where a page without an id has that id for its host."""
+    text = "shared line\nbody"
+    rows = [(None, "x", text), ("x", None, text), ("-", "x", text), (None, "-", text)] + [(f"p{i}", "x", f"shared line\n{i}") for i in range(5)]
+    out = linededup.drop_boilerplate(spark.createDataFrame(rows, "doc_id string, source string, text string"), F.col("source"), ratio=0.5).collect()
+    assert sorted((r.doc_id or "", r.source or "", r.text) for r in out if r.text.endswith("body")) == [("", "-", text), ("", "x", "body"), ("-", "x", "body"), ("x", "", text)]
+
+
+def test_copies_of_a_page_keep_their_lines(spark):
+    pages = [(i, "h", "nav\nfirst line\nsecond line") for i in range(50)] + [(100 + i, "h", f"nav\nbody {i}") for i in range(9)]
+    out = linededup.drop_boilerplate(spark.createDataFrame(pages, "doc_id long, source string, text string"), F.col("source"))
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert texts == without_boilerplate(pages) and texts[0] == "first line\nsecond line" and texts[100] == "body 0"
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "h", "nav\nbody one")] * 2 + [(None, "h", "nav\nbody two"), (None, "h", "body three")]
-    out = linededup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, source string, text string"), F.col("source"), ratio=0.5)
+    out = linededup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, source string, text string"), F.col("source"), ratio=0.5, min_pages=2)
     assert sorted(r.text for r in out.collect()) == ["body one", "body one", "body three", "body two"]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from ledgerloom.llm import bpe, decontam, langid
-from ledgerloom.llm.queries import ORACLES, PATTERN, QUERIES, RANKS, language_model
+from ledgerloom.llm.queries import BOILERPLATE, MIN_CHARS, MIN_PAGES, ORACLES, PATTERN, QUERIES, RANKS, language_model
 
 from .plain import simhash_classes, without_boilerplate
 
@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names) and set(ORACLES) <= set(QUERIES)
-    assert [n for n in QUERIES if n.startswith("op")] == list(QUERIES) and {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert [n for n in QUERIES if n.startswith("op")] == list(QUERIES) and {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_each_stage_against_its_plain_version(spark):
@@ -34,7 +34,7 @@ def test_each_stage_against_its_plain_version(spark):
     clean = stages["line_dedup"](spark, out, SF)
     assert clean.columns == docs.columns
     texts = {r.doc_id: r.text for r in clean.collect()}
-    assert texts == without_boilerplate([(r.doc_id, r.source, r.text) for r in rows]) and texts != {r.doc_id: r.text for r in rows}
+    assert texts == without_boilerplate([(r.doc_id, r.source, r.text) for r in rows], BOILERPLATE, MIN_PAGES, MIN_CHARS) and texts != {r.doc_id: r.text for r in rows}
 
     single = stages["near_dedup"](spark, clean, SF)
     assert single.columns == docs.columns
