@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import must_be_free
+
 #: Longer texts are cut at the first safe place after so many characters.
 PIECE_CHARS = 1 << 16
 
@@ -124,7 +126,8 @@ def encode_decode(text: Column, rank_file: str, pattern: str) -> Column:
 
 
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", ids: str = "token_ids", raw: str = "decoded") -> DataFrame:
-    """``docs`` with the ids of ``text`` and the bytes decoded from them (both names must be free)."""
+    """``docs`` with the ids of ``text`` and the bytes decoded from them."""
+    must_be_free(docs, ids, raw)
     both = encode_decode(F.col(text), rank_file, pattern)
     return docs.withColumns({ids: both["ids"], raw: both["raw"]})
 

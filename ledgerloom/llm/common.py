@@ -33,6 +33,14 @@ def fresh(name: str, *frames: DataFrame) -> str:
     return name
 
 
+def must_be_free(df: DataFrame, *names: str) -> None:
+    """Raise if the frame has a column of one of the names already (names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    for name in names:
+        if name.lower() in taken:
+            raise ValueError(f"column {name} is there already")
+
+
 def texts(column: pa.Array) -> Iterator[str | None]:
     """The Python strings of an Arrow column, one at a time (no second copy of the whole batch)."""
     for value in column:

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, fresh, stored
+from .common import by_bytes, fresh, must_be_free, stored
 
 #: Seeds of a block of items.
 MAX_SEEDS = 1 << 21
@@ -248,10 +248,11 @@ def find_leaks(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "leaks",
     n: int = 5, threshold: float = 0.6, item_share: float = 0.05, max_seeds: int = MAX_SEEDS,
 ) -> DataFrame:
-    """``docs`` with the leaks of each text in column ``out`` (the name must be free).
+    """``docs`` with the leaks of each text in column ``out``.
 
     A leak: the item, the position of its first word in the text (from 0) and the score.
     """
+    must_be_free(docs, out)
     found = docs.withColumn(out, F.array().cast(LEAKS))
     for k, block in enumerate(blocks(items, item_id, item_text, n, item_share, threshold, max_seeds)):
         if k:

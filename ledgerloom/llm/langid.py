@@ -4,13 +4,14 @@ A text becomes a TF-IDF vector over hashed byte trigrams of its lower-cased
 letters (everything else counts as a space), normalised to length one.  Each
 language has several centroids, found by spherical k-means on a bounded sample
 of its labelled texts.  The language of the closest centroid by cosine wins; a
-text whose cosine is below what labelled texts of about its length reach is
-rejected.
+text is rejected if its cosine is below half of what all but one in a hundred
+labelled texts of that language and about its length reach.
 
 Document frequencies come from all training texts.  ``sample`` (a parameter)
-bounds the expected number of sampled texts a language; that sample, taken by a
-hash of the id, only places centroids and radii.  The model is a few arrays of
-fixed size a language.
+bounds the expected number of sampled texts a language; that sample, the
+different texts that a hash of the text draws, only places centroids and radii.
+A sampled text reaches its language's task as its counts, 16 KB however long
+it is.  The model is a few arrays of fixed size a language.
 
 Defined results: null text and text without a letter get ``und``, score 0, and
 are rejected.  Without any labelled text every language is ``und`` with score 0
@@ -30,13 +31,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Size of the hashed feature space, and the most languages a model may have.
+from .common import must_be_free, stored
+
+#: Size of the hashed feature space.
 DIM = 1 << 12
-MAX_LANGS = 1000
 #: Bytes of a text that are counted at once.
 PIECE = 1 << 22
-#: A text is rejected below this part of the lowest cosine seen at its length.
-SLACK = 0.5
+#: A text is rejected below this part of this quantile of the cosines of labelled texts of its language and
+#: length band; bands with fewer of them take it from their neighbours.
+SLACK, QUANTILE, LEAST = 0.5, 0.01, 20
 BANDS = 24
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -49,7 +52,7 @@ class Model:
     langs: tuple[str, ...]  # a language per centroid
     idf: np.ndarray
     centroids: np.ndarray  # unit rows
-    floor: np.ndarray  # lowest cosine accepted, by length band
+    floor: np.ndarray  # lowest cosine accepted, by centroid and length band
 
 
 def counts(text: str) -> np.ndarray:
@@ -86,39 +89,63 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 0) -> np.ndarray
     return centres
 
 
-def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 1500, clusters: int = 4) -> Model:
+def floors(cosines: np.ndarray, bands: np.ndarray) -> np.ndarray:
+    """Lowest cosine accepted in each length band.
+
+    Bands without enough texts lie between their neighbours.  Below the first
+    that has them it falls with the root of the length, as chance adds more to
+    short texts; without any band nothing is too far.
+    """
+    every = np.arange(BANDS)
+    known = np.array([b for b in every if (bands == b).sum() >= LEAST], int)
+    if not len(known):
+        return np.zeros(BANDS)
+    at = np.array([np.quantile(cosines[bands == b], QUANTILE) for b in known]) * SLACK
+    return np.interp(every, known, at) * np.where(every < known[0], 2.0 ** ((every - known[0]) / 2), 1)
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = 1500, clusters: int = 4) -> Model:
     """Model of the labelled rows of ``docs`` (callers drop rows that must not be learned from)."""
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("lang").alias("n")).limit(MAX_LANGS + 1).collect()}
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    if not sizes:
-        return Model((), np.ones(DIM, np.float32), np.zeros((0, DIM), np.float32), np.zeros(BANDS))
-    n = sum(sizes.values())
+    sizes = stored(rows.groupBy("lang").agg(F.count("lang").alias("n")), "languages")
+    n = sizes.agg(F.sum("n")).first()[0]
+    if not n:
+        return Model((), np.ones(DIM, np.float32), np.zeros((0, DIM), np.float32), np.zeros((0, BANDS)))
     seen = rows.select("text").mapInArrow(_document_frequencies, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(DIM)
     for r in seen:
         df[r["bucket"]] = r["n"]
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    share = F.create_map(*[F.lit(x) for lg, k in sizes.items() for x in (lg, sample / k)])[F.col("lang")]
-    drawn = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < share * float(1 << 30))
+    chance = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = rows.join(sizes, "lang").where(chance < F.lit(float(sample)) / F.col("n")).select("lang", "text").distinct()
+    counted = drawn.select("lang", _count_column(F.col("text")).alias("raw"))
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
-        raw = np.stack([counts(t) for t in group["text"].sort_values()])
+        raw = np.stack([np.frombuffer(c, "<i4") for c in sorted(group["raw"])])
         x = vectors(raw, idf)
         centres = kmeans(x, clusters)
-        best, at = (x @ centres.T).max(axis=1), band(raw)
-        floor = [float(best[at == b].min()) if (at == b).any() else 1.0 for b in range(BANDS)]
+        floor = floors((x @ centres.T).max(axis=1), band(raw))
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centres": [centres.astype(np.float32).ravel()], "floor": [floor]})
 
-    placed = drawn.groupBy("lang").applyInPandas(place, "lang string, centres array<float>, floor array<double>").collect()
+    placed = counted.groupBy("lang").applyInPandas(place, "lang string, centres array<float>, floor array<double>").collect()
     placed.sort(key=lambda r: r["lang"])
     centres = [np.array(r["centres"], np.float32).reshape(-1, DIM) for r in placed]
     langs = tuple(r["lang"] for r, c in zip(placed, centres) for _ in c)
-    floor = np.min([r["floor"] for r in placed], axis=0) if placed else np.ones(BANDS)
-    floor = np.where(floor >= 1.0, 0.0, floor * SLACK)  # lengths without a labelled text: nothing is too far
-    return Model(langs, idf, np.concatenate(centres) if centres else np.zeros((0, DIM), np.float32), floor)
+    floor = [np.array(r["floor"]) for r, c in zip(placed, centres) for _ in c]
+    if not langs:
+        return Model((), idf, np.zeros((0, DIM), np.float32), np.zeros((0, BANDS)))
+    return Model(langs, idf, np.concatenate(centres), np.stack(floor))
+
+
+def _count_column(text: Column) -> Column:
+    """Trigram counts of a text as bytes of fixed size."""
+
+    @F.arrow_udf("binary")
+    def counted(column: pa.Array) -> pa.Array:
+        return pa.array([np.minimum(counts(value.as_py()), 2**31 - 1).astype("<i4").tobytes() for value in column], pa.binary())
+
+    return counted(text)
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +174,7 @@ def predict(text: Column, model: Model) -> Column:
                 cos = vectors(raw, idf) @ centroids.T
                 best = cos.argmax(axis=1)
                 score[at] = np.clip(cos.max(axis=1), 0, 1)
-                rejected[at] = score[at] < floor[band(raw)]
+                rejected[at] = score[at] < floor[best, band(raw)]
                 for k, b in zip(at, best):
                     lang[k] = langs[b]
             else:
@@ -173,5 +200,6 @@ def held_out(id: Column) -> Column:
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
-    """``docs`` with (lang, score, rejected) in column ``out`` (the name must be free)."""
+    """``docs`` with (lang, score, rejected) in column ``out``."""
+    must_be_free(docs, out)
     return docs.withColumn(out, predict(F.col(text), model))

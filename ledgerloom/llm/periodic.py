@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import must_be_free
+
 #: Runs are at least so many words long.
 LEAST = 12
 #: Words per place in :func:`stretches`; a third of the shortest run, so that its ends repeat.
@@ -231,9 +233,6 @@ def find_runs(text: Column) -> Column:
 
 def with_runs(docs: DataFrame, text: str = "text", runs: str = "runs", collapsed: str = "collapsed") -> DataFrame:
     """``docs`` with the runs of ``text`` and the text without their repeats; both names must be free."""
-    taken = {c.lower() for c in docs.columns}
-    for name in (runs, collapsed):
-        if name.lower() in taken:
-            raise ValueError(f"column {name} is there already")
+    must_be_free(docs, runs, collapsed)
     found = find_runs(F.col(text))
     return docs.withColumns({runs: found["runs"], collapsed: found["collapsed"]})

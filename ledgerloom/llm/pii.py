@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import must_be_free
+
 BASE = ("email", "ip", "card", "phone")
 EXTRA = ("account", "secret", "url")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -163,7 +165,8 @@ def spans(text: Column) -> Column:
 
 
 def find_pii(docs: DataFrame, text: str = "text", out: str = "pii_spans") -> DataFrame:
-    """``docs`` with the spans of ``text`` in column ``out`` (the name must be free)."""
+    """``docs`` with the spans of ``text`` in column ``out``."""
+    must_be_free(docs, out)
     return docs.withColumn(out, spans(F.col(text)))
 
 
