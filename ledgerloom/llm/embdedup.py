@@ -16,10 +16,12 @@ reports how many sign bits it shares with the neighbours at the window's ends: a
 pair that shares more meets.  With how near the class is to those bits' planes,
 that gives the chance that a pair at the threshold has met, wherever vectors are
 crowded.  Classes for which it stays below
-``recall`` go on among themselves, for as many passes as their measured bits
-need, until none is left; a pair is settled once one of its two is.  Where
-comparing all pairs of the classes that are left costs less than those passes,
-all pairs are compared, which misses nothing.
+``recall`` go on among themselves, in rounds of further passes whose planes go
+through the middle of those that are left, so that they part a crowd that lies
+on one side of all planes through the origin.  The rounds end when every class
+has its recall (a pair is settled once one of its two is), when those that are
+left are in one component, or when a whole round of ``ROUND`` passes has joined
+no two components any more.
 
 Defined results: vectors that are null, zero, empty or hold null or non-finite
 components link with nothing and are their own component; vectors of different
@@ -46,8 +48,7 @@ from .simhash import join_labels
 BITS = 64
 BLOCK = 2048
 TILE = 512
-#: Comparisons that cost a vector about as much as one more pass, and the most passes of a round.
-PASS_COST = 2048
+#: The most passes of a further round.
 ROUND = 32
 
 
@@ -69,8 +70,24 @@ def unit(rows: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def sort_keys(vectors: Column, passes: int, seed: int) -> Column:
-    """One big-endian key of random projection signs per pass: array of binary, in the order of passes."""
+def middle_of(classes: DataFrame) -> dict[int, np.ndarray]:
+    """Mean of the unit vectors of each length; the driver gets a number for each component, not for each vector."""
+    most = F.array_max(F.transform("vec", F.abs))
+    scaled = F.transform("vec", lambda x: x / most)
+    norm = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda total, x: total + x * x))
+    each = classes.select(scaled.alias("scaled"), F.size("vec").alias("dim")).select("dim", norm.alias("norm"), F.posexplode("scaled").alias("place", "x"))
+    rows = each.groupBy("dim", "place").agg(F.avg(F.col("x") / F.col("norm")).alias("mean")).collect()
+    middle = {r["dim"]: np.zeros(r["dim"]) for r in rows}
+    for r in rows:
+        middle[r["dim"]][r["place"]] = r["mean"]
+    return middle
+
+
+def sort_keys(vectors: Column, passes: int, seed: int, middle: dict[int, np.ndarray] | None = None) -> Column:
+    """One big-endian key of random projection signs per pass: array of binary, in the order of passes.
+
+    ``middle``: the point that the planes go through, by length of vectors; the origin without it.
+    """
 
     @F.arrow_udf("array<binary>")
     def keys(column: pa.Array) -> pa.Array:
@@ -82,7 +99,8 @@ def sort_keys(vectors: Column, passes: int, seed: int) -> Column:
             head = int(dim).to_bytes(4, "big")  # vectors of one length stand together
             parts = []
             for k in range(passes):
-                parts.append(np.packbits(x @ planes_of(seed, k, int(dim)) > 0, axis=1))
+                planes = planes_of(seed, k, int(dim))
+                parts.append(np.packbits(x @ planes > _at(middle, int(dim)) @ planes, axis=1))
             for i, r in enumerate(rows):
                 out[r] = [head + p[i].tobytes() for p in parts]
         return pa.array(out, pa.list_(pa.binary()))
@@ -90,6 +108,10 @@ def sort_keys(vectors: Column, passes: int, seed: int) -> Column:
     return keys(vectors)
 
 
+def _at(middle: dict[int, np.ndarray] | None, dim: int) -> np.ndarray:
+    return np.zeros(dim) if middle is None else middle[dim]
+
+
 def positions(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rows`` with ``pos``, their dense place from 0 in a global order, without a single-task sort."""
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -114,15 +136,16 @@ def planes_of(seed: int, turn: int, dim: int) -> np.ndarray:
     return np.random.default_rng([seed, turn, dim]).standard_normal((dim, BITS))
 
 
-def out_of_window(x: np.ndarray, planes: np.ndarray, threshold: float, bits: np.ndarray, after: np.ndarray) -> np.ndarray:
+def out_of_window(x: np.ndarray, planes: np.ndarray, threshold: float, bits: np.ndarray, after: np.ndarray, middle: np.ndarray) -> np.ndarray:
     """Chance that a neighbour at the threshold, in a random direction, lies after (or before) a row and shares
     no more than ``bits`` leading bits with it.
 
     It depends on how far a row is from each plane; where vectors are crowded, the planes that part them are near.
     """
     angle, dim = math.acos(min(1.0, max(-1.0, threshold))), len(planes)
-    far = x @ planes
-    across = np.sqrt(np.maximum((planes**2).sum(axis=0) - far**2, 1e-12) / max(1, dim - 1))
+    along = x @ planes
+    far = along - middle @ planes
+    across = np.sqrt(np.maximum((planes**2).sum(axis=0) - along**2, 1e-12) / max(1, dim - 1))
     z = np.clip(np.abs(far) / max(math.tan(angle), 1e-12) / across, -8, 8)
     # the normal distribution function, to 2e-4
     agree = np.exp(-np.cumsum(np.log1p(np.exp(-1.5976 * z - 0.07056 * z**3)), axis=1)) if dim > 1 else np.ones(far.shape)
@@ -132,7 +155,7 @@ def out_of_window(x: np.ndarray, planes: np.ndarray, threshold: float, bits: np.
     return out + np.where(bits == BITS, agree[:, -1] / 2, 0)  # where whole keys are equal, their order tells nothing
 
 
-def near_in_block(block: pd.DataFrame, window: int, threshold: float, seed: int) -> pd.DataFrame:
+def near_in_block(block: pd.DataFrame, window: int, threshold: float, seed: int, middle: dict[int, np.ndarray] | None = None) -> pd.DataFrame:
     """Spanning forest of the links found in one block, and what each class may still miss.
 
     Rows of an earlier pass are not compared.  Rows with a null ``b`` tell the chance that a pair of a class
@@ -149,7 +172,7 @@ def near_in_block(block: pd.DataFrame, window: int, threshold: float, seed: int)
         lost = np.zeros(len(ends))
         for t, dim in {*zip(turn[ends].tolist(), dims[ends].tolist())}:
             own = np.nonzero((turn[ends] == t) & (dims[ends] == dim))[0]
-            lost[own] = out_of_window(unit(block["vec"].iloc[ends[own]].tolist()), planes_of(seed, t, dim), threshold, bits[own], after[own])
+            lost[own] = out_of_window(unit(block["vec"].iloc[ends[own]].tolist()), planes_of(seed, t, dim), threshold, bits[own], after[own], _at(middle, dim))
         crowded = pd.DataFrame({"a": ids[ends], "turn": turn[ends], "lost": lost}).groupby(["a", "turn"], as_index=False).sum()
     lengths = block["vec"].map(len).to_numpy()
     rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
@@ -171,57 +194,40 @@ def near_in_block(block: pd.DataFrame, window: int, threshold: float, seed: int)
     return pd.concat([found.astype({"b": object}), crowded])[["a", "b", "turn", "lost"]]
 
 
-def window_links(classes: DataFrame, threshold: float, window: int, passes: int, seed: int, block: int = BLOCK) -> DataFrame:
+def window_links(
+    classes: DataFrame, threshold: float, window: int, passes: int, seed: int, middle: dict[int, np.ndarray] | None = None, block: int = BLOCK
+) -> DataFrame:
     """What ``near_in_block`` says of all blocks of the passes, stored; ``classes``: id and vec."""
-    keyed = classes.select("id", F.posexplode(sort_keys(F.col("vec"), passes, seed)).alias("turn", "key"))
+    keyed = classes.select("id", F.posexplode(sort_keys(F.col("vec"), passes, seed, middle)).alias("turn", "key"))
     placed = positions(stored(keyed, "keys"), ["turn", "key", "id"]).join(classes, "id")
     home = F.floor(F.col("pos") / block)
     both = F.when(F.col("pos") % block >= block - window, F.array(home, home + 1)).otherwise(F.array(home))
     blocks = placed.select("id", "turn", "pos", "key", "vec", F.explode(both).alias("block"))
-    return stored(blocks.groupBy("block").applyInPandas(lambda b: near_in_block(b, window, threshold, seed), "a bigint, b bigint, turn int, lost double"), "windows")
+    return stored(blocks.groupBy("block").applyInPandas(lambda b: near_in_block(b, window, threshold, seed, middle), "a bigint, b bigint, turn int, lost double"), "windows")
 
 
-def _tile_links(threshold: float):
-    """Forest edges between the components (root) of two tiles' members."""
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = [], []
-            for mine, others in zip(batch.column("tile"), batch.column("other")):
-                a, b = mine.as_py(), others.as_py()
-                roots, at = np.unique([r["root"] for r in a + b], return_inverse=True)
-                labels = np.arange(len(roots))
-                for dim in {len(r["vec"]) for r in a} & {len(r["vec"]) for r in b}:
-                    own, other = ([k for k, r in enumerate(t) if len(r["vec"]) == dim] for t in (a, b))
-                    i, j = np.nonzero(unit([a[k]["vec"] for k in own]) @ unit([b[k]["vec"] for k in other]).T >= threshold)
-                    join_labels(labels, at[np.array(own)[i]], at[len(a) + np.array(other)[j]])
-                moved = np.nonzero(labels != np.arange(len(roots)))[0]
-                left.append(roots[moved])
-                right.append(roots[labels[moved]])
-            none = np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *x]).astype(np.int64)) for x in (left, right)], names=["a", "b"])
-
-    return link
-
-
-def all_links(rest: DataFrame, roots: DataFrame, n: int, threshold: float, tile: int = TILE) -> DataFrame:
-    """Edges ``(a, b)`` that join the components of all linked pairs of ``rest`` (id, vec); ``roots``: node, root so far."""
-    rows = rest.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    rows = rows.withColumn("sub", F.pmod(F.xxhash64("id"), F.lit(-(-n // tile))))
-    tiles = stored(rows.groupBy("sub").agg(F.collect_list(F.struct("root", "vec")).alias("tile")), "crowded-tiles")
-    others = tiles.select(F.col("sub").alias("sub2"), F.col("tile").alias("other"))
-    met = tiles.repartition("sub").join(others, F.col("sub") <= F.col("sub2")).select("tile", "other")
-    return stored(met.mapInArrow(_tile_links(threshold), "a bigint, b bigint").distinct(), "crowded-links")
+def joining(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between two of the components ``roots`` (node, root), stored."""
+    of = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
+    both = links.join(of[0], "a", "left").join(of[1], "b", "left")
+    return stored(both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), "joining")
 
 
 def all_windows(classes: DataFrame, n: int, threshold: float, window: int, recall: float, seed: int) -> DataFrame:
     """Edges ``(a, b)`` from which the components of all linked pairs follow; ``classes``: id and vec, ``n`` of them."""
-    passes, rest, edges, missed, turn, ran = passes_for(n, threshold, window, recall), classes, None, None, 0, 0
+    passes, rest, edges, missed, middle, roots = passes_for(n, threshold, window, recall), classes, None, None, None, None
+    turn = ran = 0
     while True:
-        found = window_links(rest, threshold, window, passes, seed + 1000 * turn)
-        turn, ran = turn + 1, ran + passes
+        found = window_links(rest, threshold, window, passes, seed + 1000 * turn, middle)
         here = found.where("b IS NOT NULL").select("a", "b")
-        edges = here if edges is None else edges.unionByName(here)
+        news = here if edges is None else joining(here, roots)
+        if edges is not None and news.isEmpty():
+            if passes == ROUND:
+                return edges
+        else:
+            edges = news if edges is None else edges.unionByName(news)
+            roots = stored(connected_components(edges, "a", "b"), "components")
+        turn, ran = turn + 1, ran + passes
         sides = found.where("b IS NULL").groupBy("a", "turn").agg(F.sum("lost").alias("lost"))
         chance = F.least(F.greatest("lost", F.lit(1e-12)), F.lit(1.0))
         each = sides.groupBy(F.col("a").alias("id")).agg((F.sum(F.log(chance)) + (passes - F.count("a")) * math.log(1e-12)).alias("miss"))
@@ -231,13 +237,15 @@ def all_windows(classes: DataFrame, n: int, threshold: float, window: int, recal
         left, total = missed.agg(F.count("id"), F.sum("miss")).first()
         if not left:
             return edges
-        rest = stored(missed.select("id").join(classes, "id"), "crowded-vectors")
+        rest = missed.select("id").join(classes, "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
+        rest = stored(rest.select("id", "vec", F.coalesce("root", "id").alias("root")), "crowded-vectors")
+        low, high = rest.agg(F.min("root"), F.max("root")).first()
+        if low == high:  # those that are left are one component already
+            return edges
+        rest = rest.select("id", "vec")
+        middle = middle_of(rest)
         mean = min(total / left / ran, -1e-9)  # what a pass has settled of the classes that are left
-        need = max(1, math.ceil(math.log(1 - recall) / mean) - ran)
-        if left <= PASS_COST * need:
-            roots = connected_components(edges, "a", "b")
-            return edges.unionByName(all_links(rest, roots, left, threshold))
-        passes = min(ROUND, need)
+        passes = min(max(math.ceil(math.log(1 - recall) / mean) - ran, 1), ROUND)
 
 
 def _count(threshold: float):
@@ -272,9 +280,12 @@ def link_counts(members: DataFrame, threshold: float, tile: int = TILE) -> DataF
     sizes = members.groupBy("root").agg(F.ceil(F.count("id") / tile).alias("k"))
     tiles = members.join(sizes, "root").withColumn("sub", F.pmod(F.xxhash64("id"), "k"))
     tiles = tiles.repartition("root", "sub")  # else a large component stays where the join has put it
-    tiles = stored(tiles.groupBy("root", "sub").agg(F.collect_list(F.struct("id", "copies", "vec")).alias("tile")), "vector-tiles")
+    tiles = stored(tiles.groupBy("root", "sub", "k").agg(F.collect_list(F.struct("id", "copies", "vec")).alias("tile")), "vector-tiles")
+    # the numbers of the pairs come first, so that both joins are on a tile and none on a component
+    pairs = tiles.select("root", "sub", F.explode(F.sequence("sub", F.col("k") - 1)).alias("sub2"))
+    met = pairs.join(tiles.select("root", "sub", "tile"), ["root", "sub"])
     others = tiles.select("root", F.col("sub").alias("sub2"), F.col("tile").alias("other"))
-    met = tiles.join(others, "root").where(F.col("sub") <= F.col("sub2")).select("tile", "other", (F.col("sub") == F.col("sub2")).alias("same"))
+    met = met.join(others, ["root", "sub2"]).select("tile", "other", (F.col("sub") == F.col("sub2")).alias("same"))
     return met.mapInArrow(_count(threshold), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 

@@ -83,9 +83,32 @@ def joined(found, x):
     return (label[i] == label[j])[inside].mean(), (label[i] == label[j])[~inside].mean()
 
 
-@pytest.mark.parametrize("pass_cost", [2048, 0])
-def test_pairs_in_a_crowded_cone(spark, monkeypatch, pass_cost):
-    monkeypatch.setattr(embdedup, "PASS_COST", pass_cost, raising=False)  # 0: by further passes only
-    x = cone(1500, 0.75, 600)
+@pytest.mark.parametrize("close", [0.75, 0.85])
+def test_pairs_in_a_crowded_cone(spark, monkeypatch, close):
+    """By windows alone: no plan of any step compares all pairs."""
+    plans, store = [], embdedup.stored
+
+    def seen(df, tag):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, tag)
+
+    monkeypatch.setattr(embdedup, "stored", seen)
+    x = cone(1500, close, 600)
     df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
-    assert min(joined(embdedup.near_duplicates(df, window=4).collect(), x)) >= 0.98
+    found = embdedup.near_duplicates(df, window=4)
+    assert min(joined(found.collect(), x)) >= 0.98
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 10 and not any("CartesianProduct" in p or "NestedLoop" in p for p in plans)
+
+
+def test_rounds_end_where_nothing_is_left_to_join(spark):
+    """A crowd that no hash can part, far larger than the window."""
+    rows = [(i, [1.0, 1e-9 * i, 0.0]) for i in range(500)] + [(1000 + i, [0.0, 1.0, 1e-9 * i]) for i in range(500)]
+    got = embdedup.near_duplicates(spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int"), window=3).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(499, 0), (499, 1000)}
+
+
+def test_planes_go_through_the_middle(spark):
+    x = cone(300, 0.8, 10)[:100]
+    middle = embdedup.middle_of(spark.createDataFrame([(i, (3 * v).tolist()) for i, v in enumerate(x)] + [(200, [0.0, 2.0])], "id long, vec array<double>"))
+    assert np.allclose(middle[64], x.mean(axis=0)) and np.allclose(middle[2], [0, 1])
