@@ -34,6 +34,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +50,8 @@ CHUNK = 8
 RANK_BITS = 512
 #: Tokens after which a task starts another file.
 FILE_TOKENS = 1 << 22
-#: Parts in each of the two generations that a worker remembers the ids of.
-WORDS = 150_000
+#: Parts that a worker remembers the ids of: those that have come again, and new ones.
+WORDS, NEW_WORDS = 300_000, 200_000
 
 
 # --- encoding -------------------------------------------------------------------------------------
@@ -116,8 +117,9 @@ class WordEncoder:
 
     Texts are cut into parts (:func:`text_parts`); the different parts of a turn
     are encoded once, and the ids of all are gathered by numpy.  Parts are
-    remembered in two generations of at most :data:`WORDS` each, with their
-    ids in one array a generation; when the younger is full, the older goes.
+    remembered: new ones on probation, at most :data:`NEW_WORDS`, and those that
+    have come in another turn for longer, at most :data:`WORDS`.  Full memories
+    lose all on probation, or the older half.
 
     ``fold``: the tokenizer lower-cases.  ``direct``: a word of Latin letters is
     one unit for the file's merges, so it goes straight to them and skips the
@@ -131,8 +133,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.merges = self.tokenizer.model.tokenize
+        self.known: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
         self.letters = byte_letters()
         self.fold = self._library(["AÀ"]) == self._library(["aà"])
         probes = ["a", "le", "été", "straße", "ñandú", "tokenizer", "thtionheon", "ÿþý", "zzzzqqqqx"]
@@ -143,7 +146,7 @@ class WordEncoder:
 
     def _merge(self, word: str) -> bytes:
         shown = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        return array("I", [t.id for t in self.merges(shown)]).tobytes()
 
     def _learn(self, parts: list[str]) -> list[bytes]:
         """Ids of new parts."""
@@ -160,25 +163,30 @@ class WordEncoder:
 
     def _ids(self, parts: list[str]) -> list[bytes]:
         """Ids of different parts, remembered or learnt."""
-        young, old = self.young, self.old
-        found = [young.get(p) or old.get(p) for p in parts]
-        new = [k for k, ids in enumerate(found) if ids is None]
-        if new:
-            for k, ids in zip(new, self._learn([parts[k] for k in new])):
-                found[k] = ids
-        for part, ids in zip(parts, found):
-            if len(part) <= 64:  # longer ones hardly come again
-                young[part] = ids
-                if len(young) >= WORDS:
-                    self.old, self.young = young, {}
-                    young = self.young
+        found = list(map(self.known.get, parts))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        learn = []
+        for k in missing:
+            ids = self.new.pop(parts[k], None)
+            if ids is None:
+                learn.append(k)
+            else:
+                found[k] = self.known[parts[k]] = ids
+        if len(self.known) > WORDS:
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+        for k, ids in zip(learn, self._learn([parts[k] for k in learn])):
+            found[k] = ids
+            if len(parts[k]) <= 64:  # longer ones hardly come again
+                self.new[parts[k]] = ids
+        if len(self.new) > NEW_WORDS:
+            self.new = {}
         return found
 
     def encode_arrow(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the place of each text's first and the end."""
         parts, place = text_parts(pc.fill_null(texts.cast(pa.large_string()), ""), self.fold)
         coded = parts.dictionary_encode()
-        each = self._ids(coded.dictionary.to_pylist())
+        each = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.array([len(ids) for ids in each], np.int64) // 4
         ids, begins = np.frombuffer(b"".join(each), np.uint32), np.cumsum(sizes) - sizes
         which = coded.indices.to_numpy()

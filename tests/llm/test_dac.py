@@ -38,6 +38,7 @@ def test_a_batch_encodes_as_its_texts_do():
 
 def test_a_full_memory_changes_nothing(monkeypatch):
     monkeypatch.setattr(dac, "WORDS", 3)
+    monkeypatch.setattr(dac, "NEW_WORDS", 2)
     own, texts = dac.WordEncoder(PATH), ["one two three four", "two, three. five", "", "one"]
     assert [own.encode([t])[0].tolist() for t in texts] == library(texts)
 
