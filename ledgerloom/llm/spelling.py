@@ -38,7 +38,7 @@ from .common import by_bytes, stored
 
 #: Words of a cell, and words that ask in one part of it.
 CELL = 1 << 14
-ASKING = 1 << 13
+ASKING = 1 << 14
 #: Letters of a cell: long words make smaller cells.
 CELL_LETTERS = 1 << 18
 #: Distinct vectors in a leaf of a cell's tree.
@@ -155,9 +155,8 @@ def _limit(tree: str) -> Column:
     return F.greatest(F.lit(16), F.least(F.lit(CELL), F.lit(CELL_LETTERS) / F.col(tree))).cast("bigint")
 
 
-def _splits(points: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``(tree, node, letter, most)`` for each node over the limit: words with at most ``most`` of a letter go left."""
-    big = sizes.where(F.col("points") > _limit("tree")).select("tree", "node", "points")
+def _splits(points: DataFrame, big: DataFrame) -> DataFrame:
+    """``(tree, node, letter, most)`` for each of the ``big`` nodes: words with at most ``most`` of a letter go left."""
     letters = F.array_distinct(F.filter(F.split("word", ""), lambda c: c != ""))
     rows = points.join(big, ["tree", "node"]).select("tree", "node", "points", "word", F.explode(letters).alias("letter"))
     held = rows.groupBy("tree", "node", "points", "letter", _counted(F.col("letter")).alias("count")).agg(F.count(F.lit(1)).alias("words"))
@@ -187,8 +186,10 @@ def cells(words: DataFrame) -> DataFrame:
         rows = stored(rows, "cells")
         points = rows.where(~F.col("asks"))
         sizes = points.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("points"))
-        splits = stored(_splits(points, sizes), "splits")
-        if splits.isEmpty():
+        # a row per node; stored, so that the joins with them are planned by their size and don't move the words
+        big = stored(sizes.where(F.col("points") > _limit("tree")), "nodes")
+        splits = None if big.isEmpty() else stored(_splits(points, big), "splits")
+        if splits is None or splits.isEmpty():
             return rows
         have = _counted(F.col("letter"))
         over, short = have - F.col("most"), F.col("most") + 1 - have  # letters to lose to go left, to win to go right
@@ -221,8 +222,9 @@ def letter_counts(codes: np.ndarray, letters: np.ndarray) -> np.ndarray:
 
 def unary(counts: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Counts as bits, so that the L1 distance is the number of differing bits."""
-    columns = [counts[:, [k]] > np.arange(m) for k, m in enumerate(most.tolist())]
-    packed = np.packbits(np.concatenate(columns, axis=1), axis=1)
+    letter = np.repeat(np.arange(len(most)), most)
+    step = np.arange(len(letter)) - np.repeat(np.cumsum(most) - most, most)
+    packed = np.packbits(counts[:, letter] > step, axis=1)
     packed = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))
     return np.ascontiguousarray(packed).view(np.uint64)
 
@@ -298,14 +300,23 @@ def _expand(i: np.ndarray, j: np.ndarray, a: tuple, b: tuple) -> Iterator[tuple[
         yield np.repeat(left[s:e], w), rows_b[np.repeat(begin[s:e], w) + offset]
 
 
-def _rank(words: list[str], n: np.ndarray) -> np.ndarray:
-    """Place of each word by falling n, then by code points."""
-    order = sorted(range(len(words)), key=lambda k: (-n[k], words[k]))
-    rank = np.empty(len(words), np.int64)
-    rank[order] = np.arange(len(words))
+def _rank(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Place of each word (a row of code points) by falling n, then by code points."""
+    rank = np.empty(len(codes), np.int64)
+    rank[np.lexsort([*codes.T[::-1], -n])] = np.arange(len(codes))
     return rank
 
 
+def _distinct(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row of each distinct row's number, and the number of each row."""
+    order = np.lexsort(bits.T)
+    new = np.ones(len(bits), bool)
+    new[1:] = (bits[order[1:]] != bits[order[:-1]]).any(axis=1)
+    labels = np.empty(len(bits), np.int64)
+    labels[order] = np.cumsum(new) - 1
+    return order[new], labels
+
+
 FOUND = "word string, near bigint, best_n bigint, best string"
 
 
@@ -328,10 +339,11 @@ def search_cell(cell: pa.Table) -> pa.Table:
         most = np.max([c.max(axis=0) for c in counts.values()], axis=0)
         distinct = {}
         for s, c in counts.items():
-            vectors, labels = np.unique(c, axis=0, return_inverse=True)
-            distinct[s] = vectors, unary(vectors, most), _members(labels.ravel(), len(vectors))
+            bits = unary(c, most)
+            first, labels = _distinct(bits)
+            distinct[s] = c[first], bits[first], _members(labels, len(first))
         held = Tree(*distinct["held"][:2])
-        rank = {s: _rank([words[k] for k in rows], n[rows]) for s, rows in sides.items()}
+        rank = {s: _rank(codes[s], n[rows]) if s in codes else np.zeros(0, np.int64) for s, rows in sides.items()}
         near = {s: np.zeros(len(rows), np.int64) for s, rows in sides.items()}
         best = {(s, t): np.full(len(sides[s]), len(words), np.int64) for s, t in (("same", "held"), ("shorter", "held"), ("held", "shorter"))}
         for s, less in (("same", 1), ("shorter", 0)):
@@ -348,7 +360,7 @@ def search_cell(cell: pa.Table) -> pa.Table:
                         np.add.at(near["held"], b, 1)
                         np.minimum.at(best["held", s], b, rank[s][a])
         for (s, t), places in best.items():
-            by_rank = sides[t][np.argsort(rank[t])] if len(sides[t]) else sides[t]
+            by_rank = sides[t][np.argsort(rank[t])]
             for k in np.flatnonzero(near[s]).tolist():
                 other = by_rank[places[k]]
                 out.append((words[sides[s][k]], int(near[s][k]), int(n[other]), words[other]))
@@ -370,6 +382,7 @@ def near_words(words: DataFrame) -> DataFrame:
 
     # a cell is over the limit only if all its words have the same letters: those are dealt in parts, too
     sizes = sizes.select(*keys, parts("points", 2 * _limit("tree")).alias("of_points"), parts("asking", F.least(F.lit(ASKING), _limit("tree"))).alias("of_asking"))
+    sizes = stored(sizes, "nodes")
     both = rows.join(sizes, keys)
     place = F.xxhash64("word")
     own_point, own_asking = F.pmod(place, F.col("of_points")).cast("int"), F.pmod(place, F.col("of_asking")).cast("int")
