@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import must_be_free
+
 #: Buckets of the scorer, and bytes of a text that are counted at once.
 DIM = 1 << 12
 PIECE = 1 << 22
@@ -177,15 +179,32 @@ def fit(docs: DataFrame, text: str = "text", sample: int = 4000) -> Scorer:
     share = min(1.0, sample / weight.sum())
     drawn = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()  # copies are drawn together
 
+    # what a sampled text teaches goes to the one training task as numbers of fixed size, however long it is
+    lesson = _lesson(F.col("text"), labels)
+    taught = drawn.select(F.md5("text").alias("text"), lesson.alias("lesson")).select("text", "lesson.row", "lesson.good")
+
     def learn(group: pd.DataFrame) -> pd.DataFrame:
-        texts = group["text"].sort_values().tolist()
-        y = labels.posterior(np.array([votes(t) for t in texts]))
-        return pd.DataFrame({"w": [train(np.stack([features(t) for t in texts]), y)]})
+        group = group.sort_values("text")  # by digest: one order, wherever the rows come from
+        x = np.stack([np.frombuffer(r, "<f4") for r in group["row"]])
+        return pd.DataFrame({"w": [train(x, group["good"].to_numpy())]})
 
-    found = drawn.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(learn, "w array<double>").first()
+    found = taught.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(learn, "w array<double>").first()
     return Scorer(labels, np.array(found["w"]) if found else np.zeros(DIM + 1))
 
 
+def _lesson(text: Column, labels: Labels) -> Column:
+    """Struct (row: features as bytes, good: posterior label) of a text that isn't blank."""
+
+    @F.arrow_udf("struct<row:binary,good:double>")
+    def taught(column: pa.Array) -> pa.Array:
+        texts = column.to_pylist()
+        good = labels.posterior(np.array([votes(t) for t in texts], int).reshape(len(texts), LABELLERS))
+        rows = pa.array([features(t).astype("<f4").tobytes() for t in texts], pa.binary())
+        return pa.StructArray.from_arrays([rows, pa.array(good, pa.float64())], names=["row", "good"])
+
+    return taught(text)
+
+
 def score(text: Column, scorer: Scorer) -> Column:
     """Chance (0 to 1) that a text is good; 0 for a blank one."""
     weights = scorer.weights
@@ -203,5 +222,6 @@ def score(text: Column, scorer: Scorer) -> Column:
 
 
 def classify(docs: DataFrame, scorer: Scorer, text: str = "text", out: str = "quality_score") -> DataFrame:
-    """``docs`` with the score of ``text`` in column ``out`` (the name must be free)."""
+    """``docs`` with the score of ``text`` in column ``out``."""
+    must_be_free(docs, out)
     return docs.withColumn(out, score(F.col(text), scorer))

@@ -1,3 +1,4 @@
+import math
 import os
 
 import numpy as np
@@ -22,6 +23,55 @@ def test_em_finds_the_accuracies():
     assert np.mean((found.posterior(combos)[inverse] > 0.5) == good) > 0.93
 
 
+def plain_em(rows, rounds=100):
+    """Posteriors by expectation-maximisation over single texts (lists of votes), with one text of each vote added."""
+    p = [0.1 if 2 * r.count(quality.BAD) > r.count(quality.GOOD) else 0.9 for r in rows]
+    for _ in range(rounds):
+        prior = min(max(sum(p) / len(rows), 0.01), 0.99)
+        chance = []
+        for j in range(len(rows[0])):
+            mass = {(v, c): 1.0 for v in range(3) for c in (0, 1)}
+            for r, good in zip(rows, p):
+                mass[r[j], 1] += good
+                mass[r[j], 0] += 1 - good
+            whole = [sum(mass[v, c] for v in range(3)) for c in (0, 1)]
+            chance.append({k: m / whole[k[1]] for k, m in mass.items()})
+        last = p
+        p = []
+        for r in rows:
+            good, bad = prior, 1 - prior
+            for j, v in enumerate(r):
+                good, bad = good * chance[j][v, 1], bad * chance[j][v, 0]
+            p.append(good / (good + bad))
+        if max(abs(a - b) for a, b in zip(p, last)) < 1e-6:
+            break
+    return p
+
+
+def test_em_against_a_plain_version():
+    rng = np.random.default_rng(2)
+    good = rng.random(400) < 0.7
+    rows = [[int(rng.choice(3, p=[0.05, 0.55, 0.4] if g else [0.5, 0.4, 0.1])) for _ in range(5)] for g in good]
+    combos, inverse, weight = np.unique(rows, axis=0, return_inverse=True, return_counts=True)
+    assert np.allclose(quality.estimate(combos, weight.astype(float)).posterior(combos)[inverse.ravel()], plain_em(rows), atol=1e-4)
+
+
+def test_scorer_against_a_plain_version():
+    rng = np.random.default_rng(3)
+    x, y = rng.random((30, 6)).astype(np.float32), rng.random(30)
+    w, step = [0.0] * 7, [0.0] * 7
+    bad, good = float((1 - y).sum()), float(y.sum())
+    for _ in range(40):
+        slope = [1e-4 * v for v in w[:-1]] + [0.0]
+        for row, label in zip(x.tolist(), y.tolist()):
+            weight = label / good / 2 + (1 - label) / bad / 2
+            error = weight * (1 / (1 + math.exp(-sum(a * b for a, b in zip(row, w)) - w[-1])) - label / good / 2 / weight)
+            slope = [s + error * v for s, v in zip(slope, [*row, 1.0])]
+        step = [0.9 * a + b for a, b in zip(step, slope)]
+        w = [a - 8.0 * b for a, b in zip(w, step)]
+    assert np.allclose(quality.train(x, y, rounds=40), w, rtol=1e-2, atol=1e-2)
+
+
 def test_features_do_not_depend_on_the_piece(monkeypatch):
     whole = quality.features("Some text, repeated 12 times. " * 9)
     monkeypatch.setattr(quality, "PIECE", 11)
