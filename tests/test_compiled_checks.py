@@ -159,3 +159,33 @@ def test_satellite_state_over_batches(spark, tmp_path):
         got[names[x.thing_hk]].append((x.load_date, x.colour))
     assert {k: sorted(v) for k, v in got.items()} == plain_history(batches)
     assert sorted(names.values()) == sorted(plain_history(batches))
+
+
+def test_satellite_state_is_kept_for_many_keys_at_once(spark, tmp_path, monkeypatch):
+    """A Python call for each key ended the job by time; keys of one state keep their own histories."""
+    from ledgerloom.streaming.stateful import changed_versions
+
+    grouped = []
+    schema = "thing_hk string, load_date timestamp_ntz, hash_diff string, colour string"
+    frame = spark.createDataFrame([], schema)
+    monkeypatch.setattr("pyspark.sql.group.GroupedData.applyInPandasWithState", lambda self, f, *a: grouped.append(f) or frame)
+    changed_versions(frame, "thing_hk")
+    pandas = pytest.importorskip("pandas")
+
+    class State:
+        exists, get = False, ()
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    state, at = State(), datetime(2024, 1, 1)
+    key = ["abc" + f"{n:061x}" for n in range(3)]
+    diff = [f"{n:064x}" for n in range(3)]
+
+    def load(*rows):
+        found = pandas.DataFrame([(key[k], at + timedelta(days=d), diff[v], f"{v}") for k, d, v in rows], columns=frame.columns)
+        return [tuple(x) for out in grouped[0](("abc",), iter([found]), state) for x in out[["thing_hk", "colour"]].itertuples(index=False)]
+
+    assert sorted(load((0, 0, 1), (1, 0, 1), (1, 5, 2))) == [(key[0], "1"), (key[1], "1"), (key[1], "2")]
+    assert load((0, 1, 1), (1, 1, 1), (1, 4, 2), (2, 1, 1)) == [(key[2], "1")]  # known before, or said by the next version
+    assert load((0, 2, 2), (1, 6, 1)) == [(key[0], "2"), (key[1], "1")]
