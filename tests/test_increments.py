@@ -318,3 +318,28 @@ def test_padded_keys_are_one_entity_on_every_path(spark, tmp_path):
     assert sorted(history.values()) == [["g", "y"], ["r", "g"]]
     both = spark.createDataFrame(batches[0], schema)
     assert V.load_hub(hub, V.latest_rows(both, "thing"), None, "2024-01-01 00:00:00", None).count() == V.load_hub(hub, both, None, "2024-01-01 00:00:00").count() == 2
+
+
+def test_snapshot_rows_are_written_without_moving_them(spark, tmp_path):
+    """Two loads give the full build; balances are stored where they change, not for every month."""
+    from ledgerloom.operators.increments import OPEN_WRITERS, SnapshotStore
+
+    before = spark.conf.get(OPEN_WRITERS)
+    store = SnapshotStore(spark, str(tmp_path))
+    store._write(spark.range(10).selectExpr("id", "id % 3 AS month"), "t", "month")
+    assert spark.conf.get(OPEN_WRITERS) == before and store.read("t").count() == 10
+    plans = []
+    store._write = lambda df, name, *by: (plans.append((name, by, df._jdf.queryExecution().executedPlan().toString())), SnapshotStore._write(store, df, name, *by))
+    types = spark.createDataFrame([(1, "in", "inflow")], "transaction_type_id int, type_name string, direction string")
+    accounts = spark.createDataFrame([("a", "u", date(2024, 1, 5)), ("b", "u", date(2024, 2, 1))], "account_id string, user_id string, opened_date date")
+    dims = [
+        spark.createDataFrame([(1, k, date(2000, 1, 1), date(9999, 12, 31)) for k in keys], f"{n}_key int, {i} string, valid_from date, valid_to date")
+        for n, i, keys in (("customer", "user_id", "u"), ("account", "account_id", "ab"))
+    ]
+    txn = "transaction_id string, account_id string, transaction_type_id int, amount decimal(10,2), transaction_ts timestamp_ntz"
+    for batch, day in ((1, datetime(2024, 1, 9)), (2, datetime(2024, 12, 9))):
+        store.load(batch, spark.createDataFrame([(f"t{batch}", "a", 1, Decimal(5), day)], txn), accounts, types, *dims)
+    assert store.read("snapshot").count() == 12 + 11
+    assert store.read("snapshot").agg({"closing_balance": "max"}).first()[0] == 10
+    assert store.read("balances").count() < 10
+    assert all("rebalance" not in p.lower() for name, _, p in plans if name == "snapshot") and len(plans) == 6
