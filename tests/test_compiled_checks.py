@@ -91,6 +91,59 @@ def test_catalogue_reads_each_stored_table_at_most_twice(spark):
     assert own >= len(scans) - 4
 
 
+def test_keys_are_moved_as_bytes_that_tell_them_apart(spark):
+    """A digest takes 32 bytes instead of 64, and no text is taken for another one."""
+    from ledgerloom.functions.scalars import key_bytes
+
+    digest = "41" * 32
+    texts = ["", "a", "a\0", "A" * 31, "A" * 32, "A" * 33, "A" * 65, "A" * 32 + "\0" * 33, "é" * 16, "\0" * 32, "\0" * 65, digest, digest.replace("41", "4A"), digest.replace("41", "4a"), digest[:-1], digest + "4", None]
+    got = [bytes(x[0]) if x[0] is not None else None for x in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(key_bytes("t")).collect()]
+    assert len(set(got)) == len(texts) and got[-1] is None
+    assert got[texts.index(digest)] == b"A" * 32 and got[1] == b"a"
+
+
+def test_rules_on_digests(spark):
+    """Digests, the texts that their bytes spell, and keys of another case are different keys."""
+    digest = "41" * 32
+    keys = {"hub": [digest, "ab" * 32, "x"], "sat": [digest, "A" * 32, "AB" * 32, "ab" * 32, None]}
+    t = {n: spark.createDataFrame([(k,) for k in ks], "hk string") for n, ks in keys.items()}
+    rules = [K.points_rule("points", "sat", "hk", "hub"), K.unique_rule("key", "hub", "hk"), K.unique_rule("sat key", "sat", "hk"), K.covers_rule("covers", "hub", "hk", "sat")]
+    want = [K.fk(t["sat"], t["hub"], "hk"), K.unique(t["hub"], ["hk"]), K.unique(t["sat"], ["hk"]), K.hub_complete(t["hub"], t["sat"], "hk")]
+    compiled = K.compile_rules(rules, t)
+    got = {x["check"]: x.failing for x in compiled.collect()}
+    assert [got[r.name] for r in rules] == [w.first()["failing"] for w in want] == [3, 0, 0, 3]
+
+
+def test_the_catalogue_leaves_no_shuffle_files_and_no_stored_digests(spark, tmp_path, monkeypatch):
+    """They filled the disks: every layer's and check's shuffle files stayed, and each digest was stored up to three times."""
+    from ledgerloom.plans import layers, verify
+
+    r, day = random.Random(4), datetime(1995, 3, 1)
+    customers = [(k, f"Customer#{k}", k % 25, r.choice(["A", "B"]), round(r.uniform(-900, 900), 2)) for k in range(1, 25)]
+    orders = [(k, r.randrange(1, 25), day + timedelta(days=r.randrange(900)), r.choice(["1-URGENT", "5-LOW"])) for k in range(1, 60)]
+    lines = [(r.randrange(1, 60), r.randrange(1, 8), r.randrange(9), r.randrange(5), round(r.uniform(1, 900), 2), r.choice("ANR"), r.choice("FO"), day + timedelta(days=r.randrange(1500))) for _ in range(200)]
+    for name, rows, ddl in [
+        ("customer", customers, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double"),
+        ("orders", orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string"),
+        ("lineitem", lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    ]:
+        spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / f"{name}.parquet"))
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before, stored, keep = blocks.getAllFiles().size(), [], layers.reliable_checkpoint
+    monkeypatch.setattr(layers, "reliable_checkpoint", lambda df: stored.append(df.columns) or keep(df))
+    checks = verify.e2e_checks(spark, str(tmp_path))
+    monkeypatch.undo()
+    assert blocks.getAllFiles().size() <= before
+    assert len(stored) > 10 and not [c for columns in stored for c in columns if c.endswith("_hk") or c == "hash_diff"]
+    assert all("Exchange" not in c._jdf.queryExecution().executedPlan().toString() for c in checks)
+    got = {x["check"]: (x.ok, x.failing) for c in checks for x in c.collect()}
+    assert len(got) == len(verify.CATALOGUE)
+    # what the same checks give over layers that aren't stored and vault tables that are
+    s = verify.Silver(spark, str(tmp_path), False)
+    t = verify.tables(s, verify.Star(s), verify.Vault(spark, str(tmp_path), True, s, store_tables=True))
+    assert got == {x["check"]: (x.ok, x.failing) for f in verify.frames(t) for x in f.collect()}
+
+
 @pytest.mark.parametrize("offset", [-1, 1])
 def test_neighbours_of_hot_and_other_keys(spark, offset):
     r = random.Random(3)

@@ -70,3 +70,15 @@ def test_buckets_follow_the_size():
     from ledgerloom.sources.io import buckets_for
 
     assert buckets_for(1000) == 16 and buckets_for(10**12) * (256 << 20) >= 64 * 10**12
+
+
+def test_shuffle_files_go_with_their_job(spark, tmp_path):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    key, was = session.RELEASE_CONF, spark.conf.get(session.RELEASE_CONF, None)
+    with pytest.raises(ValueError), session.released_shuffles(spark):
+        before = blocks.getAllFiles().size()
+        counted = reliable_checkpoint(spark.range(0, 1000, 1, 4).selectExpr("id % 100 AS k").groupBy("k").count())
+        assert blocks.getAllFiles().size() <= before
+        assert counted.count() == 100 and counted.selectExpr("sum(count)").first()[0] == 1000
+        raise ValueError
+    assert spark.conf.get(key, None) == was
